@@ -32,7 +32,8 @@ def papers_with_counts(papers: DataFrame, edges: DataFrame, restrict_edges: bool
     the join key, so the planner reuses its partitioning for the final join.
     """
     e = citations_to(edges, papers) if restrict_edges else edges
-    return lookup_default(papers, citation_counts(e), "paper_id", "nb_citations", 0)
+    # papers and counts are both unique per paper: no key can be hot
+    return lookup_default(papers, citation_counts(e), "paper_id", "nb_citations", 0, skew=False)
 
 
 def keyword_counts(kw: DataFrame) -> DataFrame:
@@ -84,7 +85,7 @@ def count_histogram(counts: DataFrame, value_col: str, lo: int, hi: int, width:
         (F.lit(lo) + F.col("id") * F.lit(width)).cast("bigint").alias("bucket_lo"),
         (F.lit(lo) + (F.col("id") + 1) * F.lit(width)).cast("bigint").alias("bucket_hi"),
     )
-    return lookup_default(buckets, per_bucket, "bucket", "nb", 0)
+    return lookup_default(buckets, per_bucket, "bucket", "nb", 0, skew=False)
 
 
 def count_stats(counts: DataFrame, value_col: str) -> DataFrame:

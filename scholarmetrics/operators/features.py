@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from scholarmetrics.functions.expressions import venue_key
 from scholarmetrics.functions.predicates import cited_only, non_blank, positive_weights
 from scholarmetrics.operators.links import lookup_default
+from scholarmetrics.operators.skew import skew_join
 
 FEATURE_COLUMNS = ("author_weight", "affiliation_weight", "venue_weight", "field_weight")
 
@@ -29,7 +30,7 @@ def _weights(w: DataFrame, key: str, out_key: str | None = None) -> DataFrame:
 def _mean_per_paper(links: DataFrame, weights: DataFrame, key: str, out: str) -> DataFrame:
     """Mean of the entity weight over a paper's link rows; a link whose entity
     has no positive weight counts as 0.0 in the mean."""
-    j = links.join(weights, key, "left")
+    j = skew_join(links, weights, key, "left")
     return j.groupBy("paper_id").agg(F.avg(F.coalesce(F.col("_w"), F.lit(0.0))).alias(out))
 
 
@@ -93,7 +94,7 @@ def paper_author_sum(paa: DataFrame, aw: DataFrame, labels: DataFrame) -> DataFr
     inner-joined to the labels: ``(paper_id, nb_citations, author_weight)``."""
     links = non_blank(paa, "author_id").select("author_id", "paper_id")
     w = aw.select("author_id", F.col("weight").cast("double").alias("_w"))
-    s = links.join(w, "author_id", "inner").groupBy("paper_id").agg(F.sum("_w").alias("author_weight"))
+    s = skew_join(links, w, "author_id", "inner").groupBy("paper_id").agg(F.sum("_w").alias("author_weight"))
     return _label(labels).join(s, "paper_id", "inner")
 
 
@@ -102,8 +103,8 @@ def paper_affiliation_sum(paa: DataFrame, fw: DataFrame, labels: DataFrame) -> D
     labelled paper with that sum or 0.0."""
     links = non_blank(paa, "affiliation_id").select("affiliation_id", "paper_id")
     w = fw.select("affiliation_id", F.col("weight").cast("double").alias("_w"))
-    s = links.join(w, "affiliation_id", "inner").groupBy("paper_id").agg(F.sum("_w").alias("_s"))
-    return lookup_default(_label(labels), s, "paper_id", "_s", 0.0, out="affiliation_weight")
+    s = skew_join(links, w, "affiliation_id", "inner").groupBy("paper_id").agg(F.sum("_w").alias("_s"))
+    return lookup_default(_label(labels), s, "paper_id", "_s", 0.0, out="affiliation_weight", skew=False)
 
 
 def paper_field_sum(kw: DataFrame, sw: DataFrame, labels: DataFrame) -> DataFrame:
@@ -116,14 +117,14 @@ def paper_field_sum(kw: DataFrame, sw: DataFrame, labels: DataFrame) -> DataFram
         .groupBy("paper_id")
         .agg(F.sum("_w").alias("_s"))
     )
-    return lookup_default(_label(labels), s, "paper_id", "_s", 0.0, out="field_weight")
+    return lookup_default(_label(labels), s, "paper_id", "_s", 0.0, out="field_weight", skew=False)
 
 
 def paper_venue_sum(papers: DataFrame, vw: DataFrame, labels: DataFrame, venue_col: str = "venue_key") -> DataFrame:
     """The raw venue's weight per paper (inner), inner-joined to the labels."""
     p = papers.select(F.col(venue_col).alias("venue"), "paper_id")
     w = vw.select("venue", F.col("weight").cast("double").alias("_w"))
-    s = p.join(w, "venue", "inner").groupBy("paper_id").agg(F.sum("_w").alias("venue_weight"))
+    s = skew_join(p, w, "venue", "inner").groupBy("paper_id").agg(F.sum("_w").alias("venue_weight"))
     return _label(labels).join(s, "paper_id", "inner")
 
 

@@ -4,9 +4,11 @@ The original did every lookup by collecting one side into a driver-side dict
 and broadcasting it.  Here each is a declarative join and the planner picks the
 strategy: a broadcast hash join when the build side is measured small at run
 time (AQE converts a sort-merge join after the shuffle stage has exact sizes),
-a sort-merge join otherwise, with AQE splitting a skewed probe partition across
-several tasks.  No ``broadcast()`` hint is forced: entity tables such as the
-authors (93 million in the full dump) are not bounded.
+a sort-merge join otherwise.  Probe sides that can hold a hot key (link rows
+by paper, edges by cited paper) go through ``skew_join``, which splits hot
+keys off to a broadcast of their few build rows.  No ``broadcast()`` hint is
+forced on a whole table: entity tables such as the authors (93 million in the
+full dump) are not bounded.
 
 T2: a dict lookup keeps one value per key, a join multiplies rows when the
 build key repeats.  Build sides here come out of a ``groupBy`` on the join key
@@ -18,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from scholarmetrics.operators.skew import skew_join
+
 
 def lookup_default(
     probe: DataFrame,
@@ -27,12 +31,16 @@ def lookup_default(
     default: object = 0,
     out: str | None = None,
     lookup_key: str | None = None,
+    skew: bool = True,
 ) -> DataFrame:
     """Every probe row kept; ``value`` from ``lookup`` on ``key`` or
-    ``default`` when the key is missing.  ``lookup`` must be unique on its key."""
+    ``default`` when the key is missing.  ``lookup`` must be unique on its key.
+
+    ``skew=True`` splits hot probe keys off (``operators.skew``); pass
+    ``False`` when the probe is unique on the key too (nothing can be hot)."""
     lk = lookup_key or key
     right = lookup.select(F.col(lk).alias(key), F.col(value).alias("__lookup_value"))
-    j = probe.join(right, key, "left")
+    j = skew_join(probe, right, key, "left") if skew else probe.join(right, key, "left")
     filled: Column = F.coalesce(F.col("__lookup_value"), F.lit(default))
     return j.withColumn(out or value, filled).drop("__lookup_value")
 
@@ -40,12 +48,12 @@ def lookup_default(
 def citations_to(edges: DataFrame, papers: DataFrame) -> DataFrame:
     """Edges whose cited paper is in ``papers`` (left semi join)."""
     keys = papers.select(F.col("paper_id").alias("cited_id"))
-    return edges.join(keys, "cited_id", "left_semi").select("citing_id", "cited_id")
+    return skew_join(edges, keys, "cited_id", "left_semi").select("citing_id", "cited_id")
 
 
 def authorships_of(paa: DataFrame, papers: DataFrame) -> DataFrame:
     """Paper-author-affiliation rows whose paper is in ``papers``."""
-    return paa.join(papers.select("paper_id"), "paper_id", "left_semi")
+    return skew_join(paa, papers.select("paper_id"), "paper_id", "left_semi")
 
 
 def enrich_names(
@@ -53,16 +61,17 @@ def enrich_names(
 ) -> DataFrame:
     """Every named author, with its count or ``default`` when it has none."""
     return lookup_default(
-        names.select("author_id", "author_name"), counts, "author_id", count_col, default
+        names.select("author_id", "author_name"), counts, "author_id", count_col, default, skew=False
     ).select("author_id", "author_name", F.col(count_col).cast("bigint").alias(count_col))
 
 
 def paper_citation_pairs(papers: DataFrame, edges: DataFrame) -> DataFrame:
     """Each cited paper's row next to each paper citing it (inner join on the
     cited id).  Only the needed columns are carried into the shuffle; a hot cited
-    paper is a skewed partition that AQE splits."""
+    paper is split off by ``skew_join``."""
     e = edges.select(F.col("cited_id").alias("paper_id"), "citing_id")
-    return papers.select("paper_id", "year", "venue_key").join(e, "paper_id", "inner")
+    j = skew_join(e, papers.select("paper_id", "year", "venue_key"), "paper_id", "inner")
+    return j.select("paper_id", "year", "venue_key", "citing_id")
 
 
 def edges_with_years(edges: DataFrame, papers: DataFrame) -> DataFrame:
@@ -70,11 +79,9 @@ def edges_with_years(edges: DataFrame, papers: DataFrame) -> DataFrame:
     ends are in ``papers`` (two inner joins)."""
     citing = papers.select(F.col("paper_id").alias("citing_id"), F.col("year").alias("citing_year"))
     cited = papers.select(F.col("paper_id").alias("cited_id"), F.col("year").alias("cited_year"))
-    return (
-        edges.select("citing_id", "cited_id")
-        .join(citing, "citing_id", "inner")
-        .join(cited, "cited_id", "inner")
-        .select("cited_id", "cited_year", "citing_id", "citing_year")
+    with_citing = skew_join(edges.select("citing_id", "cited_id"), citing, "citing_id", "inner")
+    return skew_join(with_citing, cited, "cited_id", "inner").select(
+        "cited_id", "cited_year", "citing_id", "citing_year"
     )
 
 

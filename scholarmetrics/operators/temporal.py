@@ -30,4 +30,4 @@ def gap_counts(edges: DataFrame, papers: DataFrame, gap: int = 3, by: str = "cit
     per_paper = edges_with_gap(edges, papers, gap).groupBy(F.col(key).alias("paper_id")).agg(
         F.count(F.lit(1)).alias("nb_citations")
     )
-    return lookup_default(papers.select("paper_id"), per_paper, "paper_id", "nb_citations", 0)
+    return lookup_default(papers.select("paper_id"), per_paper, "paper_id", "nb_citations", 0, skew=False)

@@ -10,9 +10,9 @@ with weight 0.  Mean weights (W8-W11) join the links to the counts with an
 inner join and average.
 
 Plan shape: link rows ⟕ per-paper counts on ``paper_id`` (the counts are
-unique per paper; AQE broadcasts them when they are measured small and splits
-a hot paper's partition otherwise), then a partial + final aggregate on the
-entity key, which absorbs a hot entity.
+unique per paper; AQE broadcasts them when they are measured small; a paper
+holding a large share of the link rows is split off by ``skew_join``), then a
+partial + final aggregate on the entity key, which absorbs a hot entity.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from scholarmetrics.functions.expressions import position_credit, venue_key
 from scholarmetrics.functions.predicates import cited_only, non_blank
+from scholarmetrics.operators.skew import skew_join
 
 CREDITS = ("full", "position")
 
@@ -43,7 +44,7 @@ def author_weights(pc: DataFrame, paa: DataFrame, credit: str = "position") -> D
     if credit not in CREDITS:
         raise ValueError(f"credit must be one of {CREDITS}, got {credit!r}")
     links = non_blank(paa, "author_id").select("paper_id", "author_id", "author_seq")
-    j = links.join(_cited(pc), "paper_id", "left")
+    j = skew_join(links, _cited(pc), "paper_id", "left")
     if credit == "full":
         w = F.sum(_nb_or_zero()).cast("bigint")
     else:
@@ -59,7 +60,7 @@ def affiliation_weights(pc: DataFrame, paa: DataFrame, require: str = "affiliati
     if require not in ("affiliation", "author"):
         raise ValueError("require must be 'affiliation' or 'author'")
     links = non_blank(paa, f"{require}_id").select("paper_id", "affiliation_id")
-    j = links.join(_cited(pc), "paper_id", "left")
+    j = skew_join(links, _cited(pc), "paper_id", "left")
     return j.groupBy("affiliation_id").agg(F.sum(_nb_or_zero()).cast("bigint").alias("weight"))
 
 
@@ -78,7 +79,7 @@ def venue_weights(
 def field_weights(pc: DataFrame, kw: DataFrame) -> DataFrame:
     """``Σ nb_citations`` per field over all keyword rows (misses 0, so
     fields without citations stay with 0)."""
-    j = kw.select("paper_id", "fos_id").join(_cited(pc), "paper_id", "left")
+    j = skew_join(kw.select("paper_id", "fos_id"), _cited(pc), "paper_id", "left")
     return j.groupBy("fos_id").agg(F.sum(_nb_or_zero()).cast("bigint").alias("weight"))
 
 
@@ -92,7 +93,7 @@ def _counts(c3: DataFrame, count_col: str = "nb_citations") -> DataFrame:
 def author_mean_weights(c3: DataFrame, paa: DataFrame) -> DataFrame:
     """Per author, mean over inner-joined links of ``nb / author_seq``."""
     links = non_blank(paa, "author_id").select("paper_id", "author_id", "author_seq")
-    j = links.join(_counts(c3), "paper_id", "inner")
+    j = skew_join(links, _counts(c3), "paper_id", "inner")
     return j.groupBy("author_id").agg(
         F.avg(position_credit("author_seq") * F.col("_nb")).alias("weight")
     )
@@ -102,7 +103,7 @@ def affiliation_mean_weights(c3: DataFrame, paa: DataFrame) -> DataFrame:
     """Per affiliation, mean of ``nb / author_seq`` over links with a
     non-blank affiliation."""
     links = non_blank(paa, "affiliation_id").select("paper_id", "affiliation_id", "author_seq")
-    j = links.join(_counts(c3), "paper_id", "inner")
+    j = skew_join(links, _counts(c3), "paper_id", "inner")
     return j.groupBy("affiliation_id").agg(
         F.avg(position_credit("author_seq") * F.col("_nb")).alias("weight")
     )
@@ -110,7 +111,7 @@ def affiliation_mean_weights(c3: DataFrame, paa: DataFrame) -> DataFrame:
 
 def field_mean_weights(c3: DataFrame, kw: DataFrame) -> DataFrame:
     """Per field, mean of ``nb`` over keyword rows (inner join)."""
-    j = kw.select("paper_id", "fos_id").join(_counts(c3), "paper_id", "inner")
+    j = skew_join(kw.select("paper_id", "fos_id"), _counts(c3), "paper_id", "inner")
     return j.groupBy("fos_id").agg(F.avg("_nb").alias("weight"))
 
 

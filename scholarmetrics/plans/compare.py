@@ -20,6 +20,12 @@ DRIVER_TABLES = (
     "pages benchmark labels conversations"
 ).split()
 
+# Session settings under which every hot-key detection runs on the fixtures.
+SPLIT_CONF = {
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+    "spark.sql.shuffle.partitions": "200",
+}
+
 _SPARK_TO_DUCK = {
     "string": "VARCHAR",
     "int": "INTEGER",
@@ -82,6 +88,8 @@ def compare_one(spark: SparkSession, con, name: str, fn, sql: str, sf_dir: str)
 def main(argv: list[str]) -> int:
     import os
 
+    force_split = "--force-skew-split" in argv
+    argv = [a for a in argv if a != "--force-skew-split"]
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     only = set(argv[2:])
     sys.path.insert(0, os.getcwd())
@@ -95,6 +103,10 @@ def main(argv: list[str]) -> int:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    if force_split:
+        # every skew_join samples its probe; keys above 5/200 of the rows split
+        for k, v in SPLIT_CONF.items():
+            spark.conf.set(k, v)
     con = duck_connection(sf_dir)
     qs, sqls = queries(), oracle_sql()
     bad = 0

@@ -30,6 +30,7 @@ from scholarmetrics.operators import features as X
 from scholarmetrics.operators import weights as W
 from scholarmetrics.operators.counts import papers_with_counts
 from scholarmetrics.operators.links import authorships_of, citations_to
+from scholarmetrics.operators.skew import skew_join
 from scholarmetrics.operators.temporal import gap_counts
 from scholarmetrics.schemas import Tables
 from scholarmetrics.sources.tables import materialize
@@ -98,7 +99,7 @@ class YearFeatures:
         semi-joined to those papers first (exact: a paper's mean depends only
         on its own rows) and the other years never reach the aggregate."""
         cited = cited_only(self.counts).select("paper_id")
-        kw = self.tables.paper_keywords.join(cited, "paper_id", "left_semi")
+        kw = skew_join(self.tables.paper_keywords, cited, "paper_id", "left_semi")
         field = X.paper_field_feature(kw, self.field_weights)
         return X.merge_features(
             self.counts, self.author_feature, self.affiliation_feature, self.venue_feature, field

@@ -10,7 +10,8 @@ from __spark_entry__ import queries
 from conftest import SF001
 from scholarmetrics.functions.predicates import papers_of_year
 from scholarmetrics.operators import links as J
-from scholarmetrics.plans.inspect import executed_plan_text, forbidden_operators, plan_text
+from scholarmetrics.operators.skew import hot_keys, skew_join
+from scholarmetrics.plans.inspect import forbidden_operators, plan_text
 
 QUERIES = queries()
 # The model queries fit in ``queries()`` itself; their returned frames are tiny.
@@ -57,24 +58,56 @@ def test_merge_reuses_partitioning(spark):
     assert text.count("HashAggregate") >= 6
 
 
-def test_skewed_probe_is_split(spark):
-    """A key holding a third of the probe rows: AQE splits its partition."""
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "1k")
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1k")
+def _skewed(spark, n=30000):
+    """A probe whose key 'hot' holds a third of the rows, and a unique lookup."""
+    probe = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("paper_id"),
+        F.col("id").alias("v"),
+    )
+    lookup = spark.range(n).select(F.col("id").cast("string").alias("paper_id"), F.lit(1).alias("nb"))
+    lookup = lookup.union(spark.createDataFrame([("hot", 5), (None, 9)], "paper_id string, nb int"))
+    return probe, lookup.groupBy("paper_id").agg(F.max("nb").alias("nb"))
+
+
+def test_hot_keys_detected(spark):
+    probe, _ = _skewed(spark)
+    assert hot_keys(probe, "paper_id", min_share=0.05, force=True) == ["hot"]
+    # inputs below AQE's skew threshold are never sampled
+    assert hot_keys(probe, "paper_id", min_share=0.05) == []
+
+
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi"])
+def test_skew_join_is_exact(spark, how):
+    probe, lookup = _skewed(spark)
+    probe = probe.union(spark.createDataFrame([(None, -1)], "paper_id string, v bigint"))
+    split = skew_join(probe, lookup, "paper_id", how, hot=["hot"])
+    plain = probe.join(lookup, "paper_id", how)
+    assert split.exceptAll(plain).count() == 0 and plain.exceptAll(split).count() == 0
+    text = plan_text(split)
+    assert "Union" in text and "BroadcastHashJoin" in text
+
+
+def test_skew_detection_follows_session_conf(spark):
+    """With AQE's skew threshold low and many shuffle partitions, the lookup
+    operator detects the hot key by itself and routes it to the broadcast."""
+    conf = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.shuffle.partitions": "64",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
     try:
-        n = 30000
-        probe = spark.range(n).select(
-            F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("paper_id"),
-            F.col("id").alias("v"),
-        )
-        lookup = spark.range(n).select(F.col("id").cast("string").alias("paper_id"), F.lit(1).alias("nb"))
-        lookup = lookup.union(spark.createDataFrame([("hot", 5)], "paper_id string, nb int"))
-        out = J.lookup_default(probe, lookup.groupBy("paper_id").agg(F.max("nb").alias("nb")), "paper_id", "nb", 0)
-        text = executed_plan_text(out)
-        assert "isSkew=true" in text or "skew=true" in text
-        assert out.count() == n
+        probe, lookup = _skewed(spark)
+        out = J.lookup_default(probe, lookup, "paper_id", "nb", 0)
+        text = plan_text(out)
+        assert "Union" in text and "BroadcastHashJoin" in text
+        assert out.filter("paper_id = 'hot'").agg(F.sum("nb")).first()[0] == 5 * 10000
+        assert out.count() == 30000
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes")
-        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
