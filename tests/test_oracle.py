@@ -45,6 +45,7 @@ SPLIT_SUBSET = [
     "paper_affiliation_feature",
     "paper_field_sum",
     "paper_venue_feature",
+    "paper_venue_sum",
     "venue_weights_mean",
 ]
 
@@ -70,5 +71,5 @@ def test_query_matches_duckdb_with_hot_key_split(spark, con, split_conf, name):
 def test_hot_key_split_happens_on_fixture(spark, split_conf):
     from scholarmetrics.plans.inspect import plan_text
 
-    text = plan_text(QUERIES["paper_venue_feature"](spark, SF001))
+    text = plan_text(QUERIES["paper_venue_sum"](spark, SF001))
     assert "Union" in text and "BroadcastHashJoin" in text
