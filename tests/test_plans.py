@@ -111,3 +111,24 @@ def test_skew_detection_follows_session_conf(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_year_semi_joins_get_runtime_bloom_filter(spark):
+    """When the edge/link scans are large (threshold lowered here to stand in
+    for the full dump) and the join is a shuffle join, Spark injects a bloom
+    filter built from the year's papers into the big scan, so only rows of
+    that year's papers reach the shuffle."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1k",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        for name in ("citations_to_year", "papers_with_counts", "authorships_of_year"):
+            text = plan_text(QUERIES[name](spark, SF001), "simple")
+            assert "might_contain" in text, name
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
