@@ -22,7 +22,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scholarmetrics.schemas import Tables
 
 # Fixed values of the fixture mapping.
 BLANK_VENUE_PRIORITY = "4-NOT SPECIFIED"
@@ -39,8 +38,8 @@ def _id(c: str):
     return F.col(c).cast("string")
 
 
-def papers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = _read(spark, sf_dir, "orders")
+def _papers(t: "FixtureTables") -> DataFrame:
+    o = t.read("orders")
     return o.select(
         _id("o_orderkey").alias("paper_id"),
         F.year("o_orderdate").cast("int").alias("year"),
@@ -50,16 +49,16 @@ def papers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def paper_references(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = _read(spark, sf_dir, "lineitem")
+def _paper_references(t: "FixtureTables") -> DataFrame:
+    li = t.read("lineitem")
     return li.select(_id("l_orderkey").alias("citing_id"), _id("l_partkey").alias("cited_id"))
 
 
-def paper_authors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = _read(spark, sf_dir, "lineitem").select(
+def _paper_authors(t: "FixtureTables") -> DataFrame:
+    li = t.read("lineitem").select(
         "l_orderkey", "l_suppkey", "l_linenumber", "l_returnflag"
     )
-    su = _read(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    su = t.read("supplier").select("s_suppkey", "s_nationkey")
     j = li.join(su, li.l_suppkey == su.s_suppkey, "inner")
     return j.select(
         _id("l_orderkey").alias("paper_id"),
@@ -73,9 +72,9 @@ def paper_authors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def paper_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
-    pa = _read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")
+def _paper_keywords(t: "FixtureTables") -> DataFrame:
+    li = t.read("lineitem").select("l_orderkey", "l_partkey")
+    pa = t.read("part").select("p_partkey", "p_name", "p_brand")
     j = li.join(pa, li.l_partkey == pa.p_partkey, "inner")
     return j.select(
         _id("l_orderkey").alias("paper_id"),
@@ -84,26 +83,64 @@ def paper_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def fields_of_study(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pa = _read(spark, sf_dir, "part").select("p_brand")
+def _fields_of_study(t: "FixtureTables") -> DataFrame:
+    pa = t.read("part").select("p_brand")
     return pa.distinct().select(
         F.col("p_brand").alias("fos_id"),
         F.concat(F.lit(FIELD_NAME_PREFIX), F.col("p_brand")).alias("fos_name"),
     )
 
 
-def authors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    su = _read(spark, sf_dir, "supplier")
+def _authors(t: "FixtureTables") -> DataFrame:
+    su = t.read("supplier")
     return su.select(_id("s_suppkey").alias("author_id"), F.col("s_name").alias("author_name"))
 
 
-def load_tables(spark: SparkSession, sf_dir: str) -> Tables:
-    """All six views; nothing is read until an action runs."""
-    return Tables(
-        papers=papers(spark, sf_dir),
-        paper_references=paper_references(spark, sf_dir),
-        paper_authors=paper_authors(spark, sf_dir),
-        paper_keywords=paper_keywords(spark, sf_dir),
-        fields_of_study=fields_of_study(spark, sf_dir),
-        authors=authors(spark, sf_dir),
-    )
+class FixtureTables:
+    """The six views, each built on first use; every parquet file is read (file
+    listing + footer) at most once per instance.  Duck-types ``Tables``."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark = spark
+        self._dir = sf_dir
+        self._files: dict[str, DataFrame] = {}
+        self._views: dict[str, DataFrame] = {}
+
+    def read(self, name: str) -> DataFrame:
+        if name not in self._files:
+            self._files[name] = _read(self._spark, self._dir, name)
+        return self._files[name]
+
+    def _view(self, name: str, build) -> DataFrame:
+        if name not in self._views:
+            self._views[name] = build(self)
+        return self._views[name]
+
+    @property
+    def papers(self) -> DataFrame:
+        return self._view("papers", _papers)
+
+    @property
+    def paper_references(self) -> DataFrame:
+        return self._view("paper_references", _paper_references)
+
+    @property
+    def paper_authors(self) -> DataFrame:
+        return self._view("paper_authors", _paper_authors)
+
+    @property
+    def paper_keywords(self) -> DataFrame:
+        return self._view("paper_keywords", _paper_keywords)
+
+    @property
+    def fields_of_study(self) -> DataFrame:
+        return self._view("fields_of_study", _fields_of_study)
+
+    @property
+    def authors(self) -> DataFrame:
+        return self._view("authors", _authors)
+
+
+def load_tables(spark: SparkSession, sf_dir: str) -> FixtureTables:
+    """All six views, lazily; nothing is read until a view is used."""
+    return FixtureTables(spark, sf_dir)
