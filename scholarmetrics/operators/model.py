@@ -86,9 +86,12 @@ def fit_linear(
     return lr.fit(assemble(train, label, features, fill))
 
 
-def coefficients(model: LinearRegressionModel, features: Sequence[str]) -> DataFrame:
-    """One row ``(intercept, <feature>...)`` of a fitted model."""
-    spark = SparkSession.getActiveSession()
+def coefficients(
+    model: LinearRegressionModel, features: Sequence[str], spark: SparkSession | None = None
+) -> DataFrame:
+    """One row ``(intercept, <feature>...)`` of a fitted model (the fit itself
+    was the distributed part; this row is its small result)."""
+    spark = spark or SparkSession.getActiveSession()
     schema = T.StructType(
         [T.StructField("intercept", T.DoubleType())]
         + [T.StructField(f, T.DoubleType()) for f in features]

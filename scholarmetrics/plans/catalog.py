@@ -327,7 +327,7 @@ def _fit_one(spark, d):
 
 def q_linear_model_coefficients(spark, d):
     model, _ = _fit_one(spark, d)
-    return rounded(M.coefficients(model, [MODEL_FEATURE]))
+    return rounded(M.coefficients(model, [MODEL_FEATURE], spark))
 
 
 def q_linear_model_mse(spark, d):
@@ -338,7 +338,7 @@ def q_linear_model_mse(spark, d):
 def q_linear_model_all_features(spark, d):
     m = _model_frame(spark, d)
     model = M.fit_linear(m.filter(F.col("is_train")), "nb_citations", list(X.FEATURE_COLUMNS))
-    return rounded(M.coefficients(model, list(X.FEATURE_COLUMNS)))
+    return rounded(M.coefficients(model, list(X.FEATURE_COLUMNS), spark))
 
 
 def q_mse_by_budget(spark, d):

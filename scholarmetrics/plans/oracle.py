@@ -369,9 +369,9 @@ _FINAL: dict[str, str] = {
     "train_test_split": "SELECT paper_id, is_train FROM mf",
     "linear_model_coefficients": f"SELECT {_r('b0', 'intercept')}, {_r('b1', 'author_weight')} FROM coef",
     "linear_model_mse": f"""
-        SELECT {_r('avg((b0 + b1 * author_weight - nb_citations) * (b0 + b1 * author_weight - nb_citations))', 'mse')},
-               count(*) AS n
-        FROM mf, coef WHERE NOT is_train""",
+        SELECT {_r('avg((e.p - e.y) * (e.p - e.y))', 'mse')}, count(*) AS n
+        FROM (SELECT (SELECT b0 FROM coef) + (SELECT b1 FROM coef) * author_weight AS p, nb_citations AS y
+              FROM mf WHERE NOT is_train) e""",
 }
 
 # X11 end to end returns the merged feature table.
