@@ -94,15 +94,21 @@ class YearFeatures:
 
     @cached_property
     def merged(self) -> DataFrame:
-        """X9.  The field feature is defined over every paper with keywords; the
-        merge keeps only cited papers of the year, so the keyword rows are
-        semi-joined to those papers first (exact: a paper's mean depends only
-        on its own rows) and the other years never reach the aggregate."""
-        cited = cited_only(self.counts).select("paper_id")
-        kw = skew_join(self.tables.paper_keywords, cited, "paper_id", "left_semi")
-        field = X.paper_field_feature(kw, self.field_weights)
+        """X9.  The merge keeps only the cited papers of the year, so the link
+        and keyword rows feeding the per-paper means are semi-joined to those
+        papers first.  This is exact, because a paper's mean depends only on
+        its own rows.  Uncited papers and other years never reach the
+        aggregates; the field feature alone would otherwise cover every
+        paper with keywords."""
+        cited = cited_only(self.counts).select("paper_id", "year", "venue_key")
+        links = authorships_of(self.tables.paper_authors, cited)
+        kw = skew_join(self.tables.paper_keywords, cited.select("paper_id"), "paper_id", "left_semi")
         return X.merge_features(
-            self.counts, self.author_feature, self.affiliation_feature, self.venue_feature, field
+            self.counts,
+            X.paper_author_feature(links, self.author_weights),
+            X.paper_affiliation_feature(links, self.affiliation_weights),
+            X.paper_venue_feature(cited, self.venue_weights),
+            X.paper_field_feature(kw, self.field_weights),
         )
 
 
