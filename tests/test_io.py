@@ -119,3 +119,18 @@ def test_load_dump_runs_the_year_pipeline(spark, tmp_path):
         "P2": (1.0, 4.0, 7.0, 4.0, 1.0),
         "P3": (None, 0.0, 1.0, 2.5, 1.0),
     }
+
+
+def test_cli_jobs_on_fixture(spark, tmp_path, capsys):
+    from scholarmetrics.__main__ import main
+
+    out = str(tmp_path / "counts")
+    assert main(["citation-counts", "--fixture", "/root/testdata/sf0.001", "--out", out], spark=spark) == 0
+    lines = spark.read.text(out).collect()
+    assert len(lines) > 0 and all(len(r.value.split("\t")) == 2 for r in lines)
+    out = str(tmp_path / "features")
+    assert main(["features", "--fixture", "/root/testdata/sf0.001", "--year", "1997",
+                 "--format", "parquet", "--out", out], spark=spark) == 0
+    assert spark.read.parquet(out).columns[0] == "paper_id"
+    assert main(["fit", "--fixture", "/root/testdata/sf0.01", "--year", "1997"], spark=spark) == 0
+    assert '"test_mse"' in capsys.readouterr().out
