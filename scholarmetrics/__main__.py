@@ -1,7 +1,7 @@
 """Command line: run one job over a dump directory (or the parquet fixtures) and
 write its result.
 
-    spark-submit --py-files scholarmetrics.zip -m scholarmetrics features \\
+    spark-submit --py-files scholarmetrics.zip scholarmetrics/__main__.py features \\
         --data /corpus/data --year 2012 --out /results/features
 
 Jobs: ``citation-counts``, ``papers-with-counts``, ``histogram``,
