@@ -6,7 +6,6 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF001
 from scholarmetrics.operators import counts as A
 from scholarmetrics.operators import features as X
 from scholarmetrics.operators import model as M
