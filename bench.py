@@ -29,7 +29,8 @@ def main() -> None:
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("scholarmetrics-bench")
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", str(max(8, 2 * cpus)))
+        .config("spark.sql.shuffle.partitions", str(cpus))
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("BENCH_DRIVER_MEMORY", "8g"))
