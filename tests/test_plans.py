@@ -132,3 +132,17 @@ def test_year_semi_joins_get_runtime_bloom_filter(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def test_gap_counts_join_edges_once(spark):
+    """E2 attaches one year to each edge (one join), aggregates, and matches
+    the other year on (paper_id, year); the edge table takes part in one
+    join only, against two for the edge list E1."""
+    import re
+
+    def joins(name):
+        lp = QUERIES[name](spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
+        return re.findall(r"Join (\w+)", lp)
+
+    assert sorted(joins("gap_counts_cited")) == ["Inner", "LeftOuter"]
+    assert joins("edges_with_gap") == ["Inner", "Inner"]
