@@ -9,15 +9,19 @@ not a cited paper of ``pc`` contributes 0, so entities without citations stay
 with weight 0.  Mean weights (W8-W11) join the links to the counts with an
 inner join and average.
 
-Plan shape: link rows ⟕ per-paper counts on ``paper_id`` (the counts are
-unique per paper; AQE broadcasts them when they are measured small; a paper
-holding a large share of the link rows is split off by ``skew_join``), then a
-partial + final aggregate on the entity key, which absorbs a hot entity.
+Plan shape of the sum weights: the link rows of *cited* papers are
+inner-joined to the per-paper counts.  Entities are kept whole by a union with
+a zero-valued projection of all link rows, and one partial + final aggregate
+per entity follows.  Only the links of cited papers take part in a join, so
+the link table is never shuffled whole by ``paper_id``.  The inner join is
+eligible for Spark's runtime bloom filter when the counts cover a small
+subset, such as one year.  A paper holding a large share of the link rows is
+split off by ``skew_join``; the aggregate absorbs a hot entity.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scholarmetrics.functions.expressions import position_credit, venue_key
@@ -31,8 +35,12 @@ def _cited(pc: DataFrame, count_col: str = "nb_citations") -> DataFrame:
     return cited_only(pc, count_col).select("paper_id", F.col(count_col).alias("_nb"))
 
 
-def _nb_or_zero() -> Column:
-    return F.coalesce(F.col("_nb"), F.lit(0)).cast("bigint")
+def _credited_sum(links: DataFrame, entity: str, pc: DataFrame, value, zero) -> DataFrame:
+    """Σ ``value`` per ``entity`` over the links of cited papers of ``pc``;
+    entities whose links all miss get the sum of ``zero`` (0)."""
+    hit = skew_join(links, _cited(pc), "paper_id", "inner").select(entity, value.alias("_v"))
+    every = links.select(entity, zero.alias("_v"))
+    return hit.unionByName(every).groupBy(entity).agg(F.sum("_v").alias("weight"))
 
 
 def author_weights(pc: DataFrame, paa: DataFrame, credit: str = "position") -> DataFrame:
@@ -44,12 +52,14 @@ def author_weights(pc: DataFrame, paa: DataFrame, credit: str = "position") -> D
     if credit not in CREDITS:
         raise ValueError(f"credit must be one of {CREDITS}, got {credit!r}")
     links = non_blank(paa, "author_id").select("paper_id", "author_id", "author_seq")
-    j = skew_join(links, _cited(pc), "paper_id", "left")
     if credit == "full":
-        w = F.sum(_nb_or_zero()).cast("bigint")
-    else:
-        w = F.sum(_nb_or_zero().cast("double") * position_credit("author_seq"))
-    return j.groupBy("author_id").agg(w.alias("weight"))
+        return _credited_sum(links, "author_id", pc, F.col("_nb").cast("bigint"), F.lit(0).cast("bigint"))
+    # the zero branch also takes 1/seq, so a position 0 fails on every link
+    # row, as the original's credit did
+    credit_col = position_credit("author_seq")
+    return _credited_sum(
+        links, "author_id", pc, F.col("_nb").cast("double") * credit_col, F.lit(0.0) * credit_col
+    )
 
 
 def affiliation_weights(pc: DataFrame, paa: DataFrame, require: str = "affiliation") -> DataFrame:
@@ -60,8 +70,7 @@ def affiliation_weights(pc: DataFrame, paa: DataFrame, require: str = "affiliati
     if require not in ("affiliation", "author"):
         raise ValueError("require must be 'affiliation' or 'author'")
     links = non_blank(paa, f"{require}_id").select("paper_id", "affiliation_id")
-    j = skew_join(links, _cited(pc), "paper_id", "left")
-    return j.groupBy("affiliation_id").agg(F.sum(_nb_or_zero()).cast("bigint").alias("weight"))
+    return _credited_sum(links, "affiliation_id", pc, F.col("_nb").cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def venue_weights(
@@ -79,8 +88,8 @@ def venue_weights(
 def field_weights(pc: DataFrame, kw: DataFrame) -> DataFrame:
     """``Σ nb_citations`` per field over all keyword rows (misses 0, so
     fields without citations stay with 0)."""
-    j = skew_join(kw.select("paper_id", "fos_id"), _cited(pc), "paper_id", "left")
-    return j.groupBy("fos_id").agg(F.sum(_nb_or_zero()).cast("bigint").alias("weight"))
+    links = kw.select("paper_id", "fos_id")
+    return _credited_sum(links, "fos_id", pc, F.col("_nb").cast("bigint"), F.lit(0).cast("bigint"))
 
 
 # --- mean weights over a (gap-limited) count table c3(paper_id, nb_citations) ---

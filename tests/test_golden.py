@@ -137,3 +137,10 @@ def test_histogram_edges(spark):
     # the last bucket [80, 90] is closed; 91 and -1 fall outside
     assert h[8] == (80, 90, 2)
     assert sum(v[2] for v in h.values()) == 5
+
+
+def test_position_zero_fails_like_the_original(spark, t, y):
+    """A position of 0 fails the credit 1/seq on any link row, cited or not."""
+    bad = t.paper_authors.union(spark.createDataFrame([("P5", "A9", "F9", 0)], t.paper_authors.schema))
+    with pytest.raises(Exception, match="(?i)divide|division"):
+        W.author_weights(y.counts, bad, "position").collect()

@@ -117,7 +117,8 @@ def test_year_semi_joins_get_runtime_bloom_filter(spark):
     """When the edge/link scans are large (threshold lowered here to stand in
     for the full dump) and the join is a shuffle join, Spark injects a bloom
     filter built from the year's papers into the big scan, so only rows of
-    that year's papers reach the shuffle."""
+    that year's papers reach the shuffle.  The sum weights join only the
+    links of cited papers (inner), so they get the filter too."""
     conf = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1k",
@@ -126,7 +127,10 @@ def test_year_semi_joins_get_runtime_bloom_filter(spark):
     for k, v in conf.items():
         spark.conf.set(k, v)
     try:
-        for name in ("citations_to_year", "papers_with_counts", "authorships_of_year"):
+        for name in (
+            "citations_to_year", "papers_with_counts", "authorships_of_year",
+            "author_weights_position", "affiliation_weights", "field_weights",
+        ):
             text = plan_text(QUERIES[name](spark, SF001), "simple")
             assert "might_contain" in text, name
     finally:
