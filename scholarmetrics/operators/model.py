@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import DataFrame, SparkSession
@@ -72,7 +73,13 @@ def fit_linear(
     max_iter: int = 100,
     fill: float | None = 0.0,
 ) -> LinearRegressionModel:
-    """M4: least squares with an intercept."""
+    """M4: least squares with an intercept.
+
+    ``LinearRegression`` reads its input more than once (instance extraction,
+    then the training summary), so the assembled ``(label, features)`` rows are
+    persisted for the fit.  The rows are one per paper (not per edge or
+    link); MEMORY_AND_DISK spills instead of failing, and a lost block is
+    recomputed from lineage."""
     lr = LinearRegression(
         featuresCol="features",
         labelCol=label,
@@ -83,7 +90,12 @@ def fit_linear(
         solver=solver,
         maxIter=max_iter,
     )
-    return lr.fit(assemble(train, label, features, fill))
+    data = assemble(train, label, features, fill).select(label, "features")
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return lr.fit(data)
+    finally:
+        data.unpersist()
 
 
 def coefficients(
@@ -127,8 +139,8 @@ def mse_by_budget(
     Each refit is a distributed job; the driver keeps only the scalar MSEs.
     Train and test are assembled once and cached for the refits.
     """
-    a_train = assemble(train, label, features, fill).select(label, "features").cache()
-    a_test = assemble(test, label, features, fill).select(label, "features").cache()
+    a_train = assemble(train, label, features, fill).select(label, "features").persist(StorageLevel.MEMORY_AND_DISK)
+    a_test = assemble(test, label, features, fill).select(label, "features").persist(StorageLevel.MEMORY_AND_DISK)
     results: list[tuple[int, float]] = []
     prev = None
     try:
