@@ -24,6 +24,10 @@ explicitly:
    Routing uses the literal key list, so it is identical when a lost task is
    recomputed.  Results are exact and complete: every probe row goes to
    exactly one branch (NULL keys to the ordinary one).
+
+Detection costs one sampled pass over the probe's key column per split join.
+The session setting ``scholarmetrics.skewSplit`` turns it off (``off``) where
+the inputs are known to be free of hot keys; the default is ``auto``.
 """
 
 from __future__ import annotations
@@ -41,6 +45,7 @@ MIN_SAMPLED_ROWS = 20
 INPUT_INFLATION = 4
 
 HOWS = ("left", "inner", "left_semi")
+SKEW_SPLIT_CONF = "scholarmetrics.skewSplit"
 
 
 def _conf_bytes(df: DataFrame, name: str, default: str) -> int:
@@ -76,9 +81,12 @@ def hot_keys(
 ) -> list:
     """Keys holding at least ``min_share`` of ``df``'s rows (estimated from a
     sample); ``[]`` when the input is too small to be skewed."""
-    threshold = _conf_bytes(df, "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "256MB")
-    if not force and input_bytes(df) * INPUT_INFLATION < threshold:
-        return []
+    if not force:
+        if (df.sparkSession.conf.get(SKEW_SPLIT_CONF, "auto") or "auto").lower() == "off":
+            return []
+        threshold = _conf_bytes(df, "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "256MB")
+        if input_bytes(df) * INPUT_INFLATION < threshold:
+            return []
     share = default_min_share(df) if min_share is None else min_share
     max_keys = int(1.0 / share) + 1
     obs = Observation("hot_key_sample")

@@ -105,6 +105,10 @@ def test_skew_detection_follows_session_conf(spark):
         assert "Union" in text and "BroadcastHashJoin" in text
         assert out.filter("paper_id = 'hot'").agg(F.sum("nb")).first()[0] == 5 * 10000
         assert out.count() == 30000
+        # the session switch turns detection off
+        spark.conf.set("scholarmetrics.skewSplit", "off")
+        assert "BroadcastHashJoin" not in plan_text(J.lookup_default(probe, lookup, "paper_id", "nb", 0))
+        spark.conf.unset("scholarmetrics.skewSplit")
     finally:
         for k, v in old.items():
             if v is None:
