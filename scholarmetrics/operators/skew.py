@@ -26,12 +26,18 @@ explicitly:
    exactly one branch (NULL keys to the ordinary one).
 
 Detection costs one sampled pass over the probe's key column per split join.
-The session setting ``scholarmetrics.skewSplit`` turns it off (``off``) where
-the inputs are known to be free of hot keys; the default is ``auto``.
+Results are remembered per session by the probe's semantic plan hash and key,
+so a probe that recurs (the same table and key in several queries) is sampled
+once.  Any key list gives exact results, so a stale entry can only cost
+efficiency.  The session setting ``scholarmetrics.skewSplit`` turns detection
+off (``off``) where the inputs are known to be free of hot keys; the default
+is ``auto``.
 """
 
 from __future__ import annotations
 
+from collections import OrderedDict
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.observation import Observation
@@ -46,6 +52,8 @@ INPUT_INFLATION = 4
 
 HOWS = ("left", "inner", "left_semi")
 SKEW_SPLIT_CONF = "scholarmetrics.skewSplit"
+_MEMO_SIZE = 256
+_memo: OrderedDict = OrderedDict()
 
 
 def _conf_bytes(df: DataFrame, name: str, default: str) -> int:
@@ -88,6 +96,10 @@ def hot_keys(
         if input_bytes(df) * INPUT_INFLATION < threshold:
             return []
     share = default_min_share(df) if min_share is None else min_share
+    memo_key = (id(df.sparkSession), df.semanticHash(), key, share, fraction, seed)
+    if memo_key in _memo:
+        _memo.move_to_end(memo_key)
+        return list(_memo[memo_key])
     max_keys = int(1.0 / share) + 1
     obs = Observation("hot_key_sample")
     sample = (
@@ -105,7 +117,11 @@ def hot_keys(
     )
     n = obs.get.get("n", 0) if top else 0
     cut = max(MIN_SAMPLED_ROWS, share * n)
-    return [r.k for r in top if r.c >= cut]
+    keys = [r.k for r in top if r.c >= cut]
+    _memo[memo_key] = tuple(keys)
+    while len(_memo) > _MEMO_SIZE:
+        _memo.popitem(last=False)
+    return keys
 
 
 def _is_hot(key: str, hot: list) -> Column:

@@ -71,7 +71,16 @@ def _skewed(spark, n=30000):
 
 def test_hot_keys_detected(spark):
     probe, _ = _skewed(spark)
+    sc = spark.sparkContext
+    sc.setJobGroup("hot-first", "first detection")
     assert hot_keys(probe, "paper_id", min_share=0.05, force=True) == ["hot"]
+    assert sc.statusTracker().getJobIdsForGroup("hot-first")
+    # the same probe again (rebuilt, same plan) is answered from the memo
+    again, _ = _skewed(spark)
+    sc.setJobGroup("hot-again", "memo")
+    assert hot_keys(again, "paper_id", min_share=0.05, force=True) == ["hot"]
+    assert sc.statusTracker().getJobIdsForGroup("hot-again") == []
+    sc.setJobGroup("tests", "tests")
     # inputs below AQE's skew threshold are never sampled
     assert hot_keys(probe, "paper_id", min_share=0.05) == []
 
