@@ -55,10 +55,11 @@ def author_weights(pc: DataFrame, paa: DataFrame, credit: str = "position") -> D
     if credit == "full":
         return _credited_sum(links, "author_id", pc, F.col("_nb").cast("bigint"), F.lit(0).cast("bigint"))
     # the zero branch also takes 1/seq, so a position 0 fails on every link
-    # row, as the original's credit did
+    # row, as the original's credit did (and a NULL position stays NULL)
     credit_col = position_credit("author_seq")
     return _credited_sum(
-        links, "author_id", pc, F.col("_nb").cast("double") * credit_col, F.lit(0.0) * credit_col
+        links, "author_id", pc, F.col("_nb").cast("double") * credit_col,
+        F.when(credit_col.isNotNull(), F.lit(0.0)),
     )
 
 
