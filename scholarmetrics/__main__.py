@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from scholarmetrics.operators import counts as A
 from scholarmetrics.operators import features as X
 from scholarmetrics.operators import model as M
+from scholarmetrics.plans.sizing import size_shuffles
 from scholarmetrics.plans.workflows import GapFeatures, YearFeatures
 from scholarmetrics.sources import load_dump, load_tables, write_table, write_tsv
 
@@ -62,6 +63,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     args = build_parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName(f"scholarmetrics-{args.job}").getOrCreate()
     t = _tables(spark, args)
+    # shuffle partitions from the largest input, unless set at launch
+    size_shuffles(spark, [t.paper_references, t.paper_authors, t.paper_keywords, t.papers])
     if args.job in ("papers-with-counts", "features", "fit") and args.year is None:
         raise SystemExit("--year is required for this job")
     if args.job == "citation-counts":

@@ -163,3 +163,15 @@ def test_gap_counts_join_edges_once(spark):
 
     assert sorted(joins("gap_counts_cited")) == ["Inner", "LeftOuter"]
     assert joins("edges_with_gap") == ["Inner", "Inner"]
+
+
+def test_shuffle_sizing_follows_input_size(spark, sf001_tables):
+    from scholarmetrics.plans.sizing import suggested_shuffle_partitions
+
+    t = sf001_tables
+    small = suggested_shuffle_partitions([t.paper_references])
+    assert small == 200  # the floor: sf0.01 is a few MB
+    # 1 KB per partition stands in for a large input against a normal target
+    big = suggested_shuffle_partitions([t.paper_references, t.papers], target_bytes=1024, maximum=10**9)
+    assert big > 1000
+    assert suggested_shuffle_partitions([t.paper_references], target_bytes=1024, maximum=1000) == 1000
