@@ -175,3 +175,12 @@ def test_shuffle_sizing_follows_input_size(spark, sf001_tables):
     big = suggested_shuffle_partitions([t.paper_references, t.papers], target_bytes=1024, maximum=10**9)
     assert big > 1000
     assert suggested_shuffle_partitions([t.paper_references], target_bytes=1024, maximum=1000) == 1000
+
+
+@pytest.mark.parametrize("name", PLANNED)
+def test_no_forced_broadcast(spark, name):
+    """No query forces a broadcast: with no hot keys detected, every broadcast
+    in a plan is AQE's choice from measured sizes (the only hinted broadcast
+    in the library is the bounded build side of split hot keys)."""
+    plan = QUERIES[name](spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" not in plan
