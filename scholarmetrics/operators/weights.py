@@ -35,35 +35,47 @@ def _cited(pc: DataFrame, count_col: str = "nb_citations") -> DataFrame:
     return cited_only(pc, count_col).select("paper_id", F.col(count_col).alias("_nb"))
 
 
-def _credited_sum(links: DataFrame, entity: str, pc: DataFrame, value, zero) -> DataFrame:
+def _credited_sum(links: DataFrame, entity: str, pc: DataFrame, value, zero, keep_zero: bool = True) -> DataFrame:
     """Σ ``value`` per ``entity`` over the links of cited papers of ``pc``;
-    entities whose links all miss get the sum of ``zero`` (0)."""
+    entities whose links all miss get the sum of ``zero`` (0).
+
+    ``keep_zero=False`` leaves those entities out.  Use it when the caller
+    keeps only positive weights anyway (F8): the table of all links is then
+    never read whole."""
     hit = skew_join(links, _cited(pc), "paper_id", "inner").select(entity, value.alias("_v"))
-    every = links.select(entity, zero.alias("_v"))
-    return hit.unionByName(every).groupBy(entity).agg(F.sum("_v").alias("weight"))
+    if keep_zero:
+        hit = hit.unionByName(links.select(entity, zero.alias("_v")))
+    return hit.groupBy(entity).agg(F.sum("_v").alias("weight"))
 
 
-def author_weights(pc: DataFrame, paa: DataFrame, credit: str = "position") -> DataFrame:
+def author_weights(
+    pc: DataFrame, paa: DataFrame, credit: str = "position", keep_zero: bool = True
+) -> DataFrame:
     """W1 (``credit="full"``): ``Σ nb_citations`` per author, bigint.
     W2 (``credit="position"``): ``Σ nb_citations / author_seq`` per author, double.
 
-    Over every link row with a non-blank author.
+    Over every link row with a non-blank author; ``keep_zero=False`` returns
+    only authors with a cited link (see ``_credited_sum``).
     """
     if credit not in CREDITS:
         raise ValueError(f"credit must be one of {CREDITS}, got {credit!r}")
     links = non_blank(paa, "author_id").select("paper_id", "author_id", "author_seq")
     if credit == "full":
-        return _credited_sum(links, "author_id", pc, F.col("_nb").cast("bigint"), F.lit(0).cast("bigint"))
+        return _credited_sum(
+            links, "author_id", pc, F.col("_nb").cast("bigint"), F.lit(0).cast("bigint"), keep_zero
+        )
     # the zero branch also takes 1/seq, so a position 0 fails on every link
     # row, as the original's credit did (and a NULL position stays NULL)
     credit_col = position_credit("author_seq")
     return _credited_sum(
         links, "author_id", pc, F.col("_nb").cast("double") * credit_col,
-        F.when(credit_col.isNotNull(), F.lit(0.0)),
+        F.when(credit_col.isNotNull(), F.lit(0.0)), keep_zero,
     )
 
 
-def affiliation_weights(pc: DataFrame, paa: DataFrame, require: str = "affiliation") -> DataFrame:
+def affiliation_weights(
+    pc: DataFrame, paa: DataFrame, require: str = "affiliation", keep_zero: bool = True
+) -> DataFrame:
     """W3 (``require="affiliation"``): ``Σ nb_citations`` per affiliation over
     links with a non-blank affiliation.
     W4 (``require="author"``): the same over links with a non-blank *author*, so
@@ -71,7 +83,9 @@ def affiliation_weights(pc: DataFrame, paa: DataFrame, require: str = "affiliati
     if require not in ("affiliation", "author"):
         raise ValueError("require must be 'affiliation' or 'author'")
     links = non_blank(paa, f"{require}_id").select("paper_id", "affiliation_id")
-    return _credited_sum(links, "affiliation_id", pc, F.col("_nb").cast("bigint"), F.lit(0).cast("bigint"))
+    return _credited_sum(
+        links, "affiliation_id", pc, F.col("_nb").cast("bigint"), F.lit(0).cast("bigint"), keep_zero
+    )
 
 
 def venue_weights(
@@ -86,11 +100,11 @@ def venue_weights(
     return v.groupBy("venue").agg(F.sum("nb_citations").cast("bigint").alias("weight"))
 
 
-def field_weights(pc: DataFrame, kw: DataFrame) -> DataFrame:
+def field_weights(pc: DataFrame, kw: DataFrame, keep_zero: bool = True) -> DataFrame:
     """``Σ nb_citations`` per field over all keyword rows (misses 0, so
     fields without citations stay with 0)."""
     links = kw.select("paper_id", "fos_id")
-    return _credited_sum(links, "fos_id", pc, F.col("_nb").cast("bigint"), F.lit(0).cast("bigint"))
+    return _credited_sum(links, "fos_id", pc, F.col("_nb").cast("bigint"), F.lit(0).cast("bigint"), keep_zero)
 
 
 # --- mean weights over a (gap-limited) count table c3(paper_id, nb_citations) ---

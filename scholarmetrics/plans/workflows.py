@@ -98,17 +98,28 @@ class YearFeatures:
         and keyword rows feeding the per-paper means are semi-joined to those
         papers first.  This is exact, because a paper's mean depends only on
         its own rows.  Uncited papers and other years never reach the
-        aggregates; the field feature alone would otherwise cover every
-        paper with keywords."""
+        aggregates; the field feature alone would otherwise cover every paper
+        with keywords.
+
+        A position 0 on a link of an uncited paper does not stop this merge,
+        because the weights here read only links of cited papers.  The weight
+        queries themselves still fail on it."""
         cited = cited_only(self.counts).select("paper_id", "year", "venue_key")
         links = authorships_of(self.tables.paper_authors, cited)
         kw = skew_join(self.tables.paper_keywords, cited.select("paper_id"), "paper_id", "left_semi")
+        # The features keep positive weights only (F8), so the zero-weight
+        # entities of W2/W3/W7 are not needed.  Only links of cited papers
+        # are read for the weights; the link tables are never read whole.
+        paa, kws = self.tables.paper_authors, self.tables.paper_keywords
+        aw = W.author_weights(self.counts, paa, self.author_credit, keep_zero=False)
+        fw = W.affiliation_weights(self.counts, paa, keep_zero=False)
+        sw = W.field_weights(self.counts, kws, keep_zero=False)
         return X.merge_features(
             self.counts,
-            X.paper_author_feature(links, self.author_weights),
-            X.paper_affiliation_feature(links, self.affiliation_weights),
+            X.paper_author_feature(links, aw),
+            X.paper_affiliation_feature(links, fw),
             X.paper_venue_feature(cited, self.venue_weights),
-            X.paper_field_feature(kw, self.field_weights),
+            X.paper_field_feature(kw, sw),
         )
 
 
