@@ -184,3 +184,11 @@ def test_no_forced_broadcast(spark, name):
     in the library is the bounded build side of split hot keys)."""
     plan = QUERIES[name](spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
     assert "strategy=broadcast" not in plan
+
+
+def test_merge_reads_only_cited_links(spark):
+    """X9 uses positive weights only, so its entity weights come from the links
+    of cited papers alone: no zero-weight union over the whole link table."""
+    assert "Union" not in plan_text(QUERIES["merged_features"](spark, SF001))
+    # the weight query itself keeps zero-weight authors (union with all links)
+    assert "Union" in plan_text(QUERIES["author_weights_position"](spark, SF001))
