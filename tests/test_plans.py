@@ -192,3 +192,43 @@ def test_merge_reads_only_cited_links(spark):
     assert "Union" not in plan_text(QUERIES["merged_features"](spark, SF001))
     # the weight query itself keeps zero-weight authors (union with all links)
     assert "Union" in plan_text(QUERIES["author_weights_position"](spark, SF001))
+
+
+def test_split_join_evens_out_partitions(spark, sf001_tables):
+    """A third of the link rows get one paper id (derived from the fixture's
+    links).  A plain shuffle join puts that third into one partition; the
+    split join keeps every partition far below it, with identical rows."""
+    from scholarmetrics.plans.workflows import YearFeatures
+
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        counts = YearFeatures(sf001_tables, 1997).counts.filter("nb_citations > 0")
+        hot_paper = counts.orderBy("paper_id").first().paper_id
+        links = sf001_tables.paper_authors.select(
+            F.when(F.abs(F.hash("paper_id", "author_id", "author_seq")) % 3 == 0, F.lit(hot_paper))
+            .otherwise(F.col("paper_id")).alias("paper_id"),
+            "author_id",
+        )
+        build = counts.select("paper_id", "nb_citations")
+        keys = hot_keys(links, "paper_id", min_share=0.05, force=True)
+        assert keys == [hot_paper]
+
+        def largest_share(df):
+            sizes = [r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+            return max(sizes) / sum(sizes)
+
+        plain = links.join(build, "paper_id", "left")
+        split = skew_join(links, build, "paper_id", "left", hot=keys)
+        assert largest_share(plain) > 0.3
+        assert largest_share(split) < 0.15
+        assert split.exceptAll(plain).count() == 0 and plain.exceptAll(split).count() == 0
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
