@@ -26,3 +26,35 @@ def executed_plan_text(df: DataFrame) -> str:
 def forbidden_operators(df: DataFrame) -> list[str]:
     text = plan_text(df)
     return [op for op in FORBIDDEN if op in text]
+
+
+def main(argv: list[str]) -> int:
+    """``python -m scholarmetrics.plans.inspect <sf_dir> <query>...``: print the
+    formatted physical plan of registered queries."""
+    import os
+    import sys
+
+    from pyspark.sql import SparkSession
+
+    sys.path.insert(0, os.getcwd())
+    from scholarmetrics.plans.catalog import QUERIES
+
+    if len(argv) < 3:
+        print("usage: python -m scholarmetrics.plans.inspect <sf_dir> <query>...")
+        print("queries:", " ".join(sorted(QUERIES)))
+        return 2
+    spark = (
+        SparkSession.builder.config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .getOrCreate()
+    )
+    for name in argv[2:]:
+        print(f"==== {name}")
+        print(plan_text(QUERIES[name](spark, argv[1])))
+    return 0
+
+
+if __name__ == "__main__":
+    import sys
+
+    raise SystemExit(main(sys.argv))
