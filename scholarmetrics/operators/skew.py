@@ -56,16 +56,30 @@ _MEMO_SIZE = 256
 _memo: OrderedDict = OrderedDict()
 
 
+_UNITS = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40, "p": 1 << 50}
+
+
+def _byte_string(value: str) -> int:
+    """Spark's size strings (``256MB``, ``1k``, ``1048576``) in bytes."""
+    v = value.strip().lower().rstrip("b") or "0"
+    if v[-1] in _UNITS:
+        return int(float(v[:-1]) * _UNITS[v[-1]])
+    return int(float(v))
+
+
 def _conf_bytes(df: DataFrame, name: str, default: str) -> int:
-    spark = df.sparkSession
-    value = spark.conf.get(name, default) or default
-    return int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(value))
+    value = df.sparkSession.conf.get(name, default) or default
+    return _byte_string(value)
 
 
-def input_bytes(df: DataFrame) -> int:
+def input_bytes(df: DataFrame) -> int | None:
     """Sum of the estimated sizes of the plan's leaf relations (file sizes for
-    file scans) — no job runs."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    file scans) — no job runs.  ``None`` where the plan's statistics are not
+    reachable (a Spark Connect session)."""
+    try:
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    except Exception:
+        return None
     total = 0
     for i in range(leaves.size()):
         total += int(str(leaves.apply(i).stats().sizeInBytes()))
@@ -93,7 +107,9 @@ def hot_keys(
         if (df.sparkSession.conf.get(SKEW_SPLIT_CONF, "auto") or "auto").lower() == "off":
             return []
         threshold = _conf_bytes(df, "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "256MB")
-        if input_bytes(df) * INPUT_INFLATION < threshold:
+        size = input_bytes(df)
+        # unknown size: detect anyway (costs a sample; results are exact either way)
+        if size is not None and size * INPUT_INFLATION < threshold:
             return []
     share = default_min_share(df) if min_share is None else min_share
     memo_key = (id(df.sparkSession), df.semanticHash(), key, share, fraction, seed)

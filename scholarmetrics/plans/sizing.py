@@ -30,7 +30,7 @@ def suggested_shuffle_partitions(
     minimum: int = MIN_PARTITIONS,
     maximum: int = MAX_PARTITIONS,
 ) -> int:
-    biggest = max((input_bytes(df) for df in inputs), default=0)
+    biggest = max((input_bytes(df) or 0 for df in inputs), default=0)
     wanted = math.ceil(biggest * INPUT_INFLATION / target_bytes)
     return max(minimum, min(maximum, wanted))
 
@@ -38,7 +38,10 @@ def suggested_shuffle_partitions(
 def size_shuffles(spark: SparkSession, inputs: Iterable[DataFrame], **kw) -> int | None:
     """Set ``spark.sql.shuffle.partitions`` from the inputs unless it was set
     when the application was launched.  Returns the value set, or ``None``."""
-    if spark.sparkContext.getConf().contains("spark.sql.shuffle.partitions"):
+    try:
+        if spark.sparkContext.getConf().contains("spark.sql.shuffle.partitions"):
+            return None
+    except Exception:  # no SparkContext on a Spark Connect client: leave it
         return None
     n = suggested_shuffle_partitions(inputs, **kw)
     spark.conf.set("spark.sql.shuffle.partitions", str(n))

@@ -22,14 +22,19 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
-    """The session's reliable checkpoint folder, if any is configured."""
-    d = spark.sparkContext.getCheckpointDir()
+    """The session's reliable checkpoint folder, if any is configured.
+    ``None`` also where the session has no SparkContext (Spark Connect)."""
+    try:
+        sc = spark.sparkContext
+    except Exception:
+        return None
+    d = sc.getCheckpointDir()
     if d:
         return d
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if conf:
-        spark.sparkContext.setCheckpointDir(conf)
-        return spark.sparkContext.getCheckpointDir()
+        sc.setCheckpointDir(conf)
+        return sc.getCheckpointDir()
     return None
 
 
