@@ -134,3 +134,30 @@ def test_cli_jobs_on_fixture(spark, tmp_path, capsys):
     assert spark.read.parquet(out).columns[0] == "paper_id"
     assert main(["fit", "--fixture", "/root/testdata/sf0.01", "--year", "1997"], spark=spark) == 0
     assert '"test_mse"' in capsys.readouterr().out
+
+
+def test_cli_remaining_jobs(spark, tmp_path):
+    from scholarmetrics.__main__ import main
+
+    fx = "/root/testdata/sf0.001"
+    out = str(tmp_path / "gap")
+    assert main(["gap-features", "--fixture", fx, "--gap", "3", "--cap", "40", "--format", "parquet",
+                 "--out", out], spark=spark) == 0
+    assert spark.read.parquet(out).columns == [
+        "paper_id", "nb_citations", "author_weight", "affiliation_weight", "field_weight", "venue_weight"]
+    out = str(tmp_path / "hist")
+    assert main(["histogram", "--fixture", fx, "--lo", "0", "--hi", "100", "--width", "10", "--out", out],
+                spark=spark) == 0
+    rows = [r.value.split("\t") for r in spark.read.text(out).collect()]
+    assert len(rows) == 9 and sum(int(r[3]) for r in rows) > 0
+    out = str(tmp_path / "pwc")
+    assert main(["papers-with-counts", "--fixture", fx, "--year", "1997", "--out", out], spark=spark) == 0
+    assert spark.read.text(out).count() == load_year_papers(spark, fx)
+    with pytest.raises(SystemExit):
+        main(["features", "--fixture", fx], spark=spark)  # --year missing
+
+
+def load_year_papers(spark, fx):
+    from scholarmetrics.sources import load_tables
+
+    return load_tables(spark, fx).papers.filter("year = 1997").count()
