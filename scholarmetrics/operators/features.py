@@ -27,10 +27,12 @@ def _weights(w: DataFrame, key: str, out_key: str | None = None) -> DataFrame:
     )
 
 
-def _mean_per_paper(links: DataFrame, weights: DataFrame, key: str, out: str) -> DataFrame:
+def _mean_per_paper(
+    links: DataFrame, weights: DataFrame, key: str, out: str, detect_on: DataFrame | None = None
+) -> DataFrame:
     """Mean of the entity weight over a paper's link rows; a link whose entity
     has no positive weight counts as 0.0 in the mean."""
-    j = skew_join(links, weights, key, "left")
+    j = skew_join(links, weights, key, "left", detect_on=detect_on)
     return j.groupBy("paper_id").agg(F.avg(F.coalesce(F.col("_w"), F.lit(0.0))).alias(out))
 
 
@@ -43,22 +45,25 @@ def paper_venue_feature(papers: DataFrame, vw: DataFrame, venue_col: str = "venu
     )
 
 
-def paper_author_feature(paa: DataFrame, aw: DataFrame) -> DataFrame:
-    """Per paper, mean author weight over its non-blank author links."""
+def paper_author_feature(paa: DataFrame, aw: DataFrame, detect_on: DataFrame | None = None) -> DataFrame:
+    """Per paper, mean author weight over its non-blank author links.
+    ``detect_on``: the table ``paa`` was taken from, for hot-key detection."""
     links = non_blank(paa, "author_id").select("paper_id", "author_id")
-    return _mean_per_paper(links, _weights(aw, "author_id"), "author_id", "author_weight")
+    return _mean_per_paper(links, _weights(aw, "author_id"), "author_id", "author_weight", detect_on)
 
 
-def paper_affiliation_feature(paa: DataFrame, fw: DataFrame) -> DataFrame:
+def paper_affiliation_feature(paa: DataFrame, fw: DataFrame, detect_on: DataFrame | None = None) -> DataFrame:
     """Per paper, mean affiliation weight over its non-blank affiliation links."""
     links = non_blank(paa, "affiliation_id").select("paper_id", "affiliation_id")
-    return _mean_per_paper(links, _weights(fw, "affiliation_id"), "affiliation_id", "affiliation_weight")
+    return _mean_per_paper(
+        links, _weights(fw, "affiliation_id"), "affiliation_id", "affiliation_weight", detect_on
+    )
 
 
-def paper_field_feature(kw: DataFrame, sw: DataFrame) -> DataFrame:
+def paper_field_feature(kw: DataFrame, sw: DataFrame, detect_on: DataFrame | None = None) -> DataFrame:
     """Per paper, mean field weight over its keyword rows."""
     links = kw.select("paper_id", "fos_id")
-    return _mean_per_paper(links, _weights(sw, "fos_id"), "fos_id", "field_weight")
+    return _mean_per_paper(links, _weights(sw, "fos_id"), "fos_id", "field_weight", detect_on)
 
 
 def merge_features(

@@ -79,8 +79,10 @@ def edges_with_years(edges: DataFrame, papers: DataFrame) -> DataFrame:
     ends are in ``papers`` (two inner joins)."""
     citing = papers.select(F.col("paper_id").alias("citing_id"), F.col("year").alias("citing_year"))
     cited = papers.select(F.col("paper_id").alias("cited_id"), F.col("year").alias("cited_year"))
-    with_citing = skew_join(edges.select("citing_id", "cited_id"), citing, "citing_id", "inner")
-    return skew_join(with_citing, cited, "cited_id", "inner").select(
+    e = edges.select("citing_id", "cited_id")
+    with_citing = skew_join(e, citing, "citing_id", "inner")
+    # hot cited papers are detected on the edges, not on the joined result
+    return skew_join(with_citing, cited, "cited_id", "inner", detect_on=e).select(
         "cited_id", "cited_year", "citing_id", "citing_year"
     )
 

@@ -150,6 +150,7 @@ def skew_join(
     key: str,
     how: str = "left",
     hot: list | None = None,
+    detect_on: DataFrame | None = None,
 ) -> DataFrame:
     """``probe.join(build, key, how)`` with hot probe keys split off.
 
@@ -157,10 +158,15 @@ def skew_join(
     aggregate on the key or a table keyed by it); for ``left_semi`` only its
     distinct keys are used.  ``hot=None`` detects the hot keys; ``hot=[]``
     disables the split.
+
+    ``detect_on`` names a table that the probe was derived from (a filtered
+    subset, or one joined to a lookup) with the same key column.  Detection
+    samples that table instead of recomputing the probe.  Any key list gives
+    exact results, so a proxy can only cost efficiency.
     """
     if how not in HOWS:
         raise ValueError(f"how must be one of {HOWS}, got {how!r}")
-    keys = hot_keys(probe, key) if hot is None else hot
+    keys = hot_keys(probe if detect_on is None else detect_on, key) if hot is None else hot
     if not keys:
         return probe.join(build, key, how)
     hot_build = build.filter(_is_hot(key, keys))

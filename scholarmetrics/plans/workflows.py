@@ -114,12 +114,14 @@ class YearFeatures:
         aw = W.author_weights(self.counts, paa, self.author_credit, keep_zero=False)
         fw = W.affiliation_weights(self.counts, paa, keep_zero=False)
         sw = W.field_weights(self.counts, kws, keep_zero=False)
+        # hot authors/affiliations/fields are detected on the whole tables
+        # (remembered per session), not on the year's derived subsets
         return X.merge_features(
             self.counts,
-            X.paper_author_feature(links, aw),
-            X.paper_affiliation_feature(links, fw),
+            X.paper_author_feature(links, aw, detect_on=paa),
+            X.paper_affiliation_feature(links, fw, detect_on=paa),
             X.paper_venue_feature(cited, self.venue_weights),
-            X.paper_field_feature(kw, sw),
+            X.paper_field_feature(kw, sw, detect_on=kws),
         )
 
 

@@ -232,3 +232,31 @@ def test_split_join_evens_out_partitions(spark, sf001_tables):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def test_detection_on_base_table(spark):
+    """A probe derived from a base table (here a filtered subset) is split by
+    the hot keys of the base table; the rows stay exact and the base table's
+    detection is remembered for the next join on it."""
+    conf = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.shuffle.partitions": "64",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        base, lookup = _skewed(spark, n=60000)
+        subset = base.filter(F.col("v") % 5 != 0)
+        split = skew_join(subset, lookup, "paper_id", "left", detect_on=base)
+        plain = subset.join(lookup, "paper_id", "left")
+        assert "Union" in plan_text(split)
+        assert split.exceptAll(plain).count() == 0 and plain.exceptAll(split).count() == 0
+        sc = spark.sparkContext
+        sc.setJobGroup("base-again", "memo")
+        assert hot_keys(base, "paper_id") == ["hot"]
+        assert sc.statusTracker().getJobIdsForGroup("base-again") == []
+        sc.setJobGroup("tests", "tests")
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
