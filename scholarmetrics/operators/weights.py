@@ -114,22 +114,43 @@ def _counts(c3: DataFrame, count_col: str = "nb_citations") -> DataFrame:
     return c3.select("paper_id", F.col(count_col).cast("double").alias("_nb"))
 
 
-def author_mean_weights(c3: DataFrame, paa: DataFrame) -> DataFrame:
-    """Per author, mean over inner-joined links of ``nb / author_seq``."""
-    links = non_blank(paa, "author_id").select("paper_id", "author_id", "author_seq")
+def link_mean_weights(c3: DataFrame, paa: DataFrame) -> DataFrame:
+    """W8 and W9 together: ``(kind, entity, weight)`` with ``kind`` either
+    ``author`` or ``affiliation``.  The weight is the mean of
+    ``nb / author_seq`` over the entity's non-blank links, inner-joined to
+    the counts.
+
+    The link table is joined to the counts once.  Each joined row is then
+    exploded into one row per kind, so the blank filters and the per-kind
+    selections sit above the generator and are not pushed into the scan.
+    W8 and W9 taken from this frame share the join and its shuffle of the
+    link table (``ReusedExchange``)."""
+    links = paa.select("paper_id", "author_id", "affiliation_id", "author_seq")
     j = skew_join(links, _counts(c3), "paper_id", "inner")
-    return j.groupBy("author_id").agg(
-        F.avg(position_credit("author_seq") * F.col("_nb")).alias("weight")
+    v = position_credit("author_seq") * F.col("_nb")
+    pairs = F.explode(
+        F.array(
+            F.struct(F.lit("author").alias("kind"), F.col("author_id").alias("entity"), v.alias("v")),
+            F.struct(F.lit("affiliation").alias("kind"), F.col("affiliation_id").alias("entity"), v.alias("v")),
+        )
     )
+    e = j.select(pairs.alias("x")).select("x.kind", "x.entity", "x.v")
+    return non_blank(e, "entity").groupBy("kind", "entity").agg(F.avg("v").alias("weight"))
+
 
+def author_mean_weights(c3: DataFrame, paa: DataFrame, shared: DataFrame | None = None) -> DataFrame:
+    """Per author, mean over inner-joined links of ``nb / author_seq``.
+    ``shared``: a ``link_mean_weights`` frame to take it from."""
+    m = shared if shared is not None else link_mean_weights(c3, paa)
+    return m.filter(F.col("kind") == "author").select(F.col("entity").alias("author_id"), "weight")
 
-def affiliation_mean_weights(c3: DataFrame, paa: DataFrame) -> DataFrame:
+
+def affiliation_mean_weights(c3: DataFrame, paa: DataFrame, shared: DataFrame | None = None) -> DataFrame:
     """Per affiliation, mean of ``nb / author_seq`` over links with a
-    non-blank affiliation."""
-    links = non_blank(paa, "affiliation_id").select("paper_id", "affiliation_id", "author_seq")
-    j = skew_join(links, _counts(c3), "paper_id", "inner")
-    return j.groupBy("affiliation_id").agg(
-        F.avg(position_credit("author_seq") * F.col("_nb")).alias("weight")
+    non-blank affiliation.  ``shared`` as for ``author_mean_weights``."""
+    m = shared if shared is not None else link_mean_weights(c3, paa)
+    return m.filter(F.col("kind") == "affiliation").select(
+        F.col("entity").alias("affiliation_id"), "weight"
     )
 
 

@@ -151,13 +151,18 @@ class GapFeatures:
         """E2/E3 over the (capped) paper set: ``(paper_id, nb_citations)``."""
         return gap_counts(self.tables.paper_references, self.total_counts, self.gap, self.by)
 
+    @cached_property
+    def link_weights(self) -> DataFrame:
+        """W8 and W9 from one join of the links to the gap counts."""
+        return W.link_mean_weights(self.gap_counts, self.tables.paper_authors)
+
     @cached_property
     def author_weights(self) -> DataFrame:
-        return W.author_mean_weights(self.gap_counts, self.tables.paper_authors)
+        return W.author_mean_weights(self.gap_counts, self.tables.paper_authors, shared=self.link_weights)
 
     @cached_property
     def affiliation_weights(self) -> DataFrame:
-        return W.affiliation_mean_weights(self.gap_counts, self.tables.paper_authors)
+        return W.affiliation_mean_weights(self.gap_counts, self.tables.paper_authors, shared=self.link_weights)
 
     @cached_property
     def field_weights(self) -> DataFrame:

@@ -260,3 +260,22 @@ def test_detection_on_base_table(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def test_gap_weights_share_one_link_shuffle(spark):
+    """W8 and W9 come from one join of the links to the gap counts: in X10's
+    executed plan the second use reads the link shuffle as a ReusedExchange."""
+    import re
+
+    from scholarmetrics.plans.inspect import executed_plan_text
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", None)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = executed_plan_text(QUERIES["all_weights"](spark, SF001)).split("== Initial Plan ==")[0]
+        assert text.count("Generate explode") == 2
+        assert re.search(r"ReusedExchange \[paper_id#\d+, author_id#\d+, affiliation_id#\d+, author_seq#\d+\]", text)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old) if old else spark.conf.unset(
+            "spark.sql.autoBroadcastJoinThreshold"
+        )
