@@ -7,7 +7,8 @@ credited twice (no distinct).
 Sum weights (W1-W7) keep every entity of the link table: a link whose paper is
 not a cited paper of ``pc`` contributes 0, so entities without citations stay
 with weight 0.  Mean weights (W8-W11) join the links to the counts with an
-inner join and average.
+inner join and average.  W8 and W9 come from one such join, exploded per
+kind (``link_mean_weights``), so the link table is shuffled once for both.
 
 Plan shape of the sum weights: the link rows of *cited* papers are
 inner-joined to the per-paper counts.  Entities are kept whole by a union with
