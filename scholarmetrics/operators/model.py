@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import Normalizer, VectorAssembler
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,6 +50,13 @@ def normalize(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return df.select(*others, *l2_normalized(list(features)))
 
 
+def normalize_vectors(assembled: DataFrame, p: float = 2.0, column: str = "features") -> DataFrame:
+    """M2 on an assembled vector column with ``pyspark.ml.feature.Normalizer``
+    (JVM-side, per row); the same values as ``normalize`` for ``p=2``."""
+    out = Normalizer(inputCol=column, outputCol=f"{column}_normalized", p=p).transform(assembled)
+    return out.drop(column).withColumnRenamed(f"{column}_normalized", column)
+
+
 def split_flag(df: DataFrame, key: str = "paper_id", fraction: float = TRAIN_FRACTION, seed: int = SPLIT_SEED) -> DataFrame:
     """M3: adds ``is_train`` from a hash bucket of ``key`` (stable under any
     partitioning or recomputation, unlike ``randomSplit``)."""

@@ -111,3 +111,17 @@ def test_streaming_counts_resume_from_checkpoint(spark, sf001_tables, tmp_path):
     resumed = run_once("counts_resumed")
     want = A.citation_counts(edges)
     assert resumed.exceptAll(want).count() == 0 and want.exceptAll(resumed).count() == 0
+
+
+def test_normalizer_vector_form_matches_columns(frame):
+    from pyspark.ml.functions import vector_to_array
+
+    cols = M.normalize(frame, FEATS).select("paper_id", *FEATS)
+    vec = M.normalize_vectors(M.assemble(frame, "nb_citations", FEATS)).select(
+        "paper_id", vector_to_array("features").alias("v")
+    )
+    want = {r.paper_id: [r[c] for c in FEATS] for r in cols.collect()}
+    got = {r.paper_id: list(r.v) for r in vec.collect()}
+    assert set(got) == set(want)
+    for k, v in got.items():
+        assert v == pytest.approx(want[k], abs=1e-12)
