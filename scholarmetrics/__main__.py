@@ -5,7 +5,9 @@ write its result.
         --data /corpus/data --year 2012 --out /results/features
 
 Jobs: ``citation-counts``, ``papers-with-counts``, ``histogram``,
-``features`` (X9), ``gap-features`` (X10), ``fit`` (M4/M5, optional M7).
+``extract-features`` (the year build's eight intermediate tables, one
+subdirectory each), ``features`` (X9), ``gap-features`` (X10), ``fit``
+(M4/M5, optional M7).
 Output is gzip TSV (``key<TAB>values``) by default or Parquet with
 ``--format parquet``; an existing output path is an error.
 """
@@ -41,7 +43,13 @@ def _write(df: DataFrame, args) -> None:
 
 def build_parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="scholarmetrics")
-    p.add_argument("job", choices=["citation-counts", "papers-with-counts", "histogram", "features", "gap-features", "fit"])
+    p.add_argument(
+        "job",
+        choices=[
+            "citation-counts", "papers-with-counts", "histogram", "extract-features",
+            "features", "gap-features", "fit",
+        ],
+    )
     src = p.add_mutually_exclusive_group(required=True)
     src.add_argument("--data", help="dump directory (Papers.tsv*, PaperReferences.tsv*, ...)")
     src.add_argument("--fixture", help="directory of the driver parquet tables")
@@ -65,7 +73,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     t = _tables(spark, args)
     # shuffle partitions from the largest input, unless set at launch
     size_shuffles(spark, [t.paper_references, t.paper_authors, t.paper_keywords, t.papers])
-    if args.job in ("papers-with-counts", "features", "fit") and args.year is None:
+    if args.job in ("papers-with-counts", "extract-features", "features", "fit") and args.year is None:
         raise SystemExit("--year is required for this job")
     if args.job == "citation-counts":
         _write(A.citation_counts(t.paper_references), args)
@@ -74,6 +82,14 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     elif args.job == "histogram":
         cc = A.citation_counts(t.paper_references)
         _write(A.count_histogram(cc, "nb_citations", args.lo, args.hi, args.width), args)
+    elif args.job == "extract-features":
+        # the counts feed five of the eight tables: checkpoint them once when a
+        # shared checkpoint folder is configured
+        build = YearFeatures(t, args.year, materialize_counts=True)
+        base = args.out.rstrip("/")
+        for name, df in build.outputs().items():
+            args_one = argparse.Namespace(**{**vars(args), "out": f"{base}/{name}"})
+            _write(df, args_one)
     elif args.job == "features":
         _write(YearFeatures(t, args.year).merged, args)
     elif args.job == "gap-features":

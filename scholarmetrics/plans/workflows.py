@@ -92,6 +92,22 @@ class YearFeatures:
     def field_feature(self) -> DataFrame:
         return X.paper_field_feature(self.tables.paper_keywords, self.field_weights)
 
+    def outputs(self) -> dict[str, DataFrame]:
+        """The year build's intermediate tables, by name: papers of the year,
+        the citations they received, their author links, the per-paper counts
+        and the four entity weights.  Five of them read the counts, so build
+        with ``materialize_counts=True`` when writing them all."""
+        return {
+            "papers": self.papers,
+            "citations": self.citations,
+            "authorships": self.authorships,
+            "paper_counts": self.counts,
+            "author_weights": self.author_weights,
+            "affiliation_weights": self.affiliation_weights,
+            "venue_weights": self.venue_weights,
+            "field_weights": self.field_weights,
+        }
+
     @cached_property
     def merged(self) -> DataFrame:
         """X9.  The merge keeps only the cited papers of the year, so the link

@@ -161,3 +161,19 @@ def load_year_papers(spark, fx):
     from scholarmetrics.sources import load_tables
 
     return load_tables(spark, fx).papers.filter("year = 1997").count()
+
+
+def test_cli_extract_features_writes_all_intermediates(spark, tmp_path):
+    from scholarmetrics.__main__ import main
+
+    out = str(tmp_path / "extract")
+    assert main(["extract-features", "--fixture", "/root/testdata/sf0.001", "--year", "1997",
+                 "--format", "parquet", "--out", out], spark=spark) == 0
+    names = sorted(os.listdir(out))
+    assert names == sorted([
+        "papers", "citations", "authorships", "paper_counts",
+        "author_weights", "affiliation_weights", "venue_weights", "field_weights",
+    ])
+    counts = spark.read.parquet(f"{out}/paper_counts")
+    assert counts.columns == ["paper_id", "year", "venue_key", "nb_citations"]
+    assert counts.count() == spark.read.parquet(f"{out}/papers").count()
