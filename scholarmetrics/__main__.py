@@ -64,6 +64,7 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--width", type=int, default=100)
     p.add_argument("--normalize", action="store_true")
     p.add_argument("--model-out")
+    p.add_argument("--all", action="store_true", help="gap-features: write every intermediate table")
     return p
 
 
@@ -93,7 +94,13 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     elif args.job == "features":
         _write(YearFeatures(t, args.year).merged, args)
     elif args.job == "gap-features":
-        _write(GapFeatures(t, gap=args.gap, cap=args.cap).combined, args)
+        if args.all:
+            build = GapFeatures(t, gap=args.gap, cap=args.cap, materialize_counts=True)
+            base = args.out.rstrip("/")
+            for name, df in build.outputs().items():
+                _write(df, argparse.Namespace(**{**vars(args), "out": f"{base}/{name}"}))
+        else:
+            _write(GapFeatures(t, gap=args.gap, cap=args.cap).combined, args)
     elif args.job == "fit":
         feats = list(X.FEATURE_COLUMNS)
         frame = M.prepare(YearFeatures(t, args.year).merged, "nb_citations", feats, fill=0.0)

@@ -31,7 +31,7 @@ from scholarmetrics.operators import weights as W
 from scholarmetrics.operators.counts import papers_with_counts
 from scholarmetrics.operators.links import authorships_of, citations_to
 from scholarmetrics.operators.skew import skew_join
-from scholarmetrics.operators.temporal import gap_counts
+from scholarmetrics.operators.temporal import edges_with_gap, gap_counts
 from scholarmetrics.schemas import Tables
 from scholarmetrics.sources.tables import materialize
 
@@ -222,3 +222,24 @@ class GapFeatures:
     def author_pair(self) -> DataFrame:
         """J10."""
         return X.author_feature_pair(self.author_sum, self.author_full_sum)
+
+    def outputs(self) -> dict[str, DataFrame]:
+        """The gap variant's tables, by name: the (capped) paper counts with
+        their years, the edges of the gap, the gap counts, the four mean
+        weights, the four per-paper sums and their merge (X10).  Most read the
+        counts, so build with ``materialize_counts=True`` when writing them
+        all."""
+        return {
+            "paper_counts": self.total_counts,
+            "gap_edges": edges_with_gap(self.tables.paper_references, self.total_counts, self.gap),
+            "gap_counts": self.gap_counts,
+            "author_weights": self.author_weights,
+            "affiliation_weights": self.affiliation_weights,
+            "field_weights": self.field_weights,
+            "venue_weights": self.venue_weights,
+            "paper_author_weight": self.author_sum,
+            "paper_affiliation_weight": self.affiliation_sum,
+            "paper_field_weight": self.field_sum,
+            "paper_venue_weight": self.venue_sum,
+            "all_weights": self.combined,
+        }

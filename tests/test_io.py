@@ -177,3 +177,16 @@ def test_cli_extract_features_writes_all_intermediates(spark, tmp_path):
     counts = spark.read.parquet(f"{out}/paper_counts")
     assert counts.columns == ["paper_id", "year", "venue_key", "nb_citations"]
     assert counts.count() == spark.read.parquet(f"{out}/papers").count()
+
+
+def test_cli_gap_features_all(spark, tmp_path):
+    from scholarmetrics.__main__ import main
+
+    out = str(tmp_path / "gap_all")
+    assert main(["gap-features", "--fixture", "/root/testdata/sf0.001", "--gap", "3", "--all",
+                 "--format", "parquet", "--out", out], spark=spark) == 0
+    assert len(os.listdir(out)) == 12
+    gc = spark.read.parquet(f"{out}/gap_counts")
+    edges = spark.read.parquet(f"{out}/gap_edges")
+    # the gap counts are the per-cited-paper counts of the gap edges
+    assert gc.agg(F.sum("nb_citations")).first()[0] == edges.count()
