@@ -68,6 +68,25 @@ def test_query_matches_duckdb_with_hot_key_split(spark, con, split_conf, name):
     assert r["ok"], r["problems"]
 
 
+@pytest.fixture
+def large_cluster_conf(spark, split_conf):
+    """Emulates the plans of a large input: every hot-key detection runs (via
+    ``split_conf``) and no side is small enough to broadcast, so every join
+    takes its shuffle path."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", None)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old) if old else spark.conf.unset(
+        "spark.sql.autoBroadcastJoinThreshold"
+    )
+
+
+@pytest.mark.parametrize("name", sorted(set(SQL) - set(SPLIT_SUBSET)))
+def test_query_matches_duckdb_on_shuffle_paths(spark, con, large_cluster_conf, name):
+    r = compare_one(spark, con, name, QUERIES[name], SQL[name], SF001)
+    assert r["ok"], r["problems"]
+
+
 def test_hot_key_split_happens_on_fixture(spark, split_conf):
     from scholarmetrics.plans.inspect import plan_text
 
