@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scholarmetrics.functions.predicates import year_gap
-from scholarmetrics.operators.links import edges_with_years
-from scholarmetrics.operators.skew import skew_join
+from scholarmetrics.operators.links import edges_with_years, lookup_default
 
 BY = ("cited", "citing")
 
@@ -23,29 +22,19 @@ def gap_counts(edges: DataFrame, papers: DataFrame, gap: int = 3, by: str = "cit
 
     E2 (``by="cited"``): citations a paper received exactly ``gap`` years after
     it appeared.  E3 (``by="citing"``): references a paper made to papers
-    ``gap`` years older.  Both ends of a counted edge must be in ``papers``.
-
-    The result equals counting E1's edges, but the edges are shuffled once, not
-    twice:
-
-    1. Each edge gets the year of its *other* end (one join).
-    2. It is counted per ``(paper, year the paper must have)``, a partial and
-       final aggregate.
-    3. The per-year counts are left-joined to the papers on ``(paper_id, year)``.
-       A paper has one year, so at most one count matches it.  The aggregate is
-       already partitioned on the join keys, so only the papers move.
+    ``gap`` years older.
+
+    Plan: the two year joins of E1, then a count on the cited id, which
+    reuses the second join's partitioning, so no third shuffle is needed.  A
+    one-join variant (year of the other end, count per ``(paper, year)``,
+    join on both) was measured and dropped.  Its aggregate shuffle is nearly
+    as large as the edge shuffle it replaces: a paper's citations in one
+    year are spread over the map partitions by citing paper.
     """
     if by not in BY:
         raise ValueError(f"by must be one of {BY}, got {by!r}")
-    other, own = ("citing", "cited") if by == "cited" else ("cited", "citing")
-    other_year = papers.select(F.col("paper_id").alias(f"{other}_id"), F.col("year").alias("_other_year"))
-    e = skew_join(edges.select("citing_id", "cited_id"), other_year, f"{other}_id", "inner")
-    # cited year = citing year - gap; citing year = cited year + gap
-    wanted = F.col("_other_year") - F.lit(gap) if by == "cited" else F.col("_other_year") + F.lit(gap)
-    per_year = e.groupBy(F.col(f"{own}_id").alias("paper_id"), wanted.cast("int").alias("year")).agg(
-        F.count(F.lit(1)).alias("_n")
-    )
-    base = papers.select("paper_id", F.col("year").cast("int").alias("year"))
-    return base.join(per_year, ["paper_id", "year"], "left").select(
-        "paper_id", F.coalesce(F.col("_n"), F.lit(0)).cast("bigint").alias("nb_citations")
+    key = f"{by}_id"
+    per_paper = edges_with_gap(edges, papers, gap).groupBy(F.col(key).alias("paper_id")).agg(
+        F.count(F.lit(1)).alias("nb_citations")
     )
+    return lookup_default(papers.select("paper_id"), per_paper, "paper_id", "nb_citations", 0, skew=False)

@@ -151,18 +151,25 @@ def test_year_semi_joins_get_runtime_bloom_filter(spark):
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
 
 
-def test_gap_counts_join_edges_once(spark):
-    """E2 attaches one year to each edge (one join), aggregates, and matches
-    the other year on (paper_id, year); the edge table takes part in one
-    join only, against two for the edge list E1."""
+def test_gap_count_reuses_join_partitioning(spark):
+    """E2 counts on the cited id right after the join on the cited id: the
+    aggregate adds no shuffle of its own (two edge joins, no third exchange
+    for the count)."""
     import re
 
-    def joins(name):
-        lp = QUERIES[name](spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
-        return re.findall(r"Join (\w+)", lp)
-
-    assert sorted(joins("gap_counts_cited")) == ["Inner", "LeftOuter"]
-    assert joins("edges_with_gap") == ["Inner", "Inner"]
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", None)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lp = QUERIES["gap_counts_cited"](spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
+        assert sorted(re.findall(r"Join (\w+)", lp)) == ["Inner", "Inner", "LeftOuter"]
+        text = plan_text(QUERIES["gap_counts_cited"](spark, SF001), "simple")
+        # between the final count and its partial count there is no Exchange
+        final_to_partial = text.split("functions=[count(1)]", 1)[1].split("functions=[partial_count(1)]", 1)[0]
+        assert "Exchange" not in final_to_partial
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old) if old else spark.conf.unset(
+            "spark.sql.autoBroadcastJoinThreshold"
+        )
 
 
 def test_shuffle_sizing_follows_input_size(spark, sf001_tables):
