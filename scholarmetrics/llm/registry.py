@@ -10,8 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scholarmetrics.llm import bpe
-from scholarmetrics.llm.common import load
+from scholarmetrics.llm import bpe, licenses, quality, sharding, warc
+from scholarmetrics.llm.common import cut, load
 
 #: Vocabulary of operator 1 (a parameter; never copied into the repository).
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -29,6 +29,46 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_byte_bpe": op1_byte_bpe}
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(load(spark, sf_dir, "documents").select("doc_id", "text"))
+    base, more = F.col("places.label"), F.col("matches.label")
+    label_list = lambda c: F.array_join(F.sort_array(F.array_distinct(c)), ",")
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("places").cast("long").alias("n_base"),
+        F.array_min("places.word").alias("first_word"),
+        F.array_max("places.word").alias("last_word"),
+        label_list(base).alias("base_labels"),
+        label_list(F.concat(base, more)).alias("labels"),
+        F.when(F.size("places") > 0, 1.0).otherwise(F.coalesce(F.array_max("matches.share"), F.lit(0.0))).alias("score"),
+    )
+
+
+def op3_quality_mcd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
+    rows = cut(quality.add_stats(docs).drop("text"))
+    return quality.judge(rows, quality.fit(rows)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance"
+    )
+
+
+def op4_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return sharding.shard(docs).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = warc.write(load(spark, sf_dir, "pages"))
+    return warc.read(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+QUERIES = {
+    "op1_byte_bpe": op1_byte_bpe,
+    "op2_license_scan": op2_license_scan,
+    "op3_quality_mcd": op3_quality_mcd,
+    "op4_minimax_shards": op4_minimax_shards,
+    "op10_warc": op10_warc,
+}
 
 ORACLE_SQL: dict[str, str] = {}
