@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scholarmetrics.llm import bpe, licenses, quality, sharding, warc
+from scholarmetrics.llm import bpe, licenses, neardup, quality, sharding, warc
 from scholarmetrics.llm.common import cut, load
 
 #: Vocabulary of operator 1 (a parameter; never copied into the repository).
@@ -58,6 +58,10 @@ def op4_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(docs).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
+def op6_bottomk_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.group(load(spark, sf_dir, "documents"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = warc.write(load(spark, sf_dir, "pages"))
     return warc.read(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -68,6 +72,7 @@ QUERIES = {
     "op2_license_scan": op2_license_scan,
     "op3_quality_mcd": op3_quality_mcd,
     "op4_minimax_shards": op4_minimax_shards,
+    "op6_bottomk_neardup": op6_bottomk_neardup,
     "op10_warc": op10_warc,
 }
 
