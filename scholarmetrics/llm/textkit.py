@@ -68,7 +68,7 @@ def flat(col) -> tuple[np.ndarray, np.ndarray]:
     return u8[off[0] : off[-1]], off - off[0]
 
 
-def blocks(offsets: np.ndarray, most: int = 4 * PIECE):
+def blocks(offsets: np.ndarray, most: int = 2 * PIECE):
     """Ranges of rows whose bytes add up to about ``most`` (one row at least)."""
     i, n = 0, len(offsets) - 1
     while i < n:
