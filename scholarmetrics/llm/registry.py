@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scholarmetrics.llm import bpe, licenses, neardup, quality, sharding, warc
+from scholarmetrics.llm import bpe, licenses, neardup, quality, sharding, suffixdedup, warc
 from scholarmetrics.llm.common import cut, load
 
 #: Vocabulary of operator 1 (a parameter; never copied into the repository).
@@ -62,6 +62,18 @@ def op6_bottomk_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.group(load(spark, sf_dir, "documents"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    return suffixdedup.dedup(docs).select(
+        "doc_id",
+        n_bytes.alias("n_bytes"),
+        (n_bytes - F.octet_length("kept")).alias("n_removed"),
+        F.coalesce(F.size("begins"), F.lit(0)).cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = warc.write(load(spark, sf_dir, "pages"))
     return warc.read(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -73,6 +85,7 @@ QUERIES = {
     "op3_quality_mcd": op3_quality_mcd,
     "op4_minimax_shards": op4_minimax_shards,
     "op6_bottomk_neardup": op6_bottomk_neardup,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op10_warc": op10_warc,
 }
 
