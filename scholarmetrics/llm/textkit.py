@@ -29,6 +29,10 @@ _LENGTH = _rng.integers(1, 2**64 - 1, 64, dtype=np.uint64)
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
+#: Bytes outside of words of ASCII letters and digits and other characters.
+IS_MARK = np.ones(256, bool)
+IS_MARK[48:58] = IS_MARK[65:91] = IS_MARK[97:123] = IS_MARK[128:] = False
+
 _powers = {}
 
 
@@ -78,10 +82,10 @@ def blocks(offsets: np.ndarray, most: int = 2 * PIECE):
         i = j
 
 
-def words(u8: np.ndarray, offsets: np.ndarray, code: np.ndarray = FOLDED_CODE):
+def words(u8: np.ndarray, offsets: np.ndarray, code: np.ndarray = FOLDED_CODE, blank: np.ndarray = IS_SPACE):
     """(64-bit hash of each word, index of the first word of each row).
 
-    A word is a run without white space inside one row.
+    A word is a run without ``blank`` bytes (white space) inside one row.
     """
     n = len(u8)
     out, first_at = [], []
@@ -89,14 +93,14 @@ def words(u8: np.ndarray, offsets: np.ndarray, code: np.ndarray = FOLDED_CODE):
     at = 0
     while at < n:
         end = min(n, at + PIECE)
-        while end < n:  # move on to a white-space byte, where no word is cut
-            hit = np.flatnonzero(IS_SPACE[u8[end : end + 65536]])
+        while end < n:  # move on to a blank byte, where no word is cut
+            hit = np.flatnonzero(blank[u8[end : end + 65536]])
             if len(hit):
                 end += int(hit[0])
                 break
             end = min(n, end + 65536)
         part = u8[at:end]
-        inside = ~IS_SPACE[part]
+        inside = ~blank[part]
         cuts = begins[np.searchsorted(begins, at) : np.searchsorted(begins, end)] - at
         is_start = inside.copy()
         is_start[1:] &= ~inside[:-1]
