@@ -28,9 +28,8 @@ tables in the shared folder, nothing of them reaches the driver.
 
 Cases: a null text or one without words has an empty set and is linked with nothing;
 fewer words than a shingle make one shingle; repeated ids are one document to link
-(each row keeps its own set size); rows with a null id are grouped by equal sets only
-if another row names the class, and else stay alone; empty tables give empty tables;
-input columns named like an output are replaced.
+(each row keeps its own set size); rows with a null id cannot be named, are linked with
+nothing and kept; empty tables give empty tables; ``group`` returns its own columns only.
 """
 
 from __future__ import annotations
@@ -221,5 +220,5 @@ def group(df: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold:
     # only classes of several rows or with links say more than the row itself
     labelled = cut(labelled.where((F.col("rows") > 1) | (F.col("comp") != F.col("cid"))).select(*key, "comp"))
     out = checked_join(rows.drop("sketch"), labelled, key, "left")
-    component = F.coalesce("comp", "doc_id")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))

@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scholarmetrics.llm import bpe, licenses, neardup, quality, sharding, suffixdedup, warc
+from scholarmetrics.llm import bpe, decontaminate, langid, licenses, neardup, perplexity, quality, sharding, suffixdedup, warc
 from scholarmetrics.llm.common import cut, load
 
 #: Vocabulary of operator 1 (a parameter; never copied into the repository).
@@ -58,10 +58,27 @@ def op4_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(docs).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
+def op5_bigru_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predict_held_out(load(spark, sf_dir, "documents"))
+
+
 def op6_bottomk_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.group(load(spark, sf_dir, "documents"))
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find(docs, load(spark, sf_dir, "benchmark")).drop("text")
+    share = F.transform("found", lambda x: x["shared"] / x["size"])
+    return found.select(
+        "doc_id",
+        F.size("found").cast("long").alias("n_items"),
+        F.col("found.item_id").alias("item_ids"),
+        F.coalesce(F.array_max(share), F.lit(0.0)).alias("containment"),
+        (F.size("found") == 0).alias("kept"),
+    )
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
@@ -74,6 +91,12 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    judged = perplexity.classify(docs, load(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "lang", "n_symbols", "perplexity", "threshold", "kept")
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = warc.write(load(spark, sf_dir, "pages"))
     return warc.read(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -84,8 +107,11 @@ QUERIES = {
     "op2_license_scan": op2_license_scan,
     "op3_quality_mcd": op3_quality_mcd,
     "op4_minimax_shards": op4_minimax_shards,
+    "op5_bigru_langid": op5_bigru_langid,
     "op6_bottomk_neardup": op6_bottomk_neardup,
+    "op7_decontaminate": op7_decontaminate,
     "op8_suffix_dedup": op8_suffix_dedup,
+    "op9_kneser_ney": op9_kneser_ney,
     "op10_warc": op10_warc,
 }
 
