@@ -1,16 +1,17 @@
 """The six tables of a bibliographic dump directory, read with S1.
 
-Each table is one file or a directory of part files, plain, gzip or bz2; the
-reader picks them up by name prefix (``Papers.tsv`` matches ``Papers.tsv``,
-``Papers.tsv.bz2`` and ``Papers.tsv.gz/part-*``).
+Each table is one file or a directory of part files, plain, gzip or bz2
+(``Papers.tsv``, ``Papers.tsv.bz2``, ``Papers.tsv.gz/part-*``).  A folder that
+holds a table twice, say plain and compressed, is an error, since reading both
+would count every row twice: the caller names the one to read.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from scholarmetrics.schemas import SCHEMAS, Tables
-from scholarmetrics.sources.tsv import read_tsv
+from scholarmetrics.sources.tsv import parse_lines, rejected_lines
 
 # File names of the dump, by logical table.
 DUMP_FILES = {
@@ -22,13 +23,39 @@ DUMP_FILES = {
     "authors": "Authors.tsv",
 }
 
-
-def dump_path(data_dir: str, table: str) -> str:
-    return f"{data_dir.rstrip('/')}/{DUMP_FILES[table]}*"
-
-
-def load_dump(spark: SparkSession, data_dir: str, mode: str = "failfast") -> Tables:
-    """All six tables of ``data_dir`` as typed DataFrames (full width)."""
-    return Tables(
-        **{name: read_tsv(spark, dump_path(data_dir, name), SCHEMAS[name], mode) for name in DUMP_FILES}
-    )
+#: Endings of the inputs that Spark's text reader decompresses by itself.
+SUFFIXES = ("", ".gz", ".bz2")
+
+
+def dump_path(spark: SparkSession, data_dir: str, table: str, name: str | None = None) -> str:
+    """The one input of ``table``: ``name`` in ``data_dir``, or the only file or
+    folder with the table's fixed name.  The names are listed by the folder's own
+    Hadoop file system."""
+    base = data_dir.rstrip("/")
+    if name is not None:
+        return f"{base}/{name}"
+    known = [DUMP_FILES[table] + s for s in SUFFIXES]
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/{DUMP_FILES[table]}*")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+    there = sorted({s.getPath().getName() for s in found} & set(known))
+    if len(there) != 1:
+        what = "no input" if not there else f"several inputs ({', '.join(there)})"
+        raise ValueError(f"{what} for table {table} in {base}; name one of {known}")
+    return f"{base}/{there[0]}"
+
+
+def load_dump(
+    spark: SparkSession, data_dir: str, mode: str = "failfast", files: dict[str, str] | None = None
+) -> Tables:
+    """All six tables of ``data_dir`` as typed DataFrames (full width).  ``files``
+    names the input of a table that the folder holds more than once."""
+    return load_dump_with_rejects(spark, data_dir, mode, files)[0]
+
+
+def load_dump_with_rejects(
+    spark: SparkSession, data_dir: str, mode: str = "permissive", files: dict[str, str] | None = None
+) -> tuple[Tables, dict[str, DataFrame]]:
+    """The tables, and per table its short lines and lines with unparsable values."""
+    lines = {n: spark.read.text(dump_path(spark, data_dir, n, (files or {}).get(n))) for n in DUMP_FILES}
+    tables = Tables(**{n: parse_lines(df, SCHEMAS[n], mode) for n, df in lines.items()})
+    return tables, {n: rejected_lines(df, SCHEMAS[n]) for n, df in lines.items()}

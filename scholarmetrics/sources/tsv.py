@@ -6,12 +6,20 @@ data, and trailing empty fields are kept.  ``spark.read.csv`` gets both wrong
 ``spark.read.text`` and split with ``split(value, '\\t', -1)``.  Hadoop's text
 input decompresses ``.gz`` and ``.bz2`` by extension; ``.bz2`` stays splittable.
 
+A line is rejected only if it has too few fields.  A value that does not parse
+as its column's type becomes NULL and the row stays, because most operators
+never use that column: the ones that do decide (a year filter drops NULL, a
+position credit of NULL stays NULL).
+
 Modes:
 
-- ``failfast``   a short line, or a value that does not parse as its type,
-                 raises when the job runs (what the positional reader did).
-- ``permissive`` such lines are dropped; ``read_tsv_with_rejects`` returns them
-                 in a second DataFrame so they can be counted.
+- ``failfast``   a short line raises when the job runs (what the positional
+                 reader did).
+- ``permissive`` short lines are dropped.
+
+``read_tsv_with_rejects`` also returns every short line and every line with an
+unparsable value, with the reason and whether the row was kept, so that they can
+be counted.  ``parse_lines`` is the same on any DataFrame of lines.
 """
 
 from __future__ import annotations
@@ -23,41 +31,60 @@ from pyspark.sql import types as T
 MODES = ("failfast", "permissive")
 
 
-def _parsed_columns(schema: T.StructType) -> tuple[list[Column], Column]:
-    """Typed columns from the ``_f`` array plus a validity predicate."""
-    fields = F.col("_f")
+def _typed(schema: T.StructType) -> tuple[list[Column], list[Column]]:
+    """Typed columns from the ``_f`` array, and the name of each column whose text is
+    not empty but does not parse (NULL otherwise)."""
     cols: list[Column] = []
-    checks: list[Column] = [F.size(fields) >= F.lit(len(schema.fields))]
+    unparsed: list[Column] = []
     for i, f in enumerate(schema.fields):
-        raw = F.get(fields, i)
+        raw = F.get(F.col("_f"), i)
         if isinstance(f.dataType, T.StringType):
             cols.append(raw.alias(f.name))
             continue
         typed = F.expr(f"try_cast(get(_f, {i}) AS {f.dataType.simpleString()})")
         cols.append(typed.alias(f.name))
-        checks.append(typed.isNotNull())
-    ok = checks[0]
-    for c in checks[1:]:
-        ok = ok & c
-    return cols, ok
+        unparsed.append(F.when(typed.isNull() & (raw != ""), F.lit(f.name)))
+    return cols, unparsed
 
 
-def _split(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    lines = spark.read.text(paths)
+def _split(lines: DataFrame) -> DataFrame:
     # A blank line is no record (textFile yields '' for it, split gives ['']);
     # keep it so failfast reports it, drop it in permissive mode below.
     return lines.select(F.split(F.col("value"), "\t", -1).alias("_f"), F.col("value"))
 
 
+def parse_lines(lines: DataFrame, schema: T.StructType, mode: str = "failfast") -> DataFrame:
+    """Rows with ``schema``'s names and types from a DataFrame of lines (``value``)."""
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
+    cols, _ = _typed(schema)
+    whole = F.size("_f") >= F.lit(len(schema.fields))
+    if mode == "failfast":
+        # raise_error is evaluated per row inside the JVM, so the job fails on
+        # the first short line just as an IndexError would
+        error = F.raise_error(F.concat(F.lit("malformed TSV line: "), F.col("value")))
+        whole = F.when(whole, F.lit(True)).otherwise(error)
+    return _split(lines).filter(whole).select(*cols)
+
+
+def rejected_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """``(line, reason, kept)`` of short lines and of lines with unparsable values."""
+    _, unparsed = _typed(schema)
+    short = F.size("_f") < F.lit(len(schema.fields))
+    reason = F.concat_ws(",", *unparsed) if unparsed else F.lit("")
+    return (
+        _split(lines)
+        .select(F.col("value").alias("line"), F.when(short, F.lit("short line")).otherwise(reason).alias("reason"), (~short).alias("kept"))
+        .filter(F.col("reason") != "")
+    )
+
+
 def read_tsv_with_rejects(
     spark: SparkSession, paths: str | list[str], schema: T.StructType
 ) -> tuple[DataFrame, DataFrame]:
-    """(parsed rows, rejected raw lines) — both lazy, one scan each."""
-    cols, ok = _parsed_columns(schema)
-    split = _split(spark, paths).withColumn("_ok", ok)
-    good = split.filter(F.col("_ok")).select(*cols)
-    bad = split.filter(~F.col("_ok")).select(F.col("value").alias("line"))
-    return good, bad
+    """(parsed rows, rejects) - both lazy, one scan each."""
+    lines = spark.read.text(paths)
+    return parse_lines(lines, schema, "permissive"), rejected_lines(lines, schema)
 
 
 def read_tsv(
@@ -67,15 +94,4 @@ def read_tsv(
     mode: str = "failfast",
 ) -> DataFrame:
     """Positional TSV -> DataFrame with ``schema``'s names and types."""
-    if mode not in MODES:
-        raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
-    cols, ok = _parsed_columns(schema)
-    split = _split(spark, paths)
-    if mode == "permissive":
-        return split.filter(ok).select(*cols)
-    # failfast: raise_error is evaluated per row inside the JVM, so the job
-    # fails on the first malformed line just as an IndexError/ValueError would.
-    guarded = F.when(ok, F.lit(True)).otherwise(
-        F.raise_error(F.concat(F.lit("malformed TSV line: "), F.col("value")))
-    )
-    return split.filter(guarded).select(*cols)
+    return parse_lines(spark.read.text(paths), schema, mode)

@@ -23,6 +23,7 @@ PAPER_LINES = [
     'P2\t"quoted\tb\t2012\tc4\tc5\tc6\ticml\tc8\tc9\tc10',  # a lone quote is data
     "P3\ta\tb\t\tc4\tc5\tc6\tV\tc8\tc9\tc10",  # blank year
     "P4\ta\tb",  # short line
+    "P5\ta\tb\t20x2\tc4\tc5\tc6\tV\tc8\tc9\tc10",  # a year that does not parse
 ]
 
 
@@ -45,12 +46,15 @@ def dump(tmp_path):
 def test_permissive_reads_exact_fields(spark, dump):
     good, bad = read_tsv_with_rejects(spark, dump, PAPERS)
     rows = {r.paper_id: r for r in good.collect()}
-    assert set(rows) == {"P1", "P2"}
+    rejects = {r.line.split("\t")[0]: (r.reason, r.kept) for r in bad.collect()}
+    # only the short line is dropped; a blank or unparsable year is NULL, its row stays
+    assert rejects == {"P4": ("short line", False), "P5": ("year", True)}
+    assert set(rows) == {"P1", "P2", "P3", "P5"}
+    assert rows["P3"].year is None and rows["P5"].year is None
     assert rows["P1"].c10 == ""  # kept, not NULL
     assert rows["P2"].c1 == '"quoted' and rows["P2"].c2 == "b"
     assert rows["P1"].year == 2012 and rows["P1"].venue_key == "ICML"
-    assert sorted(r.line.split("\t")[0] for r in bad.collect()) == ["P3", "P4"]
-    assert read_tsv(spark, dump, PAPERS, mode="permissive").count() == 2
+    assert read_tsv(spark, dump, PAPERS, mode="permissive").count() == len(rows)
 
 
 def test_failfast_raises(spark, dump):
@@ -62,8 +66,15 @@ def test_author_position_blank_and_zero(spark, tmp_path):
     p = tmp_path / "paa.tsv"
     _write(p, ["X1\tA\tF\tc3\tc4\t1", "X2\tA\tF\tc3\tc4\t", "X3\tA\tF\tc3\tc4\t0"])
     good, bad = read_tsv_with_rejects(spark, str(p), PAPER_AUTHORS)
-    assert sorted(r.author_seq for r in good.collect()) == [0, 1]
-    assert bad.count() == 1
+    # the blank position is NULL and stays; a blank is no unparsable value
+    assert sorted((r.paper_id, r.author_seq) for r in good.collect()) == [("X1", 1), ("X2", None), ("X3", 0)]
+    assert bad.count() == 0
+    # a link without a position still counts for the affiliation
+    from scholarmetrics.operators.weights import affiliation_weights
+
+    pc = spark.createDataFrame([("X1", 5), ("X2", 7)], "paper_id string, nb_citations bigint")
+    strict = read_tsv(spark, str(p), PAPER_AUTHORS, mode="failfast")
+    assert [(r.affiliation_id, r.weight) for r in affiliation_weights(pc, strict).collect()] == [("F", 12)]
     # position 0 raises where the credit 1/seq is taken (ANSI division by zero)
     from scholarmetrics.functions.expressions import position_credit
 
@@ -190,3 +201,32 @@ def test_cli_gap_features_all(spark, tmp_path):
     edges = spark.read.parquet(f"{out}/gap_edges")
     # the gap counts are the per-cited-paper counts of the gap edges
     assert gc.agg(F.sum("nb_citations")).first()[0] == edges.count()
+
+
+def test_a_table_that_lies_there_twice_is_not_read_twice(spark, tmp_path):
+    from scholarmetrics.sources.dump import DUMP_FILES, load_dump, load_dump_with_rejects
+
+    for name in DUMP_FILES.values():
+        _write(tmp_path / name, [])
+    lines = ["A\tB", "C\tB", "D\tA", "short"]
+    _write(tmp_path / "PaperReferences.tsv", lines)
+    _write(tmp_path / "PaperReferences.tsv.bz2", lines, bz2.open)
+    _write(tmp_path / "PaperReferences.tsv.md5", ["not a table"])
+    with pytest.raises(ValueError, match="several inputs.*PaperReferences.tsv.bz2"):
+        load_dump(spark, str(tmp_path))
+    files = {"paper_references": "PaperReferences.tsv.bz2"}
+    tables, rejects = load_dump_with_rejects(spark, str(tmp_path), files=files)
+    counts = tables.paper_references.groupBy("cited_id").count().collect()
+    assert {r.cited_id: r["count"] for r in counts} == {"B": 2, "A": 1}
+    assert [(r.line, r.reason, r.kept) for r in rejects["paper_references"].collect()] == [("short", "short line", False)]
+    assert load_dump(spark, str(tmp_path), mode="permissive", files=files).paper_references.count() == 3
+    with pytest.raises(ValueError, match="no input for table papers"):
+        load_dump(spark, str(tmp_path / "nowhere"))
+
+
+def test_materialize_without_a_folder_warns(spark, monkeypatch):
+    from scholarmetrics.sources import tables
+
+    monkeypatch.setattr(tables, "checkpoint_dir", lambda s: None)
+    with pytest.warns(UserWarning, match="spark.checkpoint.dir"):
+        assert tables.materialize(spark.range(3)).count() == 3
