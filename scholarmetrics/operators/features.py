@@ -36,11 +36,16 @@ def _mean_per_paper(
     return j.groupBy("paper_id").agg(F.avg(F.coalesce(F.col("_w"), F.lit(0.0))).alias(out))
 
 
-def paper_venue_feature(papers: DataFrame, vw: DataFrame, venue_col: str = "venue_key") -> DataFrame:
+def paper_venue_feature(
+    papers: DataFrame, vw: DataFrame, venue_col: str = "venue_key", detect_on: DataFrame | None = None
+) -> DataFrame:
     """One row per paper, the weight of its lower-cased venue (0.0 when the
     venue has no positive weight)."""
     p = papers.select("paper_id", venue_key(venue_col, True).alias("venue"))
-    return lookup_default(p, _weights(vw, "venue"), "venue", "_w", 0.0).select(
+    return lookup_default(
+        p, _weights(vw, "venue"), "venue", "_w", 0.0, detect_on=papers if detect_on is None else detect_on,
+        detect_key=venue_col,
+    ).select(
         "paper_id", F.col("_w").alias("venue_weight")
     )
 
@@ -99,7 +104,7 @@ def paper_author_sum(paa: DataFrame, aw: DataFrame, labels: DataFrame) -> DataFr
     inner-joined to the labels: ``(paper_id, nb_citations, author_weight)``."""
     links = non_blank(paa, "author_id").select("author_id", "paper_id")
     w = aw.select("author_id", F.col("weight").cast("double").alias("_w"))
-    s = skew_join(links, w, "author_id", "inner").groupBy("paper_id").agg(F.sum("_w").alias("author_weight"))
+    s = skew_join(links, w, "author_id", "inner", detect_on=paa).groupBy("paper_id").agg(F.sum("_w").alias("author_weight"))
     return _label(labels).join(s, "paper_id", "inner")
 
 
@@ -108,7 +113,7 @@ def paper_affiliation_sum(paa: DataFrame, fw: DataFrame, labels: DataFrame) -> D
     labelled paper with that sum or 0.0."""
     links = non_blank(paa, "affiliation_id").select("affiliation_id", "paper_id")
     w = fw.select("affiliation_id", F.col("weight").cast("double").alias("_w"))
-    s = skew_join(links, w, "affiliation_id", "inner").groupBy("paper_id").agg(F.sum("_w").alias("_s"))
+    s = skew_join(links, w, "affiliation_id", "inner", detect_on=paa).groupBy("paper_id").agg(F.sum("_w").alias("_s"))
     return lookup_default(_label(labels), s, "paper_id", "_s", 0.0, out="affiliation_weight", skew=False)
 
 
@@ -118,7 +123,7 @@ def paper_field_sum(kw: DataFrame, sw: DataFrame, labels: DataFrame) -> DataFram
     links = kw.select("fos_id", "paper_id")
     w = sw.select("fos_id", F.col("weight").cast("double").alias("_w"))
     s = (
-        lookup_default(links, w, "fos_id", "_w", 0.0)
+        lookup_default(links, w, "fos_id", "_w", 0.0, detect_on=kw)
         .groupBy("paper_id")
         .agg(F.sum("_w").alias("_s"))
     )
@@ -129,7 +134,7 @@ def paper_venue_sum(papers: DataFrame, vw: DataFrame, labels: DataFrame, venue_c
     """The raw venue's weight per paper (inner), inner-joined to the labels."""
     p = papers.select(F.col(venue_col).alias("venue"), "paper_id")
     w = vw.select("venue", F.col("weight").cast("double").alias("_w"))
-    s = skew_join(p, w, "venue", "inner").groupBy("paper_id").agg(F.sum("_w").alias("venue_weight"))
+    s = skew_join(p, w, "venue", "inner", detect_on=papers, detect_key=venue_col).groupBy("paper_id").agg(F.sum("_w").alias("venue_weight"))
     return _label(labels).join(s, "paper_id", "inner")
 
 

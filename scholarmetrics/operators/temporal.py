@@ -25,7 +25,8 @@ def gap_counts(edges: DataFrame, papers: DataFrame, gap: int = 3, by: str = "cit
     ``gap`` years older.
 
     Plan: the two year joins of E1, then a count on the cited id, which
-    reuses the second join's partitioning, so no third shuffle is needed.  A
+    reuses the second join's partitioning, so no third shuffle is needed (where AQE
+    splits a hot cited paper's partition, the count combines before its own).  A
     one-join variant (year of the other end, count per ``(paper, year)``,
     join on both) was measured and dropped.  Its aggregate shuffle is nearly
     as large as the edge shuffle it replaces: a paper's citations in one

@@ -7,8 +7,8 @@ credited twice (no distinct).
 Sum weights (W1-W7) keep every entity of the link table: a link whose paper is
 not a cited paper of ``pc`` contributes 0, so entities without citations stay
 with weight 0.  Mean weights (W8-W11) join the links to the counts with an
-inner join and average.  W8 and W9 come from one such join, exploded per
-kind (``link_mean_weights``), so the link table is shuffled once for both.
+inner join and average.  Where both W8 and W9 are needed they come from one such
+join, exploded per kind (``link_mean_weights``), so the link table is shuffled once.
 
 Plan shape of the sum weights: the link rows of *cited* papers are
 inner-joined to the per-paper counts.  Entities are kept whole by a union with
@@ -17,7 +17,8 @@ per entity follows.  Only the links of cited papers take part in a join, so
 the link table is never shuffled whole by ``paper_id``.  The inner join is
 eligible for Spark's runtime bloom filter when the counts cover a small
 subset, such as one year.  A paper holding a large share of the link rows is
-split off by ``skew_join``; the aggregate absorbs a hot entity.
+salted by ``skew_join``; the aggregate absorbs a hot entity.  ``detect_on`` is
+always the whole link table, whose hot keys are found once per session.
 """
 
 from __future__ import annotations
@@ -36,14 +37,16 @@ def _cited(pc: DataFrame, count_col: str = "nb_citations") -> DataFrame:
     return cited_only(pc, count_col).select("paper_id", F.col(count_col).alias("_nb"))
 
 
-def _credited_sum(links: DataFrame, entity: str, pc: DataFrame, value, zero, keep_zero: bool = True) -> DataFrame:
+def _credited_sum(
+    links: DataFrame, entity: str, pc: DataFrame, value, zero, keep_zero: bool, table: DataFrame
+) -> DataFrame:
     """Σ ``value`` per ``entity`` over the links of cited papers of ``pc``;
     entities whose links all miss get the sum of ``zero`` (0).
 
     ``keep_zero=False`` leaves those entities out.  Use it when the caller
     keeps only positive weights anyway (F8): the table of all links is then
     never read whole."""
-    hit = skew_join(links, _cited(pc), "paper_id", "inner").select(entity, value.alias("_v"))
+    hit = skew_join(links, _cited(pc), "paper_id", "inner", detect_on=table).select(entity, value.alias("_v"))
     if keep_zero:
         hit = hit.unionByName(links.select(entity, zero.alias("_v")))
     return hit.groupBy(entity).agg(F.sum("_v").alias("weight"))
@@ -63,14 +66,14 @@ def author_weights(
     links = non_blank(paa, "author_id").select("paper_id", "author_id", "author_seq")
     if credit == "full":
         return _credited_sum(
-            links, "author_id", pc, F.col("_nb").cast("bigint"), F.lit(0).cast("bigint"), keep_zero
+            links, "author_id", pc, F.col("_nb").cast("bigint"), F.lit(0).cast("bigint"), keep_zero, paa
         )
     # the zero branch also takes 1/seq, so a position 0 fails on every link
     # row, as the original's credit did (and a NULL position stays NULL)
     credit_col = position_credit("author_seq")
     return _credited_sum(
         links, "author_id", pc, F.col("_nb").cast("double") * credit_col,
-        F.when(credit_col.isNotNull(), F.lit(0.0)), keep_zero,
+        F.when(credit_col.isNotNull(), F.lit(0.0)), keep_zero, paa,
     )
 
 
@@ -85,7 +88,7 @@ def affiliation_weights(
         raise ValueError("require must be 'affiliation' or 'author'")
     links = non_blank(paa, f"{require}_id").select("paper_id", "affiliation_id")
     return _credited_sum(
-        links, "affiliation_id", pc, F.col("_nb").cast("bigint"), F.lit(0).cast("bigint"), keep_zero
+        links, "affiliation_id", pc, F.col("_nb").cast("bigint"), F.lit(0).cast("bigint"), keep_zero, paa
     )
 
 
@@ -105,7 +108,7 @@ def field_weights(pc: DataFrame, kw: DataFrame, keep_zero: bool = True) -> DataF
     """``Σ nb_citations`` per field over all keyword rows (misses 0, so
     fields without citations stay with 0)."""
     links = kw.select("paper_id", "fos_id")
-    return _credited_sum(links, "fos_id", pc, F.col("_nb").cast("bigint"), F.lit(0).cast("bigint"), keep_zero)
+    return _credited_sum(links, "fos_id", pc, F.col("_nb").cast("bigint"), F.lit(0).cast("bigint"), keep_zero, kw)
 
 
 # --- mean weights over a (gap-limited) count table c3(paper_id, nb_citations) ---
@@ -127,7 +130,7 @@ def link_mean_weights(c3: DataFrame, paa: DataFrame) -> DataFrame:
     W8 and W9 taken from this frame share the join and its shuffle of the
     link table (``ReusedExchange``)."""
     links = paa.select("paper_id", "author_id", "affiliation_id", "author_seq")
-    j = skew_join(links, _counts(c3), "paper_id", "inner")
+    j = skew_join(links, _counts(c3), "paper_id", "inner", detect_on=paa)
     v = position_credit("author_seq") * F.col("_nb")
     pairs = F.explode(
         F.array(
@@ -139,25 +142,33 @@ def link_mean_weights(c3: DataFrame, paa: DataFrame) -> DataFrame:
     return non_blank(e, "entity").groupBy("kind", "entity").agg(F.avg("v").alias("weight"))
 
 
+def _mean_weights(c3: DataFrame, paa: DataFrame, entity: str) -> DataFrame:
+    """Mean of ``nb / author_seq`` per entity over its non-blank links."""
+    links = non_blank(paa, entity).select("paper_id", entity, "author_seq")
+    j = skew_join(links, _counts(c3), "paper_id", "inner", detect_on=paa)
+    return j.groupBy(entity).agg(F.avg(position_credit("author_seq") * F.col("_nb")).alias("weight"))
+
+
 def author_mean_weights(c3: DataFrame, paa: DataFrame, shared: DataFrame | None = None) -> DataFrame:
     """Per author, mean over inner-joined links of ``nb / author_seq``.
-    ``shared``: a ``link_mean_weights`` frame to take it from."""
-    m = shared if shared is not None else link_mean_weights(c3, paa)
-    return m.filter(F.col("kind") == "author").select(F.col("entity").alias("author_id"), "weight")
+    ``shared``: a ``link_mean_weights`` frame to take it from; alone, the blank
+    filter reaches the scan and only this entity's column is shuffled."""
+    if shared is None:
+        return _mean_weights(c3, paa, "author_id")
+    return shared.filter(F.col("kind") == "author").select(F.col("entity").alias("author_id"), "weight")
 
 
 def affiliation_mean_weights(c3: DataFrame, paa: DataFrame, shared: DataFrame | None = None) -> DataFrame:
     """Per affiliation, mean of ``nb / author_seq`` over links with a
     non-blank affiliation.  ``shared`` as for ``author_mean_weights``."""
-    m = shared if shared is not None else link_mean_weights(c3, paa)
-    return m.filter(F.col("kind") == "affiliation").select(
-        F.col("entity").alias("affiliation_id"), "weight"
-    )
+    if shared is None:
+        return _mean_weights(c3, paa, "affiliation_id")
+    return shared.filter(F.col("kind") == "affiliation").select(F.col("entity").alias("affiliation_id"), "weight")
 
 
 def field_mean_weights(c3: DataFrame, kw: DataFrame) -> DataFrame:
     """Per field, mean of ``nb`` over keyword rows (inner join)."""
-    j = skew_join(kw.select("paper_id", "fos_id"), _counts(c3), "paper_id", "inner")
+    j = skew_join(kw.select("paper_id", "fos_id"), _counts(c3), "paper_id", "inner", detect_on=kw)
     return j.groupBy("fos_id").agg(F.avg("_nb").alias("weight"))
 
 

@@ -93,7 +93,8 @@ def main(argv: list[str]) -> int:
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     only = set(argv[2:])
     sys.path.insert(0, os.getcwd())
-    from __spark_entry__ import oracle_sql, queries
+    from scholarmetrics.plans.catalog import QUERIES
+    from scholarmetrics.plans.oracle import ORACLE_SQL
 
     spark = (
         SparkSession.builder.master("local[8]")
@@ -104,11 +105,11 @@ def main(argv: list[str]) -> int:
     )
     spark.sparkContext.setLogLevel("ERROR")
     if force_split:
-        # every skew_join samples its probe; keys above 5/200 of the rows split
+        # keys above 5/200 of the rows are salted
         for k, v in SPLIT_CONF.items():
             spark.conf.set(k, v)
     con = duck_connection(sf_dir)
-    qs, sqls = queries(), oracle_sql()
+    qs, sqls = QUERIES, ORACLE_SQL
     bad = 0
     for name in sorted(qs):
         if only and name not in only:

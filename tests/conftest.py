@@ -36,3 +36,16 @@ def sf001_tables(spark):
     from scholarmetrics.sources.fixtures import load_tables
 
     return load_tables(spark, SF001)
+
+
+@pytest.fixture
+def split_conf(spark):
+    """Session settings under which the fixture's frequent keys count as hot."""
+    from scholarmetrics.plans.compare import SPLIT_CONF
+
+    old = {k: spark.conf.get(k, None) for k in SPLIT_CONF}
+    for k, v in SPLIT_CONF.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
