@@ -26,12 +26,18 @@ from scholarmetrics.operators import model as M
 from scholarmetrics.plans.sizing import size_shuffles
 from scholarmetrics.plans.workflows import GapFeatures, YearFeatures
 from scholarmetrics.sources import load_dump, load_tables, write_table, write_tsv
+from scholarmetrics.sources.tables import materialize
 
 
 def _tables(spark: SparkSession, args):
     if args.fixture:
         return load_tables(spark, args.fixture)
-    return load_dump(spark, args.data, mode=args.mode)
+    return load_dump(spark, args.data, mode=args.mode, files=dict(f.split("=", 1) for f in args.file))
+
+
+def _gap(t, args, **kw) -> GapFeatures:
+    """The raw venue is source column 5 of a dump; the fixture has only the key."""
+    return GapFeatures(t, gap=args.gap, cap=args.cap, venue_col="venue_key" if args.fixture else "c5", **kw)
 
 
 def _write(df: DataFrame, args) -> None:
@@ -54,6 +60,8 @@ def build_parser() -> argparse.ArgumentParser:
     src.add_argument("--data", help="dump directory (Papers.tsv*, PaperReferences.tsv*, ...)")
     src.add_argument("--fixture", help="directory of the driver parquet tables")
     p.add_argument("--mode", default="failfast", choices=["failfast", "permissive"])
+    p.add_argument("--file", action="append", default=[], metavar="TABLE=NAME", help="input of a table that --data holds more than once")
+    p.add_argument("--table", default="features", choices=["features", "author-sum", "field-sum"], help="fit: the year's features or a table of the gap variant")
     p.add_argument("--out", help="output path (must not exist)")
     p.add_argument("--format", default="tsv", choices=["tsv", "parquet"])
     p.add_argument("--year", type=int)
@@ -74,7 +82,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     t = _tables(spark, args)
     # shuffle partitions from the largest input, unless set at launch
     size_shuffles(spark, [t.paper_references, t.paper_authors, t.paper_keywords, t.papers])
-    if args.job in ("papers-with-counts", "extract-features", "features", "fit") and args.year is None:
+    if args.year is None and (
+        args.job in ("papers-with-counts", "extract-features", "features") or (args.job == "fit" and args.table == "features")
+    ):
         raise SystemExit("--year is required for this job")
     if args.job == "citation-counts":
         _write(A.citation_counts(t.paper_references), args)
@@ -95,15 +105,21 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         _write(YearFeatures(t, args.year).merged, args)
     elif args.job == "gap-features":
         if args.all:
-            build = GapFeatures(t, gap=args.gap, cap=args.cap, materialize_counts=True)
+            build = _gap(t, args, materialize_counts=True)
             base = args.out.rstrip("/")
             for name, df in build.outputs().items():
                 _write(df, argparse.Namespace(**{**vars(args), "out": f"{base}/{name}"}))
         else:
-            _write(GapFeatures(t, gap=args.gap, cap=args.cap).combined, args)
+            _write(_gap(t, args, materialize_counts=True).combined, args)
     elif args.job == "fit":
-        feats = list(X.FEATURE_COLUMNS)
-        frame = M.prepare(YearFeatures(t, args.year).merged, "nb_citations", feats, fill=0.0)
+        if args.table == "features":
+            feats, table = list(X.FEATURE_COLUMNS), YearFeatures(t, args.year).merged
+        elif args.table == "author-sum":
+            feats, table = ["author_weight"], _gap(t, args).author_sum
+        else:
+            feats, table = ["field_weight"], _gap(t, args).field_sum
+        # training and test rows come from one evaluation of the table
+        frame = materialize(M.prepare(table, "nb_citations", feats, fill=0.0))
         if args.normalize:
             frame = M.normalize(frame, feats)
         train, test = M.split_train_test(frame)

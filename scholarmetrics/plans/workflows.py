@@ -8,13 +8,14 @@ entity weights and the merged per-paper feature table (X9).
 ``gap`` years after publication, mean entity weights over those counts
 (W8-W11), per-paper weight sums (X5-X8) and their inner merge (X10).
 
-Both are lazy: attributes are DataFrames and nothing runs until an action.
-When several outputs are needed from one workflow (the original wrote every
-step to disk), ``materialize_counts=True`` checkpoints the per-paper counts to
-the session's shared checkpoint folder, because every later step reads them.
-Inside a single query plan Spark already reuses identical shuffle stages
-(``ReusedExchange``), so a single ``merged`` / ``combined`` query needs no
-materialisation.
+Attributes are DataFrames.  Building one may run the hot-key profile of a base
+table (one sampled job per table and session, ``operators.skew``); the result
+itself is computed by the caller's action.  ``materialize_counts=True``
+checkpoints the tables that several others read to the session's shared
+checkpoint folder, which runs them: the per-paper counts, and in the gap variant
+the gap counts (two edge joins) and the four weight tables as well.  Checkpoint
+files live as long as the folder does (Spark removes them with
+``spark.cleaner.referenceTracking.cleanCheckpoints``).
 """
 
 from __future__ import annotations
@@ -30,7 +31,6 @@ from scholarmetrics.operators import features as X
 from scholarmetrics.operators import weights as W
 from scholarmetrics.operators.counts import papers_with_counts
 from scholarmetrics.operators.links import authorships_of, citations_to
-from scholarmetrics.operators.skew import skew_join
 from scholarmetrics.operators.temporal import edges_with_gap, gap_counts
 from scholarmetrics.schemas import Tables
 from scholarmetrics.sources.tables import materialize
@@ -45,7 +45,8 @@ class YearFeatures:
 
     @cached_property
     def papers(self) -> DataFrame:
-        return papers_of_year(self.tables.papers.select("paper_id", "year", "venue_key"), self.year)
+        """All columns of the papers table; Catalyst prunes those a step never reads."""
+        return papers_of_year(self.tables.papers, self.year)
 
     @cached_property
     def citations(self) -> DataFrame:
@@ -78,19 +79,23 @@ class YearFeatures:
 
     @cached_property
     def venue_feature(self) -> DataFrame:
-        return X.paper_venue_feature(self.papers, self.venue_weights)
+        return X.paper_venue_feature(self.papers, self.venue_weights, detect_on=self.tables.papers)
 
     @cached_property
     def author_feature(self) -> DataFrame:
-        return X.paper_author_feature(self.authorships, self.author_weights)
+        return X.paper_author_feature(self.authorships, self.author_weights, detect_on=self.tables.paper_authors)
 
     @cached_property
     def affiliation_feature(self) -> DataFrame:
-        return X.paper_affiliation_feature(self.authorships, self.affiliation_weights)
+        return X.paper_affiliation_feature(
+            self.authorships, self.affiliation_weights, detect_on=self.tables.paper_authors
+        )
 
     @cached_property
     def field_feature(self) -> DataFrame:
-        return X.paper_field_feature(self.tables.paper_keywords, self.field_weights)
+        return X.paper_field_feature(
+            self.tables.paper_keywords, self.field_weights, detect_on=self.tables.paper_keywords
+        )
 
     def outputs(self) -> dict[str, DataFrame]:
         """The year build's intermediate tables, by name: papers of the year,
@@ -122,7 +127,7 @@ class YearFeatures:
         queries themselves still fail on it."""
         cited = cited_only(self.counts).select("paper_id", "year", "venue_key")
         links = authorships_of(self.tables.paper_authors, cited)
-        kw = skew_join(self.tables.paper_keywords, cited.select("paper_id"), "paper_id", "left_semi")
+        kw = self.tables.paper_keywords.join(cited.select("paper_id"), "paper_id", "left_semi")
         # The features keep positive weights only (F8), so the zero-weight
         # entities of W2/W3/W7 are not needed.  Only links of cited papers
         # are read for the weights; the link tables are never read whole.
@@ -136,7 +141,7 @@ class YearFeatures:
             self.counts,
             X.paper_author_feature(links, aw, detect_on=paa),
             X.paper_affiliation_feature(links, fw, detect_on=paa),
-            X.paper_venue_feature(cited, self.venue_weights),
+            X.paper_venue_feature(cited, self.venue_weights, detect_on=self.tables.papers),
             X.paper_field_feature(kw, sw, detect_on=kws),
         )
 
@@ -148,45 +153,54 @@ class GapFeatures:
     by: str = "cited"
     cap: int | None = None
     materialize_counts: bool = False
+    #: The raw venue: source column 5 of a dump (``c5``), ``venue_key`` of the fixture.
+    venue_col: str = "venue_key"
+
+    def _kept(self, df: DataFrame) -> DataFrame:
+        return materialize(df) if self.materialize_counts else df
 
     @cached_property
     def total_counts(self) -> DataFrame:
         """Every paper with its total citation count, below ``cap`` if one is set
         (F14), with its year (J7): ``(paper_id, nb_citations, year)``."""
-        p = self.tables.papers.select("paper_id", "year", "venue_key")
+        p = self.tables.papers.select("paper_id", "year")
         pc = papers_with_counts(p, self.tables.paper_references, restrict_edges=False)
         if self.cap is not None:
             pc = below_cap(pc, self.cap)
         # The counts already carry the year, so J7's join back to the papers
         # (needed when the counts come from a file without it) is skipped.
         out = pc.select("paper_id", "nb_citations", "year")
-        return materialize(out) if self.materialize_counts else out
+        return self._kept(out)
 
     @cached_property
     def gap_counts(self) -> DataFrame:
         """E2/E3 over the (capped) paper set: ``(paper_id, nb_citations)``."""
-        return gap_counts(self.tables.paper_references, self.total_counts, self.gap, self.by)
+        return self._kept(gap_counts(self.tables.paper_references, self.total_counts, self.gap, self.by))
 
     @cached_property
     def link_weights(self) -> DataFrame:
         """W8 and W9 from one join of the links to the gap counts."""
-        return W.link_mean_weights(self.gap_counts, self.tables.paper_authors)
+        return self._kept(W.link_mean_weights(self.gap_counts, self.tables.paper_authors))
+
+    def _shared(self) -> DataFrame | None:
+        """One link join for both only where both are kept; alone, each is direct."""
+        return self.link_weights if self.materialize_counts else None
 
     @cached_property
     def author_weights(self) -> DataFrame:
-        return W.author_mean_weights(self.gap_counts, self.tables.paper_authors, shared=self.link_weights)
+        return W.author_mean_weights(self.gap_counts, self.tables.paper_authors, shared=self._shared())
 
     @cached_property
     def affiliation_weights(self) -> DataFrame:
-        return W.affiliation_mean_weights(self.gap_counts, self.tables.paper_authors, shared=self.link_weights)
+        return W.affiliation_mean_weights(self.gap_counts, self.tables.paper_authors, shared=self._shared())
 
     @cached_property
     def field_weights(self) -> DataFrame:
-        return W.field_mean_weights(self.gap_counts, self.tables.paper_keywords)
+        return self._kept(W.field_mean_weights(self.gap_counts, self.tables.paper_keywords))
 
     @cached_property
     def venue_weights(self) -> DataFrame:
-        return W.venue_mean_weights(self.gap_counts, self.tables.papers)
+        return self._kept(W.venue_mean_weights(self.gap_counts, self.tables.papers, self.venue_col))
 
     @cached_property
     def author_sum(self) -> DataFrame:
@@ -202,7 +216,7 @@ class GapFeatures:
 
     @cached_property
     def venue_sum(self) -> DataFrame:
-        return X.paper_venue_sum(self.tables.papers, self.venue_weights, self.gap_counts)
+        return X.paper_venue_sum(self.tables.papers, self.venue_weights, self.gap_counts, self.venue_col)
 
     @cached_property
     def combined(self) -> DataFrame:

@@ -4,7 +4,9 @@ Mapping (fixed; the DuckDB oracle in ``plans.catalog`` spells the same views
 in SQL):
 
 - papers            orders: o_orderkey -> paper_id, year(o_orderdate) -> year,
-                    o_orderpriority -> venue_key ('4-NOT SPECIFIED' -> '')
+                    o_orderpriority -> venue_key ('4-NOT SPECIFIED' -> '');
+                    ``wide``: o_custkey -> c1, c10; o_orderstatus -> c2; status/priority
+                    -> c5; o_orderpriority -> c6; date -> c8; c4 and c9 empty
 - paper_references  lineitem: l_orderkey -> citing_id, l_partkey -> cited_id
 - paper_authors     lineitem join supplier: l_suppkey -> author_id ('' on line 7),
                     s_nationkey -> affiliation_id ('' when l_returnflag = 'R'),
@@ -49,6 +51,26 @@ def _papers(t: "FixtureTables") -> DataFrame:
     )
 
 
+def _papers_wide(t: "FixtureTables") -> DataFrame:
+    """All eleven columns of the dump's papers, in its order."""
+    o = t.read("orders")
+    return o.select(
+        _id("o_orderkey").alias("paper_id"),
+        _id("o_custkey").alias("c1"),
+        F.col("o_orderstatus").alias("c2"),
+        F.year("o_orderdate").cast("int").alias("year"),
+        F.lit("").alias("c4"),
+        F.concat("o_orderstatus", F.lit("/"), "o_orderpriority").alias("c5"),
+        F.col("o_orderpriority").alias("c6"),
+        F.when(F.col("o_orderpriority") == BLANK_VENUE_PRIORITY, F.lit(""))
+        .otherwise(F.col("o_orderpriority"))
+        .alias("venue_key"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("c8"),
+        F.lit("").alias("c9"),
+        _id("o_custkey").alias("c10"),
+    )
+
+
 def _paper_references(t: "FixtureTables") -> DataFrame:
     li = t.read("lineitem")
     return li.select(_id("l_orderkey").alias("citing_id"), _id("l_partkey").alias("cited_id"))
@@ -100,8 +122,9 @@ class FixtureTables:
     """The six views, each built on first use; every parquet file is read (file
     listing + footer) at most once per instance.  Duck-types ``Tables``."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, wide: bool = False):
         self._spark = spark
+        self._wide = wide
         self._dir = sf_dir
         self._files: dict[str, DataFrame] = {}
         self._views: dict[str, DataFrame] = {}
@@ -118,7 +141,7 @@ class FixtureTables:
 
     @property
     def papers(self) -> DataFrame:
-        return self._view("papers", _papers)
+        return self._view("papers", _papers_wide if self._wide else _papers)
 
     @property
     def paper_references(self) -> DataFrame:
@@ -141,6 +164,7 @@ class FixtureTables:
         return self._view("authors", _authors)
 
 
-def load_tables(spark: SparkSession, sf_dir: str) -> FixtureTables:
-    """All six views, lazily; nothing is read until a view is used."""
-    return FixtureTables(spark, sf_dir)
+def load_tables(spark: SparkSession, sf_dir: str, wide: bool = False) -> FixtureTables:
+    """All six views, lazily; nothing is read until a view is used.  ``wide`` gives
+    the papers all columns of the dump."""
+    return FixtureTables(spark, sf_dir, wide)

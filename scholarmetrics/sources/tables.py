@@ -10,6 +10,8 @@ checkpoint, so a lost executor does not lose the data).
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -39,12 +41,13 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def materialize(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:
-    """Reliable checkpoint when a shared checkpoint folder is configured.
+    """Reliable checkpoint in the shared checkpoint folder (runs the plan now).
 
-    Without one the plan is returned unchanged: recomputation from the source
-    files is always correct, only slower.
+    Without a folder the plan is returned unchanged, with a warning:
+    recomputation from the source files is always correct, only slower.
     """
     spark = spark or df.sparkSession
     if checkpoint_dir(spark) is None:
+        warnings.warn("spark.checkpoint.dir is not set: the intermediate table is computed anew by each reader", stacklevel=2)
         return df
     return df.checkpoint(eager=True)
