@@ -59,9 +59,10 @@ def normalize_vectors(assembled: DataFrame, p: float = 2.0, column: str = "featu
 
 def split_flag(df: DataFrame, key: str = "paper_id", fraction: float = TRAIN_FRACTION, seed: int = SPLIT_SEED) -> DataFrame:
     """M3: adds ``is_train`` from a hash bucket of ``key`` (stable under any
-    partitioning or recomputation, unlike ``randomSplit``)."""
-    cut = int(round(fraction * 10))
-    return df.withColumn("is_train", hash_bucket(key, seed, 10) < F.lit(cut))
+    partitioning or recomputation, unlike ``randomSplit``).  Tenths use ten
+    buckets; any other fraction is resolved to one in a million."""
+    buckets = 10 if abs(fraction * 10 - round(fraction * 10)) < 1e-9 else 1_000_000
+    return df.withColumn("is_train", hash_bucket(key, seed, buckets) < F.lit(int(round(fraction * buckets))))
 
 
 def split_train_test(df: DataFrame, key: str = "paper_id", fraction: float = TRAIN_FRACTION, seed: int = SPLIT_SEED) -> tuple[DataFrame, DataFrame]:
@@ -136,40 +137,42 @@ def mse_by_budget(
     label: str,
     features: Sequence[str],
     step: int = BUDGET_STEP,
-    max_refits: int = 10,
+    max_refits: int | None = None,
     fill: float | None = 0.0,
 ) -> DataFrame:
-    """M6: refit with ``step``, ``2*step``, ... iterations (L-BFGS) until the test
-    MSE repeats exactly, is NaN, or ``max_refits`` fits ran.  Returns
-    ``(iterations, mse)`` for the budgets actually run.
-
-    Each refit is a distributed job; the driver keeps only the scalar MSEs.
-    Train and test are assembled once and cached for the refits.
+    """M6: refit with ``step``, ``2*step``, ... L-BFGS iterations until the test
+    MSE repeats (to ten digits) or is not a number; ``max_refits`` may stop it
+    earlier.  Returns ``(iterations, mse, converged)`` of the budgets that ran;
+    ``converged`` is true in the last row if the error repeated, so a capped run
+    can be told from a finished one.
+
+    The optimiser's own tolerance is 0, so the budget alone ends a fit and every
+    row of the curve is a different fit.  Each refit is a distributed job; the
+    driver keeps only the scalar MSEs.  Train and test are assembled once and
+    cached for the refits.
     """
     a_train = assemble(train, label, features, fill).select(label, "features").persist(StorageLevel.MEMORY_AND_DISK)
     a_test = assemble(test, label, features, fill).select(label, "features").persist(StorageLevel.MEMORY_AND_DISK)
-    results: list[tuple[int, float]] = []
-    prev = None
+    results: list[tuple[int, float, bool]] = []
     try:
-        for i in range(1, max_refits + 1):
-            budget = i * step
+        while max_refits is None or len(results) < max_refits:
+            budget = (len(results) + 1) * step
             model = LinearRegression(
                 featuresCol="features", labelCol=label, regParam=0.0, fitIntercept=True,
-                solver="l-bfgs", maxIter=budget,
+                solver="l-bfgs", maxIter=budget, tol=0.0,
             ).fit(a_train)
             err = F.col("prediction") - F.col(label)
             mse = model.transform(a_test).agg(F.avg(err * err)).first()[0]
             mse = float("nan") if mse is None else float(mse)
-            results.append((budget, mse))
-            if mse != mse or mse == prev:
+            again = bool(results) and abs(mse - results[-1][1]) <= 1e-10 * abs(mse)
+            results.append((budget, mse, again))
+            if again or mse != mse:
                 break
-            prev = mse
     finally:
         a_train.unpersist()
         a_test.unpersist()
     spark = train.sparkSession
-    schema = T.StructType([T.StructField("iterations", T.IntegerType()), T.StructField("mse", T.DoubleType())])
-    return spark.createDataFrame(results, schema)
+    return spark.createDataFrame(results, "iterations int, mse double, converged boolean")
 
 
 def save_model(model: LinearRegressionModel, path: str) -> None:

@@ -9,6 +9,7 @@ DuckDB twins in ``plans.oracle`` round the same columns.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,8 +23,11 @@ from scholarmetrics.operators import model as M
 from scholarmetrics.operators import temporal as E
 from scholarmetrics.operators import weights as W
 from scholarmetrics.plans.workflows import GapFeatures, YearFeatures
-from scholarmetrics.schemas import Tables
+from scholarmetrics.schemas import SCHEMAS, Tables
 from scholarmetrics.sources.fixtures import load_tables
+from scholarmetrics.sources.sinks import tsv_line
+from scholarmetrics.sources.tables import materialize
+from scholarmetrics.sources.tsv import parse_lines
 
 # Fixed query parameters.
 YEAR = 1997
@@ -36,6 +40,7 @@ AUTHOR_THRESHOLD = 170
 CITATION_CAP = 40
 TOP_K = 10
 MODEL_FEATURE = "author_weight"
+MSE_STEP = 5
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -73,6 +78,11 @@ def _model_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.split_flag(filled)
 
 
+def _kept_model_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, checkpointed: training and test rows come from one evaluation of X9."""
+    return materialize(_model_frame(spark, sf_dir))
+
+
 # --- filters and joins -------------------------------------------------------
 
 
@@ -238,10 +248,54 @@ def q_merged_features(spark, d):
     return rounded(_year(spark, d).merged)
 
 
+def _wide_year(spark, d) -> YearFeatures:
+    return YearFeatures(load_tables(spark, d, wide=True), YEAR, materialize_counts=True)
+
+
 def q_build_features(spark, d):
-    """X11 end to end, with the per-paper counts checkpointed to the shared
-    checkpoint folder when the session names one."""
-    return rounded(_year(spark, d, materialize_counts=True).merged)
+    """X11 as one build: its eight outputs in long form ``(output, key, value)``,
+    with the per-paper counts checkpointed to the shared checkpoint folder."""
+    keys = {
+        "papers": ("paper_id", "year"),
+        "citations": (F.concat_ws(">", "citing_id", "cited_id"), F.lit(1)),
+        "authorships": (F.concat_ws("|", "paper_id", "author_id", "affiliation_id"), "author_seq"),
+        "paper_counts": ("paper_id", "nb_citations"),
+        "author_weights": ("author_id", "weight"),
+        "affiliation_weights": ("affiliation_id", "weight"),
+        "venue_weights": ("venue", "weight"),
+        "field_weights": ("fos_id", "weight"),
+    }
+    parts = [
+        df.select(
+            F.lit(name).alias("output"),
+            (F.col(keys[name][0]) if isinstance(keys[name][0], str) else keys[name][0]).alias("key"),
+            (F.col(keys[name][1]) if isinstance(keys[name][1], str) else keys[name][1]).cast("double").alias("value"),
+        )
+        for name, df in _wide_year(spark, d).outputs().items()
+    ]
+    return rounded(reduce(DataFrame.unionByName, parts))
+
+
+def q_build_papers(spark, d):
+    return _wide_year(spark, d).outputs()["papers"]
+
+
+def q_build_paper_counts(spark, d):
+    return _wide_year(spark, d).outputs()["paper_counts"]
+
+
+def q_tsv_roundtrip_papers(spark, d):
+    """S1 and S2 without a folder: the lines S2 writes, read back by S1."""
+    papers = load_tables(spark, d, wide=True).papers
+    return parse_lines(papers.select(tsv_line(papers)), SCHEMAS["papers"])
+
+
+def q_tsv_roundtrip_links(spark, d):
+    t = _t(spark, d)
+    links = t.paper_authors.select(
+        "paper_id", "author_id", "affiliation_id", F.lit("").alias("c3"), F.lit('a "quoted" text').alias("c4"), "author_seq"
+    )
+    return parse_lines(links.select(tsv_line(links)), SCHEMAS["paper_authors"])
 
 
 # --- gap-limited variant --------------------------------------------------------
@@ -282,6 +336,15 @@ def q_venue_weights_mean(spark, d):
     return rounded(_gap(spark, d).venue_weights)
 
 
+def q_venue_weights_mean_c5(spark, d):
+    """W11 on the raw venue column of a dump (source column 5)."""
+    return rounded(GapFeatures(load_tables(spark, d, wide=True), GAP, venue_col="c5").venue_weights)
+
+
+def q_paper_venue_sum_c5(spark, d):
+    return rounded(GapFeatures(load_tables(spark, d, wide=True), GAP, venue_col="c5").venue_sum)
+
+
 def q_paper_author_sum(spark, d):
     return rounded(_gap(spark, d).author_sum)
 
@@ -299,7 +362,8 @@ def q_paper_venue_sum(spark, d):
 
 
 def q_all_weights(spark, d):
-    return rounded(_gap(spark, d).combined)
+    """X10; the counts and weights that several inputs share are checkpointed."""
+    return rounded(_gap(spark, d, materialize_counts=True).combined)
 
 
 def q_author_feature_pair(spark, d):
@@ -319,14 +383,15 @@ def q_train_test_split(spark, d):
 
 
 def _fit_one(spark, d):
-    m = _model_frame(spark, d)
+    m = _kept_model_frame(spark, d)
     train = m.filter(F.col("is_train"))
     test = m.filter(~F.col("is_train"))
     return M.fit_linear(train, "nb_citations", [MODEL_FEATURE]), test
 
 
 def q_linear_model_coefficients(spark, d):
-    model, _ = _fit_one(spark, d)
+    m = _model_frame(spark, d).filter(F.col("is_train"))
+    model = M.fit_linear(m, "nb_citations", [MODEL_FEATURE])
     return rounded(M.coefficients(model, [MODEL_FEATURE], spark))
 
 
@@ -341,11 +406,28 @@ def q_linear_model_all_features(spark, d):
     return rounded(M.coefficients(model, list(X.FEATURE_COLUMNS), spark))
 
 
+def _sum_model(spark, table: DataFrame, feature: str) -> DataFrame:
+    """M4 on a table of the gap variant: label and feature from that table."""
+    train = M.split_flag(M.prepare(table, "nb_citations", [feature])).filter(F.col("is_train"))
+    return rounded(M.coefficients(M.fit_linear(train, "nb_citations", [feature]), [feature], spark))
+
+
+def q_author_sum_model(spark, d):
+    return _sum_model(spark, _gap(spark, d).author_sum, "author_weight")
+
+
+def q_field_sum_model(spark, d):
+    return _sum_model(spark, _gap(spark, d).field_sum, "field_weight")
+
+
 def q_mse_by_budget(spark, d):
-    m = _model_frame(spark, d)
-    return M.mse_by_budget(
-        m.filter(F.col("is_train")), m.filter(~F.col("is_train")), "nb_citations", list(X.FEATURE_COLUMNS)
+    """M6: the error of the last budget, which must be that of the exact solution."""
+    m = _kept_model_frame(spark, d)
+    curve = M.mse_by_budget(
+        m.filter(F.col("is_train")), m.filter(~F.col("is_train")), "nb_citations", list(X.FEATURE_COLUMNS), step=MSE_STEP
     )
+    last = curve.orderBy(F.desc("iterations")).limit(1)
+    return last.select(F.round("mse", 3).alias("mse"), "converged")
 
 
 QUERIES: dict[str, Query] = {

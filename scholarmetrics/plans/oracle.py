@@ -36,6 +36,13 @@ _CTES: list[tuple[str, str]] = [
                CAST(year(o_orderdate) AS INTEGER) AS year,
                CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN '' ELSE o_orderpriority END AS venue_key
         FROM orders"""),
+    ("papers_wide", """
+        SELECT CAST(o_orderkey AS VARCHAR) AS paper_id, CAST(o_custkey AS VARCHAR) AS c1, o_orderstatus AS c2,
+               CAST(year(o_orderdate) AS INTEGER) AS year, '' AS c4,
+               o_orderstatus || '/' || o_orderpriority AS c5, o_orderpriority AS c6,
+               CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN '' ELSE o_orderpriority END AS venue_key,
+               strftime(o_orderdate, '%Y-%m-%d') AS c8, '' AS c9, CAST(o_custkey AS VARCHAR) AS c10
+        FROM orders"""),
     ("paper_references", """
         SELECT CAST(l_orderkey AS VARCHAR) AS citing_id, CAST(l_partkey AS VARCHAR) AS cited_id
         FROM lineitem"""),
@@ -129,6 +136,25 @@ _CTES: list[tuple[str, str]] = [
     ("coef", """
         SELECT regr_intercept(nb_citations, author_weight) AS b0, regr_slope(nb_citations, author_weight) AS b1
         FROM mf WHERE is_train"""),
+    # least squares on four features: each is freed of the ones before it, the
+    # label is projected on what is left, and the coefficients are substituted back
+    ("ls1", """
+        SELECT nb_citations AS y, author_weight AS x1, affiliation_weight AS x2, venue_weight AS x3, field_weight AS x4,
+               author_weight - avg(author_weight) OVER () AS r1 FROM mf WHERE is_train"""),
+    ("lb2", "SELECT regr_slope(x2, r1) AS b21, avg(x2) AS m2 FROM ls1"),
+    ("ls2", "SELECT s.*, x2 - m2 - b21 * r1 AS r2 FROM ls1 s, lb2"),
+    ("lb3", "SELECT regr_slope(x3, r1) AS b31, regr_slope(x3, r2) AS b32, avg(x3) AS m3 FROM ls2"),
+    ("ls3", "SELECT s.*, x3 - m3 - b31 * r1 - b32 * r2 AS r3 FROM ls2 s, lb3"),
+    ("lb4", """
+        SELECT regr_slope(x4, r1) AS b41, regr_slope(x4, r2) AS b42, regr_slope(x4, r3) AS b43, avg(x4) AS m4 FROM ls3"""),
+    ("ls4", "SELECT s.*, x4 - m4 - b41 * r1 - b42 * r2 - b43 * r3 AS r4 FROM ls3 s, lb4"),
+    ("lg", """
+        SELECT regr_slope(y, r1) AS g1, regr_slope(y, r2) AS g2, regr_slope(y, r3) AS g3, regr_slope(y, r4) AS g4,
+               avg(y) AS my, avg(x1) AS m1 FROM ls4"""),
+    ("lc4", "SELECT g4 AS k4, g3 - b43 * g4 AS k3, * FROM lg, lb2, lb3, lb4"),
+    ("lc2", "SELECT g2 - b32 * k3 - b42 * k4 AS k2, * FROM lc4"),
+    ("lc1", "SELECT g1 - b21 * k2 - b31 * k3 - b41 * k4 AS k1, * FROM lc2"),
+    ("lcoef", "SELECT my - k1 * m1 - k2 * m2 - k3 * m3 - k4 * m4 AS k0, k1, k2, k3, k4 FROM lc1"),
     # gap-limited variant (all papers)
     ("tc", """
         SELECT paper_id, nb_citations, year FROM pc_all"""),
@@ -183,6 +209,9 @@ _CTES: list[tuple[str, str]] = [
             SELECT p.paper_id, sum(CAST(w.weight AS DOUBLE)) AS venue_weight
             FROM papers p JOIN gw_venue w ON p.venue_key = w.venue GROUP BY p.paper_id) s
           ON g.paper_id = s.paper_id"""),
+    ("gw_venue_c5", """
+        SELECT p.c5 AS venue, avg(CAST(g.nb_citations AS DOUBLE)) AS weight
+        FROM gc g JOIN papers_wide p ON g.paper_id = p.paper_id GROUP BY p.c5"""),
     ("gw_author_full", """
         SELECT a.author_id, CAST(sum(COALESCE(c.nb, 0)) AS BIGINT) AS weight
         FROM paper_authors a
@@ -375,6 +404,42 @@ _FINAL: dict[str, str] = {
 }
 
 # X11 end to end returns the merged feature table.
-_FINAL["build_features"] = _FINAL["merged_features"]
+_WIDE = "paper_id, c1, c2, year, c4, c5, c6, venue_key, c8, c9, c10"
+_TRAIN = "(('0x' || substr(md5(paper_id || ':11'), 1, 8))::BIGINT % 10) < 7"
+_FINAL |= {
+    "build_features": """
+        SELECT 'papers' AS output, paper_id AS key, CAST(year AS DOUBLE) AS value FROM py
+        UNION ALL SELECT 'citations', citing_id || '>' || cited_id, 1.0 FROM ey
+        UNION ALL SELECT 'authorships', paper_id || '|' || author_id || '|' || affiliation_id, CAST(author_seq AS DOUBLE) FROM paa_y
+        UNION ALL SELECT 'paper_counts', paper_id, CAST(nb_citations AS DOUBLE) FROM pc
+        UNION ALL SELECT 'author_weights', author_id, round(weight, 6) FROM w_author_pos
+        UNION ALL SELECT 'affiliation_weights', affiliation_id, CAST(weight AS DOUBLE) FROM w_affiliation
+        UNION ALL SELECT 'venue_weights', venue, CAST(weight AS DOUBLE) FROM w_venue
+        UNION ALL SELECT 'field_weights', fos_id, CAST(weight AS DOUBLE) FROM w_field""",
+    "build_papers": f"SELECT {_WIDE} FROM papers_wide WHERE year = {YEAR}",
+    "build_paper_counts": f"""
+        SELECT {', '.join('w.' + c for c in _WIDE.split(', '))}, pc.nb_citations
+        FROM papers_wide w JOIN pc ON w.paper_id = pc.paper_id""",
+    "tsv_roundtrip_papers": f"SELECT {_WIDE} FROM papers_wide",
+    "tsv_roundtrip_links": """
+        SELECT paper_id, author_id, affiliation_id, '' AS c3, 'a "quoted" text' AS c4, author_seq FROM paper_authors""",
+    "venue_weights_mean_c5": f"SELECT venue, {_r('weight', 'weight')} FROM gw_venue_c5",
+    "paper_venue_sum_c5": f"""
+        SELECT g.paper_id, CAST(g.nb_citations AS DOUBLE) AS nb_citations, {_r('w.weight', 'venue_weight')}
+        FROM gc g JOIN papers_wide p ON g.paper_id = p.paper_id JOIN gw_venue_c5 w ON p.c5 = w.venue""",
+    "linear_model_all_features": f"""
+        SELECT {_r('k0', 'intercept')}, {_r('k1', 'author_weight')}, {_r('k2', 'affiliation_weight')},
+               {_r('k3', 'venue_weight')}, {_r('k4', 'field_weight')} FROM lcoef""",
+    "mse_by_budget": """
+        SELECT round(avg((k0 + k1 * author_weight + k2 * affiliation_weight + k3 * venue_weight + k4 * field_weight
+                          - nb_citations) ** 2), 3) AS mse, true AS converged
+        FROM mf, lcoef WHERE NOT is_train""",
+    "author_sum_model": f"""
+        SELECT {_r('regr_intercept(nb_citations, author_weight)', 'intercept')},
+               {_r('regr_slope(nb_citations, author_weight)', 'author_weight')} FROM gx_author WHERE {_TRAIN}""",
+    "field_sum_model": f"""
+        SELECT {_r('regr_intercept(nb_citations, field_weight)', 'intercept')},
+               {_r('regr_slope(nb_citations, field_weight)', 'field_weight')} FROM gx_field WHERE {_TRAIN}""",
+}
 
 ORACLE_SQL: dict[str, str] = {name: _sql(text) for name, text in _FINAL.items()}

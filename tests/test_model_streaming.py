@@ -45,11 +45,22 @@ def test_mse_and_budget_loop(frame):
     model = M.fit_linear(train, "nb_citations", FEATS)
     mse = M.score_mse(model, test, "nb_citations", FEATS).first()
     assert mse.n == test.count() and mse.mse >= 0
-    curve = M.mse_by_budget(train, test, "nb_citations", FEATS, max_refits=4).collect()
-    assert 1 <= len(curve) <= 4
-    assert [r.iterations for r in curve] == [100 * (i + 1) for i in range(len(curve))]
+    curve = M.mse_by_budget(train, test, "nb_citations", FEATS, step=2).collect()
+    assert [r.iterations for r in curve] == [2 * (i + 1) for i in range(len(curve))]
+    # a curve: the budget has an effect, and only the last row says that it ended
+    assert len(curve) > 2 and len({round(r.mse, 6) for r in curve}) > 1
+    assert [r.converged for r in curve] == [False] * (len(curve) - 1) + [True]
     # the converged L-BFGS fit reaches the least-squares optimum
     assert curve[-1].mse == pytest.approx(mse.mse, rel=1e-4)
+    capped = M.mse_by_budget(train, test, "nb_citations", FEATS, step=1, max_refits=2).collect()
+    assert len(capped) == 2 and not capped[-1].converged
+
+
+@pytest.mark.parametrize("fraction", [0.04, 0.7, 0.75, 0.95])
+def test_split_holds_any_fraction(spark, fraction):
+    ids = spark.range(40000).select(F.col("id").cast("string").alias("paper_id"))
+    share = M.split_flag(ids, fraction=fraction).agg(F.avg(F.col("is_train").cast("int"))).first()[0]
+    assert abs(share - fraction) < 0.01
 
 
 def test_save_load(frame, tmp_path):
