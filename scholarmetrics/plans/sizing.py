@@ -5,6 +5,9 @@ edges by cited paper, link rows by author, and so on.  This module picks
 ``spark.sql.shuffle.partitions`` so that such a shuffle lands at about
 ``target_bytes`` per partition.  AQE then coalesces partitions that turn out
 small, so erring high is cheap, while too few partitions spill or fail.
+There is no upper bound: 100 TB of compressed input ask for about 1.6 million
+partitions of the target size.  Pass ``maximum`` (or a larger ``target_bytes``)
+where a scheduler cannot take so many, and plan for the larger partitions.
 Sizes come from plan statistics (file sizes); no job runs.
 """
 
@@ -17,22 +20,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 from scholarmetrics.operators.skew import INPUT_INFLATION, input_bytes
 
-# Default target bytes per shuffle partition and the bounds of
-# the suggestion.
+# Default target bytes per shuffle partition and the least number.
 TARGET_PARTITION_BYTES = 256 * 1024 * 1024
 MIN_PARTITIONS = 200
-MAX_PARTITIONS = 100_000
 
 
 def suggested_shuffle_partitions(
     inputs: Iterable[DataFrame],
     target_bytes: int = TARGET_PARTITION_BYTES,
     minimum: int = MIN_PARTITIONS,
-    maximum: int = MAX_PARTITIONS,
+    maximum: int | None = None,
 ) -> int:
     biggest = max((input_bytes(df) or 0 for df in inputs), default=0)
     wanted = math.ceil(biggest * INPUT_INFLATION / target_bytes)
-    return max(minimum, min(maximum, wanted))
+    return max(minimum, wanted if maximum is None else min(maximum, wanted))
 
 
 def size_shuffles(spark: SparkSession, inputs: Iterable[DataFrame], **kw) -> int | None:

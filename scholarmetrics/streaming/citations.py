@@ -40,12 +40,13 @@ def running_citation_counts(edges: DataFrame) -> DataFrame:
 def start_running_counts(
     counts: DataFrame,
     query_name: str,
-    sink: str = "memory",
+    sink: str,
     output_mode: str = "update",
     checkpoint_location: str | None = None,
     trigger_available_now: bool = False,
 ) -> StreamingQuery:
-    """Start the query.  The checkpoint goes to ``checkpoint_location`` or, by
+    """Start the query into ``sink`` (the memory sink keeps every count on the
+    driver: for tests only).  The checkpoint goes to ``checkpoint_location`` or, by
     default, below the session's shared checkpoint folder."""
     spark = counts.sparkSession
     if checkpoint_location is None:
