@@ -12,10 +12,12 @@ Two documents are linked when the Jaccard similarity of their shingle sets reach
 3. The others (the active classes) get a longer sketch (``SKETCH``), and step 2 is
    repeated on it: the lists that remain hold near copies or little else.
 4. Lists are worked off in rounds.  Each list first compares its members with one
-   leader, later with growing random sets of leaders, always leaving out pairs that
-   are already in one component; a round's pairs grow linearly with the lists, and no
-   list is ever paired with itself while its members are in one group.  Every pair
-   that is in no common component has been compared when the rounds end.
+   leader, the class with the fewest values of its own; later with growing random sets
+   of leaders, always leaving out pairs that are already in one component.  A
+   positional filter on the values' places and the sets' sizes drops members that share
+   too little whatever follows, and after the first round two classes are paired only in
+   the first list that they share.  A round's pairs grow linearly with the lists, and every
+   pair that may be linked is in one component or has been compared when they end.
 5. A pair's union sketch (the smallest values of both) estimates its similarity;
    pairs far below the threshold are dropped.  The others are verified on full sets.
 
@@ -38,7 +40,7 @@ from math import ceil, comb, floor
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
@@ -47,9 +49,9 @@ from scholarmetrics.llm.common import checked_join, cut
 
 WIDTH = 5
 #: Values retained of every document, and of each active class.
-SCOUT, SKETCH = 32, 128
+SCOUT, SKETCH = 32, 256
 #: Leaders per list in the first rounds; each later round has this many times more.
-GROWTH = 8
+GROWTH = 32
 #: Chance of missing one link at the threshold.
 MISS = 1e-9
 
@@ -108,18 +110,40 @@ def add_sketch(df: DataFrame, k: int, text: str = "text", width: int = WIDTH) ->
 
 
 def prefixes(classes: DataFrame, k: int, threshold: float) -> DataFrame:
-    """(value, cid): the inverted lists of the rarest shared values of ``classes``
-    (cid, n_shingles, sketch)."""
+    """The inverted lists of the rarest shared values of ``classes`` (cid, n_shingles,
+    sketch): value, cid, n_shingles, the value's place in the class's order (rarest
+    first, from 0), ``common`` (classes that hold the value: with it, the order) and
+    ``lone``, the share of its values that no other class holds."""
     entries = classes.select("cid", F.explode("sketch").alias("value"))
     shared = entries.groupBy("value").agg(F.count("*").alias("held")).where(F.col("held") > 1)
     # the values that only one class holds come first in its order; they need no list
     mine = entries.join(shared.hint("merge"), "value").groupBy("cid").agg(F.sort_array(F.collect_list(F.struct("held", "value"))).alias("held"))
     sizes = F.array(*[F.lit(prefix_length(n, k, threshold)) for n in range(1, k + 2)])
     n = F.col("n_shingles")
-    length = F.element_at(sizes, F.least(n, F.lit(k + 1)).cast("int")) - (F.least(n, F.lit(k)) - F.size("held"))
-    joined = mine.join(classes.select("cid", "n_shingles").hint("merge"), "cid")
-    rarest = joined.where(length > 0).select("cid", F.explode(F.slice("held", F.lit(1), length.cast("int"))).alias("v"))
-    return rarest.select(F.col("v.value").alias("value"), "cid")
+    alone = F.least(n, F.lit(k)) - F.size("held")
+    length = F.element_at(sizes, F.least(n, F.lit(k + 1)).cast("int")) - alone
+    joined = mine.join(classes.select("cid", "n_shingles").hint("merge"), "cid").withColumn("alone", F.greatest(alone, F.lit(0)))
+    rarest = joined.where(length > 0).select("cid", "n_shingles", "alone", F.posexplode(F.slice("held", F.lit(1), length.cast("int"))).alias("i", "v"))
+    lone = F.col("alone") / F.least(n, F.lit(k))
+    return rarest.select(
+        F.col("v.value").alias("value"), F.col("v.held").alias("common"), "cid", "n_shingles", (F.col("alone") + F.col("i")).alias("place"), lone.alias("lone")
+    )
+
+
+def enough_left(k: int, threshold: float) -> Column:
+    """Positional filter on a pair of list entries (columns of the second with ``lead_``):
+    whether the values from their common one on can still make up a linked pair.
+
+    Sets that the sketches hold whole need the least intersection of a link; for longer
+    ones its share of the larger set holds for the sketch too, less six deviations."""
+    n, m = F.col("n_shingles"), F.col("lead_n")
+    larger = F.greatest(n, m)
+    least = threshold / (1 + threshold) * (n + m)
+    mean = k * least / larger
+    sampled = F.floor(mean - 6 * F.sqrt(mean * (1 - least / larger))) - 1
+    need = F.greatest(F.when(larger <= k, F.ceil(least - 1e-9)).otherwise(sampled), F.lit(1))
+    left = F.least(F.least(n, F.lit(k)) - F.col("place"), F.least(m, F.lit(k)) - F.col("lead_place"))
+    return (F.least(n, m) >= threshold * larger - 1e-9) & (left >= need)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -129,9 +153,8 @@ def components(links: DataFrame) -> DataFrame:
     labels = cut(nodes.withColumn("comp", F.col("cid")))
     while edges.limit(1).count():
         both = edges.union(edges.select("b", "a"))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("to"))
+        step = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("to"))
         # one jump along the tree of smallest neighbours
-        step = cut(least)
         jump = step.select(F.col("a").alias("to"), F.col("to").alias("further"))
         step = cut(step.join(jump, "to", "left").select("a", F.coalesce("further", "to").alias("to")))
         labels = cut(labels.join(step, labels["comp"] == step["a"], "left").select("cid", F.coalesce("to", "comp").alias("comp")))
@@ -163,38 +186,56 @@ def _verify(pairs: DataFrame, active: DataFrame, threshold: float, k: int, width
     return full.where(linked(F.col("text_a"), F.col("text_b"))).select("a", "b")
 
 
-def link_classes(lists: DataFrame, active: DataFrame, threshold: float, k: int, width: int) -> DataFrame:
-    """(cid, comp) of all classes in ``lists`` (value, cid) that are linked."""
-    order = F.xxhash64("cid", F.lit(1))
-    lists = cut(lists.withColumn("order", order))
-    held = lists.groupBy("value").agg(F.count("*").alias("held"), F.min("order").alias("first"))
-    lists = cut(lists.join(held.hint("merge"), "value"))
-    # place in 0..1 by the hash: leaders of a round are those up to its share of the list
+def with_earlier(lists: DataFrame) -> DataFrame:
+    """Add to each list entry the values that come before it in its class's order (at
+    most a sketch's prefix).  Two classes meet for the first time in the list before
+    which they share none, and only there a pair of them is made."""
+    rest = [c for c in lists.columns if c not in ("cid", "common", "value")]
+    mine = lists.groupBy("cid").agg(F.sort_array(F.collect_list(F.struct("common", "value", *rest))).alias("mine"))
+    entries = mine.select("cid", "mine", F.posexplode("mine").alias("i", "v"))
+    return entries.select("cid", "v.*", F.slice(F.col("mine.value"), F.lit(1), F.col("i")).alias("earlier"))
+
+
+def link_classes(lists: DataFrame, active: DataFrame, threshold: float, k: int, width: int) -> DataFrame | None:
+    """(cid, comp) of all classes in ``lists`` that are linked."""
+    lists = cut(lists.withColumn("order", F.xxhash64("cid", F.lit(1))))
+    # the first leader is the class with the fewest values of its own: of near copies, it
+    # is the one that most others are like
+    held = lists.groupBy("value").agg(F.count("*").alias("held"), F.min_by("cid", F.struct("lone", "cid")).alias("first"))
+    lists = cut(lists.join(held.hint("merge"), "value").drop("lone").withColumn("comp", F.col("cid")))
+    # random place in 0..1: the leaders of a round are those up to its share of the list
     place = (F.col("order").cast("double") + 2.0**63) / 2.0**64
     links, comps, leaders = None, None, 0
+    is_first = F.col("cid") == F.col("first")
     while lists.limit(1).count():
-        share = F.lit(float(leaders)) / F.col("held")
-        before = F.lit(float(leaders // GROWTH)) / F.col("held")
         if leaders == 0:
-            leads = F.col("order") == F.col("first")
+            leads, follows = is_first, ~is_first
         else:
-            leads = (place <= share) & ((place > before) if leaders > GROWTH else F.lit(True)) & (F.col("order") != F.col("first"))
-        lead = lists.where(leads).select("value", F.col("cid").alias("lead"), F.col("order").alias("lead_order"), F.col("comp").alias("lead_comp") if "comp" in lists.columns else F.col("cid").alias("lead_comp"))
-        rest = lists.select("value", "cid", "order", F.col("comp") if "comp" in lists.columns else F.col("cid").alias("comp"))
+            leads = (place <= F.lit(float(leaders)) / F.col("held")) & ~is_first
+            if leaders > GROWTH:
+                leads = leads & (place > F.lit(float(leaders // GROWTH)) / F.col("held"))
+            follows = ~is_first
+        entries = cut(with_earlier(lists)) if leaders else lists.withColumn("earlier", F.array().cast("array<bigint>"))
+        lead = entries.where(leads).select(
+            "value", F.col("earlier").alias("lead_earlier"), F.col("cid").alias("lead"), F.col("order").alias("lead_order"), F.col("comp").alias("lead_comp"), F.col("n_shingles").alias("lead_n"), F.col("place").alias("lead_place")
+        )
+        later = F.lit(True) if leaders == 0 else F.col("order") > F.col("lead_order")
         pairs = (
-            rest.join(lead.hint("merge"), "value")
-            .where((F.col("order") > F.col("lead_order")) & (F.col("comp") != F.col("lead_comp")))
+            entries.where(follows)
+            .join(lead.hint("merge"), "value")
+            .where(later & (F.col("comp") != F.col("lead_comp")) & enough_left(k, threshold) & ~F.arrays_overlap("earlier", "lead_earlier"))
             .select(F.least("cid", "lead").alias("a"), F.greatest("cid", "lead").alias("b"))
             .distinct()
         )
-        found = _verify(cut(pairs), active, threshold, k, width)
-        links = cut(found if links is None else links.union(found))
-        comps = components(links)
-        # lists whose members are all in one component, or have all led, are done
-        lists = lists.drop("comp").join(comps.hint("merge"), "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
-        mixed = lists.groupBy("value").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("value")
-        lists = lists.join(mixed.hint("merge"), "value", "left_semi")
-        lists = cut(lists.where(F.col("held") > leaders))
+        found = cut(_verify(pairs, active, threshold, k, width))
+        # lists whose members have all led, or are all in one component, are done
+        lists = lists.where(F.col("held") > max(2, leaders))
+        if found.limit(1).count():
+            links = found if links is None else links.union(found)
+            comps = components(links)
+            lists = lists.drop("comp").join(comps.hint("merge"), "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+            mixed = lists.groupBy("value").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("value")
+            lists = cut(lists.join(mixed.hint("merge"), "value", "left_semi"))
         leaders = GROWTH if leaders == 0 else leaders * GROWTH
     return comps
 
@@ -210,7 +251,7 @@ def group(df: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold:
     texts = checked_join(base.withColumnRenamed("doc_id", "cid"), scouted, "cid", "left_semi")
     # a repeated id has one active row per distinct text
     active = cut(add_sketch(texts, SKETCH, width=width).where(F.col("n_shingles") > 0).select("cid", "n_shingles", "sketch", "text"))
-    lists = prefixes(active.select("cid", "n_shingles", "sketch"), SKETCH, threshold).distinct()
+    lists = prefixes(active.select("cid", "n_shingles", "sketch"), SKETCH, threshold)
     comps = link_classes(lists, active, threshold, SKETCH, width)
     labelled = classes.select(*key, "cid", "rows")
     if comps is not None:
