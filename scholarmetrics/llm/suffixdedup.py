@@ -121,7 +121,7 @@ def add_runs(df: DataFrame, length: int, gram: int, text: str = "text") -> DataF
 
 def depth_classes(u8: np.ndarray, length: int) -> np.ndarray:
     """For each position of ``u8`` the rank of its first ``length`` bytes in suffix order
-    (equal strings, equal rank), by prefix doubling; bytes past the end count as 0."""
+    (equal strings, equal rank), by prefix doubling; what lies past the end comes first."""
     x = np.zeros(len(u8), np.uint64)
     have = 8 if length >= 8 else 1
     padded = np.append(u8, np.zeros(length + 8, np.uint8))
@@ -130,7 +130,7 @@ def depth_classes(u8: np.ndarray, length: int) -> np.ndarray:
     rank = np.unique(x, return_inverse=True)[1]
     while have < length:
         step = min(have, length - have)
-        after = np.append(rank, np.zeros(step, rank.dtype))[step:]
+        after = np.append(rank + 1, np.zeros(step, rank.dtype))[step:]
         rank = np.unique(rank.astype(np.uint64) << np.uint64(32) | after.astype(np.uint64), return_inverse=True)[1]
         have += step
     return rank

@@ -57,7 +57,8 @@ def test_stages_take_effect_and_keep_the_columns(spark, folder):
 def test_run_equals_the_stages(spark, folder):
     d = folder[0]
     out = corpus_pipeline.run(spark, d)
-    assert out.count() == 304 and out.where("n_tokens <> size(ids)").count() == 0
+    # the 300 texts and the 5 with the passage; copies, junk, short texts and the item's text went
+    assert out.count() == 300 + 5 and out.where("n_tokens <> size(ids)").count() == 0
 
 
 def test_empty_and_null_tables(spark, tmp_path):
