@@ -11,8 +11,10 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import statistics
 import sys
+import tempfile
 import time
 
 ROOT = os.path.dirname(os.path.abspath(__file__))
@@ -34,6 +36,8 @@ def main() -> None:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("BENCH_DRIVER_MEMORY", "8g"))
+        # one local session: its checkpoints may lie in a folder of its own
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-checkpoints-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -41,6 +45,7 @@ def main() -> None:
     from scholarmetrics.plans.catalog import HEADLINE, QUERIES
 
     times: dict[str, float] = {}
+    plans: dict[str, dict[str, int]] = {}
     for name in HEADLINE:
         fn = QUERIES[name]
 
@@ -49,6 +54,9 @@ def main() -> None:
             fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
             return time.perf_counter() - t0
 
+        text = fn(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+        # host-independent figures beside the times: scans and shuffles of the first plan
+        plans[name] = {"scans": len(re.findall(r"FileScan|Scan ExistingRDD", text)), "shuffles": len(re.findall(r"(?<!Broadcast)Exchange ", text))}
         run()  # warm-up (JIT, file listing cache)
         times[name] = round(statistics.median(run() for _ in range(runs)), 3)
     spark.stop()
@@ -60,6 +68,7 @@ def main() -> None:
                 "value": round(sum(times.values()), 3),
                 "unit": "sec",
                 "queries": times,
+                "plans": plans,
                 "sf": sf,
                 "cpus": cpus,
                 "runs": runs,
