@@ -35,16 +35,50 @@ def shared_dir(spark: SparkSession) -> str:
     return d
 
 
+_scopes: list[list[str]] = []
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     The columnar files take less room than a checkpoint's serialized rows, later
-    scans prune columns, and a lost executor loses nothing.
+    scans prune columns, and a lost executor loses nothing.  The files stay as long as
+    the folder does, unless a ``scratch`` block ends in which they were written.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if _scopes:
+        _scopes[-1].append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._cut_path = path
+    return out
+
+
+class scratch:
+    """Block whose cut tables are deleted at its end, but for those that ``keep`` names.
+
+    Only for tables whose every reader has ended by then: what leaves the block must be
+    cut and kept, or read kept tables alone."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> scratch:
+        _scopes.append(self.paths)
+        return self
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        self.paths.remove(df._cut_path)
+        if len(_scopes) > 1:  # the block around this one may delete it
+            _scopes[-2].append(df._cut_path)
+        return df
+
+    def __exit__(self, *error) -> None:
+        _scopes.pop()
+        for p in self.paths:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(p)
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:

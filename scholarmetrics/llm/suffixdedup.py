@@ -42,16 +42,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from scholarmetrics.llm import textkit
-from scholarmetrics.llm.common import checked_join, cut
+from scholarmetrics.llm.common import cut, scratch
 
 LENGTH = 200
 GRAM = 40
 #: Runs are cut after so many windows (only periodic text has longer ones).
 LONGEST = 1024
 #: Contexts of one anchor that one task may sort.
-HOT = 1000
-#: Bytes that one suffix array covers, and rows that may be broadcast.
-BLOCK, NARROW = 2 << 20, 300_000
+HOT = 8000
+#: Bytes that one suffix array covers.
+BLOCK = 2 << 20
 
 _RUN = pa.struct([("a", pa.int64()), ("c", pa.int64()), ("s", pa.int32()), ("n", pa.int32()), ("own", pa.bool_())])
 
@@ -229,7 +229,8 @@ def repeats(df: DataFrame, length: int = LENGTH, gram: int = GRAM, text: str = "
     wanted = contexts.join(per_anchor.hint("merge"), "a").select("d", "t", F.struct("a", "s", "n", "open", "hot").alias("w"))
     wanted = cut(wanted)
     sources = df.select("d", "t", F.encode(F.col(text), "UTF-8").alias("bytes"))
-    fetched = checked_join(sources, wanted, ["d", "t"], limit=NARROW)
+    # what is wanted grows with the corpus: joined by a shuffle at every size
+    fetched = sources.join(wanted.hint("merge"), ["d", "t"])
     bodies = cut(fetched.select("d", "t", "w.*", F.expr(f"substring(bytes, w.s + 1, w.n - 1 + {length})").alias("body")).dropDuplicates(["d", "t", "a", "s"]))
     found = known.unionByName(again).unionByName(_sorted_spans(bodies.where("NOT hot"), length)).unionByName(_counted_spans(bodies.where("hot"), length))
 
@@ -251,9 +252,10 @@ def repeats(df: DataFrame, length: int = LENGTH, gram: int = GRAM, text: str = "
 
 def dedup(df: DataFrame, length: int = LENGTH, gram: int = GRAM, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Add ``kept`` (the remaining bytes), ``begins`` and ``ends`` (the removed runs)."""
-    keyed = df.drop("d", "t", "begins", "ends", "kept") if {"d", "t", "begins", "ends", "kept"} & set(df.columns) else df
-    keyed = keyed.withColumns({"d": F.coalesce(F.col(doc_id).cast("bigint"), F.lit(0)), "t": F.xxhash64(text)})
-    spans = repeats(keyed, length, gram, text)
+    key = {"__d": F.coalesce(F.col(doc_id).cast("bigint"), F.lit(0)), "__t": F.xxhash64(text)}
+    keyed = df.drop("begins", "ends", "kept").withColumns(key)
+    with scratch(df.sparkSession) as s:
+        spans = s.keep(repeats(keyed.select(F.col("__d").alias("d"), F.col("__t").alias("t"), text), length, gram, text))
 
     @arrow_udf("binary")
     def remove(col: pa.Array, begins: pa.Array, ends: pa.Array) -> pa.Array:
@@ -269,7 +271,7 @@ def dedup(df: DataFrame, length: int = LENGTH, gram: int = GRAM, text: str = "te
             out.append(b"".join([*parts, data[at:]]))
         return pa.array(out, pa.binary())
 
-    joined = checked_join(keyed, spans, ["d", "t"], "left", limit=NARROW)
+    joined = keyed.join(spans.toDF("__d", "__t", "begins", "ends").hint("merge"), ["__d", "__t"], "left")
     body = F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8")
     cut_body = remove(F.when(F.col("begins").isNotNull(), body), "begins", "ends")
-    return joined.withColumn("kept", F.coalesce(cut_body, body)).drop("d", "t")
+    return joined.withColumn("kept", F.coalesce(cut_body, body)).drop("__d", "__t")
