@@ -25,20 +25,23 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from scholarmetrics.llm import bpe, decontaminate, neardup, quality, suffixdedup
-from scholarmetrics.llm.common import checked_join, cut, load
+from scholarmetrics.llm.common import checked_join, cut, load, scratch
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 BPE_PATTERN = public_tokenizers.PATTERN
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    model = quality.fit(cut(quality.add_stats(docs.select("lang", "source", "text")).drop("text")))
+    with scratch(spark) as s:
+        of, estimates = quality.fit(cut(quality.add_stats(docs.select("lang", "source", "text")).drop("text")))
+        model = s.keep(cut(of)), s.keep(cut(estimates))
     whole = docs.select(F.struct(*docs.columns).alias("__doc"), "text", "lang", "source")
     return quality.judge(quality.add_stats(whole), model).where("kept").select("__doc.*")
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    gone = cut(neardup.group(docs).where("NOT kept").select("doc_id").distinct())
+    with scratch(spark) as s:
+        gone = s.keep(cut(neardup.group(docs).where("NOT kept").select("doc_id").distinct()))
     left = checked_join(docs, gone, "doc_id", "left_anti")
     again = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
     again = cut(again)

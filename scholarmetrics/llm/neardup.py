@@ -45,9 +45,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from scholarmetrics.llm import textkit
-from scholarmetrics.llm.common import checked_join, cut
+from scholarmetrics.llm.common import checked_join, cut, scratch
 
 WIDTH = 5
+#: What tells the classes of equal sets apart.
+KEY = ["set_a", "set_b", "n_shingles"]
 #: Values retained of every document, and of each active class.
 SCOUT, SKETCH = 32, 256
 #: Leaders per list in the first rounds; each later round has this many times more.
@@ -240,12 +242,9 @@ def link_classes(lists: DataFrame, active: DataFrame, threshold: float, k: int,
     return comps
 
 
-def group(df: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = 0.75, width: int = WIDTH) -> DataFrame:
-    """One row per row of ``df``: doc_id, n_shingles, component_id, kept."""
-    base = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    rows = cut(add_sketch(base, SCOUT, width=width).drop("text"))
-    key = ["set_a", "set_b", "n_shingles"]
-    named = rows.where(F.col("n_shingles") > 0).groupBy(*key).agg(F.min("doc_id").alias("cid"), F.first("sketch").alias("sketch"), F.count("*").alias("rows"))
+def _labels(base: DataFrame, rows: DataFrame, threshold: float, width: int) -> DataFrame:
+    """(set key, comp) of the classes with several rows or with links."""
+    named = rows.where(F.col("n_shingles") > 0).groupBy(*KEY).agg(F.min("doc_id").alias("cid"), F.first("sketch").alias("sketch"), F.count("*").alias("rows"))
     classes = cut(named.where(F.col("cid").isNotNull()))
     scouted = cut(prefixes(classes, SCOUT, threshold).select("cid").distinct())
     texts = checked_join(base.withColumnRenamed("doc_id", "cid"), scouted, "cid", "left_semi")
@@ -253,13 +252,22 @@ def group(df: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold:
     active = cut(add_sketch(texts, SKETCH, width=width).where(F.col("n_shingles") > 0).select("cid", "n_shingles", "sketch", "text"))
     lists = prefixes(active.select("cid", "n_shingles", "sketch"), SKETCH, threshold)
     comps = link_classes(lists, active, threshold, SKETCH, width)
-    labelled = classes.select(*key, "cid", "rows")
+    labelled = classes.select(*KEY, "cid", "rows")
     if comps is not None:
         labelled = labelled.join(comps.hint("merge"), "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
     else:
         labelled = labelled.withColumn("comp", F.col("cid"))
     # only classes of several rows or with links say more than the row itself
-    labelled = cut(labelled.where((F.col("rows") > 1) | (F.col("comp") != F.col("cid"))).select(*key, "comp"))
-    out = checked_join(rows.drop("sketch"), labelled, key, "left")
+    return cut(labelled.where((F.col("rows") > 1) | (F.col("comp") != F.col("cid"))).select(*KEY, "comp"))
+
+
+def group(df: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = 0.75, width: int = WIDTH) -> DataFrame:
+    """One row per row of ``df``: doc_id, n_shingles, component_id, kept."""
+    base = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    with scratch(df.sparkSession) as s:
+        rows = cut(add_sketch(base, SCOUT, width=width).drop("text"))
+        labelled = s.keep(_labels(base, rows, threshold, width))
+        rows = s.keep(rows)
+    out = checked_join(rows.drop("sketch"), labelled, KEY, "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from scholarmetrics.llm import textkit
-from scholarmetrics.llm.common import checked_join, cut
+from scholarmetrics.llm.common import checked_join, cut, scratch
 
 #: Share of a group's rows that the MCD subset holds.
 SUPPORT = 0.75
@@ -181,6 +181,13 @@ def fit(rows: DataFrame, lang: str = "lang", source: str = "source") -> tuple[Da
 
     Returns (pair of lang and source -> group) and (group -> center, precision).
     """
+    with scratch(rows.sparkSession) as s:
+        of, best = _estimate(rows, lang, source)
+        return s.keep(of), s.keep(best).select(F.col("g").alias("__group"), "center", "precision")
+
+
+def _estimate(rows: DataFrame, lang: str, source: str) -> tuple[DataFrame, DataFrame]:
+    """The concentration steps; both results are cut tables."""
     usable = rows.where(~F.col("base_failed"))
     of = cut(groups(usable, lang, source))
     points = usable.select(_group_key(F.col(lang).alias("lang"), F.col(source).alias("source")).alias("__pair"), F.array(*vector()).alias("x"))
@@ -219,10 +226,9 @@ def fit(rows: DataFrame, lang: str = "lang", source: str = "source") -> tuple[Da
             F.when(better, F.col("before")).otherwise(F.col("older")).alias("before"),
             better.alias("moved"),
         )
-        nxt = cut(nxt)
-        best = nxt.drop("moved")
-        if not nxt.where("moved").limit(1).count():
-            return of, best.select(F.col("g").alias("__group"), "center", "precision")
+        best = cut(nxt)
+        if not best.where("moved").limit(1).count():
+            return of, best
 
 
 def judge(rows: DataFrame, model: tuple[DataFrame, DataFrame], lang: str = "lang", source: str = "source") -> DataFrame:
