@@ -1,17 +1,18 @@
 """Operator 9: quality by perplexity under an interpolated modified Kneser-Ney model.
 
-The model is an n-gram model of order 4 over 40 symbol classes (folded letters, blanks,
-digits, punctuation and UTF-8 lead and continuation bytes), so it needs no vocabulary
-and scores every language.  It is trained on all texts that are labelled good.
+The model is an n-gram model of order ``DEPTH`` over characters (Unicode code points,
+as they stand); its vocabulary is that of the texts.  It is trained on all texts that
+are labelled good.
 
-- Each batch counts its n-grams; the counts are summed per n-gram by a shuffle, so what
-  is gathered grows with the trusted text.
+- One pass counts the n-grams of each document.  Documents of a block (``BLOCK`` bytes of
+  text) share one row per n-gram, which lists the documents that hold it and how often.
 - Continuation counts, counts of counts (for the three discounts of each order),
   context totals and the joins of n-grams with their contexts are grouped sums and
   joins of count tables that are partitioned (sharded) by n-gram or context.
-- The table of the joined probabilities has 40**4 cells at most, whatever the corpus
-  (10 MB), and that proven bound lets each task look its n-grams up; whole texts are
-  scored row by row, without a shuffle.
+- The distinct n-grams of all documents get their log probabilities order by order, by
+  joins with those tables; no table of n-grams passes through the driver.
+- The rows of the blocks are joined with the log probabilities (n-grams with more than
+  1/``SALTS`` of all places are salted) and summed per document.
 - A document is kept unless its perplexity exceeds the ``QUANTILE`` quantile, with a
   small allowance, of the trusted documents of its language (exact counts per 1/64 of
   an octave); languages with fewer than ``LEAST`` trusted documents take the quantile
@@ -25,17 +26,24 @@ rows; an empty table gives an empty table; input columns named like an output ar
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from scholarmetrics.llm import textkit
 from scholarmetrics.llm.common import checked_join, cut
 
+#: The model of characters: order, bytes of text a block, greatest number of salted n-grams.
+DEPTH, BLOCK, SALTS = 5, 4 << 20, 10_000
+#: Sums that a task holds before it passes them on.
+HELD = 1 << 22
+#: The bounded model of byte classes (``log_table``, ``score``); ``classify`` does not use it.
 ORDER, CLASSES = 4, 40
 QUANTILE, ALLOWANCE, LEAST = 0.999, 1.1, 200
 
@@ -88,15 +96,21 @@ def count_ngrams(texts: DataFrame, text: str = "text") -> DataFrame:
     return texts.select(text).mapInArrow(run, "code bigint, c bigint").groupBy("code").agg(F.sum("c").alias("c"))
 
 
-def orders(counts: DataFrame) -> list[DataFrame]:
-    """(code, alpha) and (context, gamma) of each order 1..ORDER: the discounted share of
-    each n-gram in its context, and the weight that its context leaves to the lower order."""
-    tables = {ORDER: cut(counts)}
-    for n in range(ORDER - 1, 0, -1):
+def orders(
+    counts: DataFrame,
+    order: int = ORDER,
+    last: Callable[[int], Column] = lambda n: F.col("code") % CLASSES**n,
+    before: Callable[[int], Column] = lambda n: F.floor(F.col("code") / CLASSES),
+) -> list[tuple[DataFrame, DataFrame]]:
+    """(code, alpha) and (context, gamma) of each order 1..``order``: the discounted share of
+    each n-gram in its context, and the weight that its context leaves to the lower order.
+    ``last(n)`` is the code of the last n symbols, ``before(n)`` the context of an n-gram."""
+    tables = {order: cut(counts)}
+    for n in range(order - 1, 0, -1):
         # lower orders count the distinct symbols before an n-gram
-        tables[n] = cut(tables[n + 1].groupBy((F.col("code") % CLASSES**n).alias("code")).agg(F.count("*").alias("c")))
+        tables[n] = cut(tables[n + 1].groupBy(last(n).alias("code")).agg(F.count("*").alias("c")))
     out = []
-    for n in range(1, ORDER + 1):
+    for n in range(1, order + 1):
         t = tables[n]
         row = t.agg(*[F.sum((F.col("c") == k).cast("long")).alias(f"n{k}") for k in range(1, 5)]).first()
         n1, n2, n3, n4 = [x or 0 for x in row]
@@ -105,7 +119,7 @@ def orders(counts: DataFrame) -> list[DataFrame]:
         d = [min(k, max(0.0, k - (k + 1) * y * after / now)) if now else 0.0 for k, now, after in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
         d = [x or 0.1 for x in d]
         discount = F.when(F.col("c") == 1, d[0]).when(F.col("c") == 2, d[1]).otherwise(d[2])
-        context = F.floor(F.col("code") / CLASSES).alias("context")
+        context = before(n).alias("context")
         per = t.groupBy(context).agg(F.sum("c").alias("total"), F.sum(discount).alias("freed"))
         alpha = t.withColumn("context", context).join(per.hint("merge"), "context").select("code", ((F.col("c") - discount) / F.col("total")).alias("alpha"))
         out.append((alpha, per.select("context", (F.col("freed") / F.col("total")).alias("gamma"))))
@@ -172,15 +186,156 @@ def thresholds(scored: DataFrame) -> DataFrame:
     return cut(edge.select("lang_key", (F.pow(F.lit(2.0), (F.col("edge") + 1) / 64) * ALLOWANCE).alias("threshold")))
 
 
+def _runs(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct n-grams of order DEPTH; (n-gram, text, count) with the first two ascending."""
+    pad = "\n" * (DEPTH - 1)
+    s = np.frombuffer("".join(pad + t for t in texts).encode("utf-32-le"), np.uint32)
+    size = np.array([len(t) for t in texts])
+    doc = np.repeat(np.arange(len(texts)), size)
+    end = np.arange(len(doc)) + (doc + 1) * (DEPTH - 1)  # place of each n-gram's last character
+    alphabet = np.unique(s)
+    a, rank = len(alphabet), np.searchsorted(alphabet, s)
+    if a**DEPTH * len(texts) < 2**63:
+        code = np.zeros(len(doc), np.int64)
+        for back in range(DEPTH - 1, -1, -1):
+            code = code * a + rank[end - back]
+        key = np.sort(code * len(texts) + doc)
+    else:  # many characters: n-grams are numbered symbol by symbol
+        code = np.zeros(len(doc), np.int64)
+        for back in range(DEPTH - 1, -1, -1):
+            _, first, code = np.unique(code * a + rank[end - back], return_index=True, return_inverse=True)
+        key = np.sort(code * len(texts) + doc)
+    at = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+    count = np.diff(np.append(at, len(key)))
+    gram, doc = key[at] // len(texts), key[at] % len(texts)
+    distinct, gram = np.unique(gram, return_inverse=True)
+    if a**DEPTH * len(texts) < 2**63:
+        spelled = alphabet[distinct[:, None] // a ** np.arange(DEPTH - 1, -1, -1) % a]
+    else:
+        spelled = s[end[first][:, None] + np.arange(1 - DEPTH, 1)]
+    text = spelled.astype("<u4").tobytes().decode("utf-32-le")
+    return [text[i : i + DEPTH] for i in range(0, len(text), DEPTH)], gram, doc, count
+
+
+def _packed(doc: np.ndarray, count: np.ndarray) -> bytes:
+    """Places of one n-gram: bytes a count, gaps between documents and counts, plane by plane."""
+    wide = np.uint8 if count.max() < 256 else np.uint32
+    gap = np.diff(doc, prepend=0).astype(np.uint32)
+    step = np.uint8 if gap.max() < 256 else np.uint32
+    return bytes([np.dtype(step).itemsize, np.dtype(wide).itemsize]) + gap.astype(step).tobytes() + count.astype(wide).tobytes()
+
+
+def _unpacked(b: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = (len(b) - 2) // (b[0] + b[1])
+    kind = {1: np.uint8, 4: np.uint32}
+    return np.cumsum(np.frombuffer(b, kind[b[0]], n, 2), dtype=np.int64), np.frombuffer(b, kind[b[1]], n, 2 + n * b[0])
+
+
+def places(df: DataFrame, text: str = "text") -> DataFrame:
+    """One row per document (without its text; ``__gram`` is null), with its ``n_symbols``,
+    ``__block`` and ``__at`` in it, and one per block and n-gram: ``__docs``, ``__n`` of them,
+    and the occurrences ``__c`` in those with ``trusted``."""
+    df = df.drop("n_symbols")
+    more = [("n_symbols", LongType()), ("__block", LongType()), ("__at", LongType()), ("__gram", StringType()), ("__c", LongType()), ("__n", LongType()), ("__docs", BinaryType())]
+    rest = [f for f in df.schema.fields if f.name != text]
+    schema = StructType([StructField(f.name, f.dataType) for f in rest] + [StructField(n, k) for n, k in more])
+    names = [f.name for f in rest]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = TaskContext.get().partitionId() << 33
+        for batch in batches:
+            col, trusted = batch.column(text), batch.column("trusted").to_numpy(zero_copy_only=False)
+            for a, b in textkit.blocks(textkit.flat(col)[1], BLOCK):
+                texts = [t or "" for t in col.slice(a, b - a).to_pylist()]
+                n, kept = b - a, [batch.column(c).slice(a, b - a) for c in names]
+                own = [pa.array([len(t) for t in texts], pa.int64()), pa.array(np.full(n, block)), pa.array(np.arange(n))]
+                void = [pa.nulls(n, k) for k in (pa.string(), pa.int64(), pa.int64(), pa.binary())]
+                yield pa.RecordBatch.from_arrays(kept + own + void, schema.names)
+                grams, gram, doc, count = _runs(texts)
+                edge = np.searchsorted(gram, np.arange(len(grams) + 1))
+                c = np.bincount(gram, count * trusted[a:b].astype(bool)[doc], len(grams)).astype(np.int64)
+                for i in range(0, len(grams), 20000):
+                    upto = min(len(grams), i + 20000)
+                    m = upto - i
+                    docs = [_packed(doc[x:y], count[x:y]) for x, y in zip(edge[i:upto].tolist(), edge[i + 1 : upto + 1].tolist())]
+                    own = [pa.nulls(m, k.type) for k in kept] + [pa.nulls(m, pa.int64()), pa.array(np.full(m, block)), pa.nulls(m, pa.int64())]
+                    own += [pa.array(grams[i:upto], pa.string()), pa.array(c[i:upto]), pa.array(np.diff(edge)[i:upto]), pa.array(docs, pa.binary())]
+                    yield pa.RecordBatch.from_arrays(own, schema.names)
+                block += 1
+
+    return df.mapInArrow(run, schema)
+
+
+def log_probabilities(grams: DataFrame) -> DataFrame:
+    """(code, ll): log probability, in 2**-20, of the last character of each n-gram of
+    ``grams`` (code, c: occurrences in trusted text, perhaps 0)."""
+    last = lambda n: F.substring("code", -n, n)
+    before = lambda n: F.substring("code", 1, n - 1)
+    asked = {DEPTH: grams.select("code")}
+    for n in range(DEPTH - 1, 0, -1):
+        asked[n] = cut(asked[n + 1].select(last(n).alias("code")).distinct())
+    p = asked[1].select(F.lit("").alias("lower")).distinct().withColumn("q", F.lit(1.0 / max(1, asked[1].count())))
+    for n, (alpha, gamma) in enumerate(orders(grams.where("c > 0").select("code", "c"), DEPTH, last, before), 1):
+        t = asked[n].select("code", before(n).alias("context"), last(n - 1).alias("lower") if n > 1 else F.lit("").alias("lower"))
+        t = checked_join(checked_join(t, cut(alpha), "code", "left"), cut(gamma), "context", "left")
+        q = F.coalesce("alpha", F.lit(0.0)) + F.coalesce("gamma", F.lit(1.0)) * F.col("q")
+        p = cut(checked_join(t, p, "lower").select(F.col("code").alias("lower"), q.alias("q")))
+    return p.select(F.col("lower").alias("code"), F.rint(F.log("q") * 2**20).cast("long").alias("ll"))
+
+
+def sums(rows: DataFrame) -> DataFrame:
+    """(__block, __at, ll): the log probabilities of ``rows`` (__block, __docs, ll) by document."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for block, total in held.items():
+                at = np.flatnonzero(total)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), block)), pa.array(at), pa.array(total[at])], ["__block", "__at", "ll"])
+            held.clear()
+
+        for batch in batches:
+            for block, docs, ll in zip(*(c.to_pylist() for c in batch.columns)):
+                at, count = _unpacked(docs)
+                total = held.get(block, np.zeros(0, np.int64))
+                if len(total) <= at[-1]:
+                    total = held[block] = np.append(total, np.zeros(at[-1] + 1 - len(total), np.int64))
+                total[at] += count.astype(np.int64) * ll
+            if sum(map(len, held.values())) > HELD:
+                yield from out()
+        yield from out()
+
+    return rows.mapInArrow(run, "__block bigint, __at bigint, ll bigint").groupBy("__block", "__at").agg(F.sum("ll").alias("ll"))
+
+
+def score_characters(df: DataFrame, text: str = "text") -> DataFrame:
+    """Replace the text by ``n_symbols`` (characters) and ``perplexity`` (null for an empty
+    text) under the model of the texts with ``trusted``."""
+    every = cut(places(df, text))
+    rows = every.where("__gram IS NOT NULL").select("__block", F.col("__gram").alias("code"), "__docs")
+    grams = cut(every.where("__gram IS NOT NULL").groupBy(F.col("__gram").alias("code")).agg(F.sum("__c").alias("c"), F.sum("__n").alias("n")))
+    whole = grams.agg(F.sum("n")).first()[0] or 1
+    # at most SALTS n-grams, as each has 1/SALTS of all places
+    share = F.col("n") * SALTS / whole
+    hot = F.broadcast(cut(grams.where(share >= 1).select("code", F.ceil(share).cast("int").alias("salts"))))
+    salts = F.coalesce("salts", F.lit(1))
+    known = log_probabilities(grams).join(hot, "code", "left").select("code", "ll", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"))
+    rows = rows.join(hot, "code", "left").withColumn("salt", F.pmod(F.xxhash64("__block").cast("bigint"), salts.cast("bigint")).cast("int")).drop("salts")
+    total = cut(sums(rows.join(known.hint("merge"), ["code", "salt"]).select("__block", "__docs", "ll")))
+    docs = every.where("__gram IS NULL").drop("__gram", "__c", "__n", "__docs", "perplexity")
+    docs = docs.join(total.hint("merge"), ["__block", "__at"], "left").drop("__block", "__at")
+    return docs.withColumn("perplexity", F.when(F.col("n_symbols") > 0, F.exp(F.coalesce("ll", F.lit(0)) / -(2.0**20) / F.col("n_symbols")))).drop("ll")
+
+
 def classify(df: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", lang: str = "lang") -> DataFrame:
     """Add ``trusted``, ``n_symbols``, ``perplexity``, ``threshold`` and ``kept``; the text
     column is dropped."""
     good = good_ids(labels).withColumnRenamed("doc_id", "__good")
-    trained = checked_join(df.select(F.col(doc_id).alias("__good"), F.col(text)), good, "__good", "left_semi")
-    table = log_table(count_ngrams(trained, text))
     key = F.to_json(F.struct(F.col(lang).alias("lang")))
-    scored = score(df, table, text).drop(text).withColumn("lang_key", key).withColumn("__good", F.col(doc_id))
-    scored = cut(checked_join(scored, good.withColumn("__is", F.lit(True)), "__good", "left").withColumn("trusted", F.coalesce("__is", F.lit(False))).drop("__good", "__is"))
+    flagged = checked_join(df.withColumn("__good", F.col(doc_id)), good.withColumn("__is", F.lit(True)), "__good", "left")
+    flagged = flagged.withColumn("trusted", F.coalesce("__is", F.lit(False))).drop("__good", "__is")
+    scored = cut(score_characters(flagged, text).withColumn("lang_key", key))
     edges = thresholds(scored)
     rest = edges.where("lang_key IS NULL").first()
     general = F.lit(rest.threshold if rest else float("inf"))

@@ -80,3 +80,80 @@ def test_noise_goes_and_prose_stays(spark, docs, empty):
     assert not any(out[i].kept for i, *_ in rows if i >= 5000 or not i % 8)
     assert lm.classify(df, labels.limit(0)).where("kept").count() == 1200  # nothing learned: uniform
     assert lm.classify(empty, labels).count() == 0
+
+
+def characters_brute(trusted, vocabulary):
+    """The same model over characters, written out with dictionaries."""
+    grams = Counter()
+    for t in trusted:
+        s = "\n" * (lm.DEPTH - 1) + t
+        grams.update(s[i : i + lm.DEPTH] for i in range(len(t)))
+    counts = {lm.DEPTH: grams}
+    for n in range(lm.DEPTH - 1, 0, -1):
+        counts[n] = Counter(g[1:] for g in counts[n + 1])
+    discounts, totals, freed = {}, {}, {}
+    for n, c in counts.items():
+        n1, n2, n3, n4 = (sum(v == k for v in c.values()) for k in (1, 2, 3, 4))
+        y = n1 / (n1 + 2 * n2) if n1 and n2 else 0.5
+        d = [min(k, max(0.0, k - (k + 1) * y * b / a)) if a else 0.0 for k, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
+        discounts[n] = [x or 0.1 for x in d]
+        totals[n], freed[n] = defaultdict(int), defaultdict(float)
+        for g, v in c.items():
+            totals[n][g[:-1]] += v
+            freed[n][g[:-1]] += discounts[n][min(v, 3) - 1]
+
+    def p(g):
+        if not g:
+            return 1 / vocabulary
+        n, h = len(g), g[:-1]
+        if not totals[n][h]:
+            return p(g[1:])
+        v = counts[n][g]
+        own = (v - discounts[n][min(v, 3) - 1]) / totals[n][h] if v else 0.0
+        return own + freed[n][h] / totals[n][h] * p(g[1:])
+
+    return p
+
+
+def test_character_model_equals_brute_force(spark, docs, rows, empty, monkeypatch):
+    monkeypatch.setattr(lm, "BLOCK", 5000)  # many blocks, also of one long text
+    good = [i for i, *_ in rows if i is not None and i % 2 == 0]
+    labels = spark.createDataFrame([(i, 1, 0) for i in set(good)], "doc_id long, quality int, toxic int")
+    out = lm.classify(docs.withColumn("body", F.col("text")), labels).collect()
+    assert len(out) == len(rows)
+    texts = [t or "" for _, t, *_ in rows]
+    p = characters_brute([t or "" for i, t, *_ in rows if i in set(good)], len(set("".join(texts))))
+    for r in out:
+        body = r.body or ""
+        assert r.n_symbols == len(body)
+        if body and len(body) < 3000:
+            s = "\n" * (lm.DEPTH - 1) + body
+            want = math.exp(-sum(math.log(p(s[i : i + lm.DEPTH])) for i in range(len(body))) / len(body))
+            assert math.isclose(r.perplexity, want, rel_tol=1e-4)
+
+
+def test_wrong_characters_of_one_byte_class_are_noise(spark):
+    """Texts outside ASCII whose bytes fall into the classes of the trusted ones."""
+    rng = random.Random(4)
+    some = [chr(0x4E00 + i) for i in range(0, 4000, 100)]
+    other = [chr(ord(c) + 1) for c in some]
+    words = ["".join(rng.choices(some, k=3)) for _ in range(12)]
+    rows = [(i, "".join(rng.choices(words, k=80)) if i % 8 else "".join(rng.choices(other, k=240)), "ja") for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(400) if i % 8], "doc_id long, quality int, toxic int")
+    out = {r.doc_id: r for r in lm.classify(df, labels).collect()}
+    assert all(out[i].kept == bool(i % 8) for i in range(400))
+
+
+def test_many_characters_are_numbered_symbol_by_symbol():
+    rng = random.Random(8)
+    texts = ["".join(chr(0x3400 + rng.randrange(20000)) for _ in range(3000)) for _ in range(5)] + ["", "\0\0ab\0"]
+    grams, gram, doc, count = lm._runs(texts)
+    got = Counter({(grams[g], d): c for g, d, c in zip(gram.tolist(), doc.tolist(), count.tolist())})
+    want = Counter()
+    for d, t in enumerate(texts):
+        s = "\n" * (lm.DEPTH - 1) + t
+        want.update((s[i : i + lm.DEPTH], d) for i in range(len(t)))
+    assert got == want
+    at, c = lm._unpacked(lm._packed(np.array([3, 700]), np.array([1, 900])))
+    assert at.tolist() == [3, 700] and c.tolist() == [1, 900]
