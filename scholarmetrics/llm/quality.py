@@ -15,8 +15,9 @@ One concentration step is two grouped sums over the narrow statistics table:
 Steps start from the median and the quartile spread and are repeated until no
 group's determinant falls any more.  Sums are combined before the shuffle, so a
 hot language or source is spread over all tasks; estimates are one row per group.
-Groups with fewer than ``MIN_GROUP`` rows take their language's estimate, and
-languages with fewer that of all rows.
+Groups with fewer than ``MIN_GROUP`` rows take their language's estimate, which is fitted
+on all rows of the language, and languages with fewer that of all rows.  So a row feeds
+up to three groups: its pair's, its language's and that of all, as far as they are used.
 
 Cases: a null or empty text has no words and fails the base rules; null language or
 source is a group of its own; repeated rows give equal verdicts; an empty table
@@ -164,16 +165,23 @@ def _group_key(*columns: str) -> Column:
 
 
 def groups(rows: DataFrame, lang: str, source: str) -> DataFrame:
-    """(lang, source) -> the group whose estimate holds for it."""
+    """(lang, source) -> the group whose estimate holds for it, and all groups that its
+    rows feed."""
     n = rows.groupBy(F.col(lang).alias("lang"), F.col(source).alias("source")).agg(F.count("*").alias("n"))
     per_lang = n.groupBy("lang").agg(F.sum("n").alias("n_lang"))
     joined = n.join(per_lang, n["lang"].eqNullSafe(per_lang["lang"]), "left").drop(per_lang["lang"])
-    group = (
-        F.when(F.col("n") >= MIN_GROUP, _group_key("lang", "source"))
-        .when(F.col("n_lang") >= MIN_GROUP, _group_key("lang"))
-        .otherwise(F.lit("{}"))
+    own, both, every = _group_key("lang", "source"), _group_key("lang"), F.lit("{}")
+    group = F.when(F.col("n") >= MIN_GROUP, own).when(F.col("n_lang") >= MIN_GROUP, both).otherwise(every)
+    of = cut(joined.select(own.alias("__pair"), both.alias("lang_group"), group.alias("__group")))
+    used = of.select("__group").distinct()  # at most one row per pair
+    lang_used = used.select(F.col("__group").alias("lang_group"), F.lit(True).alias("lang_used"))
+    every_used = F.lit(bool(used.where(F.col("__group") == every).limit(1).count()))
+    feeds = F.array(
+        F.when(F.col("__group") == F.col("__pair"), F.col("__pair")),
+        F.when(F.col("lang_used"), F.col("lang_group")),
+        F.when(every_used, every),
     )
-    return joined.select(_group_key("lang", "source").alias("__pair"), group.alias("__group"))
+    return checked_join(of, lang_used, "lang_group", "left").select("__pair", "__group", F.array_compact(feeds).alias("__feeds"))
 
 
 def fit(rows: DataFrame, lang: str = "lang", source: str = "source") -> tuple[DataFrame, DataFrame]:
@@ -191,7 +199,7 @@ def _estimate(rows: DataFrame, lang: str, source: str) -> tuple[DataFrame, DataF
     usable = rows.where(~F.col("base_failed"))
     of = cut(groups(usable, lang, source))
     points = usable.select(_group_key(F.col(lang).alias("lang"), F.col(source).alias("source")).alias("__pair"), F.array(*vector()).alias("x"))
-    points = cut(checked_join(points, of, "__pair").select(F.col("__group").alias("g"), "x"))
+    points = cut(checked_join(points, of, "__pair").select(F.explode("__feeds").alias("g"), "x"))
 
     quart = [F.percentile_approx(F.col("x")[i], F.array(*map(F.lit, (0.25, 0.5, 0.75))), 10000).alias(f"q{i}") for i in range(_P)]
     spread = [F.pow((F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349, 2) if i == j else F.lit(0.0) for i, j in _PAIRS]
@@ -234,7 +242,7 @@ def _estimate(rows: DataFrame, lang: str, source: str) -> tuple[DataFrame, DataF
 def judge(rows: DataFrame, model: tuple[DataFrame, DataFrame], lang: str = "lang", source: str = "source") -> DataFrame:
     """Add ``distance`` (null for rows that fail the base rules) and ``kept``."""
     of, estimates = model
-    both = cut(of.join(estimates, "__group").drop("__group"))
+    both = cut(of.join(estimates, "__group").drop("__group", "__feeds"))
     pair = _group_key(F.col(lang).alias("lang"), F.col(source).alias("source"))
     # rows that fail need no estimate: a null key joins with nothing
     keyed = rows.withColumn("__pair", F.when(~F.col("base_failed"), pair)).withColumn("x", F.array(*vector()))

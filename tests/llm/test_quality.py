@@ -57,6 +57,18 @@ def test_fit_reaches_a_fixed_point_of_the_concentration_step(spark):
     assert np.allclose(x[near].mean(0), r.center, atol=0.01)
 
 
+def test_few_rows_are_judged_by_all_rows_of_their_language_or_of_the_table(spark):
+    rng = random.Random(6)
+    words = lambda end: " ".join("".join(rng.choices("abcdefgh", k=rng.randint(2, 9))) + end for _ in range(100))
+    rows = [(i, words(""), "en", "hot", True) for i in range(400)]
+    rows += [(1000 + i, words("$$#"), "en", "small", False) for i in range(10)]  # alone they would be their own norm
+    rows += [(2000 + i, words("$$#"), "xx", "rare", False) for i in range(10)]
+    rows += [(3000 + i, words(""), "en", "fine", True) for i in range(10)] + [(4000, words(""), None, None, True)]
+    stats = quality.add_stats(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, fine boolean"))
+    got = quality.judge(stats, quality.fit(stats))
+    assert not got.where("kept != fine").count() and got.count() == len(rows)
+
+
 def test_empty_table(empty):
     stats = quality.add_stats(empty)
     assert quality.judge(stats, quality.fit(stats)).count() == 0
