@@ -18,9 +18,11 @@ The templates are a fixed list (the small side of the join); the large side is
 probed where it lies, row by row, so nothing is shuffled but the word counts, and
 hot sources or copies have no effect.
 
-A block is a line of the text; lines of more than ``BLOCK_WORDS`` words are cut into
-windows of that many words which overlap by half, so that each run of up to half as
-many words (every template here) lies whole in a block.
+The query takes as blocks all runs of ``BLOCK_WORDS`` words of the whole text, line ends
+ignored (``across``), so a notice may be wrapped anywhere; runs are only counted around a
+word of the inverted index.  Without ``across`` a block is a line of the text; lines of
+more than ``BLOCK_WORDS`` words are cut into windows of that many words which overlap by
+half, so that each run of up to half as many words lies whole in a block.
 
 Cases: a null or empty text has no words, places or labels and score 0; repeated
 rows give equal rows; an empty table gives an empty table; of equal shares the larger
@@ -105,6 +107,36 @@ class Matcher:
                     out[k] = shared / size
         return out
 
+    def runs(self, words: list[bytes]) -> dict[str, float]:
+        """Best containment of each matching template over all runs of BLOCK_WORDS words."""
+        best: dict[str, float] = {}
+        near: dict[str, list[list[int]]] = {}
+        for j, w in enumerate(words):
+            for k, _ in self.index.get(w, ()):
+                a, b = max(0, j - BLOCK_WORDS + 1), min(len(words), j + BLOCK_WORDS)
+                spans = near.setdefault(k, [])
+                if spans and a <= spans[-1][1]:
+                    spans[-1][1] = b
+                else:
+                    spans.append([a, b])
+        for k, spans in near.items():
+            sought, need = self.sets[k], self.need[k]
+            for a, b in spans:
+                part = words[a:b]
+                if len(sought.intersection(part)) < need:
+                    continue
+                held: dict[bytes, int] = {}
+                for i, w in enumerate(part):
+                    if i >= BLOCK_WORDS and (gone := part[i - BLOCK_WORDS]) in sought:
+                        held[gone] -= 1
+                        if not held[gone]:
+                            del held[gone]
+                    if w in sought:
+                        held[w] = held.get(w, 0) + 1
+                        if len(held) >= need:
+                            best[k] = max(best.get(k, 0.0), len(held) / len(sought))
+        return best
+
     def text(self, folded: bytes) -> dict[str, float]:
         """Best containment of each matching template over all blocks."""
         best: dict[str, float] = {}
@@ -153,9 +185,11 @@ def scan(
     phrases: dict[str, str] = PHRASES,
     templates: dict[str, str] = TEMPLATES,
     threshold: float = THRESHOLD,
+    across: bool = False,
 ) -> DataFrame:
     """Add ``n_words``, ``places`` (array of label and first word of each phrase) and
-    ``matches`` (array of label and containment of each qualifying template)."""
+    ``matches`` (array of label and containment of each qualifying template).  With
+    ``across``, blocks run over line ends."""
     matcher_of = (templates, threshold, word_frequency(df, templates, text))
     kind = "struct<n_words:bigint,places:array<struct<label:string,word:bigint>>,matches:array<struct<label:string,share:double>>>"
     arrow_kind = pa.struct(
@@ -179,7 +213,7 @@ def scan(
                 while at >= 0:
                     places.append({"label": label, "word": line.count(b" ", 0, at + 1) - 1})
                     at = line.find(sought, at + 1)
-            matches = [{"label": k, "share": v} for k, v in sorted(matcher.text(folded).items())]
+            matches = [{"label": k, "share": v} for k, v in sorted((matcher.runs(words) if across else matcher.text(folded)).items())]
             out.append({"n_words": len(words), "places": sorted(places, key=lambda x: x["word"]), "matches": matches})
         return pa.array(out, arrow_kind)
 

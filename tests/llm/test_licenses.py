@@ -40,3 +40,37 @@ def test_templates_longer_than_a_line_and_empty_input(spark, empty):
     df = spark.createDataFrame([(1, long)], "doc_id long, text string")
     assert [m.label for m in licenses.scan(df).first().matches] == ["gpl-3"]
     assert licenses.scan(empty).count() == 0
+
+
+def runs_brute(text):
+    """Each run of BLOCK_WORDS words of the whole text, one by one."""
+    w, best = words(text), {}
+    for i in range(max(1, len(w) - licenses.BLOCK_WORDS + 1)):
+        block = set(w[i : i + licenses.BLOCK_WORDS])
+        for label, t in licenses.TEMPLATES.items():
+            s = set(t.split())
+            if len(s & block) >= licenses.THRESHOLD * len(s) - 1e-9:
+                best[label] = max(best.get(label, 0), len(s & block) / len(s))
+    return best
+
+
+BSD = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that"
+
+
+def test_wrapped_notices_equal_brute_force_over_all_words(spark, docs, rows):
+    out = {r.doc_id: {m.label: m.share for m in r.matches} for r in licenses.scan(docs.where("doc_id > 0"), across=True).collect()}
+    for i, t, *_ in rows:
+        if i:
+            assert out[i] == runs_brute(t)
+    assert out[908]["all-rights-reserved"] == 1
+    far = "x " * 70 + "\n"
+    df = spark.createDataFrame([(1, BSD), (2, far + BSD.replace(" ", "\n") + far), (3, BSD.replace("\n", "\n" + far))], "doc_id long, text string")
+    out = {r.doc_id: {m.label: m.share for m in r.matches} for r in licenses.scan(df, across=True).collect()}
+    assert out == {1: {"bsd": 1.0}, 2: {"bsd": 1.0}, 3: {}}
+
+
+def test_query_finds_wrapped_notices(spark, tmp_path):
+    from scholarmetrics.llm import registry
+
+    spark.createDataFrame([(1, BSD), (2, "plain")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert {r.doc_id: r.labels for r in registry.op2_license_scan(spark, str(tmp_path)).collect()} == {1: "bsd", 2: ""}
