@@ -12,7 +12,9 @@ block holds at least ``threshold`` of the template's distinct words.
 - Length filter: the block has at least ``need`` words of the vocabulary.
 - Positional filter: what can still follow the shared word, in the template and in
   the block, must be enough to reach ``need``.
-- Survivors are verified on the full word sets.
+- Survivors are verified on the full word sets and, in the query, must hold the words
+  that name the license (``NAMES``) in a row: sets alone cannot tell licenses apart whose
+  notices differ in one word.
 
 The templates are a fixed list (the small side of the join); the large side is
 probed where it lies, row by row, so nothing is shuffled but the word counts, and
@@ -64,6 +66,22 @@ TEMPLATES = {
     "public-domain": "this work has been released into the public domain",
 }
 
+#: What names a license (a pattern over folded words): a block that lacks it, or where it
+#: lies in another license's name, does not match however many words it shares.
+NAMES = {
+    "all-rights-reserved": "all rights (?:are )?reserved",
+    "apache-2": "apache license (?:version 2|v2|2)(?! [1-9])",
+    "bsd": "redistribution and use in source(?: \\S+){1,10} are permitted",
+    "cc-by": "creative commons attribution(?! (?:non ?commercial|no ?deriv|share ?alike))",
+    "cc-by-nc": "cc by nc(?! (?:sa|nd) )",
+    "cc-by-sa": "creative commons attribution share ?alike",
+    "gpl-3": "gnu general public license (?:(?!version|v[12]|lesser|affero)\\S+ ){0,10}(?:version 3|v3)",
+    "mit": "mit (?:x11 )?license",
+    "mit-text": "any person obtaining a copy of this software",
+    "mpl-2": "mozilla public license(?! (?:version |v ?)?1)",
+    "public-domain": "(?<!not been released into the )public domain",
+}
+
 #: Share of a template's distinct words that a block must hold.
 THRESHOLD = 0.8
 
@@ -79,7 +97,8 @@ _FOLD = bytes(
 class Matcher:
     """Templates in frequency order, with the inverted index of their prefixes."""
 
-    def __init__(self, templates: dict[str, str], threshold: float, frequency: dict[str, int]):
+    def __init__(self, templates: dict[str, str], threshold: float, frequency: dict[str, int], names: dict[str, str] | None = None):
+        self.names = {k: re.compile(rb"(?<= )(?:" + n.encode() + rb")(?= )") for k, n in (names or {}).items()}
         self.sets = {k: {w.encode() for w in t.split()} for k, t in templates.items()}
         vocabulary = set().union(*self.sets.values()) if self.sets else set()
         ranked = sorted(vocabulary, key=lambda w: (frequency.get(w.decode(), 0), w))
@@ -125,6 +144,7 @@ class Matcher:
                 part = words[a:b]
                 if len(sought.intersection(part)) < need:
                     continue
+                named = self._named(k, part)
                 held: dict[bytes, int] = {}
                 for i, w in enumerate(part):
                     if i >= BLOCK_WORDS and (gone := part[i - BLOCK_WORDS]) in sought:
@@ -133,10 +153,22 @@ class Matcher:
                             del held[gone]
                     if w in sought:
                         held[w] = held.get(w, 0) + 1
-                        if len(held) >= need:
-                            best[k] = max(best.get(k, 0.0), len(held) / len(sought))
+                    if len(held) >= need and named[i]:
+                        best[k] = max(best.get(k, 0.0), len(held) / len(sought))
         return best
 
+    def _named(self, label: str, words: list[bytes]) -> list[bool]:
+        """Whether the run of BLOCK_WORDS words that ends at each word names the license."""
+        if label not in self.names:
+            return [True] * len(words)
+        line, out = b" " + b" ".join(words) + b" ", [False] * len(words)
+        for m in self.names[label].finditer(line):
+            first = line.count(b" ", 0, m.start()) - 1
+            last = first + len(m[0].split()) - 1
+            for i in range(last, min(len(words), first + BLOCK_WORDS)):
+                out[i] = True
+        return out
+
     def text(self, folded: bytes) -> dict[str, float]:
         """Best containment of each matching template over all blocks."""
         best: dict[str, float] = {}
@@ -186,11 +218,12 @@ def scan(
     templates: dict[str, str] = TEMPLATES,
     threshold: float = THRESHOLD,
     across: bool = False,
+    names: dict[str, str] | None = None,
 ) -> DataFrame:
     """Add ``n_words``, ``places`` (array of label and first word of each phrase) and
     ``matches`` (array of label and containment of each qualifying template).  With
-    ``across``, blocks run over line ends."""
-    matcher_of = (templates, threshold, word_frequency(df, templates, text))
+    ``across``, blocks run over line ends and must hold the template's pattern of ``names``."""
+    matcher_of = (templates, threshold, word_frequency(df, templates, text), names)
     kind = "struct<n_words:bigint,places:array<struct<label:string,word:bigint>>,matches:array<struct<label:string,share:double>>>"
     arrow_kind = pa.struct(
         [

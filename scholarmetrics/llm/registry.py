@@ -30,7 +30,7 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = licenses.scan(load(spark, sf_dir, "documents").select("doc_id", "text"), across=True)
+    found = licenses.scan(load(spark, sf_dir, "documents").select("doc_id", "text"), across=True, names=licenses.NAMES)
     base, more = F.col("places.label"), F.col("matches.label")
     label_list = lambda c: F.array_join(F.sort_array(F.array_distinct(c)), ",")
     return found.select(

@@ -74,3 +74,27 @@ def test_query_finds_wrapped_notices(spark, tmp_path):
 
     spark.createDataFrame([(1, BSD), (2, "plain")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     assert {r.doc_id: r.labels for r in registry.op2_license_scan(spark, str(tmp_path)).collect()} == {1: "bsd", 2: ""}
+
+
+def test_a_license_is_not_taken_for_another(spark):
+    texts = {
+        "Released under the BSD License": "",
+        "Licensed under the Mozilla Public License, Version 2.0": "",
+        "Licensed under the Apache License, Version 1.0": "",
+        "Licensed under CC BY 4.0": "",
+        "Licensed under CC BY-NC-SA 4.0": "",
+        "This work is licensed under the GNU Lesser General Public License version 2": "",
+        "This work is licensed under the GNU Lesser General Public License version 3": "",
+        "This work is licensed under the GNU General Public License, version 2": "",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License": "",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License": "cc-by-sa",
+        "This Source Code Form is subject to the terms of the Eclipse Public License": "",
+        "This work has been released into the public repository": "",
+        "We released it under terms that the license names": "",
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software covered by this license": "",
+    }
+    # every template, and the same wrapped, still gives its own label
+    texts |= {f: k for k, x in licenses.TEMPLATES.items() for f in (x, x.replace(" ", "\n", 3).upper())}
+    df = spark.createDataFrame(list(texts.items()), "text string, want string")
+    for r in licenses.scan(df, across=True, names=licenses.NAMES).collect():
+        assert ",".join(m.label for m in r.matches) == r.want, r.text
