@@ -8,9 +8,9 @@ on the word alone: each task runs the network once per distinct word and weighs
 its places, over whole texts.
 
 It is trained in numpy by backpropagation through time on a bounded sample: of each
-language (the ``LANGUAGES`` most frequent ones) about ``SAMPLE_DOCS`` documents, chosen
-by a hash of their id, and up to ``SAMPLE_WORDS`` distinct words of each.  The seed and
-the sample's order are fixed.
+language, however many there are, about ``SAMPLE_DOCS`` documents, chosen by a hash of
+their id, and up to ``SAMPLE_WORDS`` distinct words of each.  The output layer has one
+class per language.  The seed and the sample's order are fixed.
 
 Cases: a null text or one without a letter is ``und`` with score 0; rows without a
 language are predicted but not learned from; repeated rows get equal predictions;
@@ -23,17 +23,18 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from scholarmetrics.llm import textkit
-from scholarmetrics.llm.common import cut
+from scholarmetrics.llm.common import checked_join, cut
 
-LANGUAGES, SAMPLE_DOCS, SAMPLE_WORDS = 64, 300, 60
+SAMPLE_DOCS, SAMPLE_WORDS = 300, 60
 LONGEST, HIDDEN, STEPS, BATCH, RATE = 24, 16, 500, 384, 0.02
-#: Distinct words that a worker keeps between batches.
-KEPT_WORDS = 1_000_000
+#: Distinct words that a worker keeps between batches; with more than ``WIDE`` languages
+#: tables and blocks of text are smaller by as much.
+KEPT_WORDS, WIDE = 1_000_000, 64
 
 _IN_WORD = np.zeros(256, bool)
 _IN_WORD[65:91] = _IN_WORD[97:123] = _IN_WORD[128:] = True
@@ -156,6 +157,8 @@ class Labeller:
 
     def __init__(self, net: Network):
         self.net = net
+        #: What tables of words are to be divided by.
+        self.wide = max(1.0, len(net.p["bias"]) / WIDE)
         self.clear()
 
     def clear(self) -> None:
@@ -167,16 +170,17 @@ class Labeller:
         size = np.array([len(w) for w in words])
         for t in np.unique(size).tolist():
             at = np.flatnonzero(size == t)
-            for i in range(0, len(at), 4096):
-                x, mask = padded([words[j] for j in at[i : i + 4096]])
-                sums[at[i : i + 4096]] = self.net.probabilities(x, mask).sum(0)
+            rows = max(1, int(4096 / self.wide))
+            for i in range(0, len(at), rows):
+                x, mask = padded([words[j] for j in at[i : i + rows]])
+                sums[at[i : i + rows]] = self.net.probabilities(x, mask).sum(0)
         every = np.concatenate([self.hash, hashes])
         order = np.argsort(every)
         self.hash, self.sums = every[order], np.concatenate([self.sums, sums])[order]
 
     def __call__(self, u8: np.ndarray, off: np.ndarray) -> np.ndarray:
         """Mean label probabilities of each row; not a number without words."""
-        if len(self.hash) > KEPT_WORDS:
+        if len(self.hash) > KEPT_WORDS / self.wide:
             self.clear()
         u8 = _FOLD[u8]
         s, e, first = find_words(u8, off)
@@ -201,14 +205,10 @@ class Labeller:
 
 def sample(labelled: DataFrame, text: str, lang: str, row_id: str) -> tuple[list[str], list[bytes], np.ndarray]:
     """Languages, and the words and labels of the bounded training sample."""
-    counts = labelled.groupBy(lang).agg(F.count("*").alias("n")).orderBy(F.desc("n"), lang).limit(LANGUAGES).collect()
-    if not counts:
-        return [], [], np.zeros(0, np.int64)
-    # a row is drawn with the chance that gives each language about SAMPLE_DOCS of them
+    counts = cut(labelled.groupBy(lang).agg(F.count("*").alias("__n")))
+    # a row is drawn with the chance that gives its language about SAMPLE_DOCS of them
     place = (F.xxhash64(F.col(row_id), F.lit(17)) / 2.0**64) + 0.5
-    chosen = F.lit(False)
-    for r in counts:
-        chosen = chosen | ((F.col(lang) == r[0]) & (place <= min(1.0, SAMPLE_DOCS / r.n)))
+    chosen = checked_join(labelled, counts, lang).where(place <= F.least(F.lit(1.0), SAMPLE_DOCS / F.col("__n")))
 
     @arrow_udf("array<binary>")
     def some(col: pa.Array) -> pa.Array:
@@ -221,12 +221,14 @@ def sample(labelled: DataFrame, text: str, lang: str, row_id: str) -> tuple[list
             out.append(words[:: max(1, -(-len(words) // SAMPLE_WORDS))])
         return pa.array(out, pa.list_(pa.binary()))
 
-    rows = labelled.where(chosen).select(lang, some(F.col(text)).alias("w"), F.xxhash64(row_id).alias("o"))
     # the draw is about SAMPLE_DOCS a language; the limit holds if ids repeat
-    taken = rows.orderBy("o", lang).limit(2 * SAMPLE_DOCS * len(counts)).collect()
+    nth = F.row_number().over(Window.partitionBy(lang).orderBy("o", text))
+    chosen = chosen.select(lang, text, F.xxhash64(row_id).alias("o")).withColumn("nth", nth).where(F.col("nth") <= 2 * SAMPLE_DOCS)
+    taken = chosen.select(lang, some(F.col(text)).alias("w"), "o").orderBy("o", lang).collect()
     langs = sorted({r[0] for r in taken if r.w})
     words = [bytes(w) for r in taken for w in r.w or ()]
-    label = np.array([langs.index(r[0]) for r in taken for _ in r.w or ()], np.int64)
+    number = {x: i for i, x in enumerate(langs)}
+    label = np.array([number[r[0]] for r in taken for _ in r.w or ()], np.int64)
     return langs, words, label
 
 
@@ -252,7 +254,7 @@ def predict(df: DataFrame, labelled: DataFrame, text: str = "text", lang: str =
             _made[key] = Labeller(mine)
         u8, off = textkit.flat(col)
         names, scores = [], []
-        for a, b in textkit.blocks(off):
+        for a, b in textkit.blocks(off, int(2 * textkit.PIECE / _made[key].wide)):
             part, local = u8[off[a] : off[b]], off[a : b + 1] - off[a]
             for i, p in enumerate(_made[key](part, local)):
                 body = part[local[i] : local[i + 1]]

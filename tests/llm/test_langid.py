@@ -57,3 +57,15 @@ def test_without_labels_all_are_undetermined(spark, empty):
     df = spark.createDataFrame([(1, "some text", None)], "doc_id long, text string, lang string")
     assert langid.predict_held_out(df).first().lang_pred == "und"
     assert langid.predict_held_out(empty.select("doc_id", "text", "lang")).count() == 0
+
+
+def test_every_language_is_learned(spark):
+    """80 languages of one letter each; the last ten are the rarest."""
+    rng = random.Random(7)
+    word = lambda k: "".join(rng.choices([chr(0x4E00 + 64 * k + 7), "a"], [3, 1], k=3))
+    rows = [(1000 * k + i, " ".join(word(k) for _ in range(8)), f"l{k:02}") for k in range(80) for i in range(12 if k < 70 else 6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    langs, words, label = langid.sample(df, "text", "lang", "doc_id")
+    assert langs == [f"l{k:02}" for k in range(80)] and set(label) == set(range(80))
+    out = langid.predict(df, df).where("doc_id >= 70000").collect()
+    assert len(out) == 60 and sum(r.lang_pred == r.lang for r in out) > 40
