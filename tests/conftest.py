@@ -7,8 +7,7 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-SF001 = "/root/testdata/sf0.01"
-SF0001 = "/root/testdata/sf0.001"
+from locations import SF001  # noqa: E402
 
 
 @pytest.fixture(scope="session")
