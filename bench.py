@@ -44,6 +44,21 @@ def main() -> None:
 
     from scholarmetrics.plans.catalog import HEADLINE, QUERIES
 
+    parts: list[str] = []
+
+    def plan(df) -> str:
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    def noting(method):
+        def run(self, *args, **kw):
+            parts.append(plan(self))
+            return method(self, *args, **kw)
+
+        return run
+
+    kind = type(spark.range(1))
+    kind.checkpoint, kind.persist = noting(kind.checkpoint), noting(kind.persist)
+
     times: dict[str, float] = {}
     plans: dict[str, dict[str, int]] = {}
     for name in HEADLINE:
@@ -54,9 +69,12 @@ def main() -> None:
             fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
             return time.perf_counter() - t0
 
-        text = fn(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
-        # host-independent figures beside the times: scans and shuffles of the first plan
-        plans[name] = {"scans": len(re.findall(r"FileScan|Scan ExistingRDD", text)), "shuffles": len(re.findall(r"(?<!Broadcast)Exchange ", text))}
+        # host-independent figures beside the times: scans and shuffles of all plans of a
+        # run, those of checkpointed tables and of a fit's input included
+        del parts[:]
+        parts.append(plan(fn(spark, sf_dir)))
+        text = "\n".join(parts)
+        plans[name] = {"scans": len(re.findall(r"FileScan|Scan ExistingRDD", text)), "shuffles": len(re.findall(r"(?<!Broadcast)Exchange ", text)), "plans": len(parts)}
         run()  # warm-up (JIT, file listing cache)
         times[name] = round(statistics.median(run() for _ in range(runs)), 3)
     spark.stop()

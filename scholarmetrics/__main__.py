@@ -102,7 +102,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             args_one = argparse.Namespace(**{**vars(args), "out": f"{base}/{name}"})
             _write(df, args_one)
     elif args.job == "features":
-        _write(YearFeatures(t, args.year).merged, args)
+        _write(YearFeatures(t, args.year, materialize_counts=True).merged, args)
     elif args.job == "gap-features":
         if args.all:
             build = _gap(t, args, materialize_counts=True)
@@ -113,7 +113,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             _write(_gap(t, args, materialize_counts=True).combined, args)
     elif args.job == "fit":
         if args.table == "features":
-            feats, table = list(X.FEATURE_COLUMNS), YearFeatures(t, args.year).merged
+            feats, table = list(X.FEATURE_COLUMNS), YearFeatures(t, args.year, materialize_counts=True).merged
         elif args.table == "author-sum":
             feats, table = ["author_weight"], _gap(t, args).author_sum
         else:

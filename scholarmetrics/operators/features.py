@@ -1,24 +1,27 @@
 """Per-paper features.
 
-Every output is keyed by ``paper_id``.  Per-paper aggregates leave their result
-hash-partitioned by ``paper_id``, so the merges (X9, X10) are chains of joins
-on an already-partitioned key and the planner adds no shuffle for the
-aggregated sides.
+Every output is keyed by ``paper_id``.  X9 merges tagged rows: the rows of all
+features are unioned and grouped by paper once.  X10 is a chain of inner joins; its
+per-paper aggregates arrive hash-partitioned by ``paper_id``, so the planner adds no
+shuffle for them.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scholarmetrics.functions.expressions import venue_key
+from scholarmetrics.functions.expressions import position_credit, venue_key
 from scholarmetrics.functions.predicates import cited_only, non_blank, positive_weights
 from scholarmetrics.operators.links import lookup_default
 from scholarmetrics.operators.skew import skew_join
 
-FEATURE_COLUMNS = ("author_weight", "affiliation_weight", "venue_weight", "field_weight")
+KINDS = ("author", "affiliation", "venue", "field")
+FEATURE_COLUMNS = tuple(f"{k}_weight" for k in KINDS)
+#: Columns of X9, in its order.
+MERGED_COLUMNS = ("paper_id", "field_weight", "venue_weight", "affiliation_weight", "author_weight", "nb_citations")
 
 
 def _weights(w: DataFrame, key: str, out_key: str | None = None) -> DataFrame:
@@ -71,6 +74,31 @@ def paper_field_feature(kw: DataFrame, sw: DataFrame, detect_on: DataFrame | Non
     return _mean_per_paper(links, _weights(sw, "fos_id"), "fos_id", "field_weight", detect_on)
 
 
+def merge_tagged(base: DataFrame, rows: dict[str, DataFrame]) -> DataFrame:
+    """One-shuffle merge: ``base`` (``paper_id``, ``nb_citations``) with, per entry of
+    ``rows``, the mean of the column of that name over its rows of the paper.
+
+    All rows are unioned under one schema, each with a value in its own column only,
+    and grouped by paper once: partial sums leave the map side, so a paper with many
+    rows ships one row per task.  A paper without rows of an entry keeps NULL there;
+    rows of papers that ``base`` lacks are dropped.  ``base`` holds a paper once."""
+    names = list(rows)
+
+    def tagged(df: DataFrame, own: str) -> DataFrame:
+        null = F.lit(None).cast("double")
+        cols = [(F.col(c).cast("double") if c == own else null).alias(c) for c in ["nb_citations", *names]]
+        return df.select("paper_id", *cols)
+
+    union = reduce(DataFrame.unionByName, [tagged(base, "nb_citations"), *[tagged(df, c) for c, df in rows.items()]])
+    return _per_paper(union, {c: F.col(c) for c in names})
+
+
+def _per_paper(union: DataFrame, values: dict[str, Column]) -> DataFrame:
+    means = [F.avg(v).alias(c) for c, v in values.items()]
+    merged = union.groupBy("paper_id").agg(F.max("nb_citations").alias("nb_citations"), *means)
+    return merged.filter(F.col("nb_citations").isNotNull())
+
+
 def merge_features(
     pc: DataFrame,
     author: DataFrame,
@@ -81,17 +109,61 @@ def merge_features(
     """Cited papers of ``pc`` left-joined with the four features.
 
     Output ``(paper_id, field_weight, venue_weight, affiliation_weight,
-    author_weight, nb_citations)``; a paper without link rows keeps NULL.
+    author_weight, nb_citations)``; a paper without link rows keeps NULL.  One
+    shuffle (``merge_tagged``) in place of a join per feature.
     """
-    base = cited_only(pc).select("paper_id", F.col("nb_citations").cast("double").alias("nb_citations"))
-    merged = reduce(
-        lambda acc, f: acc.join(f, "paper_id", "left"), [author, affiliation, venue, field], base
+    base = cited_only(pc).select("paper_id", "nb_citations")
+    return merge_tagged(base, dict(zip(FEATURE_COLUMNS, (author, affiliation, venue, field)))).select(*MERGED_COLUMNS)
+
+
+def cited_links(
+    pc: DataFrame, paa: DataFrame, kw: DataFrame, credit: str = "position", venue_col: str = "venue_key"
+) -> DataFrame:
+    """Every link of the cited papers of ``pc`` as ``(paper_id, kind, entity, credit,
+    nb_citations)``: authors (credit ``nb / seq`` or ``nb``), affiliations, keywords'
+    fields and the paper's lower-cased venue (credit ``nb``).
+
+    The link table is joined once for authors and affiliations together, the keyword
+    table once.  ``nb_citations`` is set in the venue row alone, of which each cited
+    paper has one, so the rows also hold the base of the merge."""
+    cited = cited_only(pc).select("paper_id", F.col("nb_citations").cast("double").alias("_nb"))
+    nothing = F.lit(None).cast("double")
+    out = ["paper_id", "kind", "entity", "credit", "nb_citations"]
+
+    links = skew_join(paa.select("paper_id", "author_id", "affiliation_id", "author_seq"), cited, "paper_id", "inner", detect_on=paa)
+    share = F.col("_nb") * position_credit("author_seq") if credit == "position" else F.col("_nb")
+    pair = F.explode(
+        F.array(
+            F.struct(F.lit("author").alias("kind"), F.col("author_id").alias("entity"), share.alias("credit")),
+            F.struct(F.lit("affiliation").alias("kind"), F.col("affiliation_id").alias("entity"), F.col("_nb").alias("credit")),
+        )
     )
-    return merged.select(
-        "paper_id", "field_weight", "venue_weight", "affiliation_weight", "author_weight", "nb_citations"
+    people = non_blank(links.select("paper_id", pair.alias("x")).select("paper_id", "x.*"), "entity")
+    fields = skew_join(kw.select("paper_id", "fos_id"), cited, "paper_id", "inner", detect_on=kw)
+    venues = cited_only(pc).select("paper_id", venue_key(venue_col, True).alias("entity"), F.col("nb_citations").cast("double").alias("credit"))
+    return (
+        people.withColumn("nb_citations", nothing).select(*out)
+        .unionByName(fields.select("paper_id", F.lit("field").alias("kind"), F.col("fos_id").alias("entity"), F.col("_nb").alias("credit"), nothing.alias("nb_citations")))
+        .unionByName(venues.select("paper_id", F.lit("venue").alias("kind"), "entity", "credit", F.col("credit").alias("nb_citations")))
     )
 
 
+def merge_links(links: DataFrame, hot: dict[str, dict[str, float]]) -> DataFrame:
+    """X9 from ``cited_links``: all entities' weights in one aggregate, one lookup of
+    every link's weight, one group by paper.
+
+    A weight is the sum of the credits of an entity's links; links whose entity has no
+    positive weight count 0.0 (as a blank venue does).  ``hot`` has, per kind, the hot
+    entities with their share of the rows: their links are salted in the lookup."""
+    named = links.withColumn("key", F.concat_ws(":", "kind", "entity"))
+    counted = named.filter(F.col("entity").isNotNull() & ((F.col("kind") != "venue") | (F.col("entity") != "")))
+    weights = positive_weights(counted.groupBy("key").agg(F.sum("credit").alias("weight"))).select("key", F.col("weight").alias("_w"))
+    keys = {f"{kind}:{k}": share for kind, shares in hot.items() for k, share in shares.items()}
+    found = skew_join(named.drop("credit", "entity"), weights, "key", "left", hot=keys)
+    value = F.coalesce(F.col("_w"), F.lit(0.0))
+    return _per_paper(found, {f"{k}_weight": F.when(F.col("kind") == k, value) for k in KINDS}).select(*MERGED_COLUMNS)
+
+
 # --- sums of entity weights per paper, with a label (gap-limited variant) ---
 
 

@@ -13,9 +13,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Normalizer, VectorAssembler
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -137,48 +138,92 @@ def mse_by_budget(
     label: str,
     features: Sequence[str],
     step: int = BUDGET_STEP,
-    max_refits: int | None = None,
+    max_refits: int = 200,
     fill: float | None = 0.0,
+    together: int = 4,
 ) -> DataFrame:
     """M6: refit with ``step``, ``2*step``, ... L-BFGS iterations until the test
-    MSE repeats (to ten digits) or is not a number; ``max_refits`` may stop it
-    earlier.  Returns ``(iterations, mse, converged)`` of the budgets that ran;
-    ``converged`` is true in the last row if the error repeated, so a capped run
-    can be told from a finished one.
+    MSE repeats (to ten digits) or is not a number, ``max_refits`` budgets at most.
+    Returns the whole curve ``(iterations, mse, converged)``; ``converged`` is true in
+    the last row if the error repeated, so a capped run can be told from a finished one.
 
     The optimiser's own tolerance is 0, so the budget alone ends a fit and every
-    row of the curve is a different fit.  Each refit is a distributed job; the
-    driver keeps only the scalar MSEs.  Train and test are assembled once and
-    cached for the refits.
+    row of the curve is a different fit.  ``together`` budgets are fitted in turn and
+    then scored by one pass over the test rows (``score_models``), which reads them once
+    for the group in place of once a budget; a budget beyond the one that repeats is
+    dropped, so the curve does not depend on ``together``.  The driver keeps only
+    coefficients and MSEs.  Train and test are assembled once and cached.
     """
     a_train = assemble(train, label, features, fill).select(label, "features").persist(StorageLevel.MEMORY_AND_DISK)
-    a_test = assemble(test, label, features, fill).select(label, "features").persist(StorageLevel.MEMORY_AND_DISK)
+    p_test = prepare(test, label, features, fill).select(label, *features).persist(StorageLevel.MEMORY_AND_DISK)
     results: list[tuple[int, float, bool]] = []
     try:
-        while max_refits is None or len(results) < max_refits:
-            budget = (len(results) + 1) * step
-            model = LinearRegression(
-                featuresCol="features", labelCol=label, regParam=0.0, fitIntercept=True,
-                solver="l-bfgs", maxIter=budget, tol=0.0,
-            ).fit(a_train)
-            err = F.col("prediction") - F.col(label)
-            mse = model.transform(a_test).agg(F.avg(err * err)).first()[0]
-            mse = float("nan") if mse is None else float(mse)
-            again = bool(results) and abs(mse - results[-1][1]) <= 1e-10 * abs(mse)
-            results.append((budget, mse, again))
-            if again or mse != mse:
-                break
+        while len(results) < max_refits and not (results and (results[-1][2] or results[-1][1] != results[-1][1])):
+            budgets = [(len(results) + 1 + i) * step for i in range(min(together, max_refits - len(results)))]
+            models = [
+                LinearRegression(
+                    featuresCol="features", labelCol=label, regParam=0.0, fitIntercept=True,
+                    solver="l-bfgs", maxIter=b, tol=0.0,
+                ).fit(a_train)
+                for b in budgets
+            ]
+            for budget, mse in zip(budgets, score_models(models, p_test, label, features)):
+                again = bool(results) and abs(mse - results[-1][1]) <= 1e-10 * abs(mse)
+                results.append((budget, mse, again))
+                if again or mse != mse:
+                    break
     finally:
         a_train.unpersist()
-        a_test.unpersist()
+        p_test.unpersist()
     spark = train.sparkSession
     return spark.createDataFrame(results, "iterations int, mse double, converged boolean")
 
 
-def save_model(model: LinearRegressionModel, path: str) -> None:
-    """M7: persist a fitted model (Spark ML format, overwriting)."""
+def linear_prediction(model: LinearRegressionModel, features: Sequence[str]) -> Column:
+    """The model as a column expression: its coefficients are literals, so any number of
+    models fit in one projection."""
+    terms = [F.col(c) * F.lit(float(k)) for c, k in zip(features, model.coefficients.toArray())]
+    return sum(terms, F.lit(float(model.intercept)))
+
+
+def score_models(
+    models: Sequence[LinearRegressionModel], test: DataFrame, label: str, features: Sequence[str]
+) -> list[float]:
+    """MSE of every model, from one aggregate over the (prepared) test rows; NaN where
+    there are none."""
+    errors = [linear_prediction(m, features) - F.col(label) for m in models]
+    row = test.agg(*[F.avg(e * e).alias(f"m{i}") for i, e in enumerate(errors)]).first()
+    return [float("nan") if x is None else float(x) for x in row]
+
+
+def fit_pipeline(
+    train: DataFrame, label: str, features: Sequence[str], normalized: bool = True, fill: float | None = 0.0
+) -> PipelineModel:
+    """M1, M2 and M4 as one ``pyspark.ml`` pipeline: assemble the feature columns, scale
+    each row to length 1 (``Normalizer``, p=2), fit.  The fitted pipeline is one object to
+    save, load and transform with; its input is a table with the feature columns."""
+    data = prepare(train, label, features, fill).select(label, *features)
+    stages = [VectorAssembler(inputCols=list(features), outputCol="assembled" if normalized else "features")]
+    if normalized:
+        stages.append(Normalizer(inputCol="assembled", outputCol="features", p=2.0))
+    stages.append(
+        LinearRegression(featuresCol="features", labelCol=label, regParam=0.0, fitIntercept=True, solver="normal")
+    )
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return Pipeline(stages=stages).fit(data)
+    finally:
+        data.unpersist()
+
+
+def save_model(model: LinearRegressionModel | PipelineModel, path: str) -> None:
+    """M7: persist a fitted model or pipeline (Spark ML format, overwriting)."""
     model.write().overwrite().save(path)
 
 
 def load_model(path: str) -> LinearRegressionModel:
     return LinearRegressionModel.load(path)
+
+
+def load_pipeline(path: str) -> PipelineModel:
+    return PipelineModel.load(path)

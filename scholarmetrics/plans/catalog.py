@@ -16,18 +16,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scholarmetrics.functions import predicates as P
+from scholarmetrics.functions.expressions import position_credit
 from scholarmetrics.operators import counts as A
 from scholarmetrics.operators import features as X
 from scholarmetrics.operators import links as J
 from scholarmetrics.operators import model as M
 from scholarmetrics.operators import temporal as E
 from scholarmetrics.operators import weights as W
+from scholarmetrics.operators.skew import shuffle_partitions
 from scholarmetrics.plans.workflows import GapFeatures, YearFeatures
 from scholarmetrics.schemas import SCHEMAS, Tables
 from scholarmetrics.sources.fixtures import load_tables
-from scholarmetrics.sources.sinks import tsv_line
-from scholarmetrics.sources.tables import materialize
-from scholarmetrics.sources.tsv import parse_lines
+from scholarmetrics.sources.sinks import tsv_line, write_text_dump
+from scholarmetrics.sources.tables import materialize, shared_folder, write_bucketed
+from scholarmetrics.sources.tsv import count_rejects, parse_lines, parse_tagged, read_tsv
 
 # Fixed query parameters.
 YEAR = 1997
@@ -41,6 +43,11 @@ CITATION_CAP = 40
 TOP_K = 10
 MODEL_FEATURE = "author_weight"
 MSE_STEP = 5
+DAMAGE_EVERY = 40
+#: Lines of the text dump of counts.
+COUNT_LINES = T.StructType([T.StructField("paper_id", T.StringType()), T.StructField("nb_citations", T.LongType())])
+#: Buckets of a table: as many as shuffle partitions, within these bounds.
+BUCKETS_LEAST, BUCKETS_MOST = 4, 100_000
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -73,7 +80,7 @@ def _all_counts(t: Tables) -> DataFrame:
 
 def _model_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X9 with missing features as 0.0 and the train flag."""
-    merged = _year(spark, sf_dir).merged
+    merged = _year(spark, sf_dir, materialize_counts=True).merged
     filled = M.prepare(merged, "nb_citations", list(X.FEATURE_COLUMNS), fill=0.0)
     return M.split_flag(filled)
 
@@ -245,7 +252,14 @@ def q_paper_field_feature(spark, d):
 
 
 def q_merged_features(spark, d):
-    return rounded(_year(spark, d).merged)
+    """X9; the counts and the cited papers' links are checkpointed once."""
+    return rounded(_year(spark, d, materialize_counts=True).merged)
+
+
+def q_merged_features_by_parts(spark, d):
+    """J8 on the four feature tables as such (X1-X4), merged by one group by paper."""
+    y = _year(spark, d, materialize_counts=True)
+    return rounded(X.merge_features(y.counts, y.author_feature, y.affiliation_feature, y.venue_feature, y.field_feature))
 
 
 def _wide_year(spark, d) -> YearFeatures:
@@ -420,16 +434,99 @@ def q_field_sum_model(spark, d):
     return _sum_model(spark, _gap(spark, d).field_sum, "field_weight")
 
 
-def q_mse_by_budget(spark, d):
-    """M6: the error of the last budget, which must be that of the exact solution."""
+def _budget_curve(spark, d) -> DataFrame:
     m = _kept_model_frame(spark, d)
-    curve = M.mse_by_budget(
+    return M.mse_by_budget(
         m.filter(F.col("is_train")), m.filter(~F.col("is_train")), "nb_citations", list(X.FEATURE_COLUMNS), step=MSE_STEP
     )
-    last = curve.orderBy(F.desc("iterations")).limit(1)
+
+
+def q_mse_by_budget(spark, d):
+    """M6: the whole curve (iterations, mse, converged)."""
+    return rounded(_budget_curve(spark, d), 3)
+
+
+def q_mse_by_budget_last(spark, d):
+    """M6: the error of the last budget, which must be that of the exact solution."""
+    last = _budget_curve(spark, d).orderBy(F.desc("iterations")).limit(1)
     return last.select(F.round("mse", 3).alias("mse"), "converged")
 
 
+def q_linear_model_reloaded(spark, d):
+    """M1, M2, M4 and M7: a pipeline fitted on normalised vectors, saved to the shared
+    folder and loaded again; its coefficients."""
+    feats = list(X.FEATURE_COLUMNS)
+    train = _kept_model_frame(spark, d).filter(F.col("is_train"))
+    path = shared_folder(spark, "pipeline")
+    M.save_model(M.fit_pipeline(train, "nb_citations", feats), path)
+    return rounded(M.coefficients(M.load_pipeline(path).stages[-1], feats, spark), 4)
+
+
+def q_linear_model_scored(spark, d):
+    """M7: a fitted model saved to the shared folder, loaded by another step and applied
+    to every test paper."""
+    model, test = _fit_one(spark, d)
+    path = shared_folder(spark, "model")
+    M.save_model(model, path)
+    scored = M.predictions(M.load_model(path), test, "nb_citations", [MODEL_FEATURE])
+    return rounded(scored.select("paper_id", "nb_citations", "prediction"))
+
+
+# --- sources and sinks through files -----------------------------------------------
+
+
+def q_text_dump_roundtrip(spark, d):
+    """The counts dumped as plain text lines, read back and typed."""
+    path = shared_folder(spark, "text-dump")
+    write_text_dump(A.citation_counts(_t(spark, d).paper_references), path)
+    return read_tsv(spark, path, COUNT_LINES)
+
+
+def damaged_lines(spark, d) -> DataFrame:
+    """Lines of the papers table; by the remainder of the id, some lose their last two
+    fields and some have a year that is no number."""
+    papers = load_tables(spark, d, wide=True).papers
+    rest = F.pmod(F.col("paper_id").cast("bigint"), F.lit(DAMAGE_EVERY))
+    year = F.when(rest == 1, F.lit("unknown")).otherwise(F.col("year").cast("string"))
+    papers = papers.withColumn("year", year)
+    line = tsv_line(papers)
+    return papers.select(F.when(rest == 0, F.regexp_replace(line, "\t[^\t]*\t[^\t]*$", "")).otherwise(line).alias("value"))
+
+
+def q_tsv_rejects(spark, d):
+    """Lines by reject reason, rows and rejects from one scan."""
+    return count_rejects(parse_tagged(damaged_lines(spark, d), SCHEMAS["papers"]))
+
+
+def bucketed_tables(spark, d) -> dict[str, DataFrame]:
+    """S3: papers with counts, links and keywords as bucketed copies by paper id in the
+    shared folder, each shuffled once, when it is written."""
+    t = _t(spark, d)
+    buckets = max(BUCKETS_LEAST, min(shuffle_partitions(t.papers), BUCKETS_MOST))
+    tables = {
+        "counts": _all_counts(t).select("paper_id", "year", "nb_citations"),
+        "links": t.paper_authors.select("paper_id", "author_id", "author_seq"),
+        "keywords": t.paper_keywords.select("paper_id", "fos_id"),
+    }
+    return {n: write_bucketed(df, shared_folder(spark, f"by-paper-{n}"), "paper_id", buckets) for n, df in tables.items()}
+
+
+def q_bucketed_paper_profile(spark, d):
+    """S3: per paper its count, its authors' credit and its number of fields, joined and
+    grouped on bucketed copies without an exchange."""
+    return rounded(profile_of(**bucketed_tables(spark, d)))
+
+
+def profile_of(counts: DataFrame, links: DataFrame, keywords: DataFrame) -> DataFrame:
+    credit = P.non_blank(links, "author_id").groupBy("paper_id").agg(
+        F.count(F.lit(1)).alias("nb_links"), F.sum(position_credit("author_seq")).alias("credit")
+    )
+    fields = keywords.groupBy("paper_id").agg(F.count(F.lit(1)).alias("nb_keywords"), F.min("fos_id").alias("first_field"))
+    both = counts.join(credit, "paper_id", "left").join(fields, "paper_id", "left")
+    zero = {"nb_links": 0, "credit": 0.0, "nb_keywords": 0}
+    return both.select("paper_id", "year", "nb_citations", *[F.coalesce(c, F.lit(v)).alias(c) for c, v in zero.items()], "first_field")
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

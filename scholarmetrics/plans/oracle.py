@@ -14,6 +14,7 @@ import re
 from scholarmetrics.plans.catalog import (
     AUTHOR_THRESHOLD,
     CITATION_CAP,
+    DAMAGE_EVERY,
     FIELD_ID,
     FIELD_PHRASE,
     GAP,
@@ -28,6 +29,32 @@ from scholarmetrics.plans.catalog import (
 _N_BUCKETS = len(range(HIST_LO, HIST_HI, HIST_WIDTH)) - 1
 _HIST_TOP = HIST_LO + _N_BUCKETS * HIST_WIDTH
 
+
+def _least_squares(p: str, source: str) -> list[tuple[str, str]]:
+    """CTEs, named from ``p``, that fit four features of ``source``'s training rows: each
+    feature is freed of the ones before it, the label is projected on what is left, and
+    the coefficients ``k0`` to ``k4`` (table ``{p}coef``) are substituted back."""
+    return [
+        (f"{p}s1", f"""
+        SELECT nb_citations AS y, author_weight AS x1, affiliation_weight AS x2, venue_weight AS x3, field_weight AS x4,
+               author_weight - avg(author_weight) OVER () AS r1 FROM {source} WHERE is_train"""),
+        (f"{p}b2", f"SELECT regr_slope(x2, r1) AS b21, avg(x2) AS m2 FROM {p}s1"),
+        (f"{p}s2", f"SELECT s.*, x2 - m2 - b21 * r1 AS r2 FROM {p}s1 s, {p}b2"),
+        (f"{p}b3", f"SELECT regr_slope(x3, r1) AS b31, regr_slope(x3, r2) AS b32, avg(x3) AS m3 FROM {p}s2"),
+        (f"{p}s3", f"SELECT s.*, x3 - m3 - b31 * r1 - b32 * r2 AS r3 FROM {p}s2 s, {p}b3"),
+        (f"{p}b4", f"""
+        SELECT regr_slope(x4, r1) AS b41, regr_slope(x4, r2) AS b42, regr_slope(x4, r3) AS b43, avg(x4) AS m4 FROM {p}s3"""),
+        (f"{p}s4", f"SELECT s.*, x4 - m4 - b41 * r1 - b42 * r2 - b43 * r3 AS r4 FROM {p}s3 s, {p}b4"),
+        (f"{p}g", f"""
+        SELECT regr_slope(y, r1) AS g1, regr_slope(y, r2) AS g2, regr_slope(y, r3) AS g3, regr_slope(y, r4) AS g4,
+               avg(y) AS my, avg(x1) AS m1 FROM {p}s4"""),
+        (f"{p}c4", f"SELECT g4 AS k4, g3 - b43 * g4 AS k3, * FROM {p}g, {p}b2, {p}b3, {p}b4"),
+        (f"{p}c2", f"SELECT g2 - b32 * k3 - b42 * k4 AS k2, * FROM {p}c4"),
+        (f"{p}c1", f"SELECT g1 - b21 * k2 - b31 * k3 - b41 * k4 AS k1, * FROM {p}c2"),
+        (f"{p}coef", f"SELECT my - k1 * m1 - k2 * m2 - k3 * m3 - k4 * m4 AS k0, k1, k2, k3, k4 FROM {p}c1"),
+    ]
+
+
 # Named CTEs in definition order; a query pulls in the ones it references.
 _CTES: list[tuple[str, str]] = [
     # fixture views
@@ -136,25 +163,17 @@ _CTES: list[tuple[str, str]] = [
     ("coef", """
         SELECT regr_intercept(nb_citations, author_weight) AS b0, regr_slope(nb_citations, author_weight) AS b1
         FROM mf WHERE is_train"""),
-    # least squares on four features: each is freed of the ones before it, the
-    # label is projected on what is left, and the coefficients are substituted back
-    ("ls1", """
-        SELECT nb_citations AS y, author_weight AS x1, affiliation_weight AS x2, venue_weight AS x3, field_weight AS x4,
-               author_weight - avg(author_weight) OVER () AS r1 FROM mf WHERE is_train"""),
-    ("lb2", "SELECT regr_slope(x2, r1) AS b21, avg(x2) AS m2 FROM ls1"),
-    ("ls2", "SELECT s.*, x2 - m2 - b21 * r1 AS r2 FROM ls1 s, lb2"),
-    ("lb3", "SELECT regr_slope(x3, r1) AS b31, regr_slope(x3, r2) AS b32, avg(x3) AS m3 FROM ls2"),
-    ("ls3", "SELECT s.*, x3 - m3 - b31 * r1 - b32 * r2 AS r3 FROM ls2 s, lb3"),
-    ("lb4", """
-        SELECT regr_slope(x4, r1) AS b41, regr_slope(x4, r2) AS b42, regr_slope(x4, r3) AS b43, avg(x4) AS m4 FROM ls3"""),
-    ("ls4", "SELECT s.*, x4 - m4 - b41 * r1 - b42 * r2 - b43 * r3 AS r4 FROM ls3 s, lb4"),
-    ("lg", """
-        SELECT regr_slope(y, r1) AS g1, regr_slope(y, r2) AS g2, regr_slope(y, r3) AS g3, regr_slope(y, r4) AS g4,
-               avg(y) AS my, avg(x1) AS m1 FROM ls4"""),
-    ("lc4", "SELECT g4 AS k4, g3 - b43 * g4 AS k3, * FROM lg, lb2, lb3, lb4"),
-    ("lc2", "SELECT g2 - b32 * k3 - b42 * k4 AS k2, * FROM lc4"),
-    ("lc1", "SELECT g1 - b21 * k2 - b31 * k3 - b41 * k4 AS k1, * FROM lc2"),
-    ("lcoef", "SELECT my - k1 * m1 - k2 * m2 - k3 * m3 - k4 * m4 AS k0, k1, k2, k3, k4 FROM lc1"),
+    *_least_squares("l", "mf"),
+    # the same rows scaled to length 1
+    ("mn", """
+        SELECT paper_id, nb_citations, is_train,
+               CASE WHEN nrm = 0 THEN author_weight ELSE author_weight / nrm END AS author_weight,
+               CASE WHEN nrm = 0 THEN affiliation_weight ELSE affiliation_weight / nrm END AS affiliation_weight,
+               CASE WHEN nrm = 0 THEN venue_weight ELSE venue_weight / nrm END AS venue_weight,
+               CASE WHEN nrm = 0 THEN field_weight ELSE field_weight / nrm END AS field_weight
+        FROM (SELECT *, sqrt(author_weight * author_weight + affiliation_weight * affiliation_weight
+                             + venue_weight * venue_weight + field_weight * field_weight) AS nrm FROM mf)"""),
+    *_least_squares("n", "mn"),
     # gap-limited variant (all papers)
     ("tc", """
         SELECT paper_id, nb_citations, year FROM pc_all"""),
@@ -387,14 +406,9 @@ _FINAL: dict[str, str] = {
         FROM gx_author a JOIN gx_author_full b ON a.paper_id = b.paper_id""",
     # model
     "normalized_features": f"""
-        SELECT paper_id, {_r('nb_citations', 'nb_citations')},
-               {_r('CASE WHEN nrm = 0 THEN author_weight ELSE author_weight / nrm END', 'author_weight')},
-               {_r('CASE WHEN nrm = 0 THEN affiliation_weight ELSE affiliation_weight / nrm END', 'affiliation_weight')},
-               {_r('CASE WHEN nrm = 0 THEN venue_weight ELSE venue_weight / nrm END', 'venue_weight')},
-               {_r('CASE WHEN nrm = 0 THEN field_weight ELSE field_weight / nrm END', 'field_weight')}
-        FROM (SELECT *, sqrt(author_weight * author_weight + affiliation_weight * affiliation_weight
-                             + venue_weight * venue_weight + field_weight * field_weight) AS nrm
-              FROM mf) n""",
+        SELECT paper_id, {_r('nb_citations', 'nb_citations')}, {_r('author_weight', 'author_weight')},
+               {_r('affiliation_weight', 'affiliation_weight')}, {_r('venue_weight', 'venue_weight')},
+               {_r('field_weight', 'field_weight')} FROM mn""",
     "train_test_split": "SELECT paper_id, is_train FROM mf",
     "linear_model_coefficients": f"SELECT {_r('b0', 'intercept')}, {_r('b1', 'author_weight')} FROM coef",
     "linear_model_mse": f"""
@@ -403,7 +417,6 @@ _FINAL: dict[str, str] = {
               FROM mf WHERE NOT is_train) e""",
 }
 
-# X11 end to end returns the merged feature table.
 _WIDE = "paper_id, c1, c2, year, c4, c5, c6, venue_key, c8, c9, c10"
 _TRAIN = "(('0x' || substr(md5(paper_id || ':11'), 1, 8))::BIGINT % 10) < 7"
 _FINAL |= {
@@ -430,10 +443,27 @@ _FINAL |= {
     "linear_model_all_features": f"""
         SELECT {_r('k0', 'intercept')}, {_r('k1', 'author_weight')}, {_r('k2', 'affiliation_weight')},
                {_r('k3', 'venue_weight')}, {_r('k4', 'field_weight')} FROM lcoef""",
-    "mse_by_budget": """
+    "mse_by_budget_last": """
         SELECT round(avg((k0 + k1 * author_weight + k2 * affiliation_weight + k3 * venue_weight + k4 * field_weight
                           - nb_citations) ** 2), 3) AS mse, true AS converged
         FROM mf, lcoef WHERE NOT is_train""",
+    "linear_model_reloaded": """
+        SELECT round(k0, 4) AS intercept, round(k1, 4) AS author_weight, round(k2, 4) AS affiliation_weight,
+               round(k3, 4) AS venue_weight, round(k4, 4) AS field_weight FROM ncoef""",
+    "linear_model_scored": f"""
+        SELECT paper_id, nb_citations, {_r('b0 + b1 * author_weight', 'prediction')} FROM mf, coef WHERE NOT is_train""",
+    "text_dump_roundtrip": "SELECT paper_id, nb_citations FROM cc_all",
+    "tsv_rejects": f"""
+        SELECT CASE r WHEN 0 THEN 'short line' WHEN 1 THEN 'year' ELSE '' END AS reason, r <> 0 AS kept, count(*) AS nb_lines
+        FROM (SELECT least(CAST(paper_id AS BIGINT) % {DAMAGE_EVERY}, 2) AS r FROM papers_wide) GROUP BY r""",
+    "bucketed_paper_profile": f"""
+        SELECT c.paper_id, c.year, c.nb_citations, COALESCE(l.nb, 0) AS nb_links,
+               {_r('COALESCE(l.credit, 0.0E0)', 'credit')}, COALESCE(k.nb, 0) AS nb_keywords, k.first_field
+        FROM pc_all c
+        LEFT JOIN (SELECT paper_id, count(*) AS nb, sum(1.0E0 / author_seq) AS credit FROM paper_authors
+                   WHERE author_id <> '' GROUP BY paper_id) l ON c.paper_id = l.paper_id
+        LEFT JOIN (SELECT paper_id, count(*) AS nb, min(fos_id) AS first_field FROM paper_keywords
+                   GROUP BY paper_id) k ON c.paper_id = k.paper_id""",
     "author_sum_model": f"""
         SELECT {_r('regr_intercept(nb_citations, author_weight)', 'intercept')},
                {_r('regr_slope(nb_citations, author_weight)', 'author_weight')} FROM gx_author WHERE {_TRAIN}""",
@@ -442,4 +472,6 @@ _FINAL |= {
                {_r('regr_slope(nb_citations, field_weight)', 'field_weight')} FROM gx_field WHERE {_TRAIN}""",
 }
 
+_FINAL["merged_features_by_parts"] = _FINAL["merged_features"]
+
 ORACLE_SQL: dict[str, str] = {name: _sql(text) for name, text in _FINAL.items()}

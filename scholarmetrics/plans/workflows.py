@@ -12,8 +12,9 @@ Attributes are DataFrames.  Building one may run the hot-key profile of a base
 table (one sampled job per table and session, ``operators.skew``); the result
 itself is computed by the caller's action.  ``materialize_counts=True``
 checkpoints the tables that several others read to the session's shared
-checkpoint folder, which runs them: the per-paper counts, and in the gap variant
-the gap counts (two edge joins) and the four weight tables as well.  Checkpoint
+checkpoint folder, which runs them: the per-paper counts and the cited papers'
+links, and in the gap variant the gap counts (two edge joins) and the four weight
+tables as well.  Checkpoint
 files live as long as the folder does (Spark removes them with
 ``spark.cleaner.referenceTracking.cleanCheckpoints``).
 """
@@ -26,11 +27,12 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scholarmetrics.functions.predicates import below_cap, cited_only, papers_of_year
+from scholarmetrics.functions.predicates import below_cap, papers_of_year
 from scholarmetrics.operators import features as X
 from scholarmetrics.operators import weights as W
 from scholarmetrics.operators.counts import papers_with_counts
 from scholarmetrics.operators.links import authorships_of, citations_to
+from scholarmetrics.operators.skew import hot_profile
 from scholarmetrics.operators.temporal import edges_with_gap, gap_counts
 from scholarmetrics.schemas import Tables
 from scholarmetrics.sources.tables import materialize
@@ -113,37 +115,39 @@ class YearFeatures:
             "field_weights": self.field_weights,
         }
 
+    @cached_property
+    def cited_links(self) -> DataFrame:
+        """All links of the year's cited papers, tagged by kind; kept with the counts,
+        since the merge reads them twice (weights, then lookup)."""
+        t = self.tables
+        rows = X.cited_links(self.counts, t.paper_authors, t.paper_keywords, self.author_credit)
+        return materialize(rows) if self.materialize_counts else rows
+
     @cached_property
     def merged(self) -> DataFrame:
-        """X9.  The merge keeps only the cited papers of the year, so the link
-        and keyword rows feeding the per-paper means are semi-joined to those
-        papers first.  This is exact, because a paper's mean depends only on
-        its own rows.  Uncited papers and other years never reach the
-        aggregates; the field feature alone would otherwise cover every paper
-        with keywords.
+        """X9.  The merge keeps only the cited papers of the year and uses positive
+        weights only (F8), so it needs the links of those papers alone: the link and
+        keyword tables are each joined to them once and never read whole.  Their
+        entities' weights come from one aggregate over all kinds, the features and the
+        base from one group by paper.
 
         A position 0 on a link of an uncited paper does not stop this merge,
         because the weights here read only links of cited papers.  The weight
         queries themselves still fail on it."""
-        cited = cited_only(self.counts).select("paper_id", "year", "venue_key")
-        links = authorships_of(self.tables.paper_authors, cited)
-        kw = self.tables.paper_keywords.join(cited.select("paper_id"), "paper_id", "left_semi")
-        # The features keep positive weights only (F8), so the zero-weight
-        # entities of W2/W3/W7 are not needed.  Only links of cited papers
-        # are read for the weights; the link tables are never read whole.
-        paa, kws = self.tables.paper_authors, self.tables.paper_keywords
-        aw = W.author_weights(self.counts, paa, self.author_credit, keep_zero=False)
-        fw = W.affiliation_weights(self.counts, paa, keep_zero=False)
-        sw = W.field_weights(self.counts, kws, keep_zero=False)
-        # hot authors/affiliations/fields are detected on the whole tables
-        # (remembered per session), not on the year's derived subsets
-        return X.merge_features(
-            self.counts,
-            X.paper_author_feature(links, aw, detect_on=paa),
-            X.paper_affiliation_feature(links, fw, detect_on=paa),
-            X.paper_venue_feature(cited, self.venue_weights, detect_on=self.tables.papers),
-            X.paper_field_feature(kw, sw, detect_on=kws),
-        )
+        t = self.tables
+        # hot entities are detected on the whole tables (remembered per session), not
+        # on the year's derived subsets
+        links, kw, papers = hot_profile(t.paper_authors), hot_profile(t.paper_keywords), hot_profile(t.papers)
+        venues: dict[str, float] = {}
+        for name, share in papers.get("venue_key", {}).items():
+            venues[name.lower()] = venues.get(name.lower(), 0.0) + share
+        hot = {
+            "author": links.get("author_id", {}),
+            "affiliation": links.get("affiliation_id", {}),
+            "field": kw.get("fos_id", {}),
+            "venue": venues,
+        }
+        return X.merge_links(self.cited_links, hot)
 
 
 @dataclass

@@ -8,10 +8,10 @@ would count every row twice: the caller names the one to read.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from scholarmetrics.schemas import SCHEMAS, Tables
-from scholarmetrics.sources.tsv import parse_lines, rejected_lines
+from scholarmetrics.sources.tsv import observe_rejects, parse_lines, parse_tagged, rejects_of, rows_of
 
 # File names of the dump, by logical table.
 DUMP_FILES = {
@@ -49,13 +49,29 @@ def load_dump(
 ) -> Tables:
     """All six tables of ``data_dir`` as typed DataFrames (full width).  ``files``
     names the input of a table that the folder holds more than once."""
-    return load_dump_with_rejects(spark, data_dir, mode, files)[0]
+    paths = {n: dump_path(spark, data_dir, n, (files or {}).get(n)) for n in DUMP_FILES}
+    return Tables(**{n: parse_lines(spark.read.text(p), SCHEMAS[n], mode) for n, p in paths.items()})
 
 
 def load_dump_with_rejects(
-    spark: SparkSession, data_dir: str, mode: str = "permissive", files: dict[str, str] | None = None
+    spark: SparkSession, data_dir: str, files: dict[str, str] | None = None
 ) -> tuple[Tables, dict[str, DataFrame]]:
-    """The tables, and per table its short lines and lines with unparsable values."""
-    lines = {n: spark.read.text(dump_path(spark, data_dir, n, (files or {}).get(n))) for n in DUMP_FILES}
-    tables = Tables(**{n: parse_lines(df, SCHEMAS[n], mode) for n, df in lines.items()})
-    return tables, {n: rejected_lines(df, SCHEMAS[n]) for n, df in lines.items()}
+    """The tables (permissive), and per table its short lines and lines with unparsable
+    values."""
+    tagged = load_dump_tagged(spark, data_dir, files)
+    return Tables(**{n: rows_of(df) for n, df in tagged.items()}), {n: rejects_of(df) for n, df in tagged.items()}
+
+
+def load_dump_tagged(spark: SparkSession, data_dir: str, files: dict[str, str] | None = None) -> dict[str, DataFrame]:
+    """Per table, every line with its ``reject`` (``sources.tsv.parse_tagged``)."""
+    paths = {n: dump_path(spark, data_dir, n, (files or {}).get(n)) for n in DUMP_FILES}
+    return {n: parse_tagged(spark.read.text(p), SCHEMAS[n]) for n, p in paths.items()}
+
+
+def load_dump_observed(
+    spark: SparkSession, data_dir: str, files: dict[str, str] | None = None
+) -> tuple[Tables, dict[str, Observation]]:
+    """The tables (permissive) and per table the counts of its rejects, collected by the
+    first job that reads the table."""
+    seen = {n: observe_rejects(df, f"rejects_{n}") for n, df in load_dump_tagged(spark, data_dir, files).items()}
+    return Tables(**{n: rows for n, (rows, _) in seen.items()}), {n: o for n, (_, o) in seen.items()}

@@ -17,18 +17,22 @@ Modes:
                  reader did).
 - ``permissive`` short lines are dropped.
 
-``read_tsv_with_rejects`` also returns every short line and every line with an
-unparsable value, with the reason and whether the row was kept, so that they can
-be counted.  ``parse_lines`` is the same on any DataFrame of lines.
+``parse_tagged`` keeps every line and adds ``reject``: NULL for a clean line, else its
+text, the reason and whether the row was kept.  Rows and rejects are then one scan:
+``count_rejects`` counts both by reason, ``write_with_rejects`` writes both in one job,
+and ``observe_rejects`` counts the rejects in the same pass as whatever reads the rows.
+``parse_lines`` is the plain reader on any DataFrame of lines.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MODES = ("failfast", "permissive")
+#: Reason of a line with too few fields.
+SHORT = "short line"
 
 
 def _typed(schema: T.StructType) -> tuple[list[Column], list[Column]]:
@@ -67,24 +71,64 @@ def parse_lines(lines: DataFrame, schema: T.StructType, mode: str = "failfast")
     return _split(lines).filter(whole).select(*cols)
 
 
-def rejected_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
-    """``(line, reason, kept)`` of short lines and of lines with unparsable values."""
-    _, unparsed = _typed(schema)
+def parse_tagged(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """Every line, typed, with ``reject`` (``line``, ``reason``, ``kept``): short lines
+    (all columns NULL, not kept) and lines with unparsable values (kept)."""
+    cols, unparsed = _typed(schema)
     short = F.size("_f") < F.lit(len(schema.fields))
-    reason = F.concat_ws(",", *unparsed) if unparsed else F.lit("")
-    return (
-        _split(lines)
-        .select(F.col("value").alias("line"), F.when(short, F.lit("short line")).otherwise(reason).alias("reason"), (~short).alias("kept"))
-        .filter(F.col("reason") != "")
+    reason = F.when(short, F.lit(SHORT)).otherwise(F.concat_ws(",", *unparsed) if unparsed else F.lit(""))
+    reject = F.struct(F.col("value").alias("line"), reason.alias("reason"), (~short).alias("kept"))
+    typed = [F.when(~short, c).alias(f.name) for c, f in zip(cols, schema.fields)]
+    return _split(lines).select(*typed, F.when(reason != "", reject).alias("reject"))
+
+
+def rows_of(tagged: DataFrame) -> DataFrame:
+    """The rows that ``parse_lines`` keeps in permissive mode."""
+    return tagged.filter(F.col("reject").isNull() | F.col("reject.kept")).drop("reject")
+
+
+def rejects_of(tagged: DataFrame) -> DataFrame:
+    """``(line, reason, kept)`` of short lines and of lines with unparsable values."""
+    return tagged.filter(F.col("reject").isNotNull()).select("reject.*")
+
+
+def count_rejects(tagged: DataFrame) -> DataFrame:
+    """``(reason, kept, nb_lines)`` over all lines; clean lines have the reason ``''``."""
+    reason, kept = F.coalesce("reject.reason", F.lit("")), F.coalesce("reject.kept", F.lit(True))
+    return tagged.groupBy(reason.alias("reason"), kept.alias("kept")).agg(F.count(F.lit(1)).alias("nb_lines"))
+
+
+def observe_rejects(tagged: DataFrame, name: str = "tsv_rejects") -> tuple[DataFrame, Observation]:
+    """The kept rows, and the numbers of lines, short lines and lines with unparsable
+    values, which the job that reads the rows collects on its way (``Observation.get``).
+    The counters lie below the row filter and in the scan's own stage."""
+    seen = Observation(name)
+    short = F.col("reject.reason") == SHORT
+    counted = tagged.observe(
+        seen,
+        F.count(F.lit(1)).alias("nb_lines"),
+        F.count_if(short).alias("nb_short"),
+        F.count_if(F.col("reject").isNotNull() & ~short).alias("nb_unparsed"),
+    )
+    return rows_of(counted), seen
+
+
+def write_with_rejects(tagged: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Rows and rejects written by one job: ``path/part=rows`` and ``path/part=rejects``
+    (a kept line with an unparsable value is in both)."""
+    parts = F.when(F.col("reject").isNull(), F.array(F.lit("rows"))).otherwise(
+        F.when(F.col("reject.kept"), F.array(F.lit("rows"), F.lit("rejects"))).otherwise(F.array(F.lit("rejects")))
     )
+    tagged.withColumn("part", F.explode(parts)).write.mode(mode).partitionBy("part").parquet(path)
 
 
 def read_tsv_with_rejects(
     spark: SparkSession, paths: str | list[str], schema: T.StructType
 ) -> tuple[DataFrame, DataFrame]:
-    """(parsed rows, rejects) - both lazy, one scan each."""
-    lines = spark.read.text(paths)
-    return parse_lines(lines, schema, "permissive"), rejected_lines(lines, schema)
+    """(parsed rows, rejects), both lazy views of one tagged frame.  Reading both in
+    separate jobs scans twice; the functions above need one scan."""
+    tagged = parse_tagged(spark.read.text(paths), schema)
+    return rows_of(tagged), rejects_of(tagged)
 
 
 def read_tsv(

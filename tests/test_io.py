@@ -215,7 +215,7 @@ def test_a_table_that_lies_there_twice_is_not_read_twice(spark, tmp_path):
     with pytest.raises(ValueError, match="several inputs.*PaperReferences.tsv.bz2"):
         load_dump(spark, str(tmp_path))
     files = {"paper_references": "PaperReferences.tsv.bz2"}
-    tables, rejects = load_dump_with_rejects(spark, str(tmp_path), files=files)
+    tables, rejects = load_dump_with_rejects(spark, str(tmp_path), files)
     counts = tables.paper_references.groupBy("cited_id").count().collect()
     assert {r.cited_id: r["count"] for r in counts} == {"B": 2, "A": 1}
     assert [(r.line, r.reason, r.kept) for r in rejects["paper_references"].collect()] == [("short", "short line", False)]

@@ -56,6 +56,64 @@ def test_mse_and_budget_loop(frame):
     assert len(capped) == 2 and not capped[-1].converged
 
 
+def test_models_are_scored_in_one_aggregate(spark, frame):
+    train, test = M.split_train_test(frame)
+    test = test.persist()
+    models = [M.fit_linear(train, "nb_citations", FEATS, solver="l-bfgs", max_iter=k) for k in (1, 3, 50)]
+    one_by_one = [M.score_mse(m, test, "nb_citations", FEATS).first().mse for m in models]
+    sc = spark.sparkContext
+    sc.setJobGroup("score-models", "score-models")
+    try:
+        got = M.score_models(models, test, "nb_citations", FEATS)
+    finally:
+        sc.setJobGroup("tests", "tests")
+    assert got == pytest.approx(one_by_one, rel=1e-12)
+    # one aggregate for all models (AQE may run its two stages as two jobs)
+    assert len(sc.statusTracker().getJobIdsForGroup("score-models")) <= 2
+    assert all(x != x for x in M.score_models(models, test.limit(0), "nb_citations", FEATS))
+
+
+def test_curve_does_not_depend_on_the_batch(frame):
+    train, test = M.split_train_test(frame)
+    runs = [M.mse_by_budget(train, test, "nb_citations", FEATS, step=3, together=k).collect() for k in (1, 5)]
+    assert [r.iterations for r in runs[0]] == [r.iterations for r in runs[1]]
+    assert [r.mse for r in runs[0]] == pytest.approx([r.mse for r in runs[1]], rel=1e-9)
+
+
+def test_budget_curve_query_ends_at_the_exact_solution(spark):
+    """The registered curve; its last row against the SQL twin."""
+    from locations import SF001
+    from scholarmetrics.plans.catalog import QUERIES
+    from scholarmetrics.plans.compare import duck_connection
+    from scholarmetrics.plans.oracle import ORACLE_SQL
+
+    curve = QUERIES["mse_by_budget"](spark, SF001).orderBy("iterations").collect()
+    assert len(curve) > 1 and [r.converged for r in curve] == [False] * (len(curve) - 1) + [True]
+    ((mse, converged),) = duck_connection(SF001).sql(ORACLE_SQL["mse_by_budget_last"]).fetchall()
+    assert (curve[-1].mse, curve[-1].converged) == (pytest.approx(mse, abs=2e-3), converged)
+
+
+def test_pipeline_saved_and_loaded_scores_alike(spark, frame, tmp_path):
+    train, test = M.split_train_test(frame)
+    model = M.fit_pipeline(train, "nb_citations", FEATS)
+    path = str(tmp_path / "pipeline")
+    M.save_model(model, path)
+    back = M.load_pipeline(path)
+    assert [type(s).__name__ for s in back.stages] == ["VectorAssembler", "Normalizer", "LinearRegressionModel"]
+    want = {r.paper_id: r.prediction for r in model.transform(test).collect()}
+    assert {r.paper_id: r.prediction for r in back.transform(test).collect()} == want
+    # the same fit on columns that were scaled beforehand
+    scaled = M.fit_linear(M.normalize(train, FEATS), "nb_citations", FEATS)
+    assert list(back.stages[-1].coefficients) == pytest.approx(list(scaled.coefficients), rel=1e-6)
+    # and on vectors that were scaled beforehand (M2's vector form)
+    vectors = M.normalize_vectors(M.assemble(train, "nb_citations", FEATS))
+    again = back.stages[-1].evaluate(vectors)
+    assert again.numInstances == train.count()
+    whole = M.fit_pipeline(train, "nb_citations", FEATS, normalized=False)
+    plain = M.fit_linear(train, "nb_citations", FEATS)
+    assert list(whole.stages[-1].coefficients) == pytest.approx(list(plain.coefficients), rel=1e-6)
+
+
 @pytest.mark.parametrize("fraction", [0.04, 0.7, 0.75, 0.95])
 def test_split_holds_any_fraction(spark, fraction):
     ids = spark.range(40000).select(F.col("id").cast("string").alias("paper_id"))

@@ -3,7 +3,7 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
-from conftest import SF001
+from locations import SF001
 from scholarmetrics.plans.catalog import QUERIES
 from scholarmetrics.plans.compare import compare_one, duck_connection
 from scholarmetrics.plans.oracle import ORACLE_SQL
@@ -18,7 +18,8 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(SQL) == set(QUERIES)
+    # the curve of errors on the way has no SQL twin; its last row has (mse_by_budget_last)
+    assert set(QUERIES) - set(SQL) == {"mse_by_budget"} and set(SQL) < set(QUERIES)
     assert set(QUERIES) <= set(queries()) and set(SQL) <= set(oracle_sql())
 
 
@@ -43,6 +44,7 @@ SPLIT_SUBSET = [
     "citations_to_year",
     "edges_with_years",
     "merged_features",
+    "merged_features_by_parts",
     "paper_affiliation_feature",
     "paper_field_sum",
     "paper_venue_feature",

@@ -6,7 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from locations import SF001
 from scholarmetrics.functions.predicates import papers_of_year
 from scholarmetrics.operators import links as J
 from scholarmetrics.operators.skew import hot_keys, hot_profile, skew_join
@@ -15,7 +15,7 @@ from scholarmetrics.plans.inspect import forbidden_operators, plan_text
 
 # The model queries fit when they are built; their returned frames are tiny.
 PLANNED = sorted(
-    n for n in QUERIES if not n.startswith("linear_model") and not n.endswith("_model") and n != "mse_by_budget"
+    n for n in QUERIES if not n.startswith(("linear_model", "mse_by_budget")) and not n.endswith("_model")
 )
 
 
@@ -48,13 +48,91 @@ def test_filters_reach_scan(spark):
     assert "EqualTo(p_brand,Brand#2)" in text
 
 
-def test_merge_reuses_partitioning(spark):
-    """X9's chain of left joins on paper_id: the aggregated features arrive
-    hash-partitioned by paper_id, so the chain shuffles each input once."""
-    df = QUERIES["merged_features"](spark, SF001)
-    text = plan_text(df)
-    assert "CartesianProduct" not in text
-    assert text.count("HashAggregate") >= 6
+def test_merge_is_one_shuffle_by_paper(spark):
+    """X9 in all its parts (kept counts, kept links, the merge): at most 13 scans and 8
+    shuffles, and a single one by paper id in the merge itself."""
+    from scholarmetrics.plans import workflows
+    from scholarmetrics.sources.tables import materialize
+
+    kept = []
+
+    def noted(df, *args):
+        kept.append(plan_text(df, "simple"))
+        return materialize(df, *args)
+
+    old, workflows.materialize = workflows.materialize, noted
+    try:
+        merged = QUERIES["merged_features"](spark, SF001)
+    finally:
+        workflows.materialize = old
+    texts = [*kept, plan_text(merged, "simple")]
+    scans = [len(re.findall(r"FileScan|Scan ExistingRDD", t)) for t in texts]
+    shuffles = [len(re.findall(r"(?<!Broadcast)Exchange hash", t)) for t in texts]
+    assert len(kept) == 2 and sum(scans) <= 13 and sum(shuffles) <= 8
+    assert len(re.findall(r"Exchange hashpartitioning\(paper_id", texts[-1])) == 1
+    assert "CartesianProduct" not in texts[-1]
+
+
+def test_merge_tagged_keeps_papers_without_rows(spark):
+    from scholarmetrics.operators.features import merge_tagged
+
+    base = spark.createDataFrame([("1", 3), ("2", 1)], "paper_id string, nb_citations long")
+    a = spark.createDataFrame([("1", 2.0), ("1", 4.0), ("9", 7.0)], "paper_id string, a double")
+    b = spark.createDataFrame([("2", None)], "paper_id string, b double")
+    got = {r.paper_id: (r.nb_citations, r.a, r.b) for r in merge_tagged(base, {"a": a, "b": b}).collect()}
+    assert got == {"1": (3.0, 3.0, None), "2": (1.0, None, None)}
+
+
+def test_bucketed_tables_meet_without_an_exchange(spark):
+    """S3: join and aggregates by paper id on bucketed copies, in this session and as a
+    later session would read them, also where nothing may be broadcast."""
+    from scholarmetrics.plans import catalog
+    from scholarmetrics.sources.tables import read_bucketed
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", None)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tables = catalog.bucketed_tables(spark, SF001)
+        again = {}
+        for n, df in tables.items():
+            files = df.inputFiles()
+            again[n] = read_bucketed(spark, files[0].rsplit("/", 1)[0], "paper_id", 8)
+            assert len(files) <= 8  # one file a bucket
+        for t in (tables, again):
+            out = catalog.profile_of(**t)
+            assert "Exchange" not in plan_text(out, "simple") and out.count() == 15000
+        plain = catalog.profile_of(**{n: spark.read.parquet(*df.inputFiles()) for n, df in tables.items()})
+        assert "Exchange hashpartitioning(paper_id" in plan_text(plain, "simple")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old) if old else spark.conf.unset(
+            "spark.sql.autoBroadcastJoinThreshold"
+        )
+
+
+def test_rows_and_rejects_come_from_one_scan(spark, tmp_path):
+    from scholarmetrics.plans import catalog
+    from scholarmetrics.schemas import PAPERS
+    from scholarmetrics.sources.tsv import count_rejects, observe_rejects, parse_tagged, write_with_rejects
+
+    path = str(tmp_path / "lines")
+    catalog.damaged_lines(spark, SF001).write.text(path)
+    tagged = parse_tagged(spark.read.text(path), PAPERS)
+    counted = count_rejects(tagged)
+    assert plan_text(counted, "simple").count("FileScan") == 1
+    by_reason = {r.reason: r.nb_lines for r in counted.collect()}
+    assert set(by_reason) == {"", "year", "short line"}
+    # the counters of the rejects come with the job that reads the rows
+    rows, seen = observe_rejects(tagged, "one_scan")
+    assert plan_text(rows, "simple").count("FileScan") == 1
+    assert rows.count() == by_reason[""] + by_reason["year"]
+    total = {"nb_lines": 15000, "nb_short": by_reason["short line"], "nb_unparsed": by_reason["year"]}
+    assert seen.get == total
+    # both are written by one job
+    out = str(tmp_path / "both")
+    assert _jobs(spark, "write-both", lambda: write_with_rejects(tagged, out)) == 1
+    written = spark.read.parquet(out)
+    assert written.filter("part = 'rows'").count() == rows.count()
+    assert written.filter("part = 'rejects'").count() == total["nb_short"] + total["nb_unparsed"]
 
 
 def _skewed(spark, n=30000):
@@ -163,7 +241,7 @@ def test_lookup_salts_hot_keys_by_itself(spark):
         spark.conf.set("spark.sql.shuffle.partitions", old)
 
 
-@pytest.mark.parametrize("name", ["merged_features", "all_weights", "paper_field_sum", "paper_author_feature"])
+@pytest.mark.parametrize("name", ["merged_features_by_parts", "all_weights", "paper_field_sum", "paper_author_feature"])
 def test_one_profile_per_base_table_and_no_more_scans(spark, name, split_conf):
     """Building a query profiles each base table once, and the salted plan scans
     ``lineitem`` no more often than the plain one."""
@@ -251,10 +329,15 @@ def test_no_forced_broadcast(spark, name):
     assert "strategy=broadcast" not in plan
 
 
-def test_merge_reads_only_cited_links(spark):
-    """X9 uses positive weights only, so its entity weights come from the links
-    of cited papers alone: no zero-weight union over the whole link table."""
-    assert "Union" not in plan_text(QUERIES["merged_features"](spark, SF001))
+def test_merge_reads_only_cited_links(spark, sf001_tables):
+    """X9 uses positive weights only, so its entity weights come from the links of cited
+    papers alone: each link table is joined to them once, no zero-weight union."""
+    from scholarmetrics.plans.workflows import YearFeatures
+
+    links = YearFeatures(sf001_tables, 1997).cited_links
+    joins = re.findall(r"Join (\w+)", links._jdf.queryExecution().optimizedPlan().toString())
+    assert set(joins) <= {"Inner", "LeftOuter", "LeftSemi"}
+    assert links.filter("kind = 'author'").count() < sf001_tables.paper_authors.count() / 2
     # the weight query itself keeps zero-weight authors (union with all links)
     assert "Union" in plan_text(QUERIES["author_weights_position"](spark, SF001))
 
