@@ -303,10 +303,10 @@ def parse(template: str) -> tuple:
         at, strip = m.end(), bool(right)
     rest = template[at:]
     parts.append(("text", rest.lstrip() if strip else rest))
-    body, left = _body(parts, 0, ())
-    if left < len(parts):
-        raise TemplateError(f"unexpected {parts[left][1].strip()!r}")
-    return body
+    for kind, text in parts:
+        if kind == "text" and (opened := re.search(r"\{[{%#]", text)):
+            raise TemplateError(f"a tag is not closed: {text[opened.start() :][:40]!r}")
+    return _body(parts, 0, ())[0]
 
 
 def _body(parts: list, at: int, ends: tuple[str, ...]) -> tuple[tuple, int]:
