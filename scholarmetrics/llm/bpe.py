@@ -20,6 +20,7 @@ from __future__ import annotations
 import base64
 import heapq
 from collections import defaultdict
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,11 +29,14 @@ import tiktoken
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
 from scholarmetrics.llm import textkit
 
-#: Distinct pieces that a worker keeps between batches (about 50 bytes each).
-KEPT_PIECES = 2_000_000
+#: Size of the table of replayed pieces that a worker keeps between batches.
+KEPT_BYTES = 48 << 20
+#: Bytes of text that ``encode_decode`` takes at a time.
+SLICE = 8 << 20
 
 _CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
 
@@ -213,42 +217,37 @@ def replay(pieces: list[bytes], merges: Merges) -> tuple[np.ndarray, np.ndarray]
 
 
 class Encoder:
-    """A worker's splitter, merges and table of replayed pieces.
-
-    Pieces are known by a 64-bit hash of their bytes (with a million pieces in the
-    table, the chance that any two meet is below 1e-7).
-    """
+    """A worker's splitter, merges and table of replayed pieces (known by a hash of their
+    bytes, see ``textkit.span_hashes``), which is emptied beyond ``KEPT_BYTES``."""
 
     def __init__(self, path: str, pattern: str):
         self.split, self.merges = Splitter(pattern), Merges(path)
         self.clear()
 
     def clear(self) -> None:
-        self.hash, self.slot = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.hash, self.slot = np.zeros(0, np.uint64), np.zeros(0, np.int32)
         self.ids, self.begin = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
     def learn(self, hashes: np.ndarray, pieces: list[bytes]) -> None:
         """Replay the merges over new pieces and enter them in the table."""
         ids, counts = replay(pieces, self.merges)
-        self.slot = np.concatenate([self.slot, len(self.hash) + np.arange(len(pieces))])
-        self.hash = np.concatenate([self.hash, hashes])
-        order = np.argsort(self.hash, kind="stable")
-        self.hash, self.slot = self.hash[order], self.slot[order]
+        order = np.argsort(hashes)
+        at = np.searchsorted(self.hash, hashes[order])
+        self.slot = np.insert(self.slot, at, (len(self.hash) + order).astype(np.int32))
+        self.hash = np.insert(self.hash, at, hashes[order])
         self.ids = np.concatenate([self.ids, ids])
         self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(counts)])
 
     def __call__(self, col: pa.Array) -> pa.Array:
+        """Ids of a column of texts, whose pieces form one corpus."""
         u8, offsets = textkit.flat(col)
-        if len(self.hash) > KEPT_PIECES:
+        if self.hash.nbytes + self.slot.nbytes + self.ids.nbytes + self.begin.nbytes > KEPT_BYTES:
             self.clear()
         seen, fresh = [], {}
         for a, b in textkit.blocks(offsets):
             part, rows = u8[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
             begin, end = self.split(part, rows)
-            up, down = textkit.powers(len(part))
-            run = np.cumsum(textkit.BYTE_CODE[part] * up, dtype=np.uint64)
-            h = textkit.mix((run[end - 1] - np.where(begin > 0, run[begin - 1], np.uint64(0))) * down[begin])
-            distinct, where, inverse = np.unique(h, return_index=True, return_inverse=True)
+            distinct, where, inverse = np.unique(textkit.span_hashes(part, begin, end), return_index=True, return_inverse=True)
             i = np.searchsorted(self.hash, distinct)
             new = np.append(self.hash, np.uint64(0))[i] != distinct
             new |= i == len(self.hash)
@@ -269,6 +268,13 @@ class Encoder:
         return pa.ListArray.from_arrays(pa.array(offs.astype(np.int32)), pa.array(values))
 
 
+def decoded(ids: pa.Array, token: list[bytes]) -> pa.Array:
+    """The bytes that each row's ids stand for; none for null."""
+    values, sizes = ids.flatten().to_numpy(zero_copy_only=False), ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    offs = np.append(0, np.cumsum(sizes))
+    return pa.array((b"".join([token[i] for i in values[a:b].tolist()]) for a, b in zip(offs[:-1].tolist(), offs[1:].tolist())), pa.binary(), size=len(sizes))
+
+
 _made: dict = {}
 
 
@@ -289,16 +295,35 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str
     return df.withColumn(ids, run(F.col(text)))
 
 
-def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+def decode(df: DataFrame, path: str, ids: str = "ids", decoded_to: str = "decoded") -> DataFrame:
     """Add the bytes (binary) that the ids stand for."""
 
     @arrow_udf("binary")
     def run(col: pa.Array) -> pa.Array:
-        token = _once(Merges, path).token
-        values, offs = col.flatten().to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum(col.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))])
-        return pa.array((b"".join([token[i] for i in values[a:b].tolist()]) for a, b in zip(offs[:-1], offs[1:])), pa.binary(), size=len(col))
+        return decoded(col, _once(Merges, path).token)
+
+    return df.withColumn(decoded_to, run(F.col(ids)))
+
+
+def encode_decode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids", decoded_to: str = "decoded") -> DataFrame:
+    """Replace the text by its token ids and the bytes that these stand for.
+
+    One worker does both, on slices of ``SLICE`` bytes of text, whatever the number of rows
+    in an Arrow batch: what it holds and sends back is bounded (a longer text is a slice)."""
+    rest = [f for f in df.schema.fields if f.name not in (text, ids, decoded_to)]
+    schema = StructType([*rest, StructField(ids, ArrayType(IntegerType())), StructField(decoded_to, BinaryType())])
+    names = [f.name for f in rest]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = _once(Encoder, path, pattern)
+        for batch in batches:
+            col = batch.column(text)
+            for a, b in textkit.blocks(textkit.flat(col)[1], SLICE):
+                made = encoder(col.slice(a, b - a))
+                kept = [batch.column(c).slice(a, b - a) for c in names]
+                yield pa.RecordBatch.from_arrays([*kept, made, decoded(made, encoder.merges.token)], schema.names)
 
-    return df.withColumn(decoded, run(F.col(ids)))
+    return df.select(*names, text).mapInArrow(run, schema)
 
 
 def ids_text(ids: str) -> Column:

@@ -184,9 +184,7 @@ class Labeller:
             self.clear()
         u8 = _FOLD[u8]
         s, e, first = find_words(u8, off)
-        up, down = textkit.powers(len(u8))
-        run = np.append(np.uint64(0), np.cumsum(textkit.BYTE_CODE[u8] * up, dtype=np.uint64))
-        h = textkit.mix((run[e] - run[s]) * down[s]) if len(s) else np.zeros(0, np.uint64)
+        h = textkit.span_hashes(u8, s, e)
         distinct, where, inverse = np.unique(h, return_index=True, return_inverse=True)
         at = np.searchsorted(self.hash, distinct)
         new = (np.append(self.hash, np.uint64(0))[at] != distinct) | (at == len(self.hash))

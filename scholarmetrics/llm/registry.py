@@ -20,8 +20,7 @@ BPE_PATTERN = public_tokenizers.PATTERN
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
-    ids = bpe.encode(docs, BPE_RANKS, BPE_PATTERN).drop("text")
-    return bpe.decode(ids, BPE_RANKS).select(
+    return bpe.encode_decode(docs, BPE_RANKS, BPE_PATTERN).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(bpe.ids_text("ids"), 256).alias("ids_sha256"),

@@ -71,9 +71,7 @@ def _runs(u8: np.ndarray, off: np.ndarray, length: int, gram: int):
     w = length - gram + 1
     if len(u8) < length:
         return (np.zeros(0, np.int64),) * 4 + (np.zeros(0, bool),)
-    up, down = textkit.powers(len(u8))
-    total = np.append(np.uint64(0), np.cumsum(textkit.BYTE_CODE[u8] * up, dtype=np.uint64))
-    grams = textkit.mix((total[gram:] - total[:-gram]) * down[: len(u8) - gram + 1])
+    grams = textkit.rolling(u8, gram)
     least = window_minima(grams, w)
     row = np.searchsorted(off, np.arange(len(least)), "right") - 1
     valid = np.arange(len(least)) + length <= off[row + 1]
@@ -96,7 +94,7 @@ def _runs(u8: np.ndarray, off: np.ndarray, length: int, gram: int):
         first = s[i : i + 4096] + (view[s[i : i + 4096]] == a).argmax(1)
         last = e[i : i + 4096] + w - 2 - (view[e[i : i + 4096] - 1][:, ::-1] == a).argmax(1)
         own[i : i + 4096] = first != last
-    context = textkit.mix(((total[e + length - 1] - total[s]) * down[s]) ^ (e - s).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    context = textkit.span_hashes(u8, s, e + length - 1)
     return anchor.astype(np.int64), context.astype(np.int64), s, e - s, own
 
 
@@ -200,9 +198,7 @@ def _counted_spans(contexts: DataFrame, length: int) -> DataFrame:
         out = []
         u8, off = textkit.flat(col)
         for a, b in zip(off[:-1], off[1:]):
-            up, down = textkit.powers(int(b - a))
-            total = np.append(np.uint64(0), np.cumsum(textkit.BYTE_CODE[u8[a:b]] * up, dtype=np.uint64))
-            out.append(textkit.mix((total[length:] - total[:-length]) * down[: b - a - length + 1]).astype(np.int64))
+            out.append(textkit.rolling(u8[a:b], length).astype(np.int64))
         return textkit.ragged(out, pa.int64())
 
     windows = contexts.select("a", "d", "t", "s", "open", F.posexplode(hashes(F.col("body"))).alias("k", "h"))

@@ -19,8 +19,10 @@ _rng = np.random.Generator(np.random.PCG64(20240229))
 BYTE_CODE = _rng.integers(1, 2**64 - 1, 256, dtype=np.uint64) | np.uint64(1)
 FOLDED_CODE = BYTE_CODE.copy()
 FOLDED_CODE[65:91] = BYTE_CODE[97:123]
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 2**64)
+#: Spans of bytes are hashed by two polynomials modulo this prime; a power of two as
+#: modulus would give whole families of texts one value, whatever the base.
+_PRIME = np.uint64(2**31 - 1)
+_BASES = (0x3C6EF372 | 1, 0x1F83D9AB | 1)
 #: Multipliers of the places in a shingle, and seeds for its number of words.
 _PLACE = _rng.integers(1, 2**64 - 1, 64, dtype=np.uint64) | np.uint64(1)
 _LENGTH = _rng.integers(1, 2**64 - 1, 64, dtype=np.uint64)
@@ -33,18 +35,45 @@ IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 IS_MARK = np.ones(256, bool)
 IS_MARK[48:58] = IS_MARK[65:91] = IS_MARK[97:123] = IS_MARK[128:] = False
 
-_powers = {}
+_powers: list[np.ndarray] = []
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64 for i < n."""
-    if len(_powers.get("up", ())) < n:
-        m = max(n, PIECE + 4096)
-        for name, b in (("up", _BASE), ("down", _INVERSE)):
-            a = np.full(m, b, np.uint64)
-            a[0] = 1
-            _powers[name] = np.cumprod(a)
-    return _powers["up"][:n], _powers["down"][:n]
+def _power(base: int, n: int) -> np.ndarray:
+    """base**i modulo the prime for i < n."""
+    out, p = np.ones(n, np.uint64), int(_PRIME)
+    done = 1
+    while done < n:
+        more = min(done, n - done)
+        out[done : done + more] = out[:more] * np.uint64(pow(base, done, p)) % _PRIME
+        done += more
+    return out
+
+
+def powers(n: int) -> list[np.ndarray]:
+    """base**i and base**-i of both bases for i < n."""
+    if not _powers or len(_powers[0]) < n:
+        most = max(n, PIECE + 4096)
+        _powers[:] = [_power(b, most) for base in _BASES for b in (base, pow(base, -1, int(_PRIME)))]
+    return [x[:n] for x in _powers]
+
+
+def span_hashes(u8: np.ndarray, begin: np.ndarray, end: np.ndarray, code: np.ndarray | None = None) -> np.ndarray:
+    """64-bit hashes of the byte ranges from ``begin`` to ``end`` (not empty): two values
+    of 31 bits, mixed.  Ranges of n different bytes agree with a chance of at most
+    (n / 2**31)**2 over the choice of the bases, and about 2**-62 over that of the codes."""
+    if not len(begin):
+        return np.zeros(0, np.uint64)
+    code = BYTE_CODE if code is None else code
+    held = powers(len(u8))
+    out = np.zeros(len(begin), np.uint64)
+    for k, (up, down) in enumerate(((held[0], held[1]), (held[2], held[3]))):
+        v = ((code >> np.uint64(32 * k)) & _PRIME)[u8]
+        v *= up
+        v = (v & _PRIME) + (v >> np.uint64(31))  # below 2**32, so sums of 2**31 fit
+        total = np.cumsum(v, dtype=np.uint64)
+        h = total[end - 1] - np.where(begin > 0, total[begin - 1], np.uint64(0))
+        out |= (h % _PRIME * down[begin] % _PRIME) << np.uint64(32 * k)
+    return mix(out)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -57,6 +86,25 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+_BASE = 0x9E3779B97F4A7C15
+_rolling: list[np.ndarray] = []
+
+
+def rolling(u8: np.ndarray, width: int) -> np.ndarray:
+    """64-bit hashes of all ranges of ``width`` bytes, a few hundred at most: one polynomial
+    modulo 2**64, whose values are equal for some texts of a thousand bytes or more."""
+    if not _rolling or len(_rolling[0]) < len(u8):
+        most = max(len(u8), PIECE + 4096)
+        for b in (_BASE, pow(_BASE, -1, 2**64)):
+            a = np.full(most, b, np.uint64)
+            a[0] = 1
+            _rolling.append(np.cumprod(a))
+        del _rolling[:-2]
+    up, down = _rolling
+    total = np.append(np.uint64(0), np.cumsum(BYTE_CODE[u8] * up[: len(u8)], dtype=np.uint64))
+    return mix((total[width:] - total[:-width]) * down[: len(u8) - width + 1])
+
+
 def flat(col) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and row offsets of a string or binary Arrow array; null is empty."""
     if isinstance(col, pa.ChunkedArray):
@@ -110,10 +158,7 @@ def words(u8: np.ndarray, offsets: np.ndarray, code: np.ndarray = FOLDED_CODE, b
         cuts = cuts[cuts > 0]
         is_last[cuts - 1] = inside[cuts - 1]
         s, e = np.flatnonzero(is_start), np.flatnonzero(is_last)
-        up, down = powers(len(part))
-        run = np.cumsum(code[part] * up, dtype=np.uint64)
-        h = run[e] - np.where(s > 0, run[s - 1], np.uint64(0))
-        out.append(mix(h * down[s]))
+        out.append(span_hashes(part, s, e + 1, code))
         first_at.append(s + at)
         at = end
     h = np.concatenate(out) if out else np.zeros(0, np.uint64)

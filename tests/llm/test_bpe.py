@@ -33,7 +33,7 @@ def test_classes_equal_the_library_on_every_character(reference):
 
 
 def test_other_patterns_and_forgotten_pieces(reference, monkeypatch):
-    monkeypatch.setattr(bpe, "KEPT_PIECES", 3)
+    monkeypatch.setattr(bpe, "KEPT_BYTES", 100)
     e = bpe.Encoder(PATH, r"\p{L}+|\P{L}+")
     for text in ("one two, trés", "three four", "one two"):
         ids = e(pa.array([text])).to_pylist()[0]
@@ -56,3 +56,31 @@ def test_round_trip_on_all_cases(docs, rows, empty, reference):
     want = sorted((t or "", tuple(reference.encode_ordinary(t or "")), (t or "").encode()) for _, t, *_ in rows)
     assert got == want
     assert bpe.encode(empty, PATH, P.PATTERN).count() == 0
+
+
+@pytest.mark.parametrize("size", [2000, bpe.SLICE])
+def test_both_in_one_pass_equal_the_two(spark, docs, rows, empty, reference, monkeypatch, size):
+    monkeypatch.setattr(bpe, "SLICE", size)
+    more = docs.withColumns({"ids": docs.doc_id, "decoded": docs.text})
+    out = bpe.encode_decode(more, PATH, P.PATTERN)
+    assert set(out.columns) == {*docs.columns, "ids", "decoded"} - {"text"}
+    got = sorted((r.doc_id is not None, r.doc_id or 0, tuple(r.ids), bytes(r.decoded)) for r in out.collect())
+    want = sorted((i is not None, i or 0, tuple(reference.encode_ordinary(t or "")), (t or "").encode()) for i, t, *_ in rows)
+    assert got == want
+    assert bpe.encode_decode(empty, PATH, P.PATTERN).count() == 0
+
+
+def test_registered_query(spark, docs, rows, reference, tmp_path):
+    import hashlib
+
+    from scholarmetrics.llm.registry import QUERIES
+
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    out = QUERIES["op1_byte_bpe"](spark, str(tmp_path)).collect()
+    sha = lambda b: hashlib.sha256(b).hexdigest()
+    want = []
+    for i, t, *_ in rows:
+        ids = reference.encode_ordinary(t or "")
+        want.append((i, len(ids), sha(",".join(map(str, ids)).encode()), sha((t or "").encode())))
+    order = lambda r: (r[0] is not None, r[0] or 0, r[2])
+    assert sorted((tuple(r) for r in out), key=order) == sorted(want, key=order)
