@@ -76,8 +76,7 @@ def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ids = bpe.encode(docs.select("doc_id", "lang", "source", "text"), BPE_RANKS, BPE_PATTERN).drop("text")
-    done = bpe.decode(ids, BPE_RANKS)
+    done = bpe.encode_decode(docs.select("doc_id", "lang", "source", "text"), BPE_RANKS, BPE_PATTERN)
     return done.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", F.decode("decoded", "UTF-8").alias("text"))
 
 
