@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECE = 1 << 20
+PIECE = 1 << 18
 
 _rng = np.random.Generator(np.random.PCG64(20240229))
 #: One random 64-bit value per byte; A-Z share those of a-z in the folded table.
@@ -120,8 +120,9 @@ def flat(col) -> tuple[np.ndarray, np.ndarray]:
     return u8[off[0] : off[-1]], off - off[0]
 
 
-def blocks(offsets: np.ndarray, most: int = 2 * PIECE):
-    """Ranges of rows whose bytes add up to about ``most`` (one row at least)."""
+def blocks(offsets: np.ndarray, most: int | None = None):
+    """Ranges of rows whose bytes add up to about ``most`` (``2 * PIECE``), one row at least."""
+    most = 2 * PIECE if most is None else most
     i, n = 0, len(offsets) - 1
     while i < n:
         j = int(np.searchsorted(offsets, offsets[i] + most, "right")) - 1
