@@ -14,7 +14,19 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 1_000_000
 
 
+#: Bytes of an Arrow batch between Spark and its Python workers.  Spark's own default is
+#: eight times as much, of which an executor would hold several for each core.
+ARROW_BYTES, _ARROW_CONF = "8m", "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Set the session's limit of an Arrow batch, unless the session has one of its own."""
+    if spark.conf.get(_ARROW_CONF, None) is None:
+        spark.conf.set(_ARROW_CONF, ARROW_BYTES)
+
+
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
@@ -46,6 +58,7 @@ def cut(df: DataFrame) -> DataFrame:
     the folder does, unless a ``scratch`` block ends in which they were written.
     """
     spark = df.sparkSession
+    bound_batches(spark)
     path = f"{shared_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
     df.write.parquet(path)
     if _scopes:

@@ -40,3 +40,18 @@ def test_words_and_shingles_of_rows(monkeypatch):
         assert len(set(h.tolist())) == len({w for t in texts if t for w in t.lower().split()})
     textkit._powers.clear()
     assert len(textkit.shingle_set(h[first[4] : first[5]])) == 1 and len(textkit.shingle_set(h[:0])) == 0
+
+
+def test_arrow_batches_are_bounded_unless_the_session_says_otherwise(spark):
+    from scholarmetrics.llm import common
+
+    old = spark.conf.get(common._ARROW_CONF, None)
+    try:
+        spark.conf.unset(common._ARROW_CONF)
+        common.cut(spark.range(3))
+        assert spark.conf.get(common._ARROW_CONF) == common.ARROW_BYTES
+        spark.conf.set(common._ARROW_CONF, "3m")
+        common.cut(spark.range(3))
+        assert spark.conf.get(common._ARROW_CONF) == "3m"
+    finally:
+        spark.conf.unset(common._ARROW_CONF) if old is None else spark.conf.set(common._ARROW_CONF, old)
