@@ -7,8 +7,9 @@ rows; only rows of tasks that succeeded reach the index, so a lost executor or a
 second attempt leaves at most an archive that nothing refers to.  Equal payloads of
 at least ``least`` bytes are written once; other records revisit that one.
 
-``read`` takes any selection of the index, sorts it by archive and offset, joins
-neighbouring byte ranges to one read, and checks each payload against its digest.
+``read`` takes any selection of the index, deals it to tasks by the archives' bytes, sorts
+it by archive and offset, joins neighbouring byte ranges to one read, and checks each
+payload against its digest.
 
 Archives go to a folder that all executors share, by any URI that pyarrow.fs opens.
 
@@ -71,23 +72,28 @@ def _name(page_id: int | None) -> str:
 
 
 def _record(row: dict, date: str) -> bytes:
-    body = row["payload"] if row["record_type"] == "response" else b""
+    """A response holds an HTTP response, whose body is the payload; a revisit holds none."""
+    response, block = row["record_type"] == "response", b""
+    if response:
+        size = str(len(row["payload"])).encode()
+        http = [b"HTTP/1.1 200 OK", b"Content-Type: text/html; charset=utf-8", b"Content-Length: " + size, b"", b""]
+        block = _EOL.join(http) + row["payload"]
     head = [
-        ("WARC-Type", "resource" if row["record_type"] == "response" else "revisit"),
+        ("WARC-Type", row["record_type"]),
         ("WARC-Record-ID", _name(row["page_id"])),
         ("WARC-Date", date),
         ("WARC-Payload-Digest", f"sha1:{row['payload_digest']}"),
         ("X-Payload-Length", str(row["payload_bytes"])),
-        ("Content-Type", "text/html; charset=utf-8"),
-        ("Content-Length", str(len(body))),
+        ("Content-Type", "application/http; msgtype=response"),
+        ("Content-Length", str(len(block))),
     ]
     if row["url"] is not None:
         head.insert(2, ("WARC-Target-URI", quote(row["url"], safe=":/?#[]@!$&'()*+,;=~")))
-    if row["record_type"] == "revisit":
+    if not response:
         head.insert(3, ("WARC-Refers-To", _name(row["refers_to"])))
         head.insert(4, ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"))
     lines = [b"WARC/1.1", *(f"{k}: {v}".encode() for k, v in head), b"", b""]
-    return _EOL.join(lines) + body + _EOL + _EOL
+    return _EOL.join(lines) + block + _EOL + _EOL
 
 
 def write(pages: DataFrame, folder: str | None = None, least: int = LEAST, date: str = "1970-01-01T00:00:00Z") -> DataFrame:
@@ -129,9 +135,9 @@ def _parse(member: bytes) -> dict:
     data = zlib.decompress(member, 31)
     head, _, rest = data.partition(_EOL + _EOL)
     fields = dict(x.decode().split(": ", 1) for x in head.split(_EOL)[1:])
-    body = rest[: int(fields["Content-Length"])]
+    body = rest[: int(fields["Content-Length"])].partition(_EOL + _EOL)[2]
     number = lambda k: int(v) if (v := fields[k][len("<urn:page:") : -1]) else None
-    response = fields["WARC-Type"] != "revisit"
+    response = fields["WARC-Type"] == "response"
     return {
         "page_id": number("WARC-Record-ID"),
         "url": unquote(fields["WARC-Target-URI"]) if "WARC-Target-URI" in fields else None,
@@ -174,8 +180,12 @@ def read(index: DataFrame) -> DataFrame:
                 data = source.read_at(max(r["offset"] + r["length"] for r in part) - start, start)
                 yield pa.RecordBatch.from_pylist([_parse(data[r["offset"] - start :][: r["length"]]) for r in part], schema=schema)
 
-    chunk = F.floor(F.col("offset") / (4 * READ_BYTES))
-    chosen = index.select("archive", "offset", "length").repartition("archive", chunk).sortWithinPartitions("archive", "offset")
+    # tasks follow the bytes of the archives, not those of the (much smaller) index
+    chunk = F.floor(F.col("offset") / READ_BYTES)
+    size = index.agg(F.sum("length"), F.count_distinct("archive", chunk)).first()
+    tasks = max(-(-(size[0] or 0) // READ_BYTES), index.sparkSession.sparkContext.defaultParallelism)
+    tasks = max(1, min(size[1], tasks))
+    chosen = index.select("archive", "offset", "length").repartition(tasks, "archive", chunk).sortWithinPartitions("archive", "offset")
     records = chosen.mapInArrow(run, _RECORDS)
     wrong = F.col("payload").isNotNull() & (F.sha1("payload") != F.col("payload_digest"))
     checked = F.when(wrong, F.raise_error(F.concat(F.lit("digest differs: page "), F.col("page_id").cast("string"))).cast("string"))

@@ -1,5 +1,6 @@
 import gzip
 import hashlib
+import re
 
 from pyarrow import fs
 from scholarmetrics.llm import warc
@@ -51,6 +52,16 @@ def test_selection_and_plain_reading(spark):
         whole = gzip.decompress(f.read())  # members follow each other: any WARC reader can read the archive
         member = gzip.decompress(f.read_at(rows[0].length, rows[0].offset))
     assert member in whole and member.startswith(b"WARC/1.1\r\n") and b"short" in member
+    assert b"\r\nWARC-Type: response\r\n" in member and b"\r\n\r\nHTTP/1.1 200 OK\r\n" in member
+    assert set(re.findall(rb"WARC-Type: (\w+)", whole)) <= {b"response", b"revisit"}
+
+
+def test_reading_tasks_follow_the_archives_bytes(spark, monkeypatch):
+    index = warc.write(pages(spark))
+    monkeypatch.setattr(warc, "READ_BYTES", 200)  # many chunks of few bytes
+    out = warc.read(index)
+    assert out.rdd.getNumPartitions() == min(spark.sparkContext.defaultParallelism, index.selectExpr("archive", "floor(offset / 200)").distinct().count()) or out.rdd.getNumPartitions() > 8
+    assert out.count() == len(PAGES)
 
 
 def test_neighbouring_ranges_are_one_read():
