@@ -316,12 +316,19 @@ def encode_decode(df: DataFrame, path: str, pattern: str, text: str = "text", id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _once(Encoder, path, pattern)
+        try:
+            yield from made(encoder, batches)
+        finally:  # the worker may serve other stages next
+            encoder.clear()
+            textkit.give_back()
+
+    def made(encoder: Encoder, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             col = batch.column(text)
             for a, b in textkit.blocks(textkit.flat(col)[1], SLICE):
-                made = encoder(col.slice(a, b - a))
+                own = encoder(col.slice(a, b - a))
                 kept = [batch.column(c).slice(a, b - a) for c in names]
-                yield pa.RecordBatch.from_arrays([*kept, made, decoded(made, encoder.merges.token)], schema.names)
+                yield pa.RecordBatch.from_arrays([*kept, own, decoded(own, encoder.merges.token)], schema.names)
 
     return df.select(*names, text).mapInArrow(run, schema)
 

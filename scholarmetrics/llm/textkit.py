@@ -8,6 +8,8 @@ thing that raises it.
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -76,6 +78,14 @@ def span_hashes(u8: np.ndarray, begin: np.ndarray, end: np.ndarray, code: np.nda
     return mix(out)
 
 
+def give_back() -> None:
+    """Return freed memory to the system, where the C library keeps it for itself."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser (public splitmix64 constants)."""
     x = x ^ (x >> np.uint64(30))
