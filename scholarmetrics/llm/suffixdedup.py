@@ -181,10 +181,12 @@ def _sorted_spans(contexts: DataFrame, length: int) -> DataFrame:
                     held.append(t.slice(done, k - done))
                     yield spans(held)
                     held, size, done = [], 0, k
+                    textkit.give_back()
             held.append(t.slice(done))
             size += int(off[-1] - off[done])
         if held:
             yield spans(held)
+        textkit.give_back()
 
     whole = contexts.select("a", "d", "t", "s", "n", "open", "body").repartition("a").sortWithinPartitions("a")
     return whole.mapInArrow(run, "d bigint, t bigint, b int, e int")

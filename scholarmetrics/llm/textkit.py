@@ -79,7 +79,8 @@ def span_hashes(u8: np.ndarray, begin: np.ndarray, end: np.ndarray, code: np.nda
 
 
 def give_back() -> None:
-    """Return freed memory to the system, where the C library keeps it for itself."""
+    """Return freed memory to the system, where the C library keeps it for itself: idle
+    workers of earlier stages stay beside those that work."""
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:
@@ -131,7 +132,8 @@ def flat(col) -> tuple[np.ndarray, np.ndarray]:
 
 
 def blocks(offsets: np.ndarray, most: int | None = None):
-    """Ranges of rows whose bytes add up to about ``most`` (``2 * PIECE``), one row at least."""
+    """Ranges of rows whose bytes add up to about ``most`` (``2 * PIECE``), one row at least.
+    After the last range, what the caller has freed goes back to the system."""
     most = 2 * PIECE if most is None else most
     i, n = 0, len(offsets) - 1
     while i < n:
@@ -139,6 +141,7 @@ def blocks(offsets: np.ndarray, most: int | None = None):
         j = min(n, max(j, i + 1))
         yield i, j
         i = j
+    give_back()
 
 
 def words(u8: np.ndarray, offsets: np.ndarray, code: np.ndarray = FOLDED_CODE, blank: np.ndarray = IS_SPACE):
