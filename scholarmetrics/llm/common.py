@@ -50,8 +50,9 @@ def shared_dir(spark: SparkSession) -> str:
 _scopes: list[list[str]] = []
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
+def cut(df: DataFrame, codec: str | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back (``codec``: of the files, if not
+    the session's).
 
     The columnar files take less room than a checkpoint's serialized rows, later
     scans prune columns, and a lost executor loses nothing.  The files stay as long as
@@ -60,7 +61,7 @@ def cut(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     bound_batches(spark)
     path = f"{shared_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     if _scopes:
         _scopes[-1].append(path)
     out = spark.read.schema(df.schema).parquet(path)

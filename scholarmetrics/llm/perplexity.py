@@ -13,15 +13,18 @@ are labelled good.
   joins with those tables; no table of n-grams passes through the driver.
 - The rows of the blocks are joined with the log probabilities (n-grams with more than
   1/``SALTS`` of all places are salted) and summed per document.
-- A document is kept unless its perplexity exceeds the ``QUANTILE`` quantile, with a
-  small allowance, of the trusted documents of its language (exact counts per 1/64 of
-  an octave); languages with fewer than ``LEAST`` trusted documents take the quantile
-  of all.
+- One in ``FOLDS`` trusted texts (by a hash of the text, so with all its copies) is held
+  out of the counts.  A document is kept unless its perplexity exceeds the ``QUANTILE``
+  quantile, with a small allowance, of the held-out texts of its language (exact counts
+  per 1/64 of an octave), mixed with those of all languages at the weight of ``PRIOR``
+  documents; a language without any takes the quantile of all.
 
 Cases: a null or empty text has no perplexity and is not kept; a null language is a
 language of its own; labels may repeat (good if any row says so and none says toxic);
-without trusted text the model is uniform and keeps all texts; repeated rows get equal
-rows; an empty table gives an empty table; input columns named like an output are replaced.
+without trusted text the model is uniform, and without held-out text all texts but the
+empty are kept; repeated rows get equal rows; a very long text is a block of its own, held
+by one task; an empty table gives an empty table; input columns named like an output are
+replaced.
 """
 
 from __future__ import annotations
@@ -33,74 +36,27 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from scholarmetrics.llm import textkit
-from scholarmetrics.llm.common import checked_join, cut
+from scholarmetrics.llm.common import checked_join, cut, scratch
 
-#: The model of characters: order, bytes of text a block, greatest number of salted n-grams.
+#: Order of the model, bytes of text a block, greatest number of salted n-grams.
 DEPTH, BLOCK, SALTS = 5, 4 << 20, 10_000
-#: Sums that a task holds before it passes them on.
-HELD = 1 << 22
-#: The bounded model of byte classes (``log_table``, ``score``); ``classify`` does not use it.
-ORDER, CLASSES = 4, 40
-QUANTILE, ALLOWANCE, LEAST = 0.999, 1.1, 200
-
-
-def _classes() -> np.ndarray:
-    """Symbol class of each byte."""
-    c = np.full(256, 33, np.int64)  # other ASCII
-    for i in range(26):
-        c[97 + i] = c[65 + i] = i
-    c[[9, 11, 12, 13, 32]], c[10] = 26, 27
-    c[48:58] = 28
-    c[ord(".")], c[ord(",")] = 29, 30
-    c[list(b"'\"()[]{}:;!?-")] = 31
-    c[list(b"#$%&*<>|=+/\\^_~@`")] = 32
-    c[128:192] = 36 + (np.arange(64) >> 4)
-    c[192:256], c[0xC3] = 35, 34
-    return c
-
-
-SYMBOL = _classes()
-
-
-def codes(u8: np.ndarray, off: np.ndarray) -> np.ndarray:
-    """Code of the n-gram that ends at each byte; a row begins after line ends."""
-    s = SYMBOL[u8]
-    out = s.copy()
-    for back in range(1, ORDER):
-        prev = np.full(len(s), SYMBOL[10])
-        prev[back:] = s[:-back]
-        for k in range(back):  # bytes so near the begin of a row have no such neighbour
-            at = off[:-1] + k
-            prev[at[at < off[1:]]] = SYMBOL[10]
-        out += prev * CLASSES**back
-    return out
-
-
-def count_ngrams(texts: DataFrame, text: str = "text") -> DataFrame:
-    """(code, c): occurrences of the n-grams of the highest order."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            u8, off = textkit.flat(batch.column(0))
-            total = np.zeros(CLASSES**ORDER, np.int64)
-            for a, b in textkit.blocks(off):
-                if off[b] > off[a]:
-                    total += np.bincount(codes(u8[off[a] : off[b]], off[a : b + 1] - off[a]), minlength=len(total))
-            at = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["code", "c"])
-
-    return texts.select(text).mapInArrow(run, "code bigint, c bigint").groupBy("code").agg(F.sum("c").alias("c"))
+#: Places that a task holds before it folds them into sums.
+HELD = 1 << 21
+#: One in ``FOLDS`` trusted texts is held out of the counts; thresholds are taken on those.
+FOLDS = 5
+#: Quantile of the held-out texts, margin above it, weight of all languages' held-out texts
+#: in a language's own quantile (in documents).
+QUANTILE, ALLOWANCE, PRIOR = 0.999, 1.1, 20
 
 
 def orders(
     counts: DataFrame,
-    order: int = ORDER,
-    last: Callable[[int], Column] = lambda n: F.col("code") % CLASSES**n,
-    before: Callable[[int], Column] = lambda n: F.floor(F.col("code") / CLASSES),
+    order: int,
+    last: Callable[[int], Column],
+    before: Callable[[int], Column],
 ) -> list[tuple[DataFrame, DataFrame]]:
     """(code, alpha) and (context, gamma) of each order 1..``order``: the discounted share of
     each n-gram in its context, and the weight that its context leaves to the lower order.
@@ -126,47 +82,6 @@ def orders(
     return out
 
 
-def log_table(counts: DataFrame) -> np.ndarray:
-    """Log probability of the last symbol of every possible n-gram (CLASSES**ORDER cells)."""
-    p = np.full(1, 1.0 / CLASSES)
-    for n, (alpha, gamma) in enumerate(orders(counts), 1):
-        a, g = alpha.toArrow(), gamma.toArrow()  # at most CLASSES**n and CLASSES**(n-1) rows
-        dense, left = np.zeros(CLASSES**n), np.ones(CLASSES ** (n - 1))
-        dense[a["code"].to_numpy()] = a["alpha"].to_numpy()
-        left[g["context"].to_numpy()] = g["gamma"].to_numpy()
-        lower = np.resize(p, CLASSES**n) if n > 1 else np.full(CLASSES, p[0])
-        p = dense + np.repeat(left, CLASSES) * lower
-    return np.log(p).astype(np.float32)
-
-
-def score(df: DataFrame, table: np.ndarray, text: str = "text") -> DataFrame:
-    """Add ``n_symbols`` and ``perplexity`` (null for an empty text) of the whole text."""
-    shared = df.sparkSession.sparkContext.broadcast(table)
-    kind = pa.struct([("n", pa.int64()), ("nll", pa.float64())])
-
-    @arrow_udf("struct<n:bigint,nll:double>")
-    def run(col: pa.Array) -> pa.Array:
-        u8, off = textkit.flat(col)
-        sums = []
-        for a, b in textkit.blocks(off):
-            local = off[a : b + 1] - off[a]
-            if not local[-1]:
-                sums.append(np.zeros(b - a))
-                continue
-            # whole numbers of 2**-20, so that sums do not depend on the block's other rows
-            ll = np.rint(shared.value[codes(u8[off[a] : off[b]], local)].astype(np.float64) * 2**20).astype(np.int64)
-            sums.append(np.diff(np.append(0, np.cumsum(ll))[local]) / -(2.0**20))
-        nll = np.concatenate(sums) if sums else np.zeros(0)
-        return pa.StructArray.from_arrays([pa.array(np.diff(off)), pa.array(nll)], fields=list(kind))
-
-    return (
-        df.withColumn("__lm", run(F.col(text)))
-        .withColumn("n_symbols", F.col("__lm.n"))
-        .withColumn("perplexity", F.when(F.col("__lm.n") > 0, F.exp(F.col("__lm.nll") / F.col("__lm.n"))))
-        .drop("__lm")
-    )
-
-
 def good_ids(labels: DataFrame) -> DataFrame:
     """Ids labelled good by some row and toxic by none."""
     per = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("quality").alias("q"), F.max("toxic").alias("x"))
@@ -174,16 +89,26 @@ def good_ids(labels: DataFrame) -> DataFrame:
 
 
 def thresholds(scored: DataFrame) -> DataFrame:
-    """(lang_key, threshold), and the one of all languages under the key null."""
+    """(lang_key, threshold) from the rows with ``held_out``, and the one of all languages
+    under the key null.  A language's quantile is that of its own held-out texts, mixed with
+    those of all languages at the weight of ``PRIOR`` documents."""
     # 1/64 of an octave: a few hundred buckets per language at any size
     bucket = F.floor(F.log2("perplexity") * 64)
-    counts = scored.where("trusted AND perplexity IS NOT NULL").groupBy("lang_key", bucket.alias("bucket")).agg(F.count("*").alias("n"))
-    counts = counts.unionByName(counts.groupBy("bucket").agg(F.sum("n").alias("n")).withColumn("lang_key", F.lit(None).cast("string")))
-    upto, whole = Window.partitionBy("lang_key").orderBy("bucket"), Window.partitionBy("lang_key")
-    cum = counts.select("lang_key", "bucket", F.sum("n").over(upto).alias("cum"), F.sum("n").over(whole).alias("all"))
-    edge = cum.where(F.col("cum") >= QUANTILE * F.col("all")).groupBy("lang_key").agg(F.min("bucket").alias("edge"), F.max("all").alias("all"))
-    edge = edge.where((F.col("all") >= LEAST) | F.col("lang_key").isNull())
-    return cut(edge.select("lang_key", (F.pow(F.lit(2.0), (F.col("edge") + 1) / 64) * ALLOWANCE).alias("threshold")))
+    counts = cut(scored.where("held_out AND perplexity IS NOT NULL").groupBy("lang_key", bucket.alias("bucket")).agg(F.count("*").cast("double").alias("n")))
+    every = counts.groupBy("bucket").agg(F.sum("n").alias("n")).orderBy("bucket").collect()  # some 1,300 rows at most
+    if not every:
+        return counts.select("lang_key", F.col("n").alias("threshold"))
+    whole = sum(r.n for r in every)
+    pooled = F.explode(F.array(*[F.struct(F.lit(r.bucket).alias("bucket"), F.lit(r.n).alias("n")) for r in every]))
+    general = counts.limit(1).select(F.lit(None).cast("string").alias("lang_key"), pooled.alias("x")).select("lang_key", "x.*")
+    prior = counts.select("lang_key").distinct().select("lang_key", pooled.alias("x"))
+    prior = prior.select("lang_key", "x.bucket", (F.col("x.n") * PRIOR / whole).alias("n"))
+    mixed = counts.unionByName(prior).unionByName(general).groupBy("lang_key", "bucket").agg(F.sum("n").alias("n"))
+    upto, by = Window.partitionBy("lang_key").orderBy("bucket"), Window.partitionBy("lang_key")
+    cum = mixed.select("lang_key", "bucket", F.sum("n").over(upto).alias("cum"), F.sum("n").over(by).alias("all"))
+    # sums of parts may fall short of the whole by rounding
+    edge = cum.where(F.col("cum") >= QUANTILE * F.col("all") - 1e-6).groupBy("lang_key").agg(F.min("bucket").alias("edge"))
+    return edge.select("lang_key", (F.pow(F.lit(2.0), (F.col("edge") + 1) / 64) * ALLOWANCE).alias("threshold"))
 
 
 def _runs(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
@@ -217,51 +142,70 @@ def _runs(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarr
     return [text[i : i + DEPTH] for i in range(0, len(text), DEPTH)], gram, doc, count
 
 
-def _packed(doc: np.ndarray, count: np.ndarray) -> bytes:
-    """Places of one n-gram: bytes a count, gaps between documents and counts, plane by plane."""
-    wide = np.uint8 if count.max() < 256 else np.uint32
-    gap = np.diff(doc, prepend=0).astype(np.uint32)
-    step = np.uint8 if gap.max() < 256 else np.uint32
-    return bytes([np.dtype(step).itemsize, np.dtype(wide).itemsize]) + gap.astype(step).tobytes() + count.astype(wide).tobytes()
-
-
-def _unpacked(b: bytes) -> tuple[np.ndarray, np.ndarray]:
-    n = (len(b) - 2) // (b[0] + b[1])
-    kind = {1: np.uint8, 4: np.uint32}
-    return np.cumsum(np.frombuffer(b, kind[b[0]], n, 2), dtype=np.int64), np.frombuffer(b, kind[b[1]], n, 2 + n * b[0])
+def _packed(doc: np.ndarray, count: np.ndarray, edge: np.ndarray) -> pa.Array:
+    """Places of n-grams, one binary each; those of the i-th are ``edge[i]:edge[i + 1]``.
+
+    A place is the gap to the n-gram's document before and up to 4 occurrences, as a number
+    of 7 bits a byte; more occurrences are further places with a gap of 0."""
+    gap = np.diff(doc, prepend=0)
+    gap[edge[:-1]] = doc[edge[:-1]]
+    reps = (count + 3) // 4
+    at = np.append(0, np.cumsum(reps))  # first record of each place
+    value = np.full(at[-1], 3)
+    value[at[:-1]] += gap * 4
+    value[at[1:] - 1] -= 4 * reps - count  # the last one holds the rest
+    width = 1 + sum((value >= 1 << bits).astype(np.int64) for bits in (7, 14, 21, 28))
+    start = np.append(0, np.cumsum(width))
+    out = np.zeros(start[-1], np.uint8)
+    for k in range(int(width.max(initial=0))):
+        m = np.flatnonzero(width > k)
+        out[start[m] + k] = (value[m] >> 7 * k & 127) | (width[m] > k + 1) << 7
+    offsets = start[at[edge]].astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(edge) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(out)])
+
+
+def _unpacked(u8: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, document, occurrences) of the places in binaries at ``off``."""
+    end = np.flatnonzero(u8 < 128)
+    start = np.append(0, end[:-1] + 1)[: len(end)]
+    width, value = end - start + 1, np.zeros(len(end), np.int64)
+    for k in range(int(width.max(initial=0))):
+        m = np.flatnonzero(width > k)
+        value[m] |= (u8[start[m] + k].astype(np.int64) & 127) << 7 * k
+    row = np.searchsorted(off, start, "right") - 1
+    upto, first = np.cumsum(value >> 2), np.flatnonzero(np.diff(row, prepend=-1))
+    before = np.zeros(len(off), np.int64)
+    before[row[first]] = upto[first] - (value[first] >> 2)
+    return row, upto - before[row], (value & 3) + 1
 
 
 def places(df: DataFrame, text: str = "text") -> DataFrame:
-    """One row per document (without its text; ``__gram`` is null), with its ``n_symbols``,
-    ``__block`` and ``__at`` in it, and one per block and n-gram: ``__docs``, ``__n`` of them,
-    and the occurrences ``__c`` in those with ``trusted``."""
+    """One row per document (without its text; ``__gram`` is null), with its ``n_symbols``
+    and number ``__doc``, and one per block and n-gram: ``__doc`` (the block's first), the
+    places ``__docs`` from there, ``__n`` of them, and the occurrences ``__c`` in documents
+    with ``__train``."""
     df = df.drop("n_symbols")
-    more = [("n_symbols", LongType()), ("__block", LongType()), ("__at", LongType()), ("__gram", StringType()), ("__c", LongType()), ("__n", LongType()), ("__docs", BinaryType())]
-    rest = [f for f in df.schema.fields if f.name != text]
+    more = [("n_symbols", LongType()), ("__doc", LongType()), ("__gram", StringType()), ("__c", LongType()), ("__n", LongType()), ("__docs", BinaryType())]
+    rest = [f for f in df.schema.fields if f.name not in (text, "__train")]
     schema = StructType([StructField(f.name, f.dataType) for f in rest] + [StructField(n, k) for n, k in more])
     names = [f.name for f in rest]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = TaskContext.get().partitionId() << 33
+        first = TaskContext.get().partitionId() << 33
         for batch in batches:
-            col, trusted = batch.column(text), batch.column("trusted").to_numpy(zero_copy_only=False)
+            col, train = batch.column(text), batch.column("__train").to_numpy(zero_copy_only=False)
             for a, b in textkit.blocks(textkit.flat(col)[1], BLOCK):
                 texts = [t or "" for t in col.slice(a, b - a).to_pylist()]
                 n, kept = b - a, [batch.column(c).slice(a, b - a) for c in names]
-                own = [pa.array([len(t) for t in texts], pa.int64()), pa.array(np.full(n, block)), pa.array(np.arange(n))]
-                void = [pa.nulls(n, k) for k in (pa.string(), pa.int64(), pa.int64(), pa.binary())]
-                yield pa.RecordBatch.from_arrays(kept + own + void, schema.names)
+                own = [pa.array([len(t) for t in texts], pa.int64()), pa.array(np.arange(first, first + n))]
+                yield pa.RecordBatch.from_arrays(kept + own + [pa.nulls(n, k) for k in (pa.string(), pa.int64(), pa.int64(), pa.binary())], schema.names)
                 grams, gram, doc, count = _runs(texts)
-                edge = np.searchsorted(gram, np.arange(len(grams) + 1))
-                c = np.bincount(gram, count * trusted[a:b].astype(bool)[doc], len(grams)).astype(np.int64)
-                for i in range(0, len(grams), 20000):
-                    upto = min(len(grams), i + 20000)
-                    m = upto - i
-                    docs = [_packed(doc[x:y], count[x:y]) for x, y in zip(edge[i:upto].tolist(), edge[i + 1 : upto + 1].tolist())]
-                    own = [pa.nulls(m, k.type) for k in kept] + [pa.nulls(m, pa.int64()), pa.array(np.full(m, block)), pa.nulls(m, pa.int64())]
-                    own += [pa.array(grams[i:upto], pa.string()), pa.array(c[i:upto]), pa.array(np.diff(edge)[i:upto]), pa.array(docs, pa.binary())]
-                    yield pa.RecordBatch.from_arrays(own, schema.names)
-                block += 1
+                m, edge = len(grams), np.searchsorted(gram, np.arange(len(grams) + 1))
+                c = np.bincount(gram, count * train[a:b].astype(bool)[doc], m).astype(np.int64)
+                own = [pa.nulls(m, pa.int64()), pa.array(np.full(m, first)), pa.array(grams, pa.string()), pa.array(c), pa.array(np.diff(edge)), _packed(doc, count, edge)]
+                out = pa.RecordBatch.from_arrays([pa.nulls(m, k.type) for k in kept] + own, schema.names)
+                yield from (out.slice(i, 20000) for i in range(0, m, 20000))
+                first += n
 
     return df.mapInArrow(run, schema)
 
@@ -274,69 +218,80 @@ def log_probabilities(grams: DataFrame) -> DataFrame:
     asked = {DEPTH: grams.select("code")}
     for n in range(DEPTH - 1, 0, -1):
         asked[n] = cut(asked[n + 1].select(last(n).alias("code")).distinct())
-    p = asked[1].select(F.lit("").alias("lower")).distinct().withColumn("q", F.lit(1.0 / max(1, asked[1].count())))
+    p, uniform = None, F.lit(1.0 / max(1, asked[1].count()))
     for n, (alpha, gamma) in enumerate(orders(grams.where("c > 0").select("code", "c"), DEPTH, last, before), 1):
         t = asked[n].select("code", before(n).alias("context"), last(n - 1).alias("lower") if n > 1 else F.lit("").alias("lower"))
         t = checked_join(checked_join(t, cut(alpha), "code", "left"), cut(gamma), "context", "left")
+        t = t.withColumn("q", uniform) if p is None else checked_join(t, p, "lower")
         q = F.coalesce("alpha", F.lit(0.0)) + F.coalesce("gamma", F.lit(1.0)) * F.col("q")
-        p = cut(checked_join(t, p, "lower").select(F.col("code").alias("lower"), q.alias("q")))
-    return p.select(F.col("lower").alias("code"), F.rint(F.log("q") * 2**20).cast("long").alias("ll"))
+        p = cut(t.select(F.col("code").alias("lower"), q.alias("q")))
+    return cut(p.select(F.col("lower").alias("code"), F.rint(F.log("q") * 2**20).cast("long").alias("ll")))
 
 
 def sums(rows: DataFrame) -> DataFrame:
-    """(__block, __at, ll): the log probabilities of ``rows`` (__block, __docs, ll) by document."""
+    """(__doc, ll): the log probabilities of ``rows`` (__doc, __docs, ll) by document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, np.ndarray] = {}
+        held: list[tuple[np.ndarray, np.ndarray]] = []
 
-        def out() -> Iterator[pa.RecordBatch]:
-            for block, total in held.items():
-                at = np.flatnonzero(total)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), block)), pa.array(at), pa.array(total[at])], ["__block", "__at", "ll"])
-            held.clear()
+        def folded() -> tuple[np.ndarray, np.ndarray]:
+            key, ll = (np.concatenate(c) for c in zip(*held))
+            doc, at = np.unique(key, return_inverse=True)
+            total = np.zeros(len(doc), np.int64)
+            np.add.at(total, at, ll)
+            return doc, total
 
         for batch in batches:
-            for block, docs, ll in zip(*(c.to_pylist() for c in batch.columns)):
-                at, count = _unpacked(docs)
-                total = held.get(block, np.zeros(0, np.int64))
-                if len(total) <= at[-1]:
-                    total = held[block] = np.append(total, np.zeros(at[-1] + 1 - len(total), np.int64))
-                total[at] += count.astype(np.int64) * ll
-            if sum(map(len, held.values())) > HELD:
-                yield from out()
-        yield from out()
+            if not batch.num_rows:
+                continue
+            row, at, count = _unpacked(*textkit.flat(batch.column("__docs")))
+            held.append((batch.column("__doc").to_numpy()[row] + at, batch.column("ll").to_numpy()[row] * count))
+            if sum(len(k) for k, _ in held) > HELD:
+                held[:] = [folded()]
+                if len(held[0][0]) > HELD // 2:  # many documents: their sums go out
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in held.pop()], ["__doc", "ll"])
+                textkit.give_back()
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in folded()], ["__doc", "ll"])
 
-    return rows.mapInArrow(run, "__block bigint, __at bigint, ll bigint").groupBy("__block", "__at").agg(F.sum("ll").alias("ll"))
+    return rows.mapInArrow(run, "__doc bigint, ll bigint").groupBy("__doc").agg(F.sum("ll").alias("ll"))
 
 
 def score_characters(df: DataFrame, text: str = "text") -> DataFrame:
     """Replace the text by ``n_symbols`` (characters) and ``perplexity`` (null for an empty
-    text) under the model of the texts with ``trusted``."""
-    every = cut(places(df, text))
-    rows = every.where("__gram IS NOT NULL").select("__block", F.col("__gram").alias("code"), "__docs")
+    text) under the model of the texts with ``__train``, which is dropped."""
+    every = cut(places(df, text), "zstd")
+    rows = every.where("__gram IS NOT NULL").select("__doc", F.col("__gram").alias("code"), "__docs")
     grams = cut(every.where("__gram IS NOT NULL").groupBy(F.col("__gram").alias("code")).agg(F.sum("__c").alias("c"), F.sum("__n").alias("n")))
     whole = grams.agg(F.sum("n")).first()[0] or 1
     # at most SALTS n-grams, as each has 1/SALTS of all places
     share = F.col("n") * SALTS / whole
     hot = F.broadcast(cut(grams.where(share >= 1).select("code", F.ceil(share).cast("int").alias("salts"))))
     salts = F.coalesce("salts", F.lit(1))
-    known = log_probabilities(grams).join(hot, "code", "left").select("code", "ll", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"))
-    rows = rows.join(hot, "code", "left").withColumn("salt", F.pmod(F.xxhash64("__block").cast("bigint"), salts.cast("bigint")).cast("int")).drop("salts")
-    total = cut(sums(rows.join(known.hint("merge"), ["code", "salt"]).select("__block", "__docs", "ll")))
+    with scratch(df.sparkSession) as s:
+        log = s.keep(log_probabilities(grams))
+    known = log.join(hot, "code", "left").select("code", "ll", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"))
+    rows = rows.join(hot, "code", "left").withColumn("salt", F.pmod(F.xxhash64("__doc").cast("bigint"), salts.cast("bigint")).cast("int")).drop("salts")
+    total = cut(sums(rows.join(known.hint("merge"), ["code", "salt"]).select("__doc", "__docs", "ll")))
     docs = every.where("__gram IS NULL").drop("__gram", "__c", "__n", "__docs", "perplexity")
-    docs = docs.join(total.hint("merge"), ["__block", "__at"], "left").drop("__block", "__at")
+    docs = docs.join(total.hint("merge"), "__doc", "left").drop("__doc")
     return docs.withColumn("perplexity", F.when(F.col("n_symbols") > 0, F.exp(F.coalesce("ll", F.lit(0)) / -(2.0**20) / F.col("n_symbols")))).drop("ll")
 
 
 def classify(df: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", lang: str = "lang") -> DataFrame:
-    """Add ``trusted``, ``n_symbols``, ``perplexity``, ``threshold`` and ``kept``; the text
-    column is dropped."""
-    good = good_ids(labels).withColumnRenamed("doc_id", "__good")
+    """Add ``trusted``, ``held_out``, ``n_symbols``, ``perplexity``, ``threshold`` and
+    ``kept``; the text column is dropped."""
     key = F.to_json(F.struct(F.col(lang).alias("lang")))
-    flagged = checked_join(df.withColumn("__good", F.col(doc_id)), good.withColumn("__is", F.lit(True)), "__good", "left")
-    flagged = flagged.withColumn("trusted", F.coalesce("__is", F.lit(False))).drop("__good", "__is")
-    scored = cut(score_characters(flagged, text).withColumn("lang_key", key))
-    edges = thresholds(scored)
+    with scratch(df.sparkSession) as s:
+        good = good_ids(labels).withColumnRenamed("doc_id", "__good")
+        flagged = checked_join(df.withColumn("__good", F.col(doc_id)), good.withColumn("__is", F.lit(True)), "__good", "left")
+        flagged = flagged.withColumn("trusted", F.coalesce("__is", F.lit(False))).drop("__good", "__is")
+        # by text, so that no copy of a held-out text is learned
+        flagged = flagged.withColumn("held_out", F.col("trusted") & (F.pmod(F.xxhash64(text), F.lit(FOLDS)) == 0))
+        flagged = flagged.withColumn("__train", F.col("trusted") & ~F.col("held_out"))
+        scored = s.keep(cut(score_characters(flagged, text).withColumn("lang_key", key)))
+        edges = cut(thresholds(scored))
+        s.keep(edges)
     rest = edges.where("lang_key IS NULL").first()
     general = F.lit(rest.threshold if rest else float("inf"))
     out = checked_join(scored, edges.where("lang_key IS NOT NULL"), "lang_key", "left").drop("lang_key")

@@ -3,67 +3,11 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 from scholarmetrics.llm import perplexity as lm
 
-
-def brute_table(texts):
-    """Interpolated modified Kneser-Ney, written out with dictionaries; a function of a gram."""
-    grams = Counter()
-    for t in texts:
-        s = (int(lm.SYMBOL[10]),) * (lm.ORDER - 1) + tuple(int(lm.SYMBOL[b]) for b in (t or "").encode())
-        grams.update(s[i : i + lm.ORDER] for i in range(len(s) - lm.ORDER + 1))
-    counts = {lm.ORDER: grams}
-    for n in range(lm.ORDER - 1, 0, -1):
-        counts[n] = Counter(g[1:] for g in counts[n + 1])
-    discounts, totals, freed = {}, {}, {}
-    for n, c in counts.items():
-        n1, n2, n3, n4 = (sum(v == k for v in c.values()) for k in (1, 2, 3, 4))
-        y = n1 / (n1 + 2 * n2) if n1 and n2 else 0.5
-        d = [min(k, max(0.0, k - (k + 1) * y * b / a)) if a else 0.0 for k, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
-        discounts[n] = [x or 0.1 for x in d]
-        totals[n], freed[n] = defaultdict(int), defaultdict(float)
-        for g, v in c.items():
-            totals[n][g[:-1]] += v
-            freed[n][g[:-1]] += discounts[n][min(v, 3) - 1]
-
-    def p(g):
-        if not g:
-            return 1 / lm.CLASSES
-        n, h = len(g), g[:-1]
-        if not totals[n][h]:
-            return p(g[1:])
-        v = counts[n][g]
-        own = (v - discounts[n][min(v, 3) - 1]) / totals[n][h] if v else 0.0
-        return own + freed[n][h] / totals[n][h] * p(g[1:])
-
-    return p
-
-
-def test_model_and_scores_equal_brute_force(spark, docs, rows, empty):
-    trusted = [t for i, (_, t, *_) in enumerate(rows) if i % 2 == 0]
-    train = spark.createDataFrame([(t,) for t in trusted], "text string")
-    table = lm.log_table(lm.count_ngrams(train))
-    p = brute_table(trusted)
-    sums = np.exp(table.astype(float)).reshape(-1, lm.CLASSES).sum(1)
-    assert np.allclose(sums, 1, atol=1e-4)
-    rng = random.Random(0)
-    for _ in range(2000):
-        g = tuple(rng.randrange(lm.CLASSES) for _ in range(lm.ORDER))
-        code = sum(x * lm.CLASSES ** (lm.ORDER - 1 - i) for i, x in enumerate(g))
-        assert math.isclose(table[code], math.log(p(g)), abs_tol=1e-4)
-    out = lm.score(docs, table).collect()
-    assert len(out) == len(rows)
-    for r in out:
-        body = (int(lm.SYMBOL[10]),) * 3 + tuple(int(lm.SYMBOL[b]) for b in (r.text or "").encode())
-        n = len(body) - 3
-        assert r.n_symbols == n
-        if n and n < 3000:
-            want = math.exp(-sum(math.log(p(body[i : i + 4])) for i in range(n)) / n)
-            assert math.isclose(r.perplexity, want, rel_tol=1e-4)
-        if not n:
-            assert r.perplexity is None
-    assert lm.score(empty, table).count() == 0
+SF = "/root/testdata/sf0.01"
 
 
 def test_noise_goes_and_prose_stays(spark, docs, empty):
@@ -122,7 +66,9 @@ def test_character_model_equals_brute_force(spark, docs, rows, empty, monkeypatc
     out = lm.classify(docs.withColumn("body", F.col("text")), labels).collect()
     assert len(out) == len(rows)
     texts = [t or "" for _, t, *_ in rows]
-    p = characters_brute([t or "" for i, t, *_ in rows if i in set(good)], len(set("".join(texts))))
+    assert Counter(r.trusted for r in out)[True] == sum(i in set(good) for i, *_ in rows)
+    assert any(r.held_out for r in out) and all(r.trusted for r in out if r.held_out)
+    p = characters_brute([r.body or "" for r in out if r.trusted and not r.held_out], len(set("".join(texts))))
     for r in out:
         body = r.body or ""
         assert r.n_symbols == len(body)
@@ -155,5 +101,36 @@ def test_many_characters_are_numbered_symbol_by_symbol():
         s = "\n" * (lm.DEPTH - 1) + t
         want.update((s[i : i + lm.DEPTH], d) for i in range(len(t)))
     assert got == want
-    at, c = lm._unpacked(lm._packed(np.array([3, 700]), np.array([1, 900])))
-    assert at.tolist() == [3, 700] and c.tolist() == [1, 900]
+
+
+def test_places_come_back():
+    rng = np.random.default_rng(5)
+    size = rng.integers(1, 40, 300)
+    edge = np.append(0, np.cumsum(size))
+    doc = np.concatenate([np.sort(rng.choice(200_000 if k > 20 else 300, k, replace=False)) for k in size])
+    count = rng.choice([1, 1, 1, 2, 3, 4, 5, 8, 9, 1000], len(doc))
+    packed = lm._packed(doc, count, edge)
+    row, at, c = lm._unpacked(*lm.textkit.flat(packed))
+    got = Counter()
+    for r, d, n in zip(row.tolist(), at.tolist(), c.tolist()):
+        got[r, d] += n
+    want = {(r, int(doc[i])): int(count[i]) for r in range(len(size)) for i in range(edge[r], edge[r + 1])}
+    assert got == want
+    empty = lm._packed(np.zeros(0, int), np.zeros(0, int), np.zeros(1, int))
+    assert len(empty) == 0 and not len(lm._unpacked(*lm.textkit.flat(empty))[0])
+    one = lm._unpacked(*lm.textkit.flat(pa.array([packed[7].as_py()])))
+    assert one[1].tolist() == at[row == 7].tolist()
+
+
+def test_unseen_good_documents_are_kept(spark):
+    """Good labels split in two halves: the unlabelled half is judged by the other one."""
+    documents = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang", "text")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    good = {r.doc_id for r in lm.good_ids(labels).collect()}
+    bad = {r.doc_id for r in labels.where("quality = 0").select("doc_id").collect()}
+    seen = labels.where(F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0)
+    used = {r.doc_id for r in seen.collect()}
+    kept = {r.doc_id: r.kept for r in lm.classify(documents, seen).select("doc_id", "kept").collect()}
+    unseen = [kept[i] for i in good - used]
+    assert len(unseen) > 100 and sum(unseen) >= 0.95 * len(unseen)
+    assert bad
