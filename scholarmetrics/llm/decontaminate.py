@@ -17,12 +17,14 @@ case or punctuation does not hide an item.
 - Items shorter than ``width`` words are one shingle of all their words and are sought
   among the documents' runs of that many words.
 
-The index of at most ``ITEMS`` items goes to the tasks; a larger benchmark is taken in
-slices of that many, one pass over the documents each, so no index outgrows a task.
-Documents are handled row by row: no shuffle, no skew.
+A benchmark of at most ``ITEM_BYTES`` of distinct text goes to the executors as a broadcast;
+each worker builds its index once.  A larger one is taken in slices of about that many bytes,
+one pass over the documents and one broadcast each, so no index outgrows a worker and the
+driver holds one slice at a time.  Documents are handled row by row: no shuffle, no skew.
 
 Cases: a null text or one without words holds nothing; a null or empty item is found
-nowhere; repeated items are found each, repeated documents get equal rows; an empty
+nowhere; repeated items are found each, repeated documents get equal rows; a very long text is
+held by one task, row by row; an empty
 benchmark finds nothing; an empty table gives an empty table; a column ``found`` of the
 input is replaced, others are kept.
 """
@@ -34,17 +36,19 @@ from math import ceil
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from scholarmetrics.llm import textkit
+from scholarmetrics.llm.common import cut
 
 WIDTH, THRESHOLD = 5, 0.75
 #: Hits that a containing document is sure to have.
 REPEAT = 3
-#: Items (of some hundred shingles) whose index a task holds.
-ITEMS = 100_000
+#: Bytes of distinct items that a broadcast holds; an index takes about ten times as much.
+ITEM_BYTES = 16 << 20
 
 
 def _words(col: pa.Array):
@@ -55,9 +59,9 @@ def _words(col: pa.Array):
 class Index:
     """Partitions of items by set size, each with the inverted index of its sketches."""
 
-    def __init__(self, items: list[tuple[int | None, str | None]], width: int, threshold: float):
-        self.ids = [i for i, _ in items]
-        h, first = _words(pa.array([t for _, t in items], pa.string()))
+    def __init__(self, items: list[tuple[int | None, str | None, int]], width: int, threshold: float):
+        self.ids, texts, self.times = zip(*items) if items else ((), (), ())
+        h, first = _words(pa.array(texts, pa.string()))
         self.sets = [textkit.shingle_set(h[a:b], width) for a, b in zip(first[:-1], first[1:])]
         lengths = np.minimum(np.diff(first), width)
         self.need = np.array([ceil(threshold * len(s) - 1e-9) for s in self.sets], np.int64)
@@ -103,18 +107,26 @@ class Index:
         return sorted(out)
 
 
-def _finder(held: list, width: int, threshold: float):
-    """A function on a text column that finds the given items."""
+def _index(shared: Broadcast, width: int, threshold: float) -> Index:
+    """The index of the items; a worker keeps it with its copy of the broadcast."""
+    if not hasattr(shared, "index"):
+        shared.index = Index(shared.value, width, threshold)
+    return shared.index
+
+
+def _finder(shared: Broadcast, width: int, threshold: float):
+    """A function on a text column that finds the given items (id, text, times)."""
     kind = pa.list_(pa.struct([("item_id", pa.int64()), ("shared", pa.int64()), ("size", pa.int64())]))
 
     @arrow_udf("array<struct<item_id:bigint,shared:bigint,size:bigint>>")
     def run(col: pa.Array) -> pa.Array:
-        index, out = Index(held, width, threshold), []
+        index, out = _index(shared, width, threshold), []
         _, off = textkit.flat(col)
         for a, b in textkit.blocks(off):
             h, first = _words(col.slice(a, b - a))
             for i, j in zip(first[:-1], first[1:]):
-                out.append([{"item_id": index.ids[x], "shared": n, "size": len(index.sets[x])} for x, n in index.find(h[i:j])])
+                hits = index.find(h[i:j])
+                out.append([{"item_id": index.ids[x], "shared": n, "size": len(index.sets[x])} for x, n in hits for _ in range(index.times[x])])
         return pa.array(out, kind)
 
     return run
@@ -128,14 +140,21 @@ def find(
     item_text: str = "text",
     width: int = WIDTH,
     threshold: float = THRESHOLD,
-    items_at_once: int = ITEMS,
+    bytes_at_once: int = ITEM_BYTES,
 ) -> DataFrame:
     """Add ``found``: array of item_id, shared shingles and size of the item's set."""
     items = benchmark.select(F.col(item_id).cast("bigint").alias("i"), F.col(item_text).alias("t"))
-    slices = max(1, -(-items.count() // items_at_once))
-    parts = []
+    items = items.groupBy("i", "t").agg(F.count("*").alias("times"))
+    whole = items.agg(F.sum(F.octet_length("t") + 16)).first()[0] or 0
+    slices = max(1, -(-whole // bytes_at_once))
+    if slices > 1:
+        items = cut(items)
     for k in range(slices):
         part = items if slices == 1 else items.where(F.pmod(F.xxhash64("i", "t"), F.lit(slices)) == k)
-        held = [(r.i, r.t) for r in part.orderBy("i", "t").collect()]  # about items_at_once short texts at most
-        parts.append(_finder(held, width, threshold)(F.col(text)))
-    return df.withColumn("found", parts[0] if slices == 1 else F.concat(*parts))
+        held = [tuple(r) for r in part.orderBy("i", "t").collect()]  # about bytes_at_once
+        found = _finder(df.sparkSession.sparkContext.broadcast(held), width, threshold)(F.col(text))
+        if k:  # a pass of its own: functions of one projection would share a worker
+            df = cut(df).withColumn("__more", found).withColumn("found", F.concat("found", "__more")).drop("__more")
+        else:
+            df = df.withColumn("found", found)
+    return df

@@ -29,7 +29,7 @@ def test_search_equals_brute_force(spark, docs, empty):
     rng = random.Random(4)
     word = lambda: rng.choice(["ä", "b", "cc", "d1", "E", "ff"]) + str(rng.randint(0, 60))
     items = [(i, " ".join(word() for _ in range(rng.choice([1, 3, 5, 8, 30, 90])))) for i in range(60)]
-    items += [(60, None), (61, " ; "), (7, items[7][1]), (None, "no id at all but six words")]
+    items += [(60, None), (61, " ; "), (7, items[7][1]), (7, items[7][1]), (None, "no id at all but six words")]
     texts = []
     for i in range(300):
         filler = [word() for _ in range(rng.randint(0, 400))]
@@ -40,8 +40,8 @@ def test_search_equals_brute_force(spark, docs, empty):
     texts += [None, "", " ", "no id, at all; but SIX words."]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     bench = spark.createDataFrame(items, "item_id long, text string")
-    for at_once in (1000, 13):
-        out = decontaminate.find(df, bench, items_at_once=at_once).collect()
+    for at_once in (1 << 20, 5000):  # one slice, several
+        out = decontaminate.find(df, bench, bytes_at_once=at_once).collect()
         assert len(out) == len(texts)
         for r in out:
             assert sorted(map(tuple, r.found), key=repr) == brute(r.text, items)
