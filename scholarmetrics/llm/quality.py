@@ -15,13 +15,15 @@ One concentration step is two grouped sums over the narrow statistics table:
 Steps start from the median and the quartile spread and are repeated until no
 group's determinant falls any more.  Sums are combined before the shuffle, so a
 hot language or source is spread over all tasks; estimates are one row per group.
-Groups with fewer than ``MIN_GROUP`` rows take their language's estimate, which is fitted
-on all rows of the language, and languages with fewer that of all rows.  So a row feeds
-up to three groups: its pair's, its language's and that of all, as far as they are used.
+A row feeds three groups: its pair of language and source, its language and the whole
+table.  A language's estimate is drawn towards that of the table and a pair's towards its
+language's, each at the weight of ``PRIOR`` rows, so a small source is judged mostly by its
+language and there is no step at any number of rows.
 
 Cases: a null or empty text has no words and fails the base rules; null language or
 source is a group of its own; repeated rows give equal verdicts; an empty table
-gives an empty table; a group whose statistics do not vary has the floor scatter;
+gives an empty table; a very long text is held by one task, its statistics are one row;
+a group whose statistics do not vary has the floor scatter;
 input columns named like an output are replaced.
 """
 
@@ -42,7 +44,8 @@ from scholarmetrics.llm.common import checked_join, cut, scratch
 SUPPORT = 0.75
 #: Chance that a row of a normal group is rejected.
 TAIL = 1e-9
-MIN_GROUP = 200
+#: Rows whose weight the language's estimate has in a source's, and the table's in a language's.
+PRIOR = 50
 #: Least standard deviation of each transformed statistic (see ``vector``).
 FLOOR = (0.05, 0.04, 0.12, 0.12)
 
@@ -159,29 +162,40 @@ def _distance() -> Column:
     return total
 
 
+#: Key of the group of all rows.
+_ALL = "{}"
+
+
 def _group_key(*columns: str) -> Column:
     """One string per combination; null differs from every value."""
     return F.to_json(F.struct(F.lit(len(columns)).alias("level"), *columns))
 
 
 def groups(rows: DataFrame, lang: str, source: str) -> DataFrame:
-    """(lang, source) -> the group whose estimate holds for it, and all groups that its
-    rows feed."""
-    n = rows.groupBy(F.col(lang).alias("lang"), F.col(source).alias("source")).agg(F.count("*").alias("n"))
-    per_lang = n.groupBy("lang").agg(F.sum("n").alias("n_lang"))
-    joined = n.join(per_lang, n["lang"].eqNullSafe(per_lang["lang"]), "left").drop(per_lang["lang"])
-    own, both, every = _group_key("lang", "source"), _group_key("lang"), F.lit("{}")
-    group = F.when(F.col("n") >= MIN_GROUP, own).when(F.col("n_lang") >= MIN_GROUP, both).otherwise(every)
-    of = cut(joined.select(own.alias("__pair"), both.alias("lang_group"), group.alias("__group")))
-    used = of.select("__group").distinct()  # at most one row per pair
-    lang_used = used.select(F.col("__group").alias("lang_group"), F.lit(True).alias("lang_used"))
-    every_used = F.lit(bool(used.where(F.col("__group") == every).limit(1).count()))
-    feeds = F.array(
-        F.when(F.col("__group") == F.col("__pair"), F.col("__pair")),
-        F.when(F.col("lang_used"), F.col("lang_group")),
-        F.when(every_used, every),
-    )
-    return checked_join(of, lang_used, "lang_group", "left").select("__pair", "__group", F.array_compact(feeds).alias("__feeds"))
+    """(__pair, lang_group, n, n_lang): each pair of lang and source, and its rows."""
+    pair, both = _group_key(F.col(lang).alias("lang"), F.col(source).alias("source")), _group_key(F.col(lang).alias("lang"))
+    n = cut(rows.groupBy(pair.alias("__pair"), both.alias("lang_group")).agg(F.count("*").alias("n")))
+    return checked_join(n, cut(n.groupBy("lang_group").agg(F.sum("n").alias("n_lang"))), "lang_group")
+
+
+def _shrunk(fields: Column) -> Column:
+    """Centre and precision of a pair from those of the pair, its language and the table."""
+
+    @arrow_udf("struct<center:array<double>,precision:array<double>>")
+    def run(col: pa.Array) -> pa.Array:
+        out = []
+        for r in col.to_pylist():
+            center, cov = np.array(r["c0"]), np.linalg.inv(np.array(r["p0"][:-1]).reshape(_P, _P))
+            for c, p, n in ((r["c1"], r["p1"], r["n_lang"]), (r["c2"], r["p2"], r["n"])):
+                w = n / (n + PRIOR)
+                center = w * np.array(c) + (1 - w) * center
+                cov = w * np.linalg.inv(np.array(p[:-1]).reshape(_P, _P)) + (1 - w) * cov
+            p = np.linalg.inv(cov)
+            out.append({"center": center.tolist(), "precision": [*p.ravel().tolist(), float(np.linalg.slogdet(cov)[1])]})
+        many = pa.list_(pa.float64())
+        return pa.array(out, pa.struct([("center", many), ("precision", many)]))
+
+    return run(fields)
 
 
 def fit(rows: DataFrame, lang: str = "lang", source: str = "source") -> tuple[DataFrame, DataFrame]:
@@ -191,15 +205,21 @@ def fit(rows: DataFrame, lang: str = "lang", source: str = "source") -> tuple[Da
     """
     with scratch(rows.sparkSession) as s:
         of, best = _estimate(rows, lang, source)
-        return s.keep(of), s.keep(best).select(F.col("g").alias("__group"), "center", "precision")
+        parts = of.withColumn("__all", F.lit(_ALL))
+        for k, key in enumerate(("__all", "lang_group", "__pair")):
+            parts = checked_join(parts, best.select(F.col("g").alias(key), F.col("center").alias(f"c{k}"), F.col("precision").alias(f"p{k}")), key)
+        names = [f"{x}{k}" for x in "cp" for k in range(3)]
+        drawn = parts.select(F.col("__pair").alias("__group"), _shrunk(F.struct("n", "n_lang", *names)).alias("e"))
+        estimates = s.keep(cut(drawn.select("__group", "e.center", "e.precision")))
+        return s.keep(cut(of.select("__pair", F.col("__pair").alias("__group")))), estimates
 
 
 def _estimate(rows: DataFrame, lang: str, source: str) -> tuple[DataFrame, DataFrame]:
-    """The concentration steps; both results are cut tables."""
+    """The groups and, by concentration steps, each one's own estimate; both are cut tables."""
     usable = rows.where(~F.col("base_failed"))
     of = cut(groups(usable, lang, source))
-    points = usable.select(_group_key(F.col(lang).alias("lang"), F.col(source).alias("source")).alias("__pair"), F.array(*vector()).alias("x"))
-    points = cut(checked_join(points, of, "__pair").select(F.explode("__feeds").alias("g"), "x"))
+    key, by_lang = _group_key(F.col(lang).alias("lang"), F.col(source).alias("source")), _group_key(F.col(lang).alias("lang"))
+    points = cut(usable.select(F.explode(F.array(key, by_lang, F.lit(_ALL))).alias("g"), F.array(*vector()).alias("x")))
 
     quart = [F.percentile_approx(F.col("x")[i], F.array(*map(F.lit, (0.25, 0.5, 0.75))), 10000).alias(f"q{i}") for i in range(_P)]
     spread = [F.pow((F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349, 2) if i == j else F.lit(0.0) for i, j in _PAIRS]
@@ -242,7 +262,7 @@ def _estimate(rows: DataFrame, lang: str, source: str) -> tuple[DataFrame, DataF
 def judge(rows: DataFrame, model: tuple[DataFrame, DataFrame], lang: str = "lang", source: str = "source") -> DataFrame:
     """Add ``distance`` (null for rows that fail the base rules) and ``kept``."""
     of, estimates = model
-    both = cut(of.join(estimates, "__group").drop("__group", "__feeds"))
+    both = cut(of.join(estimates, "__group").drop("__group"))
     pair = _group_key(F.col(lang).alias("lang"), F.col(source).alias("source"))
     # rows that fail need no estimate: a null key joins with nothing
     keyed = rows.withColumn("__pair", F.when(~F.col("base_failed"), pair)).withColumn("x", F.array(*vector()))

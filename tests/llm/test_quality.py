@@ -1,3 +1,4 @@
+import itertools
 import random
 import re
 from collections import Counter
@@ -57,6 +58,28 @@ def test_fit_reaches_a_fixed_point_of_the_concentration_step(spark):
     assert np.allclose(x[near].mean(0), r.center, atol=0.01)
 
 
+def test_estimate_equals_the_best_of_all_subsets(spark):
+    """Minimum determinant over every subset of the support's size, by numpy."""
+    rng = np.random.default_rng(2)
+    rows = []
+    for i in range(14):
+        far = i >= 11
+        chars = int(600 * (2.5 if far else rng.uniform(0.8, 1.25)))
+        symbols = int(chars * (0.3 if far else rng.uniform(0.001, 0.05)))
+        rows.append((100, chars, symbols, 50, int(rng.integers(0, 12)) + 20 * far, int(rng.integers(0, 30)), False, "en", "a"))
+    names = [*quality._STATS, "base_failed", "lang", "source"]
+    stats = spark.createDataFrame(rows, names)
+    _, best = quality._estimate(stats, "lang", "source")
+    x = np.array([q[0] for q in stats.select(quality.F.array(*quality.vector())).collect()])
+    floor, scale = np.diag(np.square(quality.FLOOR)), quality.SUPPORT / quality._chi2_cdf(quality._chi2_quantile(quality.SUPPORT, 4), 6)
+    scatter = lambda s: np.cov(x[list(s)].T, bias=True) * scale + floor
+    least = min(itertools.combinations(range(14), 11), key=lambda s: np.linalg.slogdet(scatter(s))[1])
+    assert set(least) == set(range(11))
+    for r in best.collect():  # the pair, its language and the table hold the same rows
+        assert np.allclose(r.center, x[list(least)].mean(0))
+        assert np.allclose(np.linalg.inv(np.array(r.precision[:-1]).reshape(4, 4)), scatter(least))
+
+
 def test_few_rows_are_judged_by_all_rows_of_their_language_or_of_the_table(spark):
     rng = random.Random(6)
     words = lambda end: " ".join("".join(rng.choices("abcdefgh", k=rng.randint(2, 9))) + end for _ in range(100))
