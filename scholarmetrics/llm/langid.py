@@ -3,9 +3,10 @@
 The network reads the bytes of a word forwards and backwards (one GRU each), labels
 every position, and a document's probabilities are the mean over all its positions.
 States begin anew at each word (a run of ASCII letters and non-ASCII bytes, folded to
-lower case; runs over ``LONGEST`` bytes are read in pieces), so a word's labels depend
-on the word alone: each task runs the network once per distinct word and weighs it by
-its places, over whole texts.
+lower case), so a word's labels depend on the word alone: each task runs the network once
+per distinct word and weighs it by its places, over whole texts.  Runs over ``LONGEST``
+bytes (scripts without blanks) are labelled in windows that overlap: pieces of whole
+characters, each read with up to ``LONGEST`` bytes of the run on either side.
 
 It is trained in numpy by backpropagation through time on a bounded sample: of each
 language, however many there are, about ``SAMPLE_DOCS`` documents, chosen by a hash of
@@ -139,8 +140,9 @@ def padded(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return x, mask
 
 
-def find_words(u8: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Begin and end of all words of the rows, and the index of each row's first."""
+def find_words(u8: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Begin and end of all words (pieces of long ones) of the rows, the index of each row's
+    first, and begin and end of what is read with each: the word, or a piece's window."""
     inside = _IN_WORD[u8]
     fresh = np.zeros(len(u8) + 1, bool)
     fresh[off] = True
@@ -148,8 +150,22 @@ def find_words(u8: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     e = np.flatnonzero(inside & (np.append(~inside[1:], True) | fresh[1:])) + 1 if len(u8) else np.zeros(0, np.int64)
     parts = -(-(e - s) // LONGEST)
     k = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
-    s, e = np.repeat(s, parts) + k * LONGEST, np.minimum(np.repeat(s, parts) + (k + 1) * LONGEST, np.repeat(e, parts))
-    return s, e, np.searchsorted(s, off)
+    low, high = np.repeat(s, parts), np.repeat(e, parts)
+    s = low + k * LONGEST
+    for _ in range(3):  # no cut inside a character
+        s -= (k > 0) & (u8[s] & 0xC0 == 0x80)
+    e, last = np.append(s, 0)[1:], np.cumsum(parts) - 1
+    e[last] = high[last]
+    return s, e, np.searchsorted(s, off), _whole(u8, s - LONGEST, low, high), _whole(u8, e + LONGEST, low, high)
+
+
+def _whole(u8: np.ndarray, at: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """``at`` within ``low`` and ``high``, moved back to where a character begins."""
+    at = np.clip(at, low, high)
+    for _ in range(3):
+        inner = (low < at) & (at < high)
+        at[inner] -= u8[at[inner]] & 0xC0 == 0x80
+    return at
 
 
 class Labeller:
@@ -164,16 +180,20 @@ class Labeller:
     def clear(self) -> None:
         self.hash, self.sums = np.zeros(0, np.uint64), np.zeros((0, len(self.net.p["bias"])), np.float32)
 
-    def learn(self, hashes: np.ndarray, words: list[bytes]) -> None:
-        """Run the network over new words, by length."""
+    def learn(self, hashes: np.ndarray, words: list[bytes], lead: np.ndarray, inner: np.ndarray) -> None:
+        """Run the network over new words, by length; the labels of the ``inner`` bytes after
+        the first ``lead`` of each are summed."""
         sums = np.zeros((len(words), self.sums.shape[1]), np.float32)
         size = np.array([len(w) for w in words])
         for t in np.unique(size).tolist():
             at = np.flatnonzero(size == t)
-            rows = max(1, int(4096 / self.wide))
+            rows = max(1, int(4096 / self.wide * min(1, LONGEST / t)))
             for i in range(0, len(at), rows):
-                x, mask = padded([words[j] for j in at[i : i + rows]])
-                sums[at[i : i + rows]] = self.net.probabilities(x, mask).sum(0)
+                part = at[i : i + rows]
+                x, mask = padded([words[j] for j in part])
+                place = np.arange(t)[:, None] - lead[part]
+                own = ((place >= 0) & (place < inner[part]))[:, :, None]
+                sums[part] = self.net.probabilities(x, mask).sum(0, where=own)
         every = np.concatenate([self.hash, hashes])
         order = np.argsort(every)
         self.hash, self.sums = every[order], np.concatenate([self.sums, sums])[order]
@@ -183,13 +203,16 @@ class Labeller:
         if len(self.hash) > KEPT_WORDS / self.wide:
             self.clear()
         u8 = _FOLD[u8]
-        s, e, first = find_words(u8, off)
-        h = textkit.span_hashes(u8, s, e)
+        s, e, first, low, high = find_words(u8, off)
+        h = textkit.span_hashes(u8, low, high)
+        cut = (low < s) | (e < high)
+        h[cut] = textkit.mix(h[cut] ^ textkit.mix(((s - low) * 4 * LONGEST + e - s).astype(np.uint64)[cut]))
         distinct, where, inverse = np.unique(h, return_index=True, return_inverse=True)
         at = np.searchsorted(self.hash, distinct)
         new = (np.append(self.hash, np.uint64(0))[at] != distinct) | (at == len(self.hash))
         if new.any():
-            self.learn(distinct[new], [u8[s[i] : e[i]].tobytes() for i in where[new].tolist()])
+            fresh = where[new]
+            self.learn(distinct[new], [u8[low[i] : high[i]].tobytes() for i in fresh.tolist()], (s - low)[fresh], (e - s)[fresh])
         mine = self.sums[np.searchsorted(self.hash, distinct)]
         out = np.zeros((len(off) - 1, mine.shape[1]))
         # one column at a time: sums over the words of each row
@@ -214,7 +237,7 @@ def sample(labelled: DataFrame, text: str, lang: str, row_id: str) -> tuple[list
         for t in col.to_pylist():
             u8, off = textkit.flat(pa.array([t], pa.string()))
             u8 = _FOLD[u8]
-            s, e, _ = find_words(u8, off)
+            s, e, *_ = find_words(u8, off)
             words = sorted({u8[a:b].tobytes() for a, b in zip(s.tolist(), e.tolist())})
             out.append(words[:: max(1, -(-len(words) // SAMPLE_WORDS))])
         return pa.array(out, pa.list_(pa.binary()))

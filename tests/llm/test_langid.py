@@ -31,12 +31,22 @@ def test_gradients_match_differences():
 
 def test_table_of_words_equals_the_network_on_whole_texts():
     net = langid.Network(3)
-    text = "Été deux  x9y " + "z" * 60
+    long, wide = "z" * 60, "a" + "日本é" * 12  # read in pieces of whole characters
+    text = f"Été deux  x9y {long} {wide}"
     label = langid.Labeller(net)
     got = label(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text.encode())]))[0]
-    parts = ["Été".encode().lower(), b"deux", b"x", b"y", b"z" * 24, b"z" * 24, b"z" * 12]
-    total = sum(net.probabilities(*langid.padded([w])).sum((0, 1)) for w in parts)
-    assert np.allclose(got, total / sum(map(len, parts)), atol=1e-5)
+    assert np.array_equal(got, label(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text.encode())]))[0])
+    parts = [("Été".encode().lower(), 0, 5), (b"deux", 0, 4), (b"x", 0, 1), (b"y", 0, 1)]
+    for run in (long.encode(), wide.encode()):
+        floor = lambda i: next(j for j in range(min(max(i, 0), len(run)), -1, -1) if j in (0, len(run)) or run[j] & 0xC0 != 0x80)  # noqa: B023, E731
+        edges = [floor(i) for i in range(0, len(run), langid.LONGEST)] + [len(run)]
+        for a, b in zip(edges, edges[1:]):
+            low, high = floor(a - langid.LONGEST), floor(b + langid.LONGEST)
+            run[a:b].decode(), run[low:high].decode()
+            parts.append((run[low:high], a - low, b - a))
+    total = sum(net.probabilities(*langid.padded([w]))[i : i + n].sum((0, 1)) for w, i, n in parts)
+    assert sum(n for _, _, n in parts) == 11 + 60 + 97
+    assert np.allclose(got, total / (11 + 60 + 97), atol=1e-5)
 
 
 def test_held_out_accuracy_and_cases(spark, monkeypatch):
