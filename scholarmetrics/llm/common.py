@@ -69,6 +69,29 @@ def cut(df: DataFrame, codec: str | None = None) -> DataFrame:
     return out
 
 
+def cut_by(df: DataFrame, key: str, buckets: int, codec: str | None = None) -> DataFrame:
+    """``cut`` in buckets of ``key``, written by the tasks that hold the rows: what groups
+    the table by ``key`` later shuffles none of it.  For keys of which a task holds all rows
+    (or few tasks some), as each task writes a file for each of its keys' buckets."""
+    spark = df.sparkSession
+    bound_batches(spark)
+    name = f"llm_{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
+    options = {"compression": codec} if codec else {}
+    df.write.format("parquet").options(path=path, **options).bucketBy(buckets, key).saveAsTable(name)
+    if _scopes:
+        _scopes[-1].append(path)
+    out = spark.table(name)
+    out.schema  # the frame knows its files from here on
+    spark.sql(f"DROP TABLE {name}")  # the files stay
+    out._cut_path = path
+    return out
+
+
+def shuffle_partitions(df: DataFrame) -> int:
+    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+
+
 class scratch:
     """Block whose cut tables are deleted at its end, but for those that ``keep`` names.
 

@@ -4,15 +4,18 @@ The model is an n-gram model of order ``DEPTH`` over characters (Unicode code po
 as they stand); its vocabulary is that of the texts.  It is trained on all texts that
 are labelled good.
 
-- One pass counts the n-grams of each document.  Documents of a block (``BLOCK`` bytes of
-  text) share one row per n-gram, which lists the documents that hold it and how often.
+- Documents are dealt to blocks of ``BLOCK`` bytes of text and written once, bucketed by
+  block, so that no later step shuffles a text.
+- A block lists its distinct n-grams with their occurrences in trusted texts, a row for
+  each cell (a hash of the n-gram); the n-grams of all blocks are summed by n-gram.
 - Continuation counts, counts of counts (for the three discounts of each order),
   context totals and the joins of n-grams with their contexts are grouped sums and
   joins of count tables that are partitioned (sharded) by n-gram or context.
 - The distinct n-grams of all documents get their log probabilities order by order, by
   joins with those tables; no table of n-grams passes through the driver.
-- The rows of the blocks are joined with the log probabilities (n-grams with more than
-  1/``SALTS`` of all places are salted) and summed per document.
+- Log probabilities meet the blocks' lists by cell and go back to the blocks in the order
+  of the lists, four bytes each; there they are joined with the texts' own n-grams and
+  summed per document.  A cell holds an n-gram of a block once, so no n-gram is hot.
 - One in ``FOLDS`` trusted texts (by a hash of the text, so with all its copies) is held
   out of the counts.  A document is kept unless its perplexity exceeds the ``QUANTILE``
   quantile, with a small allowance, of the held-out texts of its language (exact counts
@@ -33,18 +36,20 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
+from pyspark.sql.functions import arrow_udf
+from pyspark.sql.types import LongType, StructField, StructType
 
 from scholarmetrics.llm import textkit
-from scholarmetrics.llm.common import checked_join, cut, scratch
+from scholarmetrics.llm.common import checked_join, cut, cut_by, scratch, shuffle_partitions
 
-#: Order of the model, bytes of text a block, greatest number of salted n-grams.
-DEPTH, BLOCK, SALTS = 5, 4 << 20, 10_000
-#: Places that a task holds before it folds them into sums.
-HELD = 1 << 21
+#: Order of the model, bytes of text a block, least number of cells of n-grams.
+DEPTH, BLOCK, CELLS = 5, 12 << 20, 32
+#: n-grams that a task looks up at once.
+HELD = 1 << 20
 #: One in ``FOLDS`` trusted texts is held out of the counts; thresholds are taken on those.
 FOLDS = 5
 #: Quantile of the held-out texts, margin above it, weight of all languages' held-out texts
@@ -115,26 +120,34 @@ def _runs(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarr
     """Distinct n-grams of order DEPTH; (n-gram, text, count) with the first two ascending."""
     pad = "\n" * (DEPTH - 1)
     s = np.frombuffer("".join(pad + t for t in texts).encode("utf-32-le"), np.uint32)
-    size = np.array([len(t) for t in texts])
-    doc = np.repeat(np.arange(len(texts)), size)
-    end = np.arange(len(doc)) + (doc + 1) * (DEPTH - 1)  # place of each n-gram's last character
-    alphabet = np.unique(s)
-    a, rank = len(alphabet), np.searchsorted(alphabet, s)
-    if a**DEPTH * len(texts) < 2**63:
-        code = np.zeros(len(doc), np.int64)
-        for back in range(DEPTH - 1, -1, -1):
-            code = code * a + rank[end - back]
-        key = np.sort(code * len(texts) + doc)
-    else:  # many characters: n-grams are numbered symbol by symbol
-        code = np.zeros(len(doc), np.int64)
-        for back in range(DEPTH - 1, -1, -1):
-            _, first, code = np.unique(code * a + rank[end - back], return_index=True, return_inverse=True)
-        key = np.sort(code * len(texts) + doc)
-    at = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
-    count = np.diff(np.append(at, len(key)))
-    gram, doc = key[at] // len(texts), key[at] % len(texts)
-    distinct, gram = np.unique(gram, return_inverse=True)
-    if a**DEPTH * len(texts) < 2**63:
+    size = np.array([len(t) for t in texts], np.int64)
+    doc = np.repeat(np.arange(len(texts), dtype=np.int32), size)
+    end = np.arange(len(doc), dtype=np.int64 if len(s) >= 2**31 else np.int32)
+    end += (doc + 1) * np.int32(DEPTH - 1)  # place of each n-gram's last character
+    seen = np.zeros(int(s.max(initial=0)) + 1, bool)
+    seen[s] = True
+    alphabet = np.flatnonzero(seen).astype(np.uint32)
+    a, rank = len(alphabet), (np.cumsum(seen, dtype=np.int32) - 1)[s]
+    code, direct = np.zeros(len(doc), np.int64), a**DEPTH * len(texts) < 2**63
+    for back in range(DEPTH - 1, -1, -1):
+        code *= a
+        code += rank[end - back]
+        if not direct:  # many characters: n-grams are numbered symbol by symbol
+            _, first, code = np.unique(code, return_index=True, return_inverse=True)
+    code *= len(texts)
+    code += doc
+    del doc, rank
+    if direct:
+        del s, end
+    code.sort()
+    at = np.flatnonzero(np.append(True, code[1:] != code[:-1])) if len(code) else np.zeros(0, np.int64)
+    count = np.diff(np.append(at, len(code)))
+    code = code[at]
+    gram = code // len(texts) if texts else code
+    doc = code - gram * len(texts)
+    fresh = np.append(True, gram[1:] != gram[:-1])[: len(gram)]
+    distinct, gram = gram[fresh], np.cumsum(fresh) - 1
+    if direct:
         spelled = alphabet[distinct[:, None] // a ** np.arange(DEPTH - 1, -1, -1) % a]
     else:
         spelled = s[end[first][:, None] + np.arange(1 - DEPTH, 1)]
@@ -179,37 +192,107 @@ def _unpacked(u8: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return row, upto - before[row], (value & 3) + 1
 
 
-def places(df: DataFrame, text: str = "text") -> DataFrame:
-    """One row per document (without its text; ``__gram`` is null), with its ``n_symbols``
-    and number ``__doc``, and one per block and n-gram: ``__doc`` (the block's first), the
-    places ``__docs`` from there, ``__n`` of them, and the occurrences ``__c`` in documents
-    with ``__train``."""
-    df = df.drop("n_symbols")
-    more = [("n_symbols", LongType()), ("__doc", LongType()), ("__gram", StringType()), ("__c", LongType()), ("__n", LongType()), ("__docs", BinaryType())]
-    rest = [f for f in df.schema.fields if f.name not in (text, "__train")]
-    schema = StructType([StructField(f.name, f.dataType) for f in rest] + [StructField(n, k) for n, k in more])
-    names = [f.name for f in rest]
+def _cell(grams: list[str], cells: int) -> np.ndarray:
+    """The cell of each n-gram, from 0 to ``cells`` - 1."""
+    s = np.frombuffer("".join(grams).encode("utf-32-le"), np.uint32).reshape(-1, DEPTH)
+    h = np.zeros(len(s), np.uint64)
+    for k in range(DEPTH):
+        h = textkit.mix(h + s[:, k])
+    return (h % np.uint64(cells)).astype(np.int32)
+
+
+def _split(col: pa.ChunkedArray) -> pa.Array:
+    """The n-grams of rows that hold them end to end."""
+    u8, _ = textkit.flat(col)
+    start = np.flatnonzero(u8 & 0xC0 != 0x80)[::DEPTH]
+    offsets = np.append(start, len(u8)).astype(np.int32)
+    return pa.Array.from_buffers(pa.string(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(u8)])
+
+
+def dealt(df: DataFrame, text: str = "text") -> DataFrame:
+    """Add ``__block``: consecutive rows of some ``BLOCK`` bytes of text, or one longer text."""
+    schema = StructType(df.schema.fields + [StructField("__block", LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first = TaskContext.get().partitionId() << 33
+        block, room = TaskContext.get().partitionId() << 33, BLOCK
         for batch in batches:
-            col, train = batch.column(text), batch.column("__train").to_numpy(zero_copy_only=False)
-            for a, b in textkit.blocks(textkit.flat(col)[1], BLOCK):
-                texts = [t or "" for t in col.slice(a, b - a).to_pylist()]
-                n, kept = b - a, [batch.column(c).slice(a, b - a) for c in names]
-                own = [pa.array([len(t) for t in texts], pa.int64()), pa.array(np.arange(first, first + n))]
-                yield pa.RecordBatch.from_arrays(kept + own + [pa.nulls(n, k) for k in (pa.string(), pa.int64(), pa.int64(), pa.binary())], schema.names)
-                grams, gram, doc, count = _runs(texts)
-                m, edge = len(grams), np.searchsorted(gram, np.arange(len(grams) + 1))
-                c = np.bincount(gram, count * train[a:b].astype(bool)[doc], m).astype(np.int64)
-                own = [pa.nulls(m, pa.int64()), pa.array(np.full(m, first)), pa.array(grams, pa.string()), pa.array(c), pa.array(np.diff(edge)), _packed(doc, count, edge)]
-                out = pa.RecordBatch.from_arrays([pa.nulls(m, k.type) for k in kept] + own, schema.names)
-                yield from (out.slice(i, 20000) for i in range(0, m, 20000))
-                first += n
+            blocks = np.zeros(batch.num_rows, np.int64)
+            for i, size in enumerate(np.diff(textkit.flat(batch.column(text))[1]).tolist()):
+                if size > room and room < BLOCK:
+                    block, room = block + 1, BLOCK
+                blocks[i], room = block, room - size
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(blocks)], schema.names)
 
     return df.mapInArrow(run, schema)
 
 
+def lists(docs: DataFrame, cells: int, text: str = "text") -> DataFrame:
+    """(__block, cell, codes, cs): a block's distinct n-grams, in ascending order within a
+    cell, and their occurrences in documents with ``__train``."""
+
+    def run(part: pa.Table) -> pa.Table:
+        grams, gram, doc, count = _runs([t or "" for t in part.column(text).to_pylist()])
+        train = part.column("__train").to_numpy().astype(bool)
+        c = np.bincount(gram, count * train[doc], len(grams)).astype(np.int64)
+        cell = _cell(grams, cells)
+        order = np.argsort(cell, kind="stable")
+        at = np.flatnonzero(np.diff(cell[order], prepend=-1))
+        offsets = np.append(at, len(grams)).astype(np.int32)
+        codes = pa.array(grams, pa.string()).take(pa.array(order))
+        columns = [
+            pa.array(np.full(len(at), part.column("__block")[0].as_py())), pa.array(cell[order][at]),
+            pa.ListArray.from_arrays(offsets, codes), pa.ListArray.from_arrays(offsets, c[order]),
+        ]
+        textkit.give_back()
+        return pa.Table.from_arrays(columns, ["__block", "cell", "codes", "cs"])
+
+    narrow = docs.select("__block", "__train", text)
+    return narrow.groupBy("__block").applyInArrow(run, "__block bigint, cell int, codes array<string>, cs array<bigint>")
+
+
+def looked_up(rows: DataFrame, log: DataFrame, cells: int) -> DataFrame:
+    """(__block, cell, lls): the log probabilities of each row of ``lists`` in its order, as
+    32-bit integers."""
+
+    @arrow_udf("int")
+    def cell(code: pa.Array) -> pa.Array:
+        return pa.array(_cell(code.to_pylist(), cells))
+
+    def run(lists: pa.Table, known: pa.Table) -> pa.Table:
+        value, code = known.column("ll").to_numpy().astype("<i4"), known.column("code").combine_chunks()
+        n, lls = lists.column("n").to_numpy(), []
+        edge = [*np.flatnonzero(np.diff(np.cumsum(n) // HELD, prepend=-1)).tolist(), len(n)]
+        for a, b in zip(edge, edge[1:]):
+            ll = value[pc.index_in(_split(lists.column("codes").slice(a, b - a)), value_set=code).to_numpy()]
+            lls += [x.tobytes() for x in np.split(ll, np.cumsum(n[a:b])[:-1])]
+        columns = [lists.column("__block"), lists.column("cell"), pa.chunked_array([pa.array(lls, pa.binary())])]
+        return pa.Table.from_arrays(columns, ["__block", "cell", "lls"])
+
+    joined = rows.select("__block", "cell", F.size("codes").alias("n"), F.array_join("codes", "").alias("codes"))
+    known = log.select(cell("code").alias("cell"), "code", "ll")
+    return joined.groupBy("cell").cogroup(known.groupBy("cell")).applyInArrow(run, "__block bigint, cell int, lls binary")
+
+
+def sums(docs: DataFrame, known: DataFrame, cells: int, text: str = "text") -> DataFrame:
+    """The rows of ``docs``, without their text, with ``n_symbols`` and ``__ll``, the sum of
+    the log probabilities of their characters (``known``: those of ``looked_up``)."""
+    rest = [f for f in docs.schema.fields if f.name not in (text, "__train", "__block")]
+    schema = StructType(rest + [StructField("n_symbols", LongType()), StructField("__ll", LongType())])
+
+    def run(part: pa.Table, known: pa.Table) -> pa.Table:
+        texts = [t or "" for t in part.column(text).to_pylist()]
+        grams, gram, doc, count = _runs(texts)
+        ll = np.zeros(len(grams))
+        if grams:
+            ll[np.argsort(_cell(grams, cells), kind="stable")] = np.frombuffer(b"".join(known.sort_by("cell").column("lls").to_pylist()), "<i4")
+        total = np.bincount(doc, ll[gram] * count, len(texts)).astype(np.int64)  # whole numbers below 2**53
+        own = [pa.array([len(t) for t in texts], pa.int64()), pa.array(total)]
+        textkit.give_back()
+        return pa.Table.from_arrays([part.column(f.name) for f in rest] + own, schema.names)
+
+    return docs.groupBy("__block").cogroup(known.groupBy("__block")).applyInArrow(run, schema)
+
+
 def log_probabilities(grams: DataFrame) -> DataFrame:
     """(code, ll): log probability, in 2**-20, of the last character of each n-gram of
     ``grams`` (code, c: occurrences in trusted text, perhaps 0)."""
@@ -228,54 +311,21 @@ def log_probabilities(grams: DataFrame) -> DataFrame:
     return cut(p.select(F.col("lower").alias("code"), F.rint(F.log("q") * 2**20).cast("long").alias("ll")))
 
 
-def sums(rows: DataFrame) -> DataFrame:
-    """(__doc, ll): the log probabilities of ``rows`` (__doc, __docs, ll) by document."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-
-        def folded() -> tuple[np.ndarray, np.ndarray]:
-            key, ll = (np.concatenate(c) for c in zip(*held))
-            doc, at = np.unique(key, return_inverse=True)
-            total = np.zeros(len(doc), np.int64)
-            np.add.at(total, at, ll)
-            return doc, total
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            row, at, count = _unpacked(*textkit.flat(batch.column("__docs")))
-            held.append((batch.column("__doc").to_numpy()[row] + at, batch.column("ll").to_numpy()[row] * count))
-            if sum(len(k) for k, _ in held) > HELD:
-                held[:] = [folded()]
-                if len(held[0][0]) > HELD // 2:  # many documents: their sums go out
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in held.pop()], ["__doc", "ll"])
-                textkit.give_back()
-        if held:
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in folded()], ["__doc", "ll"])
-
-    return rows.mapInArrow(run, "__doc bigint, ll bigint").groupBy("__doc").agg(F.sum("ll").alias("ll"))
-
-
 def score_characters(df: DataFrame, text: str = "text") -> DataFrame:
     """Replace the text by ``n_symbols`` (characters) and ``perplexity`` (null for an empty
     text) under the model of the texts with ``__train``, which is dropped."""
-    every = cut(places(df, text), "zstd")
-    rows = every.where("__gram IS NOT NULL").select("__doc", F.col("__gram").alias("code"), "__docs")
-    grams = cut(every.where("__gram IS NOT NULL").groupBy(F.col("__gram").alias("code")).agg(F.sum("__c").alias("c"), F.sum("__n").alias("n")))
-    whole = grams.agg(F.sum("n")).first()[0] or 1
-    # at most SALTS n-grams, as each has 1/SALTS of all places
-    share = F.col("n") * SALTS / whole
-    hot = F.broadcast(cut(grams.where(share >= 1).select("code", F.ceil(share).cast("int").alias("salts"))))
-    salts = F.coalesce("salts", F.lit(1))
+    df = df.drop("n_symbols", "perplexity")
+    size = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    # blocks and cells both grow with the root of their product
+    cells = max(CELLS, int(size**0.5) // 256)
+    docs = cut_by(dealt(df, text), "__block", max(shuffle_partitions(df), -(-size // BLOCK)), "zstd")
+    rows = cut(lists(docs, cells, text), "zstd")
+    each = rows.select(F.explode(F.arrays_zip("codes", "cs")).alias("x"))
+    grams = cut(each.groupBy(F.col("x.codes").alias("code")).agg(F.sum("x.cs").alias("c")))
     with scratch(df.sparkSession) as s:
         log = s.keep(log_probabilities(grams))
-    known = log.join(hot, "code", "left").select("code", "ll", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"))
-    rows = rows.join(hot, "code", "left").withColumn("salt", F.pmod(F.xxhash64("__doc").cast("bigint"), salts.cast("bigint")).cast("int")).drop("salts")
-    total = cut(sums(rows.join(known.hint("merge"), ["code", "salt"]).select("__doc", "__docs", "ll")))
-    docs = every.where("__gram IS NULL").drop("__gram", "__c", "__n", "__docs", "perplexity")
-    docs = docs.join(total.hint("merge"), "__doc", "left").drop("__doc")
-    return docs.withColumn("perplexity", F.when(F.col("n_symbols") > 0, F.exp(F.coalesce("ll", F.lit(0)) / -(2.0**20) / F.col("n_symbols")))).drop("ll")
+    scored = sums(docs, looked_up(rows, log, cells), cells, text)
+    return scored.withColumn("perplexity", F.when(F.col("n_symbols") > 0, F.exp(F.col("__ll") / -(2.0**20) / F.col("n_symbols")))).drop("__ll")
 
 
 def classify(df: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", lang: str = "lang") -> DataFrame:

@@ -1,4 +1,5 @@
 import math
+import os
 import random
 from collections import Counter, defaultdict
 
@@ -132,3 +133,58 @@ def test_unseen_good_documents_are_kept(spark):
     kept = {r.doc_id: r.kept for r in lm.classify(documents, seen).select("doc_id", "kept").collect()}
     unseen = [kept[i] for i in good - used]
     assert len(unseen) > 100 and sum(unseen) >= 0.95 * len(unseen)
+
+
+def bytes_in(*folders):
+    return sum(os.path.getsize(os.path.join(at, f)) for d in folders for at, _, files in os.walk(d) for f in files)
+
+
+def test_no_place_of_an_n_gram_is_written(spark, tmp_path):
+    """Disk grows with the text and the blocks' distinct n-grams, not with their places."""
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(3, 9))) for _ in range(300)]
+    spark.createDataFrame([(i, " ".join(rng.choices(words, k=500)), "en") for i in range(2000)], "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs").coalesce(1)
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(2000) if i % 3], "doc_id long, quality int, toxic int")
+    lm.score_characters(docs.limit(1).withColumn("__train", F.lit(True))).collect()  # folders exist
+    jvm = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    folders = [str(d) for d in jvm.localDirs()] + [os.path.dirname(spark.sparkContext.getCheckpointDir().removeprefix("file:"))]
+    before = bytes_in(*folders)
+    flagged = docs.join(labels, "doc_id", "left").withColumn("__train", F.col("quality").isNotNull()).drop("quality", "toxic")
+    scored = lm.score_characters(flagged)
+    assert scored.where("perplexity > 1").count() == 2000
+    used = bytes_in(*folders) - before
+    assert used < 1.5 * bytes_in(f"{tmp_path}/docs") + 4e6  # and the tables of n-grams, whatever the number of documents
+
+
+def test_a_text_is_shuffled_by_no_step_after_it_is_dealt(spark, tmp_path):
+    spark.createDataFrame([(i, f"some text {i} " * 9, bool(i % 2)) for i in range(60)], "doc_id long, text string, __train boolean").write.parquet(f"{tmp_path}/docs")
+    docs = lm.cut_by(lm.dealt(spark.read.parquet(f"{tmp_path}/docs")), "__block", 8)
+    rows = lm.lists(docs, 4)
+    assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
+    known = spark.createDataFrame([], "__block long, cell int, lls binary")
+    exchanges = [x for x in lm.sums(docs, known, 4)._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange" in x]
+    assert len(exchanges) == 1
+
+
+def test_lists_come_back_in_their_order(spark):
+    rng = random.Random(2)
+    texts = ["".join(rng.choices("ab é日😀\0", k=rng.randint(1, 80))) for _ in range(40)] + ["", None, "x"]
+    docs = spark.createDataFrame([(i % 5, t, i % 2 == 0) for i, t in enumerate(texts)], "__block long, text string, __train boolean")
+    rows = lm.cut(lm.lists(docs, 7))
+    got = Counter()
+    for r in rows.collect():
+        assert r.codes == sorted(set(r.codes)) and all(c == r.cell for c in lm._cell(r.codes, 7).tolist())
+        got.update({(r["__block"], g): c for g, c in zip(r.codes, r.cs)})
+    grams = {g for _, g in got}
+    number = {g: i for i, g in enumerate(sorted(grams))}
+    log = spark.createDataFrame([(g, -i) for g, i in number.items()], "code string, ll long")
+    back = lm.looked_up(rows, log, 7).collect()
+    want = {(r["__block"], r.cell): [-number[g] for g in r.codes] for r in rows.collect()}
+    assert {(r["__block"], r.cell): np.frombuffer(r.lls, "<i4").tolist() for r in back} == want
+    trained = Counter()
+    for i, t in enumerate(texts):
+        s = "\n" * (lm.DEPTH - 1) + (t or "")
+        trained.update({(i % 5, s[k : k + lm.DEPTH]): 0 for k in range(len(t or ""))})
+        trained.update((i % 5, s[k : k + lm.DEPTH]) for k in range(len(t or "")) if i % 2 == 0)
+    assert got == trained and set(got) == set(trained)
