@@ -165,48 +165,52 @@ def merge_links(links: DataFrame, hot: dict[str, dict[str, float]]) -> DataFrame
 
 
 # --- sums of entity weights per paper, with a label (gap-limited variant) ---
+# ``few``: the weights are a kept table of few rows (``skew.few_rows``) and are broadcast;
+# the links are then shuffled only as sums per paper.
 
 
 def _label(labels: DataFrame, count_col: str = "nb_citations") -> DataFrame:
     return labels.select("paper_id", F.col(count_col).cast("double").alias("nb_citations"))
 
 
-def paper_author_sum(paa: DataFrame, aw: DataFrame, labels: DataFrame) -> DataFrame:
+def paper_author_sum(paa: DataFrame, aw: DataFrame, labels: DataFrame, few: bool = False) -> DataFrame:
     """Per paper, Σ weights of its non-blank authors (inner to the weights),
     inner-joined to the labels: ``(paper_id, nb_citations, author_weight)``."""
     links = non_blank(paa, "author_id").select("author_id", "paper_id")
     w = aw.select("author_id", F.col("weight").cast("double").alias("_w"))
-    s = skew_join(links, w, "author_id", "inner", detect_on=paa).groupBy("paper_id").agg(F.sum("_w").alias("author_weight"))
+    s = skew_join(links, w, "author_id", "inner", detect_on=paa, few=few).groupBy("paper_id").agg(F.sum("_w").alias("author_weight"))
     return _label(labels).join(s, "paper_id", "inner")
 
 
-def paper_affiliation_sum(paa: DataFrame, fw: DataFrame, labels: DataFrame) -> DataFrame:
+def paper_affiliation_sum(paa: DataFrame, fw: DataFrame, labels: DataFrame, few: bool = False) -> DataFrame:
     """Σ affiliation weights per paper (inner to the weights), then every
     labelled paper with that sum or 0.0."""
     links = non_blank(paa, "affiliation_id").select("affiliation_id", "paper_id")
     w = fw.select("affiliation_id", F.col("weight").cast("double").alias("_w"))
-    s = skew_join(links, w, "affiliation_id", "inner", detect_on=paa).groupBy("paper_id").agg(F.sum("_w").alias("_s"))
+    s = skew_join(links, w, "affiliation_id", "inner", detect_on=paa, few=few).groupBy("paper_id").agg(F.sum("_w").alias("_s"))
     return lookup_default(_label(labels), s, "paper_id", "_s", 0.0, out="affiliation_weight", skew=False)
 
 
-def paper_field_sum(kw: DataFrame, sw: DataFrame, labels: DataFrame) -> DataFrame:
+def paper_field_sum(kw: DataFrame, sw: DataFrame, labels: DataFrame, few: bool = False) -> DataFrame:
     """Σ field weights per paper over its keyword rows (a field without a
     weight adds 0), then every labelled paper with that sum or 0.0."""
     links = kw.select("fos_id", "paper_id")
     w = sw.select("fos_id", F.col("weight").cast("double").alias("_w"))
     s = (
-        lookup_default(links, w, "fos_id", "_w", 0.0, detect_on=kw)
+        lookup_default(links, w, "fos_id", "_w", 0.0, detect_on=kw, few=few)
         .groupBy("paper_id")
         .agg(F.sum("_w").alias("_s"))
     )
     return lookup_default(_label(labels), s, "paper_id", "_s", 0.0, out="field_weight", skew=False)
 
 
-def paper_venue_sum(papers: DataFrame, vw: DataFrame, labels: DataFrame, venue_col: str = "venue_key") -> DataFrame:
+def paper_venue_sum(
+    papers: DataFrame, vw: DataFrame, labels: DataFrame, venue_col: str = "venue_key", few: bool = False
+) -> DataFrame:
     """The raw venue's weight per paper (inner), inner-joined to the labels."""
     p = papers.select(F.col(venue_col).alias("venue"), "paper_id")
     w = vw.select("venue", F.col("weight").cast("double").alias("_w"))
-    s = skew_join(p, w, "venue", "inner", detect_on=papers, detect_key=venue_col).groupBy("paper_id").agg(F.sum("_w").alias("venue_weight"))
+    s = skew_join(p, w, "venue", "inner", detect_on=papers, detect_key=venue_col, few=few).groupBy("paper_id").agg(F.sum("_w").alias("venue_weight"))
     return _label(labels).join(s, "paper_id", "inner")
 
 

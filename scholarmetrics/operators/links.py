@@ -38,17 +38,18 @@ def lookup_default(
     skew: bool = True,
     detect_on: DataFrame | None = None,
     detect_key: str | None = None,
+    few: bool = False,
 ) -> DataFrame:
     """Every probe row kept; ``value`` from ``lookup`` on ``key`` or
     ``default`` when the key is missing.  ``lookup`` must be unique on its key.
 
     ``skew=True`` salts hot probe keys (``operators.skew``), found on the table
     ``detect_on`` the probe came from; pass ``False`` when the probe is unique on
-    the key too (nothing can be hot)."""
+    the key too (nothing can be hot); ``few`` as in ``skew_join``."""
     lk = lookup_key or key
     right = lookup.select(F.col(lk).alias(key), F.col(value).alias("__lookup_value"))
     if skew:
-        j = skew_join(probe, right, key, "left", detect_on=detect_on, detect_key=detect_key)
+        j = skew_join(probe, right, key, "left", detect_on=detect_on, detect_key=detect_key, few=few)
     else:
         j = probe.join(right, key, "left")
     filled: Column = F.coalesce(F.col("__lookup_value"), F.lit(default))

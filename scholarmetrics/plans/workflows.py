@@ -32,10 +32,10 @@ from scholarmetrics.operators import features as X
 from scholarmetrics.operators import weights as W
 from scholarmetrics.operators.counts import papers_with_counts
 from scholarmetrics.operators.links import authorships_of, citations_to
-from scholarmetrics.operators.skew import hot_profile
+from scholarmetrics.operators.skew import few_rows, hot_profile
 from scholarmetrics.operators.temporal import edges_with_gap, gap_counts
 from scholarmetrics.schemas import Tables
-from scholarmetrics.sources.tables import materialize
+from scholarmetrics.sources.tables import checkpoint_dir, materialize
 
 
 @dataclass
@@ -206,21 +206,30 @@ class GapFeatures:
     def venue_weights(self) -> DataFrame:
         return self._kept(W.venue_mean_weights(self.gap_counts, self.tables.papers, self.venue_col))
 
+    def _few(self, weights: DataFrame) -> bool:
+        """Kept weights are counted; without a checkpoint that would compute them anew."""
+        kept = self.materialize_counts and checkpoint_dir(weights.sparkSession) is not None
+        return kept and few_rows(weights)
+
     @cached_property
     def author_sum(self) -> DataFrame:
-        return X.paper_author_sum(self.tables.paper_authors, self.author_weights, self.total_counts)
+        w = self.author_weights
+        return X.paper_author_sum(self.tables.paper_authors, w, self.total_counts, few=self._few(w))
 
     @cached_property
     def affiliation_sum(self) -> DataFrame:
-        return X.paper_affiliation_sum(self.tables.paper_authors, self.affiliation_weights, self.total_counts)
+        w = self.affiliation_weights
+        return X.paper_affiliation_sum(self.tables.paper_authors, w, self.total_counts, few=self._few(w))
 
     @cached_property
     def field_sum(self) -> DataFrame:
-        return X.paper_field_sum(self.tables.paper_keywords, self.field_weights, self.total_counts)
+        w = self.field_weights
+        return X.paper_field_sum(self.tables.paper_keywords, w, self.total_counts, few=self._few(w))
 
     @cached_property
     def venue_sum(self) -> DataFrame:
-        return X.paper_venue_sum(self.tables.papers, self.venue_weights, self.gap_counts, self.venue_col)
+        w = self.venue_weights
+        return X.paper_venue_sum(self.tables.papers, w, self.gap_counts, self.venue_col, few=self._few(w))
 
     @cached_property
     def combined(self) -> DataFrame:
