@@ -140,7 +140,13 @@ def padded(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return x, mask
 
 
-def find_words(u8: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def find_words(u8: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begin and end of all words (pieces of long ones) of the rows, the index of each row's
+    first."""
+    return find_windows(u8, off)[:3]
+
+
+def find_windows(u8: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Begin and end of all words (pieces of long ones) of the rows, the index of each row's
     first, and begin and end of what is read with each: the word, or a piece's window."""
     inside = _IN_WORD[u8]
@@ -203,7 +209,7 @@ class Labeller:
         if len(self.hash) > KEPT_WORDS / self.wide:
             self.clear()
         u8 = _FOLD[u8]
-        s, e, first, low, high = find_words(u8, off)
+        s, e, first, low, high = find_windows(u8, off)
         h = textkit.span_hashes(u8, low, high)
         cut = (low < s) | (e < high)
         h[cut] = textkit.mix(h[cut] ^ textkit.mix(((s - low) * 4 * LONGEST + e - s).astype(np.uint64)[cut]))
@@ -237,7 +243,7 @@ def sample(labelled: DataFrame, text: str, lang: str, row_id: str) -> tuple[list
         for t in col.to_pylist():
             u8, off = textkit.flat(pa.array([t], pa.string()))
             u8 = _FOLD[u8]
-            s, e, *_ = find_words(u8, off)
+            s, e, _ = find_words(u8, off)
             words = sorted({u8[a:b].tobytes() for a, b in zip(s.tolist(), e.tolist())})
             out.append(words[:: max(1, -(-len(words) // SAMPLE_WORDS))])
         return pa.array(out, pa.list_(pa.binary()))
