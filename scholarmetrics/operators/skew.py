@@ -49,9 +49,6 @@ INPUT_INFLATION = 4
 #: Columns that joins use as keys; a profile covers those that its table has.
 KEY_COLUMNS = ("paper_id", "author_id", "affiliation_id", "fos_id", "venue", "venue_key", "citing_id", "cited_id")
 
-#: A build side that has been counted (a kept table) is broadcast up to so many narrow rows.
-FEW_ROWS = 1_000_000
-
 HOWS = ("left", "inner", "left_semi")
 SKEW_SPLIT_CONF = "scholarmetrics.skewSplit"
 _MEMO_SIZE = 256
@@ -160,11 +157,6 @@ def _salts(key: str, shares: dict[str, float], partitions: int) -> Column:
     return n
 
 
-def few_rows(kept: DataFrame) -> bool:
-    """Whether ``kept``, a table that has been written already, may be broadcast."""
-    return kept.limit(FEW_ROWS + 1).count() <= FEW_ROWS
-
-
 def skew_join(
     probe: DataFrame,
     build: DataFrame,
@@ -173,21 +165,15 @@ def skew_join(
     hot: dict[str, float] | list[str] | None = None,
     detect_on: DataFrame | None = None,
     detect_key: str | None = None,
-    few: bool = False,
 ) -> DataFrame:
     """``probe.join(build, key, how)`` with the probe's hot keys salted.
 
-    ``few``: the build side was counted and is small (``few_rows``); it is broadcast, so
-    that no probe row moves and no key can be hot.
-
     ``hot`` names the hot keys (a list, or their shares); ``[]`` disables the
     salting and ``None`` takes the profile of ``detect_on``, the base table that
     the probe was derived from (``detect_key``: its column, if named otherwise), or
     of the probe itself."""
     if how not in HOWS:
         raise ValueError(f"how must be one of {HOWS}, got {how!r}")
-    if few:
-        return probe.join(F.broadcast(build), key, how)
     if hot is None:
         base, col = (probe, key) if detect_on is None else (detect_on, detect_key or key)
         hot = hot_profile(base).get(col) if col in KEY_COLUMNS else hot_profile(base, [col]).get(col)

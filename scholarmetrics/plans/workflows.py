@@ -32,10 +32,10 @@ from scholarmetrics.operators import features as X
 from scholarmetrics.operators import weights as W
 from scholarmetrics.operators.counts import papers_with_counts
 from scholarmetrics.operators.links import authorships_of, citations_to
-from scholarmetrics.operators.skew import few_rows, hot_profile
+from scholarmetrics.operators.skew import hot_profile
 from scholarmetrics.operators.temporal import edges_with_gap, gap_counts
 from scholarmetrics.schemas import Tables
-from scholarmetrics.sources.tables import checkpoint_dir, materialize
+from scholarmetrics.sources.tables import materialize, materialize_files
 
 
 @dataclass
@@ -163,6 +163,11 @@ class GapFeatures:
     def _kept(self, df: DataFrame) -> DataFrame:
         return materialize(df) if self.materialize_counts else df
 
+    def _kept_weights(self, df: DataFrame) -> DataFrame:
+        """Weights are kept as files: the sums look links up in them, and the planner
+        broadcasts those that are small, so that no link is shuffled by its entity."""
+        return materialize_files(df) if self.materialize_counts else df
+
     @cached_property
     def total_counts(self) -> DataFrame:
         """Every paper with its total citation count, below ``cap`` if one is set
@@ -184,7 +189,7 @@ class GapFeatures:
     @cached_property
     def link_weights(self) -> DataFrame:
         """W8 and W9 from one join of the links to the gap counts."""
-        return self._kept(W.link_mean_weights(self.gap_counts, self.tables.paper_authors))
+        return self._kept_weights(W.link_mean_weights(self.gap_counts, self.tables.paper_authors))
 
     def _shared(self) -> DataFrame | None:
         """One link join for both only where both are kept; alone, each is direct."""
@@ -200,36 +205,27 @@ class GapFeatures:
 
     @cached_property
     def field_weights(self) -> DataFrame:
-        return self._kept(W.field_mean_weights(self.gap_counts, self.tables.paper_keywords))
+        return self._kept_weights(W.field_mean_weights(self.gap_counts, self.tables.paper_keywords))
 
     @cached_property
     def venue_weights(self) -> DataFrame:
-        return self._kept(W.venue_mean_weights(self.gap_counts, self.tables.papers, self.venue_col))
-
-    def _few(self, weights: DataFrame) -> bool:
-        """Kept weights are counted; without a checkpoint that would compute them anew."""
-        kept = self.materialize_counts and checkpoint_dir(weights.sparkSession) is not None
-        return kept and few_rows(weights)
+        return self._kept_weights(W.venue_mean_weights(self.gap_counts, self.tables.papers, self.venue_col))
 
     @cached_property
     def author_sum(self) -> DataFrame:
-        w = self.author_weights
-        return X.paper_author_sum(self.tables.paper_authors, w, self.total_counts, few=self._few(w))
+        return X.paper_author_sum(self.tables.paper_authors, self.author_weights, self.total_counts)
 
     @cached_property
     def affiliation_sum(self) -> DataFrame:
-        w = self.affiliation_weights
-        return X.paper_affiliation_sum(self.tables.paper_authors, w, self.total_counts, few=self._few(w))
+        return X.paper_affiliation_sum(self.tables.paper_authors, self.affiliation_weights, self.total_counts)
 
     @cached_property
     def field_sum(self) -> DataFrame:
-        w = self.field_weights
-        return X.paper_field_sum(self.tables.paper_keywords, w, self.total_counts, few=self._few(w))
+        return X.paper_field_sum(self.tables.paper_keywords, self.field_weights, self.total_counts)
 
     @cached_property
     def venue_sum(self) -> DataFrame:
-        w = self.venue_weights
-        return X.paper_venue_sum(self.tables.papers, w, self.gap_counts, self.venue_col, few=self._few(w))
+        return X.paper_venue_sum(self.tables.papers, self.venue_weights, self.gap_counts, self.venue_col)
 
     @cached_property
     def combined(self) -> DataFrame:

@@ -96,3 +96,14 @@ def materialize(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:
         warnings.warn("spark.checkpoint.dir is not set: the intermediate table is computed anew by each reader", stacklevel=2)
         return df
     return df.checkpoint(eager=True)
+
+
+def materialize_files(df: DataFrame) -> DataFrame:
+    """``materialize`` as Parquet files in the shared folder.  Unlike a checkpoint, files
+    have a size that the planner knows: joins with a small table broadcast it."""
+    spark = df.sparkSession
+    if checkpoint_dir(spark) is None:
+        return materialize(df)
+    path = shared_folder(spark, "kept")
+    write_table(df, path)
+    return spark.read.schema(df.schema).parquet(path)
