@@ -13,8 +13,8 @@ table (one sampled job per table and session, ``operators.skew``); the result
 itself is computed by the caller's action.  ``materialize_counts=True``
 checkpoints the tables that several others read to the session's shared
 checkpoint folder, which runs them: the per-paper counts and the cited papers'
-links, and in the gap variant the gap counts (two edge joins) and the four weight
-tables as well.  Checkpoint
+links, and in the gap variant the gap counts (two edge joins); the four weight
+tables are kept as Parquet files there.  Checkpoint
 files live as long as the folder does (Spark removes them with
 ``spark.cleaner.referenceTracking.cleanCheckpoints``).
 """
