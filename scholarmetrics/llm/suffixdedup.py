@@ -18,9 +18,9 @@ repeat can begin or end:
    ``length`` bytes is the predecessor, the next one the successor; a window with
    either is a repeat.  Equal windows have equal anchors, so blocks of whole anchors
    are complete.
-4. An anchor with more than ``HOT`` contexts (a common passage in many surroundings)
-   is not gathered in one task: its windows are counted by hash instead, combined
-   before the shuffle.
+4. An anchor with more than ``HOT`` contexts or ``HOT_BYTES`` bytes of them (a common
+   passage in many surroundings, periodic text) is not gathered in one task: its
+   windows are counted by hash instead, combined before the shuffle.
 
 Copies of a text add rows of hashes only; whatever is grouped is counted first.
 
@@ -50,8 +50,10 @@ GRAM = 40
 LONGEST = 1024
 #: Contexts of one anchor that one task may sort.
 HOT = 8000
-#: Bytes that one suffix array covers.
-BLOCK = 2 << 20
+#: Bytes that one suffix array covers, but for what the last whole anchor has more.
+BLOCK = 512 << 10
+#: Bytes of one anchor's contexts that one task may sort.
+HOT_BYTES = 2 << 20
 
 _RUN = pa.struct([("a", pa.int64()), ("c", pa.int64()), ("s", pa.int32()), ("n", pa.int32()), ("own", pa.bool_())])
 
@@ -103,7 +105,7 @@ def add_runs(df: DataFrame, length: int, gram: int, text: str = "text") -> DataF
     def run(col: pa.Array) -> pa.Array:
         u8, off = textkit.flat(col)
         out, sizes = [], []
-        for i, j in textkit.blocks(off):
+        for i, j in textkit.blocks(off, textkit.PIECE):
             local = off[i : j + 1] - off[i]
             a, c, s, n, own = _runs(u8[off[i] : off[j]], local, length, gram)
             row = np.searchsorted(local, s, "right") - 1
@@ -117,19 +119,33 @@ def add_runs(df: DataFrame, length: int, gram: int, text: str = "text") -> DataF
     return df.withColumn("runs", run(F.col(text)))
 
 
+def _dense_rank(x: np.ndarray) -> np.ndarray:
+    order = np.argsort(x)
+    value = x[order]
+    place = np.zeros(len(x), np.uint32)
+    np.cumsum(value[1:] != value[:-1], out=place[1:])
+    rank = np.empty(len(x), np.uint32)
+    rank[order] = place
+    return rank
+
+
 def depth_classes(u8: np.ndarray, length: int) -> np.ndarray:
     """For each position of ``u8`` the rank of its first ``length`` bytes in suffix order
-    (equal strings, equal rank), by prefix doubling; what lies past the end comes first."""
+    (equal strings, equal rank), by prefix doubling; what lies past the end comes first.
+    Holds some 40 bytes for each byte of ``u8``."""
     x = np.zeros(len(u8), np.uint64)
     have = 8 if length >= 8 else 1
     padded = np.append(u8, np.zeros(length + 8, np.uint8))
     for j in range(have):
-        x = (x << np.uint64(8)) | padded[j : j + len(u8)]
-    rank = np.unique(x, return_inverse=True)[1]
+        x <<= np.uint64(8)
+        x |= padded[j : j + len(u8)]
+    rank = _dense_rank(x)
     while have < length:
         step = min(have, length - have)
-        after = np.append(rank + 1, np.zeros(step, rank.dtype))[step:]
-        rank = np.unique(rank.astype(np.uint64) << np.uint64(32) | after.astype(np.uint64), return_inverse=True)[1]
+        x[:] = rank
+        x <<= np.uint64(32)
+        x[:-step] |= rank[step:] + np.uint32(1)
+        rank = _dense_rank(x)
         have += step
     return rank
 
@@ -221,7 +237,8 @@ def repeats(df: DataFrame, length: int = LENGTH, gram: int = GRAM, text: str = "
     place = F.min(F.struct("d", "t", "s")).alias("at")
     contexts = mixed.groupBy("a", "c").agg(F.count("*").alias("times"), F.first("n").alias("n"), place, F.max("own").alias("own"))
     contexts = cut(contexts.select("a", "c", "n", "at.*", (F.col("times") == 1).alias("open")))
-    per_anchor = contexts.groupBy("a").agg(F.count("*").alias("held"), F.max("open").alias("any_open")).where("any_open").select("a", (F.col("held") > HOT).alias("hot"))
+    per_anchor = contexts.groupBy("a").agg(F.count("*").alias("held"), F.sum(F.col("n") + length - 1).alias("bytes"), F.max("open").alias("any_open"))
+    per_anchor = per_anchor.where("any_open").select("a", ((F.col("held") > HOT) | (F.col("bytes") > HOT_BYTES)).alias("hot"))
     known = shared.where("NOT mixed").select("d", "t", *span)
     again = mixed.join(contexts.where("NOT open").select("a", "c").hint("merge"), ["a", "c"]).select("d", "t", *span)
     wanted = contexts.join(per_anchor.hint("merge"), "a").select("d", "t", F.struct("a", "s", "n", "open", "hot").alias("w"))

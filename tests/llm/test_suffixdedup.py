@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -66,5 +67,35 @@ def test_depth_classes_are_the_suffix_order():
         assert [order[k] for k in key] == rank.tolist()
 
 
+def test_a_block_is_sorted_in_little_memory():
+    size, length = 300, suffixdedup.LENGTH
+    u8 = np.random.default_rng(2).integers(97, 123, suffixdedup.BLOCK // size * size).astype(np.uint8)
+    u8[-size:] = u8[:size]
+    begins = np.arange(0, len(u8), size)
+    tracemalloc.start()
+    try:
+        hit = suffixdedup.repeated_windows(u8, begins, np.full(len(begins), size - length + 1), length)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert hit.reshape(len(begins), -1).any(axis=1).nonzero()[0].tolist() == [0, len(begins) - 1]
+    assert peak < 32 << 20
+
+
+def test_anchors_of_many_bytes_are_not_sorted_in_one_task(spark, texts, monkeypatch):
+    sorted_spans, widest = suffixdedup._sorted_spans, []
+
+    def watched(contexts, length):
+        widest.append(contexts.groupBy("a").agg(F.sum(F.length("body")).alias("size")).agg(F.max("size")).first()[0])
+        return sorted_spans(contexts, length)
+
+    monkeypatch.setattr(suffixdedup, "_sorted_spans", watched)
+    monkeypatch.setattr(suffixdedup, "LONGEST", 16)
+    monkeypatch.setattr(suffixdedup, "HOT_BYTES", 100, raising=False)
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    assert run(df, 8, 3) == brute(texts, 8)
+    assert 0 < widest[0] <= 100
+
+
 def test_empty(empty):
     assert suffixdedup.dedup(empty).count() == 0
