@@ -36,7 +36,7 @@ from scholarmetrics.llm import textkit
 #: Size of the table of replayed pieces that a worker keeps between batches.
 KEPT_BYTES = 48 << 20
 #: Bytes of text that ``encode_decode`` takes at a time.
-SLICE = 4 << 20
+SLICE = 2 << 20
 
 _CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
 
